@@ -5,6 +5,8 @@ The statements run unchanged in Spark SQL and DuckDB, so queries and their oracl
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,9 @@ SQL = {
           case s_suppkey%3 when 0 then 'schools' when 1 then 'cpad' else 'cced' end layer,
           (s_suppkey*1319)%4001 x0,(s_suppkey*733)%4003 y0,100+s_suppkey%160 w,120+s_suppkey%140 h
         from supplier""",
+    "f_lonlat": """
+        select c_custkey id, -124e0+(c_custkey%1000)/100e0 lon, 32.5e0+(c_custkey%900)/100e0 lat
+        from customer""",
     "f_tract": """
         select concat('06',lpad(cast(n_nationkey as string),9,'0')) geoid,
           (n_nationkey%5)*4100 x0,cast(floor(n_nationkey/5e0) as int)*4100 y0, 4100 w, 4100 h
@@ -79,36 +84,30 @@ SQL = {
 BOUNDARY = (3000, 3000, 15000, 15000)
 
 
-def views(spark: SparkSession, folder: str) -> None:
-    for name in TABLES:
-        spark.read.parquet(f"{folder}/{name}.parquet").createOrReplaceTempView(name)
-    for name, text in SQL.items():
-        spark.sql(text).createOrReplaceTempView(name)
+def needed(text: str, known: dict[str, str]) -> list[str]:
+    """Names in ``known`` that a statement uses, directly or not, in the order of ``known``."""
+    found, todo = set(), [text]
+    while todo:
+        words = set(re.findall(r"\w+", todo.pop()))
+        new = [name for name in known if name in words and name not in found]
+        found.update(new)
+        todo += [known[name] for name in new]
+    return [name for name in known if name in found]
 
 
-def with_views(statement: str) -> str:
-    """A statement with the fixtures it needs as common table expressions, for DuckDB."""
-    needed, todo = [], [statement]
-    while todo:
-        text = todo.pop()
-        for name in SQL:
-            if f"{name} " in f"{text} ".replace("\n", " ").replace(")", " ").replace(",", " ").replace(";", " "):
-                if name not in needed:
-                    needed.append(name)
-                    todo.append(SQL[name])
-    if not needed:
-        return statement
-    listed = ",\n".join(f"{name} as ({SQL[name]})" for name in SQL if name in needed)
-    body = statement.strip()
-    if body.lower().startswith("with recursive"):
-        return f"with recursive {listed},\n{body[len('with recursive'):]}"
-    if body.lower().startswith("with"):
-        return f"with {listed},\n{body[len('with'):]}"
-    return f"with {listed}\n{body}"
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A fixture over the Parquet tables in ``folder``."""
+    statement = SQL[name]
+    chain = needed(statement, SQL)
+    for base in needed(" ".join([statement, *(SQL[n] for n in chain)]), {t: "" for t in TABLES}):
+        spark.read.parquet(f"{folder}/{base}.parquet").createOrReplaceTempView(base)
+    for view in chain:
+        spark.sql(SQL[view]).createOrReplaceTempView(view)
+    return spark.sql(statement)
 
 
-def shapes(spark: SparkSession, view: str) -> DataFrame:
-    """A rectangle view with ``geom`` in place of its corner and sides."""
-    table = spark.table(view)
-    rest = [c for c in table.columns if c not in ("x0", "y0", "w", "h")]
-    return table.select(*rest, G.rectangle("x0", "y0", F.col("x0") + F.col("w"), F.col("y0") + F.col("h")).alias("geom"))
+def shapes(rectangles: DataFrame) -> DataFrame:
+    """Rectangles with ``geom`` in place of corner and sides."""
+    rest = [c for c in rectangles.columns if c not in ("x0", "y0", "w", "h")]
+    geom = G.rectangle("x0", "y0", F.col("x0") + F.col("w"), F.col("y0") + F.col("h"))
+    return rectangles.select(*rest, geom.alias("geom"))

@@ -65,6 +65,13 @@ def area(geom) -> Column:
     return _per_part(_col(geom), lambda r: F.abs(signed_ring_area(r)))
 
 
+def perimeter(geom) -> Column:
+    def length(ring):
+        return _total(_pairs(ring, lambda a, b: F.hypot(b.x - a.x, b.y - a.y)))
+
+    return _total(F.transform(F.flatten(_col(geom)), length))
+
+
 def centroid(geom) -> Column:
     """Area-weighted centre over all parts and holes."""
     g = _col(geom)

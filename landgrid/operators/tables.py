@@ -88,6 +88,15 @@ def clean_coordinates(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.withColumns({x: numeric(x), y: numeric(y)}).dropna(subset=[x, y])
 
 
+def stage_counts(df: DataFrame, stages: dict[str, Column]) -> DataFrame:
+    """Rows that are left after each of a chain of filters, from one pass: ``stage, rows``."""
+    passed, counts = F.lit(True), []
+    for name, condition in stages.items():
+        passed = passed & F.coalesce(condition, F.lit(False))
+        counts.append(F.count_if(passed).alias(name))
+    return df.agg(*counts).unpivot([], list(stages), "stage", "rows")
+
+
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count the rows that pass, without a pass of its own; read the observation after an action."""
     observation = Observation(name)

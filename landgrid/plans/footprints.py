@@ -19,11 +19,13 @@ def reprojected(layer: DataFrame, target: int, source: int | None = None) -> Dat
     return with_srid(moved, target)
 
 
+def named_area(areas: DataFrame, name: str) -> DataFrame:
+    return tables.require_rows(areas.filter(F.col("name") == name), f"no area named {name!r}")
+
+
 def boundary(states: DataFrame, name: str, target: int = UTM_10N) -> DataFrame:
     """The boundary of one named area in the target system."""
-    found = states.filter(F.col("name") == name)
-    tables.require_rows(found, f"no area named {name!r}")
-    return reprojected(found, target).select("name", "geom")
+    return reprojected(named_area(states, name), target).select("name", "geom")
 
 
 def inside(polygons: DataFrame, area: DataFrame, key: str, size: float = SQUARE) -> DataFrame:
