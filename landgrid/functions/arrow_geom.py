@@ -13,6 +13,16 @@ PART_TYPE = pa.list_(RING_TYPE)
 GEOM_TYPE = pa.list_(PART_TYPE)
 
 
+def counts_to_offsets(counts) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(np.asarray(counts, dtype=np.int64))]).astype(np.int64)
+
+
+def ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and place of each item of lists with the given lengths."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 @dataclass
 class Flat:
     """Vertices of a geometry column with the offsets of rings, parts and rows."""
@@ -44,6 +54,57 @@ class Flat:
         return (np.flatnonzero(starts), np.repeat(np.arange(self.rows), np.diff(row_segment)),
                 row_segment)
 
+    def take(self, rows: np.ndarray) -> Flat:
+        """The given rows, in the given order."""
+        owner, k = ragged(np.diff(self.row)[rows])
+        parts = self.row[rows][owner] + k
+        owner, k = ragged(np.diff(self.part)[parts])
+        rings = self.part[parts][owner] + k
+        owner, k = ragged(np.diff(self.ring)[rings])
+        vertices = self.ring[rings][owner] + k
+        return Flat(self.x[vertices], self.y[vertices], counts_to_offsets(np.diff(self.ring)[rings]),
+                    counts_to_offsets(np.diff(self.part)[parts]), counts_to_offsets(np.diff(self.row)[rows]))
+
+    @staticmethod
+    def concat(columns: list[Flat]) -> Flat:
+        def joined(field):
+            return counts_to_offsets(np.concatenate([np.diff(getattr(c, field)) for c in columns]))
+
+        return Flat(np.concatenate([c.x for c in columns]), np.concatenate([c.y for c in columns]),
+                    joined("ring"), joined("part"), joined("row"))
+
+    @staticmethod
+    def choose(columns: list[Flat], choice: np.ndarray) -> Flat:
+        """Row by row from one of several columns of equal length."""
+        return Flat.concat(columns).take(choice * len(choice) + np.arange(len(choice)))
+
+    @staticmethod
+    def empty(rows: int) -> Flat:
+        nothing = np.zeros(0)
+        return Flat(nothing, nothing, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64),
+                    np.zeros(rows + 1, dtype=np.int64))
+
+    @staticmethod
+    def boxes(boxes: np.ndarray) -> Flat:
+        """Rectangles (xmin, ymin, xmax, ymax) as one-ring polygons."""
+        n = len(boxes)
+        one = np.arange(n + 1)
+        return Flat(boxes[:, [0, 2, 2, 0, 0]].ravel(), boxes[:, [1, 1, 3, 3, 1]].ravel(), one * 5, one, one)
+
+    def bounds(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """xmin, ymin, xmax, ymax of each row; rows must not be empty."""
+        start = self.row_vertex[:-1]
+        if not len(start):
+            return (np.zeros(0),) * 4
+        return tuple(f.reduceat(v, start) for f in (np.minimum, np.maximum) for v in (self.x, self.y))
+
+    def array(self) -> pa.Array:
+        vertices = pa.StructArray.from_arrays([pa.array(self.x), pa.array(self.y)], fields=list(POINT_TYPE))
+        out = vertices
+        for offsets in (self.ring, self.part, self.row):
+            out = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), out)
+        return out
+
     def rings_of(self, i: int) -> list[list[np.ndarray]]:
         """Row ``i`` as parts of rings of (n, 2) vertices."""
         return [[np.column_stack([self.x[self.ring[k]:self.ring[k + 1]],
@@ -67,17 +128,10 @@ def flat(column: pa.Array) -> Flat:
     return Flat(x, y, ring, part, row)
 
 
-def geometry_array(rows: list[list[list[np.ndarray]]]) -> pa.Array:
-    """Rows of parts of (n, 2) rings as a geometry column."""
+def from_rings(rows: list[list[list[np.ndarray]]]) -> Flat:
+    """Rows of parts of (n, 2) rings."""
     parts = [p for r in rows for p in r]
     rings = [k for p in parts for k in p]
-    xy = np.concatenate(rings) if rings else np.zeros((0, 2))
-
-    def offsets(groups):
-        return pa.array(np.concatenate([[0], np.cumsum([len(g) for g in groups])]).astype(np.int32))
-
-    vertices = pa.StructArray.from_arrays(
-        [pa.array(np.ascontiguousarray(xy[:, 0])), pa.array(np.ascontiguousarray(xy[:, 1]))], fields=list(POINT_TYPE))
-    ring_array = pa.ListArray.from_arrays(offsets(rings), vertices)
-    part_array = pa.ListArray.from_arrays(offsets(parts), ring_array)
-    return pa.ListArray.from_arrays(offsets(rows), part_array)
+    xy = np.concatenate(rings).astype(float) if rings else np.zeros((0, 2))
+    return Flat(np.ascontiguousarray(xy[:, 0]), np.ascontiguousarray(xy[:, 1]),
+                *(counts_to_offsets([len(v) for v in level]) for level in (rings, parts, rows)))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BooleanType, DoubleType
 
-from landgrid.functions.arrow_geom import Flat, flat
+from landgrid.functions.arrow_geom import Flat, counts_to_offsets, flat, ragged
 
 BLOCK = 1 << 20     # segment pairs held in memory at once
 
@@ -109,110 +109,148 @@ def polygon_distances(a: Flat, b: Flat) -> np.ndarray:
     return np.sqrt(best)
 
 
-def overlapping_ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs i, j of closed ranges that overlap, each once, by one sort."""
-    order = np.argsort(low, kind="stable")
-    lo, hi = low[order], high[order]
-    reach = np.searchsorted(lo, hi, side="right") - np.arange(len(lo)) - 1
-    i = np.repeat(np.arange(len(lo)), reach)
-    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(reach) - reach, reach)
-    return order[i], order[j]
+def overlapping_ranges(low: np.ndarray, high: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs i, j of closed ranges of the same row that overlap, each once, by sorting."""
+    n = len(low)
+    # ranks keep the rows apart; equal values rank the lower ends first
+    order = np.lexsort((np.repeat([0, 1], n), np.concatenate([low, high]), np.tile(row, 2)))
+    rank = np.empty(2 * n, dtype=np.int64)
+    rank[order] = np.arange(2 * n)
+    by_low = np.argsort(rank[:n])
+    starts, ends = rank[:n][by_low], rank[n:][by_low]
+    reach = np.searchsorted(starts, ends) - np.arange(n) - 1
+    i, k = ragged(reach)
+    return by_low[i], by_low[i + 1 + k]
+
+
+def ring_areas(x: np.ndarray, y: np.ndarray, ring: np.ndarray) -> np.ndarray:
+    """Signed area of each closed ring, anticlockwise positive."""
+    size = np.diff(ring)
+    if not len(size):
+        return np.zeros(0)
+    base = np.repeat(ring[:-1], size)
+    u, v = x - x[base], y - y[base]
+    cross = np.zeros(len(x))
+    cross[:-1] = u[:-1] * v[1:] - u[1:] * v[:-1]
+    cross[ring[1:][size > 0] - 1] = 0.0
+    return _reduce(np.add, cross, ring, 0.0) / 2
 
 
 def _inside(ring: np.ndarray, x: float, y: float) -> bool:
     return bool(np.count_nonzero(crosses_ray(x, y, ring[:-1, 0], ring[:-1, 1], ring[1:, 0], ring[1:, 1])) % 2)
 
 
-def is_valid_polygon(parts: list[list[np.ndarray]]) -> bool:
-    """Closed finite rings of at least 4 vertices that neither cross nor share edges, holes inside
-    their shell and outside each other, parts outside each other."""
-    rings = [r for p in parts for r in p]
-    if not rings or any(not p for p in parts):
-        return False
-    for r in rings:
-        if len(r) < 4 or not np.isfinite(r).all() or (r[0] != r[-1]).any():
-            return False
-    rings = [r[np.concatenate([[True], (np.diff(r, axis=0) != 0).any(axis=1)])] for r in rings]
-    if any(len(r) < 4 for r in rings):
-        return False
-    seg = np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings])
-    ring_id = np.repeat(np.arange(len(rings)), [len(r) - 1 for r in rings])
-    place = np.concatenate([np.arange(len(r) - 1) for r in rings])
-    size = np.array([len(r) - 1 for r in rings])[ring_id]
-    i, j = overlapping_ranges(np.minimum(seg[:, 0], seg[:, 2]), np.maximum(seg[:, 0], seg[:, 2]))
-    ylo, yhi = np.minimum(seg[:, 1], seg[:, 3]), np.maximum(seg[:, 1], seg[:, 3])
-    near = (ylo[i] <= yhi[j]) & (ylo[j] <= yhi[i])
+def covered(outer: np.ndarray, inner: np.ndarray) -> bool:
+    """Whether a ring lies inside another; the rings are known not to cross."""
+    for x, y in (inner[:-1] + inner[1:]) / 2:
+        edge = point_segment_sq(x, y, outer[:-1, 0], outer[:-1, 1], outer[1:, 0], outer[1:, 1]).min()
+        if edge > 1e-18:
+            return _inside(outer, x, y)
+    return True
+
+
+def valid_polygons(g: Flat) -> np.ndarray:
+    """Per row: closed finite rings of at least 4 vertices that neither cross nor share edges, holes
+    inside their shell and outside each other, parts outside each other."""
+    ring_row = np.repeat(np.arange(g.rows), np.diff(g.row_ring))
+    size = np.diff(g.ring)
+    bad = np.zeros(len(size), dtype=bool)
+    some = size > 0
+    head, last = g.ring[:-1][some], g.ring[1:][some] - 1
+    bad[some] = (g.x[head] != g.x[last]) | (g.y[head] != g.y[last])
+    bad |= (size < 4) | (_reduce(np.add, (~np.isfinite(g.x) | ~np.isfinite(g.y)).astype(np.int64), g.ring, 0) > 0)
+    ok = np.diff(g.row_ring) > 0
+    ok[ring_row[bad]] = False
+    ok[np.repeat(np.arange(g.rows), np.diff(g.row))[np.diff(g.part) == 0]] = False
+    if not ok.any():
+        return ok
+    seg, row, _ = g.segments()
+    ring = np.repeat(np.arange(len(size)), size)[seg]
+    usable = ok[row] & ((g.x[seg] != g.x[seg + 1]) | (g.y[seg] != g.y[seg + 1]))
+    seg, row, ring = seg[usable], row[usable], ring[usable]
+    count = np.bincount(ring, minlength=len(size))
+    ok[ring_row[(count < 3) & ok[ring_row]]] = False
+    place = np.arange(len(ring)) - counts_to_offsets(count)[ring]
+    ax, ay, bx, by = g.x[seg], g.y[seg], g.x[seg + 1], g.y[seg + 1]
+    i, j = overlapping_ranges(np.minimum(ax, bx), np.maximum(ax, bx), row)
+    near = (np.minimum(ay, by)[i] <= np.maximum(ay, by)[j]) & (np.minimum(ay, by)[j] <= np.maximum(ay, by)[i])
     i, j = i[near], j[near]
-    p, q = tuple(seg[i].T), tuple(seg[j].T)
-    if segments_cross(p, q).any():
-        return False
-    # contacts without a crossing: count the ends that lie on the other segment
-    on = [_turn(*s, x, y) == 0 for s, x, y in ((p, q[0], q[1]), (p, q[2], q[3]), (q, p[0], p[1]), (q, p[2], p[3]))]
-    within = [(np.minimum(s[0], s[2]) <= x) & (x <= np.maximum(s[0], s[2]))
-              & (np.minimum(s[1], s[3]) <= y) & (y <= np.maximum(s[1], s[3]))
-              for s, x, y in ((p, q[0], q[1]), (p, q[2], q[3]), (q, p[0], p[1]), (q, p[2], p[3]))]
-    touch = np.array(on) & np.array(within)
-    contact = touch.any(axis=0)
-    same_ring = ring_id[i] == ring_id[j]
+    p, q = (ax[i], ay[i], bx[i], by[i]), (ax[j], ay[j], bx[j], by[j])
+    wrong = segments_cross(p, q)
+    # contacts without a crossing: ends that lie on the other segment
+    touch = np.array([_on(s, x, y) for s, x, y in ((p, q[0], q[1]), (p, q[2], q[3]), (q, p[0], p[1]), (q, p[2], p[3]))])
     step = np.abs(place[i] - place[j])
-    neighbours = same_ring & ((step == 1) | (step == size[i] - 1))
-    collinear = touch.sum(axis=0) >= 2
-    shared_end = (((p[0] == q[0]) & (p[1] == q[1])) | ((p[0] == q[2]) & (p[1] == q[3]))
-                  | ((p[2] == q[0]) & (p[3] == q[1])) | ((p[2] == q[2]) & (p[3] == q[3])))
-    overlap = collinear & ~(shared_end & (touch.sum(axis=0) == 2) & ~_folds_back(p, q))
-    if overlap.any() or (contact & same_ring & ~neighbours).any():
-        return False
-    for part in parts:
-        for k, hole in enumerate(part[1:], start=1):
-            if not _covered(part[0], hole) or any(_covered(other, hole) for m, other in enumerate(part[1:], 1) if m != k):
+    same = ring[i] == ring[j]
+    neighbours = same & ((step == 1) | (step == count[ring[i]] - 1))
+    contacts = touch.sum(axis=0)
+    wrong |= same & ~neighbours & (contacts > 0)
+    # two common points on one line are a common stretch, unless both are the same shared end
+    straight = (p[2] - p[0]) * (q[3] - q[1]) == (p[3] - p[1]) * (q[2] - q[0])
+    shared = (((p[0] == q[0]) & (p[1] == q[1])) | ((p[0] == q[2]) & (p[1] == q[3]))
+              | ((p[2] == q[0]) & (p[3] == q[1])) | ((p[2] == q[2]) & (p[3] == q[3])))
+    wrong |= straight & (contacts >= 2) & ~(shared & (contacts == 2))
+    ok[row[i[wrong]]] = False
+    for k in np.flatnonzero(ok & (np.diff(g.row_ring) > 1)):
+        ok[k] = _well_nested(g.rings_of(k))
+    return ok
+
+
+def _on(s, x, y):
+    return ((_turn(*s, x, y) == 0) & (np.minimum(s[0], s[2]) <= x) & (x <= np.maximum(s[0], s[2]))
+            & (np.minimum(s[1], s[3]) <= y) & (y <= np.maximum(s[1], s[3])))
+
+
+def _well_nested(parts: list[list[np.ndarray]]) -> bool:
+    for shell, *holes in parts:
+        for k, hole in enumerate(holes):
+            if not covered(shell, hole) or any(covered(o, hole) for m, o in enumerate(holes) if m != k):
                 return False
     for k, part in enumerate(parts):
         for m, other in enumerate(parts):
-            if m != k and _covered(other[0], part[0]) and not any(_covered(h, part[0]) for h in other[1:]):
+            if m != k and covered(other[0], part[0]) and not any(covered(h, part[0]) for h in other[1:]):
                 return False
     return True
 
 
-def _folds_back(p, q):
-    """Whether two collinear segments with a common end overlap."""
-    ux, uy, vx, vy = p[2] - p[0], p[3] - p[1], q[2] - q[0], q[3] - q[1]
-    straight = ux * vy - uy * vx == 0
-    head_on = ((p[2] == q[2]) & (p[3] == q[3])) | ((p[0] == q[0]) & (p[1] == q[1]))
-    direction = ux * vx + uy * vy
-    return straight & np.where(head_on, direction > 0, direction < 0)
-
-
-def _covered(outer: np.ndarray, inner: np.ndarray) -> bool:
-    """Whether a ring lies inside another; the rings are known not to cross."""
-    for x, y in (inner[:-1] + inner[1:]) / 2:
-        edge = point_segment_sq(x, y, outer[:-1, 0], outer[:-1, 1], outer[1:, 0], outer[1:, 1]).min()
-        if edge > 1e-18:
-            return _inside(outer, x, y)
-    return True
-
-
-def douglas_peucker(ring: np.ndarray, tolerance: float) -> np.ndarray:
-    """The ring with vertices closer than ``tolerance`` to their chord dropped; its start stays."""
-    keep = np.zeros(len(ring), dtype=bool)
-    keep[[0, -1]] = True
-    stack = [(0, len(ring) - 1)]
-    while stack:
-        a, b = stack.pop()
-        if b - a < 2:
-            continue
-        d = point_segment_sq(ring[a + 1:b, 0], ring[a + 1:b, 1], *ring[a], *ring[b])
-        far = a + 1 + int(np.argmax(d))
-        if d[far - a - 1] > tolerance * tolerance:
-            keep[far] = True
-            stack += [(a, far), (far, b)]
-    return ring[keep]
-
-
-def simplify_polygon(parts: list[list[np.ndarray]], tolerance: float) -> list[list[np.ndarray]]:
+def kept_vertices(g: Flat, tolerance: float) -> np.ndarray:
+    """Douglas-Peucker on every ring at once: which vertices stay. The start of a ring stays."""
+    keep = np.zeros(len(g.x), dtype=bool)
+    filled = np.diff(g.ring) > 0
+    a, b = g.ring[:-1][filled], g.ring[1:][filled] - 1
+    keep[a] = keep[b] = True
+    while len(a):
+        wide = b - a > 1
+        a, b = a[wide], b[wide]
+        section, k = ragged(b - a - 1)
+        if not len(section):
+            break
+        v = a[section] + 1 + k
+        d = point_segment_sq(g.x[v], g.y[v], g.x[a][section], g.y[a][section], g.x[b][section], g.y[b][section])
+        farthest = np.maximum.reduceat(d, counts_to_offsets(b - a - 1)[:-1])
+        at = np.flatnonzero(d == farthest[section])
+        _, first = np.unique(section[at], return_index=True)
+        split = v[at[first]]
+        go = farthest > tolerance * tolerance
+        a, b, split = a[go], b[go], split[go]
+        keep[split] = True
+        a, b = np.concatenate([a, split]), np.concatenate([split, b])
+    return keep
+
+
+def simplify(g: Flat, tolerance: float) -> Flat:
     """Simplify ring by ring. Rings that would collapse, and polygons that would become invalid,
     keep their vertices."""
-    short = [[s if len(s) >= 4 else r for r, s in ((r, douglas_peucker(r, tolerance)) for r in p)] for p in parts]
-    return short if is_valid_polygon(short) else parts
+    keep = kept_vertices(g, tolerance)
+    ring = np.repeat(np.arange(len(g.ring) - 1), np.diff(g.ring))
+    left = np.bincount(ring[keep], minlength=len(g.ring) - 1)
+    keep |= (left < 4)[ring]
+    left = np.bincount(ring[keep], minlength=len(g.ring) - 1)
+    short = Flat(g.x[keep], g.y[keep], counts_to_offsets(left), g.part, g.row)
+    changed = np.diff(short.row_vertex) < np.diff(g.row_vertex)
+    rows = np.flatnonzero(changed)
+    choice = np.ones(g.rows, dtype=np.int64)
+    choice[rows[valid_polygons(short.take(rows))]] = 0
+    return Flat.choose([short, g], choice)
 
 
 @arrow_udf(DoubleType())
@@ -229,5 +267,4 @@ def polygon_distance(a: pa.Array, b: pa.Array) -> pa.Array:
 
 @arrow_udf(BooleanType())
 def is_valid(geom: pa.Array) -> pa.Array:
-    g = flat(geom)
-    return pa.array([is_valid_polygon(g.rings_of(i)) for i in range(g.rows)], pa.bool_())
+    return pa.array(valid_polygons(flat(geom)))

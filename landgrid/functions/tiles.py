@@ -5,8 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from landgrid.functions.arrow_geom import GEOM_TYPE, flat, geometry_array
-from landgrid.functions.slabs import box_edges, difference, edges_of, polygons
+from landgrid.functions.arrow_geom import GEOM_TYPE, Flat, flat
+from landgrid.functions.slabs import Edges, difference, polygons
 
 TILE_TYPE = pa.list_(pa.struct([("cx", pa.int64()), ("cy", pa.int64()), ("full", pa.bool_()), ("chip", GEOM_TYPE)]))
 TILE_DDL = ("array<struct<cx:bigint,cy:bigint,full:boolean,"
@@ -22,13 +22,11 @@ def _left_of(edges: np.ndarray, xmin: float, ymin: float, ymax: float) -> np.nda
     return np.column_stack([np.full(len(values), xmin), values[:, 0], np.full(len(values), xmin), values[:, 1]])
 
 
-def tiles(parts: list[list[np.ndarray]], size: float) -> dict[tuple[int, int], list | None]:
-    """Grid square -> the part of the polygon in it; None where the square is covered in full."""
-    edges = edges_of(parts)
-    low, high = edges[:, :2].min(axis=0), edges[:, :2].max(axis=0)
-    i0, j0 = np.floor(low / size).astype(int)
-    i1, j1 = np.floor(high / size).astype(int) + 1
-    found: dict[tuple[int, int], list | None] = {}
+def _split(edges: np.ndarray, size: float):
+    """Squares covered in full, and ``(square, edges)`` of those that the outline passes through."""
+    i0, j0 = np.floor(edges[:, :2].min(axis=0) / size).astype(int)
+    i1, j1 = np.floor(edges[:, :2].max(axis=0) / size).astype(int) + 1
+    full, border = [], []
     work = [(int(i0), int(j0), int(i1), int(j1), edges, edges[:0])]
     while work:
         i0, j0, i1, j1, near, left = work.pop()
@@ -40,52 +38,91 @@ def tiles(parts: list[list[np.ndarray]], size: float) -> dict[tuple[int, int], l
         near = near[level & (xhi > box[0]) & (xlo < box[2])]
         if not len(near):
             if (left[:, 3] - left[:, 1]).sum() > (box[3] - box[1]) / 2:
-                found.update({(i, j): None for i in range(i0, i1) for j in range(j0, j1)})
-            continue
-        if i1 - i0 == 1 and j1 - j0 == 1:
-            kept = difference(np.concatenate([near, left]), [], box)
-            whole = size * size
-            if kept.area() >= whole * (1 - 1e-12):
-                found[i0, j0] = None
-            elif len(kept.slab):
-                found[i0, j0] = polygons(kept)
+                full += [(i, j) for i in range(i0, i1) for j in range(j0, j1)]
+        elif i1 - i0 == 1 and j1 - j0 == 1:
+            border.append(((i0, j0), np.concatenate([near, left])))
+        else:
+            im, jm = (i0 + i1 + 1) // 2, (j0 + j1 + 1) // 2
+            for a, c in ((i0, im), (im, i1)):
+                for b, d in ((j0, jm), (jm, j1)):
+                    if a < c and b < d:
+                        work.append((a, b, c, d, near, left))
+    return full, border
+
+
+def cut_to_squares(g: Flat, size: float):
+    """``owner, square, full, chip`` of the squares of each polygon; the chip of a square covered in
+    full is empty."""
+    seg, _, offset = g.segments()
+    xy = np.column_stack([g.x[seg], g.y[seg], g.x[seg + 1], g.y[seg + 1]])
+    owner, square, edges, where = [], [], [], []
+    inner_owner, inner = [], []
+    for k in range(g.rows):
+        mine = xy[offset[k]:offset[k + 1]]
+        if not len(mine):
             continue
-        im, jm = (i0 + i1 + 1) // 2, (j0 + j1 + 1) // 2
-        for a, c in ((i0, im), (im, i1)):
-            for b, d in ((j0, jm), (jm, j1)):
-                if a < c and b < d:
-                    work.append((a, b, c, d, near, left))
-    return found
+        full, border = _split(mine, size)
+        inner += full
+        inner_owner += [k] * len(full)
+        for at, near in border:
+            edges.append(near)
+            where.append(np.full(len(near), len(owner)))
+            owner.append(k)
+            square.append(at)
+    jobs = len(owner)
+    square = np.array(square, dtype=np.int64).reshape(-1, 2)
+    boxes = np.hstack([square, square + 1]) * float(size)
+    row = np.concatenate(where) if jobs else np.zeros(0, dtype=np.int64)
+    shapes = Edges(np.concatenate(edges) if jobs else np.zeros((0, 4)), row, np.zeros(len(row), dtype=np.int64))
+    frames = Edges.boxes(boxes, np.arange(jobs), 1)
+    none = Edges(np.zeros((0, 4)), row[:0], row[:0])
+    clipped = difference(shapes + frames, none, kept_shapes=2)
+    area = clipped.areas(jobs)
+    chip = polygons(clipped, jobs)
+    whole = area >= size * size * (1 - 1e-12)
+    some = np.flatnonzero(area > 0)
+    chip = Flat.choose([chip, Flat.empty(jobs)], whole.astype(np.int64)).take(some)
+    inner = np.array(inner, dtype=np.int64).reshape(-1, 2)
+    return (np.concatenate([np.array(owner, dtype=np.int64)[some], np.array(inner_owner, dtype=np.int64)]),
+            np.concatenate([square[some], inner]), np.concatenate([whole[some], np.ones(len(inner), dtype=bool)]),
+            Flat.concat([chip, Flat.empty(len(inner))]))
 
 
-def with_touched(found: dict, size: float) -> dict:
-    """Also list the squares that the polygon only touches, with what touches them."""
-    out = {cell: (None if chip is None else list(chip)) for cell, chip in found.items()}
-    for (i, j), chip in found.items():
-        if chip is None:
-            e = box_edges(i * size, j * size, (i + 1) * size, (j + 1) * size)
-            chip = [[np.vstack([e[:, :2], e[:1, :2]])]]
-        low = np.min([p[0].min(axis=0) for p in chip], axis=0)
-        high = np.max([p[0].max(axis=0) for p in chip], axis=0)
-        for di in range(-1 if low[0] <= i * size else 0, 2 if high[0] >= (i + 1) * size else 1):
-            for dj in range(-1 if low[1] <= j * size else 0, 2 if high[1] >= (j + 1) * size else 1):
-                if out.get((i + di, j + dj), ()) is not None and (di or dj):
-                    out.setdefault((i + di, j + dj), []).extend(chip)
-    return out
+def _touched(owner, square, full, chip: Flat, size: float):
+    """Also list the squares that a polygon only touches from outside, with what touches them."""
+    boxes = np.hstack([square, square + 1]) * float(size)
+    shape = Flat.choose([chip, Flat.boxes(boxes)], full.astype(np.int64))
+    low_x, low_y, high_x, high_y = shape.bounds()
+    covered = set(zip(owner[full].tolist(), map(tuple, square[full].tolist())))
+    pick, at = [], []
+    for dx in (-1, 0, 1):
+        for dy in (-1, 0, 1):
+            if not dx and not dy:
+                continue
+            meets = np.ones(len(owner), dtype=bool)
+            if dx:
+                meets &= (low_x <= boxes[:, 0]) if dx < 0 else (high_x >= boxes[:, 2])
+            if dy:
+                meets &= (low_y <= boxes[:, 1]) if dy < 0 else (high_y >= boxes[:, 3])
+            for k in np.flatnonzero(meets).tolist():
+                cell = (int(square[k, 0]) + dx, int(square[k, 1]) + dy)
+                if (int(owner[k]), cell) not in covered:
+                    pick.append(k)
+                    at.append(cell)
+    pick = np.array(pick, dtype=np.int64)
+    return (np.concatenate([owner, owner[pick]]),
+            np.concatenate([square, np.array(at, dtype=np.int64).reshape(-1, 2)]),
+            np.concatenate([full, np.zeros(len(pick), dtype=bool)]), Flat.concat([chip, shape.take(pick)]))
 
 
 def tile_batch(column: pa.Array, size: float, touched: bool) -> pa.Array:
+    """Lists of ``cx, cy, full, chip``. With ``touched`` a square may be listed more than once."""
     g = flat(column)
-    cells, full, chips, offsets = [], [], [], [0]
-    for k in range(g.rows):
-        found = tiles(g.rings_of(k), size)
-        for cell, chip in (with_touched(found, size) if touched else found).items():
-            cells.append(cell)
-            full.append(chip is None)
-            chips.append(chip or [])
-        offsets.append(len(cells))
-    ij = np.array(cells, dtype=np.int64).reshape(-1, 2)
+    found = cut_to_squares(g, size)
+    owner, square, full, chip = _touched(*found, size) if touched else found
+    order = np.argsort(owner, kind="stable")
     values = pa.StructArray.from_arrays(
-        [pa.array(ij[:, 0]), pa.array(ij[:, 1]), pa.array(full, pa.bool_()), geometry_array(chips)],
+        [pa.array(square[order, 0]), pa.array(square[order, 1]), pa.array(full[order]), chip.take(order).array()],
         fields=list(TILE_TYPE.value_type))
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+    offsets = np.searchsorted(owner[order], np.arange(g.rows + 1))
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)

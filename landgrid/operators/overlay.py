@@ -2,50 +2,64 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from landgrid.functions import slabs
-from landgrid.functions.arrow_geom import flat, geometry_array
-from landgrid.functions.predicates import is_valid, simplify_polygon
+from landgrid.functions.arrow_geom import Flat, flat, ragged
+from landgrid.functions.predicates import is_valid, simplify
 from landgrid.operators import grid
 from landgrid.schemas import GEOM, require_same_srid
 from landgrid.shared import saved
 
-CUTS_AT_ONCE = 64       # cuts taken from one polygon in one step
+CUTS_AT_ONCE = 64               # cuts taken from one polygon in one step
+VERTICES_AT_ONCE = 50_000       # vertices one sweep holds
+
+
+def _lists(column: pa.Array) -> tuple[Flat, np.ndarray, np.ndarray]:
+    """The members of lists of polygons, the row of each and its place in the list."""
+    lists = column.offsets.to_numpy().astype(np.int64)
+    members = flat(column.values.slice(lists[0], lists[-1] - lists[0]))
+    row, place = ragged(np.diff(lists))
+    return members, row, place
 
 
 @arrow_udf(GEOM)
 def _minus(geom: pa.Array, cuts: pa.Array, reach: pa.Array) -> pa.Array:
-    """The polygon less the union of ``cuts``, each grown by ``reach``. No cuts: an empty polygon,
-    which the caller replaces by the untouched one."""
-    subject, lists = flat(geom), cuts.offsets.to_numpy()
-    others, grow = flat(cuts.flatten()), reach.to_numpy()
-    present = cuts.is_valid().to_numpy(zero_copy_only=False)
-    out, base = [], lists[0]
-    for i in range(subject.rows):
-        if not present[i]:
-            out.append([])
-            continue
-        shapes = [others.rings_of(k - base) for k in range(lists[i], lists[i + 1])]
-        if grow[i] > 0:
-            shapes = [slabs.buffered(s, float(grow[i])) for s in shapes]
-        kept = slabs.difference(slabs.edges_of(subject.rings_of(i)), [slabs.edges_of(s) for s in shapes])
-        out.append(slabs.polygons(kept))
-    return geometry_array(out)
+    """The polygon less the union of ``cuts``, each grown by ``reach``. Without cuts the result is
+    empty; the caller keeps the untouched polygon then."""
+    subject = flat(geom)
+    members, row, place = _lists(cuts)
+    grow = reach.to_numpy()
+    members = slabs.buffered(members, grow[row]) if (grow > 0).any() else members
+    cut = np.zeros(subject.rows, dtype=bool)
+    cut[row] = True
+    pieces = []
+    for lo, hi in _runs(np.where(cut, np.diff(subject.row_vertex), 0) + np.bincount(row, np.diff(members.row_vertex), subject.rows)):
+        rows = np.arange(lo, hi)[cut[lo:hi]]
+        mine = (row >= lo) & (row < hi)
+        rest = slabs.difference(slabs.Edges.of(subject.take(rows), rows - lo, 0),
+                                slabs.Edges.of(members.take(np.flatnonzero(mine)), row[mine] - lo, place[mine] + 1))
+        pieces.append(slabs.polygons(rest, hi - lo))
+    return Flat.concat(pieces).array() if pieces else Flat.empty(0).array()
+
+
+def _runs(weight: np.ndarray) -> list[tuple[int, int]]:
+    """Consecutive rows in runs of about VERTICES_AT_ONCE, so that one sweep stays within memory."""
+    run = (np.cumsum(weight) // VERTICES_AT_ONCE).astype(np.int64)
+    start = np.flatnonzero(np.diff(run, prepend=-1))
+    return list(zip(start.tolist(), [*start[1:].tolist(), len(weight)]))
 
 
 @arrow_udf(GEOM)
 def _common(parts: pa.Array) -> pa.Array:
     """The intersection of each list of polygons."""
-    lists, members = parts.offsets.to_numpy(), flat(parts.flatten())
-    out = []
-    for i in range(len(parts)):
-        shapes = [slabs.edges_of(members.rings_of(k - lists[0])) for k in range(lists[i], lists[i + 1])]
-        out.append(slabs.polygons(slabs.intersection(shapes)))
-    return geometry_array(out)
+    members, row, place = _lists(parts)
+    shared = slabs.intersection(slabs.Edges.of(members, row, place), np.bincount(row, minlength=len(parts)))
+    return slabs.polygons(shared, len(parts)).array()
 
 
 def difference(left: DataFrame, right: DataFrame, key: str, size: float, reach: float = 0.0,
@@ -99,7 +113,7 @@ def buffered(df: DataFrame, reach: float, geom: str = "geom") -> DataFrame:
     @arrow_udf(GEOM)
     def grow(column: pa.Array) -> pa.Array:
         g = flat(column)
-        return geometry_array([slabs.buffered(g.rings_of(i), reach) for i in range(g.rows)])
+        return slabs.buffered(g, np.full(g.rows, float(reach))).array()
 
     return df.withColumn(geom, grow(geom))
 
@@ -107,11 +121,10 @@ def buffered(df: DataFrame, reach: float, geom: str = "geom") -> DataFrame:
 def simplified(df: DataFrame, tolerance: float, geom: str = "geom") -> DataFrame:
     """Fewer vertices, none moved farther than ``tolerance``; polygons stay valid."""
     @arrow_udf(GEOM)
-    def simplify(column: pa.Array) -> pa.Array:
-        g = flat(column)
-        return geometry_array([simplify_polygon(g.rings_of(i), tolerance) for i in range(g.rows)])
+    def shorten(column: pa.Array) -> pa.Array:
+        return simplify(flat(column), tolerance).array()
 
-    return df.withColumn(geom, simplify(geom))
+    return df.withColumn(geom, shorten(geom))
 
 
 def only_valid(df: DataFrame, geom: str = "geom") -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landgrid.functions import geom as G
-from landgrid.functions.arrow_geom import geometry_array
 from landgrid.functions.forest import roots
 from landgrid.functions.predicates import point_distance
 from landgrid.functions.slabs import stitch
@@ -206,9 +205,9 @@ def region_polygons(labelled: DataFrame, raster: RasterGrid, block: int = BLOCK,
         height = int(cy.max() - y0) + 2
         lattice_x = np.tile(np.arange(width) + x0, height) * raster.size + raster.origin_x
         lattice_y = np.repeat(np.arange(height) + y0, width) * raster.size + raster.origin_y
-        shape = stitch(tail, head, lattice_x, lattice_y)
+        shape = stitch(tail, head, lattice_x, lattice_y, np.zeros(len(lattice_x), dtype=np.int64), 1)
         return pa.table({"region": pa.array([key[0].as_py()], pa.int64()), "piece": pa.array([key[1].as_py()], pa.int64()),
-                         "geom": geometry_array([shape])})
+                         "geom": shape.array()})
 
     return cells.select("region", "piece", "cx", "cy").groupBy("region", "piece").applyInArrow(
         per_region, f"region long, piece long, geom {GEOM_DDL}")
