@@ -1,4 +1,9 @@
-"""Geometry scalars as native column expressions."""
+"""Geometry scalars as native column expressions.
+
+Measures that visit every edge (area, border length, centre) are Arrow kernels instead, see
+``landgrid.functions.measures``: lambda functions over arrays are interpreted, and took 4 to 8 times
+as long on polygons of 5 to 69 vertices.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from landgrid.functions.measures import area, centroid, perimeter  # noqa: F401
 from landgrid.schemas import GEOM_DDL
 
 
@@ -37,58 +43,6 @@ def point_buffer(x, y, radius: float, quarter_segments: int = 16) -> Column:
     return F.array(F.array(F.transform(F.sequence(F.lit(0), F.lit(sides)), corner)))
 
 
-def _pairs(ring: Column, combine) -> Column:
-    n = F.size(ring) - 1
-    return F.zip_with(F.slice(ring, 1, n), F.slice(ring, 2, n), combine)
-
-
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
-
-
-def signed_ring_area(ring: Column) -> Column:
-    """Shoelace sum relative to the first vertex, which keeps precision far from the origin."""
-    o = F.element_at(ring, 1)
-    return _total(_pairs(ring, lambda a, b: (a.x - o.x) * (b.y - o.y) - (b.x - o.x) * (a.y - o.y))) / 2
-
-
-def _per_part(geom: Column, ring_measure) -> Column:
-    """Sum over the parts of: measure of the shell minus the measures of its holes."""
-    def part_value(part):
-        whole = _total(F.transform(part, ring_measure))
-        return F.lit(2.0) * ring_measure(F.element_at(part, 1)) - whole
-
-    return _total(F.transform(geom, part_value))
-
-
-def area(geom) -> Column:
-    return _per_part(_col(geom), lambda r: F.abs(signed_ring_area(r)))
-
-
-def perimeter(geom) -> Column:
-    def length(ring):
-        return _total(_pairs(ring, lambda a, b: F.hypot(b.x - a.x, b.y - a.y)))
-
-    return _total(F.transform(F.flatten(_col(geom)), length))
-
-
-def centroid(geom) -> Column:
-    """Area-weighted centre over all parts and holes."""
-    g = _col(geom)
-    o = F.element_at(F.element_at(F.element_at(g, 1), 1), 1)
-
-    def moment(axis):
-        def ring_moment(ring):
-            return F.sign(signed_ring_area(ring)) * _total(_pairs(
-                ring,
-                lambda a, b: (a[axis] + b[axis] - o[axis] * 2)
-                * ((a.x - o.x) * (b.y - o.y) - (b.x - o.x) * (a.y - o.y)))) / 6
-        return _per_part(g, ring_moment)
-
-    total = area(g)
-    return point(o.x + moment("x") / total, o.y + moment("y") / total)
-
-
 def bbox(geom) -> Column:
     vertices = F.flatten(F.flatten(_col(geom)))
     xs, ys = F.transform(vertices, lambda v: v.x), F.transform(vertices, lambda v: v.y)

@@ -136,6 +136,10 @@ def ring_areas(x: np.ndarray, y: np.ndarray, ring: np.ndarray) -> np.ndarray:
     return _reduce(np.add, cross, ring, 0.0) / 2
 
 
+def ring_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    return _reduce(np.add, values, offsets, 0.0)
+
+
 def _inside(ring: np.ndarray, x: float, y: float) -> bool:
     return bool(np.count_nonzero(crosses_ray(x, y, ring[:-1, 0], ring[:-1, 1], ring[1:, 0], ring[1:, 1])) % 2)
 

@@ -123,10 +123,10 @@ def density_clusters(points: DataFrame, key: str, eps: float, min_samples: int)
     """
     side = eps / math.sqrt(2.0) * (1 - 1e-9)
     limit = F.lit(eps)
-    spots = saved(points.groupBy("x", "y").agg(F.count("*").alias("weight"), F.min(key).alias("id"))
-                  .withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)}))
+    spots = (points.groupBy("x", "y").agg(F.count("*").alias("weight"), F.min(key).alias("id"))
+             .withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)}))
     squares = spots.groupBy("cx", "cy").agg(F.sum("weight").alias("held"))
-    spots = spots.join(squares, ["cx", "cy"])
+    spots = saved(spots.join(squares, ["cx", "cy"]))
     thin = spots.filter(F.col("held") < min_samples)
 
     def around(df, names):
@@ -146,14 +146,14 @@ def density_clusters(points: DataFrame, key: str, eps: float, min_samples: int)
         thin.join(counted.select(F.col("id1").alias("id")), "id", "left_semi").select(spots.columns)))
 
     # core points of one square are linked by a star; squares by their pairs of core points
-    hubs = core.groupBy("cx", "cy").agg(
+    hubs = saved(core.groupBy("cx", "cy").agg(
         F.min("id").alias("hub"), F.min("x").alias("x0"), F.max("x").alias("x1"),
-        F.min("y").alias("y0"), F.max("y").alias("y1"))
+        F.min("y").alias("y0"), F.max("y").alias("y1")))
     stars = core.join(hubs, ["cx", "cy"]).select(F.col("hub").alias("u"), F.col("id").alias("v"))
     links = saved(_square_links(core, hubs, eps, side))
     roots = component_roots(stars.unionByName(links))
-    core = core.join(roots.withColumnsRenamed({"member": "id", "root": "found"}), "id", "left") \
-               .withColumn("cluster", F.coalesce("found", "id")).drop("found")
+    core = saved(core.join(roots.withColumnsRenamed({"member": "id", "root": "found"}), "id", "left")
+                 .withColumn("cluster", F.coalesce("found", "id")).drop("found"))
     edge = thin.join(core.select("id"), "id", "left_anti")
     reached = (around(edge, {"x": "x1", "y": "y1", "id": "id1"})
                .join(core.select("cx", "cy", "x", "y", "cluster"), ["cx", "cy"]).filter(close())
@@ -179,8 +179,8 @@ def _square_links(core: DataFrame, hubs: DataFrame, eps: float, side: float) ->
     far_y = F.greatest(F.col("o_y1") - F.col("y0"), F.col("y1") - F.col("o_y0"))
     gap_x = F.greatest(F.col("o_x0") - F.col("x1"), F.col("x0") - F.col("o_x1"), F.lit(0.0))
     gap_y = F.greatest(F.col("o_y0") - F.col("y1"), F.col("y0") - F.col("o_y1"), F.lit(0.0))
-    pairs = pairs.withColumns({"far": F.hypot(far_x, far_y), "gap": F.hypot(gap_x, gap_y)}) \
-                 .filter(F.col("gap") <= eps)
+    pairs = saved(pairs.withColumns({"far": F.hypot(far_x, far_y), "gap": F.hypot(gap_x, gap_y)})
+                  .filter(F.col("gap") <= eps))
     sure = pairs.filter(F.col("far") <= eps).select(F.col("hub").alias("u"), F.col("o_hub").alias("v"))
     # squares that a chain of sure links already joins need no further test
     roots = component_roots(sure).withColumnsRenamed({"member": "hub", "root": "root"})

@@ -144,15 +144,14 @@ def _most_in_a_square(points: DataFrame, size: float) -> int:
 
 
 def _narrowed(left: DataFrame, points: DataFrame, key: str, reach: float, size: float,
-              nearest: bool) -> tuple[DataFrame, DataFrame, float]:
+              nearest: bool) -> tuple[DataFrame, float]:
     """Branch and bound over ever finer squares.
 
     Returns ``(key, cx, cy)`` of the squares that can still hold a decisive point of each left row,
-    the points, and the side of those squares. Bounds come from the boxes of the left rows and the
+    and the side of those squares. Bounds come from the boxes of the left rows and the
     extents of the points in a square, so that the pairs at each step number the squares near the
     border of what is known, not the points in them.
     """
-    points = saved(points)
     sides = [size]
     while sides[-1] / 4 > FINEST and _most_in_a_square(points, sides[-1]) > CROWDED:
         sides.append(sides[-1] / 4)
@@ -174,7 +173,7 @@ def _narrowed(left: DataFrame, points: DataFrame, key: str, reach: float, size:
                      .filter(F.col("bound").isNull() | (F.col("label") < F.col("bound"))
                              | ((F.col("high") <= reach) & (F.col("label") == F.col("bound")))))
         front = front.select(key, "box", F.col("sx").alias("cx"), F.col("sy").alias("cy"))
-    return front, points, sides[-1]
+    return front, sides[-1]
 
 
 def _point_pairs(left: DataFrame, points: DataFrame, key: str, reach: float, size: float,
@@ -183,9 +182,10 @@ def _point_pairs(left: DataFrame, points: DataFrame, key: str, reach: float, siz
 
     ``points`` has distinct locations ``px, py`` with a ``label``.
     """
+    points = saved(points)
     shapes = left.select(key, "geom").withColumn("box", G.bbox("geom"))
     if _most_in_a_square(points, size) > CROWDED:
-        front, points, side = _narrowed(shapes, points, key, reach, size, nearest)
+        front, side = _narrowed(shapes, points, key, reach, size, nearest)
         front = front.join(shapes.drop("box"), key)
     else:
         front, side = cover(shapes, size, reach), size
