@@ -118,7 +118,8 @@ def flat(column: pa.Array) -> Flat:
         column = column.combine_chunks()
 
     def level(a):
-        offsets = a.offsets.to_numpy().astype(np.int64)
+        # an empty array may come without any offset
+        offsets = a.offsets.to_numpy().astype(np.int64) if len(a) else np.zeros(1, dtype=np.int64)
         return offsets - offsets[0], a.values.slice(offsets[0], offsets[-1] - offsets[0])
 
     row, parts = level(column)

@@ -77,10 +77,10 @@ def _meeting(left: DataFrame, right: DataFrame, right_key: str, size: float) ->
         right_key, "cx", "cy", F.col("full").alias("right_full"), F.col("chip").alias("right_chip")))
     pairs = left.join(b, ["cx", "cy"])
     sure = F.col("right_full") | F.col("full")
-    hits = pairs.filter(sure).drop("right_full", "right_chip")
-    doubtful = pairs.filter(~sure & G.boxes_meet(G.bbox("chip"), G.bbox("right_chip")))
-    tested = doubtful.filter(polygon_distance("chip", "right_chip") == 0).drop("right_full", "right_chip")
-    return hits.unionByName(tested)
+    # shapes of settled pairs are not sent to the kernel
+    doubtful = ~sure & G.boxes_meet(G.bbox("chip"), G.bbox("right_chip"))
+    gap = polygon_distance(F.when(doubtful, F.col("chip")), F.when(doubtful, F.col("right_chip")))
+    return pairs.withColumn("gap", gap).filter(sure | (F.col("gap") == 0)).drop("right_full", "right_chip", "gap")
 
 
 def _whole(left: DataFrame, size: float) -> DataFrame:
@@ -192,9 +192,12 @@ def _point_pairs(left: DataFrame, points: DataFrame, key: str, reach: float, siz
     at = points.withColumns({"cx": square_of("px", side), "cy": square_of("py", side)})
     spot = F.struct(F.col("px").alias("xmin"), F.col("py").alias("ymin"),
                     F.col("px").alias("xmax"), F.col("py").alias("ymax"))
+    # where only membership counts, pairs that the boxes settle are not sent to the kernel
+    open_pair = F.lit(True) if nearest else G.box_span(F.col("box"), spot) > reach
+    gap = point_distance(F.when(open_pair, F.col("geom")), "px", "py")
     return (front.join(at, ["cx", "cy"]).filter(G.box_gap(F.col("box"), spot) <= reach)
-            .withColumn("distance", point_distance("geom", "px", "py"))
-            .filter(F.col("distance") <= reach)
+            .withColumn("distance", gap)
+            .filter(~open_pair | (F.col("distance") <= reach))
             .select(key, "px", "py", "label", "distance"))
 
 

@@ -224,7 +224,7 @@ def with_any_value(polygons: DataFrame, cells: DataFrame, key: str, raster: Rast
     centers = cells.filter(valid(F.col("value"), raster.nodata)).select(
         raster.center_x(F.col("cx")).alias("px"), raster.center_y(F.col("cy")).alias("py"))
     held = centers.withColumns({"cx": grid.square_of("px", size), "cy": grid.square_of("py", size)}).distinct()
-    cut = grid.chips(polygons.select(key, "geom"), size, touched=True)
+    cut = saved(grid.chips(polygons.select(key, "geom"), size, touched=True))
     inside = (cut.filter("full").select(key, "cx", "cy")
               .join(held.select("cx", "cy").distinct(), ["cx", "cy"], "left_semi").select(key))
     box = F.col("box")
