@@ -1,0 +1,15 @@
+import pytest
+from pyspark.sql import SparkSession
+
+import __spark_entry__ as entry
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (SparkSession.builder.master("local[8]").appName("tests")
+               .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+               .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
+               .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
+    return entry.ship(session)

@@ -29,8 +29,9 @@ def proximity_links(polygons: DataFrame, key: str, gap: float, size: float) -> D
     """Edges ``u, v`` with the components of :func:`proximity_pairs`, but far fewer of them.
 
     Polygons with a vertex in the same small square, whose diagonal is ``gap``, are near each other
-    without a test: a star links them. This also takes in exact copies. Only polygons that the stars
-    leave in different components are paired and tested.
+    without a test: a star links them. This also takes in exact copies. What the stars leave apart
+    is compared by component: per square, components whose extents are close are paired, and only
+    their polygons near the other's extent are tested.
     """
     side = gap / math.sqrt(2.0) * (1 - 1e-9)
     shapes = polygons.select(F.col(key).cast("long").alias("key"), "geom")
@@ -42,11 +43,30 @@ def proximity_links(polygons: DataFrame, key: str, gap: float, size: float) -> D
              .select(F.col("hub").alias("u"), F.col("key").alias("v")))
     groups = saved(component_roots(stars))
     label = groups.select(F.col("member").alias("key"), F.col("root").alias("label"))
-    labelled = grid.with_box(shapes.join(label, "key", "left").withColumn("label", F.coalesce("label", "key")))
-    apart = (grid.near_polygons(labelled, labelled, gap, size).filter("a_label < b_label")
-             .filter(polygon_distance("a_geom", "b_geom") <= gap)
-             .select(F.col("a_label").alias("u"), F.col("b_label").alias("v")).distinct())
-    return groups.select(F.col("root").alias("u"), F.col("member").alias("v")).unionByName(apart)
+    boxed = grid.with_box(shapes).drop("geom").join(label, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    listed = saved(grid.cover(boxed, size, gap))
+
+    square = ["cx", "cy"]
+    extents = listed.groupBy(*square, "label").agg(F.struct(
+        *(f(f"box.{c}").alias(c) for f, c in ((F.min, "xmin"), (F.min, "ymin"), (F.max, "xmax"), (F.max, "ymax")))).alias("extent"))
+    one = extents.select(*square, F.col("label").alias("u"), F.col("extent").alias("extent_u"))
+    two = extents.select(*square, F.col("label").alias("v"), F.col("extent").alias("extent_v"))
+    pairs = saved(one.join(two, square).filter("u < v")
+                  .filter(G.box_gap(F.col("extent_u"), F.col("extent_v")) <= gap))
+
+    def near(mine, other):
+        """Polygons of component ``mine`` near the extent of component ``other``."""
+        rows = listed.withColumnRenamed("label", mine).join(pairs, [*square, mine])
+        rows = rows.filter(G.box_gap(F.col("box"), F.col(f"extent_{other}")) <= gap)
+        return rows.select(*square, "u", "v", F.col("key").alias(f"key_{mine}"), F.col("box").alias(f"box_{mine}"))
+
+    close = (near("u", "v").join(near("v", "u"), [*square, "u", "v"])
+             .filter(G.box_gap(F.col("box_u"), F.col("box_v")) <= gap)
+             .select("u", "v", "key_u", "key_v").distinct())
+    tested = (close.join(shapes.select(F.col("key").alias("key_u"), F.col("geom").alias("geom_u")), "key_u")
+              .join(shapes.select(F.col("key").alias("key_v"), F.col("geom").alias("geom_v")), "key_v")
+              .filter(polygon_distance("geom_u", "geom_v") <= gap).select("u", "v").distinct())
+    return groups.select(F.col("root").alias("u"), F.col("member").alias("v")).unionByName(tested)
 
 
 def clusters(polygons: DataFrame, key: str, gap: float, size: float, number: str = "cluster") -> DataFrame:

@@ -21,6 +21,7 @@ from landgrid.schemas import require_same_srid
 from landgrid.shared import saved
 
 CROWDED = 256           # points a square may hold before it is narrowed
+WORTH_DIVIDING = 3.0    # parts of a divided square that a box may meet on average
 FINEST = 1e-3           # side in metres below which a square is not divided any more
 SIMPLE_VERTICES = 64    # polygons up to this size are joined whole, if they span few squares
 SIMPLE_SQUARES = 16
@@ -76,10 +77,21 @@ def _meeting(left: DataFrame, right: DataFrame, right_key: str, size: float) ->
     b = saved(chips(right.select(right_key, "geom"), size).select(
         right_key, "cx", "cy", F.col("full").alias("right_full"), F.col("chip").alias("right_chip")))
     pairs = left.join(b, ["cx", "cy"])
-    sure = F.col("right_full") | F.col("full")
+    x, y = F.col("cx") * F.lit(float(size)), F.col("cy") * F.lit(float(size))
+    square = G.rectangle(x, y, x + size, y + size)
+
+    def starts_here(chip):
+        """A polygon is listed by its box and need not reach the square; its first vertex tells."""
+        v = F.get(F.get(F.get(chip, F.lit(0)), F.lit(0)), F.lit(0))
+        return v.x.between(x, x + size) & v.y.between(y, y + size)
+
+    sure = F.coalesce((F.col("right_full") & (F.col("full") | starts_here("chip")))
+                      | (F.col("full") & starts_here("right_chip")), F.lit(False))
+    one = F.when(F.col("full"), square).otherwise(F.col("chip"))
+    two = F.when(F.col("right_full"), square).otherwise(F.col("right_chip"))
     # shapes of settled pairs are not sent to the kernel
-    doubtful = ~sure & G.boxes_meet(G.bbox("chip"), G.bbox("right_chip"))
-    gap = polygon_distance(F.when(doubtful, F.col("chip")), F.when(doubtful, F.col("right_chip")))
+    doubtful = ~sure & G.boxes_meet(G.bbox(one), G.bbox(two))
+    gap = polygon_distance(F.when(doubtful, one), F.when(doubtful, two))
     return pairs.withColumn("gap", gap).filter(sure | (F.col("gap") == 0)).drop("right_full", "right_chip", "gap")
 
 
@@ -89,16 +101,17 @@ def _whole(left: DataFrame, size: float) -> DataFrame:
 
 
 def intersecting(left: DataFrame, right: DataFrame, left_key: str, right_key: str, size: float,
-                 cut_left: bool = True) -> DataFrame:
-    """Distinct ``(left_key, right_key)`` of polygons that meet; touching counts.
+                 cut_left: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct ``(left_key, *carry, right_key)`` of polygons that meet; touching counts.
 
-    ``right`` holds large polygons. With ``cut_left=False`` the left polygons stay whole and off
+    ``right`` holds large polygons. ``carry`` names columns of the left rows to bring along, which
+    saves joining them back. With ``cut_left=False`` the left polygons stay whole and off
     the Python side until a square is only partly covered.
     """
     require_same_srid(left, right)
-    a = left.select(left_key, "geom")
+    a = left.select(left_key, *carry, "geom")
     a = chips(a, size, touched=True) if cut_left else _whole(a, size)
-    return _meeting(a, right, right_key, size).select(left_key, right_key).distinct()
+    return _meeting(a, right, right_key, size).select(left_key, *carry, right_key).distinct()
 
 
 def distinct_inside(polygons: DataFrame, area: DataFrame, size: float) -> DataFrame:
@@ -112,15 +125,65 @@ def distinct_inside(polygons: DataFrame, area: DataFrame, size: float) -> DataFr
 
 
 def near_polygons(left: DataFrame, right: DataFrame, reach: float, size: float) -> DataFrame:
-    """Pairs of polygons at most ``reach`` apart, from frames ``key, geom, box`` whose columns are
-    told apart by the prefixes ``a_`` and ``b_``. Each pair comes from one square only: the one
-    with the lower left corner of the overlap of the two grown boxes."""
-    a = cover(left.select(*(F.col(c).alias(f"a_{c}") for c in left.columns)), size, reach, "a_box")
-    b = cover(right.select(*(F.col(c).alias(f"b_{c}") for c in right.columns)), size, 0.0, "b_box")
+    """Pairs of rows whose boxes are at most ``reach`` apart, from frames with a ``box``; columns are
+    told apart by the prefixes ``a_`` and ``b_``.
+
+    Squares in which very many right boxes lie are divided, as long as the boxes are small enough
+    that dividing lowers the number of pairs to compare (it does so while a box meets fewer than four
+    of the sixteen parts on average). Each pair comes from one square only: the one with the lower left corner of the overlap of the
+    two boxes, the left one grown.
+    """
+    wide = reach + MARGIN
+    grown = left.withColumn("box", G.grow(F.col("box"), wide))
+    crowded, side = [], float(size)
+    boxes = right.select("box")
+    listed = _listed(boxes, size, crowded)
+    while side / 4 > max(FINEST, reach):
+        b, x, y = F.col("box"), F.col("cx") * F.lit(side), F.col("cy") * F.lit(side)
+        wide_x = F.least(b.xmax, x + side) - F.greatest(b.xmin, x)
+        wide_y = F.least(b.ymax, y + side) - F.greatest(b.ymin, y)
+        parts = (wide_x * 4 / side + 1) * (wide_y * 4 / side + 1)
+        full = (listed.filter(F.col("side") == side).groupBy("side", "cx", "cy")
+                .agg(F.count("*").alias("held"), F.avg(parts).alias("parts"))
+                .filter((F.col("held") > CROWDED) & (F.col("parts") < WORTH_DIVIDING)))
+        full = saved(full.select("side", "cx", "cy"))
+        if full.isEmpty():
+            break
+        crowded.append(full)
+        side /= 4
+        listed = _listed(boxes, size, crowded)
+    a = _listed(grown, size, crowded).withColumnsRenamed({c: f"a_{c}" for c in left.columns})
+    b = _listed(right, size, crowded).withColumnsRenamed({c: f"b_{c}" for c in right.columns})
     ab, bb = F.col("a_box"), F.col("b_box")
-    home = ((square_of(F.greatest(ab.xmin - (reach + MARGIN), bb.xmin - MARGIN), size) == F.col("cx"))
-            & (square_of(F.greatest(ab.ymin - (reach + MARGIN), bb.ymin - MARGIN), size) == F.col("cy")))
-    return a.join(b, ["cx", "cy"]).filter(home & (G.box_gap(ab, bb) <= reach)).drop("cx", "cy")
+    home = ((F.floor(F.greatest(ab.xmin, bb.xmin) / F.col("side")) == F.col("cx"))
+            & (F.floor(F.greatest(ab.ymin, bb.ymin) / F.col("side")) == F.col("cy")))
+    close = G.boxes_meet(ab, bb) & (G.box_gap(G.grow(ab, -wide), bb) <= reach)
+    return (a.join(b, ["side", "cx", "cy"]).filter(home & close).drop("side", "cx", "cy")
+            .withColumn("a_box", G.grow(F.col("a_box"), -wide)))
+
+
+def _listed(df: DataFrame, size: float, crowded: list[DataFrame]) -> DataFrame:
+    """Rows by the squares their box lies in: ``side, cx, cy``. ``crowded[k]`` lists the squares of
+    step ``k`` that are replaced by sixteen smaller ones each."""
+    b = F.col("box")
+
+    def steps(low, high, side):
+        return F.sequence(square_of(low, side), square_of(high, side))
+
+    out = (df.withColumn("cx", F.explode(steps(b.xmin, b.xmax, size)))
+           .withColumn("cy", F.explode(steps(b.ymin, b.ymax, size))).withColumn("side", F.lit(float(size))))
+    for k, full in enumerate(crowded):
+        side = size / 4 ** (k + 1)
+        at = ["side", "cx", "cy"]
+        inner = out.join(full, at, "left_semi").drop("side")
+        x, y = F.col("cx") * F.lit(4), F.col("cy") * F.lit(4)
+        inner = (inner.withColumn("_y", F.explode(F.sequence(F.greatest(y, square_of(b.ymin, side)),
+                                                             F.least(y + 3, square_of(b.ymax, side)))))
+                 .withColumn("cx", F.explode(F.sequence(F.greatest(x, square_of(b.xmin, side)),
+                                                        F.least(x + 3, square_of(b.xmax, side)))))
+                 .drop("cy").withColumnRenamed("_y", "cy").withColumn("side", F.lit(float(side))))
+        out = out.join(full, at, "left_anti").unionByName(inner)
+    return out
 
 
 # -- polygons with points ----------------------------------------------------------------------

@@ -105,8 +105,8 @@ def rooftop_layer(roofs: DataFrame, s: Settings) -> DataFrame:
 
 def tract_join(layer: DataFrame, tracts: DataFrame, key: str, size: float, cut: bool) -> DataFrame:
     """``GEOID, area_sqm`` once per tract that a polygon meets, with the polygon's full area."""
-    pairs = grid.intersecting(layer, tracts, key, "GEOID", size, cut_left=cut)
-    return pairs.join(layer.select(key, G.area("geom").alias("area_sqm")), key).select(key, "GEOID", "area_sqm")
+    measured = layer.withColumn("area_sqm", G.area("geom"))
+    return grid.intersecting(measured, tracts, key, "GEOID", size, cut_left=cut, carry=("area_sqm",))
 
 
 def tract_summary(ground: DataFrame, roofs: DataFrame, tracts: DataFrame, size: float,

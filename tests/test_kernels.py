@@ -199,3 +199,16 @@ def test_arrow_round_trip_with_slices():
 def test_star_forest():
     root, member = star_forest(np.array([5, 3, 9, 8]), np.array([3, 7, 8, 9]))
     assert dict(zip(member.tolist(), root.tolist())) == {5: 3, 7: 3, 9: 8}
+
+
+@pytest.mark.parametrize("rows", [0, 3])
+def test_kernels_take_empty_batches(rows):
+    g = Flat.empty(rows)
+    assert valid_polygons(g).tolist() == [False] * rows
+    assert simplify(g, 2.0).rows == rows
+    assert slabs.buffered(g, np.full(rows, 5.0)).rows == rows
+    assert slabs.polygons(slabs.union(Edges.of(g)), rows).rows == rows
+    assert len(polygon_distances(g, g)) == rows
+    assert len(point_distances(g, np.zeros(rows), np.zeros(rows))) == rows
+    assert flat(g.array()).rows == rows
+    assert len(cut_to_squares(g, 10.0)[0]) == 0
