@@ -49,11 +49,8 @@ def with_box(df: DataFrame, geom: str = "geom", box: str = "box") -> DataFrame:
 
 # -- polygons with polygons --------------------------------------------------------------------
 
-def chips(df: DataFrame, size: float, touched: bool = False) -> DataFrame:
-    """Polygons by square: ``cx, cy, full, chip`` beside the columns of ``df`` (less ``geom``).
-
-    Small polygons are listed whole under each square; large ones are cut to the squares.
-    """
+def _by_size(df: DataFrame, size: float, touched: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Small polygons with their ``box``, and large ones cut to squares (``cx, cy, full, chip``)."""
     b = F.col("box")
     squares = ((square_of(b.xmax, size) - square_of(b.xmin, size) + 1)
                * (square_of(b.ymax, size) - square_of(b.ymin, size) + 1))
@@ -63,13 +60,37 @@ def chips(df: DataFrame, size: float, touched: bool = False) -> DataFrame:
     def cut(geom: pa.Array) -> pa.Array:
         return tile_batch(geom, size, touched)
 
-    whole = (cover(with_box(df).filter(simple), size)
-             .withColumn("full", F.lit(False)).withColumnRenamed("geom", "chip").drop("box"))
     large = (with_box(df).filter(~simple).withColumn("tile", F.explode(cut("geom")))
              .select("*", "tile.*").drop("tile", "geom", "box"))
+    return with_box(df).filter(simple), large
+
+
+def _square(size: float) -> Column:
+    x, y = F.col("cx") * F.lit(float(size)), F.col("cy") * F.lit(float(size))
+    return G.rectangle(x, y, x + size, y + size)
+
+
+def chips(df: DataFrame, size: float, touched: bool = False) -> DataFrame:
+    """Polygons by square: ``cx, cy, full, chip`` beside the columns of ``df`` (less ``geom``).
+
+    Small polygons are listed whole under each square; large ones are cut to the squares.
+    """
+    small, large = _by_size(df, size, touched)
+    whole = (cover(small, size).withColumn("full", F.lit(False))
+             .withColumnRenamed("geom", "chip").drop("box"))
     return whole.unionByName(large)
 
 
+def pieces(df: DataFrame, key: str, size: float) -> DataFrame:
+    """``piece, geom``: small polygons as they are, large ones as one row per square. ``piece`` is a
+    struct whose ``key`` is that of the polygon."""
+    small, large = _by_size(df.select(F.col(key).alias("key"), "geom"), size)
+    zero = F.lit(0).cast("long")
+    small = small.select(F.struct("key", zero.alias("cx"), zero.alias("cy")).alias("piece"), "geom")
+    cut = F.when(F.col("full"), _square(size)).otherwise(F.col("chip"))
+    return small.unionByName(large.select(F.struct("key", "cx", "cy").alias("piece"), cut.alias("geom")))
+
+
 def _meeting(left: DataFrame, right: DataFrame, right_key: str, size: float) -> DataFrame:
     """Rows of ``left`` (with ``cx, cy, full, chip``) once per square in which they meet a right
     polygon. The cut right side is written out first: its true size then decides whether Spark
@@ -78,7 +99,7 @@ def _meeting(left: DataFrame, right: DataFrame, right_key: str, size: float) ->
         right_key, "cx", "cy", F.col("full").alias("right_full"), F.col("chip").alias("right_chip")))
     pairs = left.join(b, ["cx", "cy"])
     x, y = F.col("cx") * F.lit(float(size)), F.col("cy") * F.lit(float(size))
-    square = G.rectangle(x, y, x + size, y + size)
+    square = _square(size)
 
     def starts_here(chip):
         """A polygon is listed by its box and need not reach the square; its first vertex tells."""
@@ -277,9 +298,10 @@ def within(left: DataFrame, points: DataFrame, key: str, reach: float, size: flo
 
 def first_within(left: DataFrame, points: DataFrame, key: str, label: str, reach: float,
                  size: float) -> DataFrame:
-    """The smallest label among the points at most ``reach`` away from each polygon."""
-    pairs = _point_pairs(left, located(points, label), key, reach, size, nearest=False)
-    return pairs.groupBy(key).agg(F.min("label").alias(label))
+    """The smallest label among the points at most ``reach`` away from each polygon. Large polygons
+    are searched piece by piece, so that their outline is not repeated for every square."""
+    pairs = _point_pairs(pieces(left, key, size), located(points, label), "piece", reach, size, nearest=False)
+    return pairs.groupBy(F.col("piece.key").alias(key)).agg(F.min("label").alias(label))
 
 
 def nearest_locations(left: DataFrame, points: DataFrame, key: str, label: str, reach: float,
