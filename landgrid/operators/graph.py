@@ -15,7 +15,6 @@ from landgrid.operators.tables import row_ids
 from landgrid.shared import saved
 
 EDGES_AT_ONCE = 1 << 20     # edges one task holds while it contracts
-SMALL_REST = 200_000        # a rest of at most this many edges is finished in one task
 MAX_ROUNDS = 60
 
 
@@ -75,32 +74,29 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(mark), F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF)))).first())
 
 
-def component_roots(edges: DataFrame, small_rest: int = SMALL_REST) -> DataFrame:
+def component_roots(edges: DataFrame) -> DataFrame:
     """``(member, root)`` of every node that is not the smallest of its component.
 
-    ``edges`` has long columns ``u, v``; direction and repetition do not matter.
+    ``edges`` has long columns ``u, v``; direction and repetition do not matter. Every size takes the
+    same way: forests per task, then star rounds until a round changes nothing.
     """
     rest = saved(contracted(edges))
-    seen = None
-    for _ in range(MAX_ROUNDS):
-        size = rest.count()
-        if size <= small_rest:
-            rest = contracted(rest.coalesce(1)) if size else rest
-            break
-        rest = saved(_star_round(rest))
+    seen = _fingerprint(rest)
+    for _ in range(MAX_ROUNDS if seen[0] else 0):
+        rest = saved(contracted(_star_round(rest)))
         now = _fingerprint(rest)
         if now == seen:
             break
         seen = now
     else:
-        raise NotConverged(f"components did not settle in {MAX_ROUNDS} rounds")
+        if seen[0]:
+            raise NotConverged(f"components did not settle in {MAX_ROUNDS} rounds")
     return rest.select(F.col("v").alias("member"), F.col("u").alias("root"))
 
 
-def component_labels(nodes: DataFrame, edges: DataFrame, key: str, label: str = "component",
-                     small_rest: int = SMALL_REST) -> DataFrame:
+def component_labels(nodes: DataFrame, edges: DataFrame, key: str, label: str = "component") -> DataFrame:
     """``nodes`` with the smallest key of their component; a node without edges is its own."""
-    found = component_roots(edges, small_rest).select(F.col("member").alias(key), F.col("root").alias(label))
+    found = component_roots(edges).select(F.col("member").alias(key), F.col("root").alias(label))
     return nodes.join(found, key, "left").withColumn(label, F.coalesce(label, F.col(key).cast("long")))
 
 

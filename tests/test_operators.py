@@ -143,9 +143,9 @@ def union_find(n, edges):
     return {k: top(k) for k in range(n)}
 
 
-@pytest.mark.parametrize("small_rest", [0, 200_000])
-def test_components(spark, small_rest, monkeypatch):
-    monkeypatch.setattr(graph, "EDGES_AT_ONCE", 50)
+@pytest.mark.parametrize("at_once", [4, 50, 1 << 20])
+def test_components(spark, at_once, monkeypatch):
+    monkeypatch.setattr(graph, "EDGES_AT_ONCE", at_once)
     rng = np.random.default_rng(3)
     n = 900
     edges = [(k, k + 1) for k in range(0, 120)]                                    # a long chain
@@ -154,7 +154,7 @@ def test_components(spark, small_rest, monkeypatch):
     edges += edges[:50]
     nodes = spark.range(n).withColumnRenamed("id", "key")
     frame = spark.createDataFrame(edges, "u long, v long").repartition(5)
-    got = graph.component_labels(nodes, frame, "key", small_rest=small_rest)
+    got = graph.component_labels(nodes, frame, "key")
     assert {r.key: r.component for r in got.collect()} == union_find(n, edges)
 
 
