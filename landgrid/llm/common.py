@@ -103,3 +103,11 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK) -> Iterator[tuple[int, int]]
 def codepoint(data: np.ndarray, start: int, at: int) -> int:
     """Code points of a text, whose bytes begin at ``start``, before the byte ``at``."""
     return int(np.count_nonzero((data[start:at] & 0xC0) != 0x80))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name`` with underscores in front until no column has it (Spark ignores case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

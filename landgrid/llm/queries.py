@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landgrid.llm import language_id, quality, toxicity
+from landgrid.llm import language_id, quality, simhash, toxicity
 from landgrid.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def op4_quality(spark, folder):
 @query
 def op7_toxicity(spark, folder):
     return toxicity.rated(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query
+def op8_simhash(spark, folder):
+    return simhash.near_duplicates(read(spark, folder, "documents"))
