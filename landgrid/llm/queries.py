@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landgrid.llm import language_id, quality, simhash, toxicity
+from landgrid.llm import language_id, packing, quality, simhash, toxicity
 from landgrid.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def op1_language_id(spark, folder):
     return language_id.identified(read(spark, folder, "documents"))
 
 
+@query
+def op3_packing(spark, folder):
+    return packing.documents_packed(read(spark, folder, "documents"))
+
+
 @query
 def op4_quality(spark, folder):
     return quality.rated(read(spark, folder, "documents"), read(spark, folder, "labels"))
