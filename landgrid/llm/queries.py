@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landgrid.llm import language_id, packing, quality, simhash, toxicity
+from landgrid.llm import language_id, packing, quality, secrets, simhash, topk, toxicity
 from landgrid.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,14 @@ def op4_quality(spark, folder):
     return quality.rated(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+@query
+def op5_exact_topk(spark, folder):
+    return topk.searched(read(spark, folder, "embeddings"))
+
+
+ORACLE_SQL["op5_exact_topk"] = topk.SQL
+
+
 @query
 def op7_toxicity(spark, folder):
     return toxicity.rated(read(spark, folder, "documents"), read(spark, folder, "labels"))
@@ -41,3 +49,8 @@ def op7_toxicity(spark, folder):
 @query
 def op8_simhash(spark, folder):
     return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
+@query
+def op9_secrets(spark, folder):
+    return secrets.digested(read(spark, folder, "documents"))
