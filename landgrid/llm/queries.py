@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landgrid.llm import language_id, packing, quality, secrets, simhash, topk, toxicity
+from landgrid.llm import language_id, packing, quality, secrets, simhash, topk, toxicity, warc
 from landgrid.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,11 @@ def op8_simhash(spark, folder):
 @query
 def op9_secrets(spark, folder):
     return secrets.digested(read(spark, folder, "documents"))
+
+
+@query
+def op10_warc(spark, folder):
+    return warc.round_trip(spark, read(spark, folder, "pages"))
+
+
+ORACLE_SQL["op10_warc"] = warc.SQL
