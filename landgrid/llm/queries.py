@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landgrid.llm import language_id, packing, quality, secrets, simhash, topk, toxicity, warc
+from landgrid.llm import decontamination, language_id, packing, quality, secrets, simhash, topk, toxicity, warc
 from landgrid.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,11 @@ def op5_exact_topk(spark, folder):
 ORACLE_SQL["op5_exact_topk"] = topk.SQL
 
 
+@query
+def op6_decontamination(spark, folder):
+    return decontamination.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 @query
 def op7_toxicity(spark, folder):
     return toxicity.rated(read(spark, folder, "documents"), read(spark, folder, "labels"))
