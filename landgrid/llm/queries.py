@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landgrid.llm import decontamination, language_id, packing, quality, secrets, simhash, topk, toxicity, warc
+from landgrid.llm import decontamination, language_id, packing, pii, quality, secrets, simhash, topk, toxicity, warc
 from landgrid.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def op1_language_id(spark, folder):
     return language_id.identified(read(spark, folder, "documents"))
 
 
+@query
+def op2_pii_surrogates(spark, folder):
+    return pii.replaced(read(spark, folder, "documents"))
+
+
 @query
 def op3_packing(spark, folder):
     return packing.documents_packed(read(spark, folder, "documents"))
