@@ -152,7 +152,7 @@ def packed(examples: DataFrame, key: str, text: str = "text", bears_loss: Column
             arrays = [pa.array(columns[0], key_type), *(pa.array(c, pa.int64()) for c in columns[1:8])]
             names = [name, *numbers]
             if with_ids:
-                arrays.append(pa.array([i.astype(np.int64) for i in columns[8]], pa.list_(pa.int64())))
+                arrays.append(pa.array([i.astype(np.int32) for i in columns[8]], pa.list_(pa.int32())))
                 names.append("ids")
             out.clear()
             return pa.RecordBatch.from_arrays(arrays, names=names)
@@ -173,7 +173,7 @@ def packed(examples: DataFrame, key: str, text: str = "text", bears_loss: Column
         if out:
             yield batch_of()
 
-    ids = ", ids array<bigint>" if with_ids else ""
+    ids = ", ids array<int>" if with_ids else ""
     found = rows.mapInArrow(run, f"{name} {kind.simpleString()}, {', '.join(f'{n} bigint' for n in numbers)}{ids}")
     return found.withColumnRenamed(name, key)
 

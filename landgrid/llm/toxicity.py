@@ -205,25 +205,34 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: i
     return fit(common.sample_texts(docs, "doc_id", sample))
 
 
-def scored(docs: DataFrame, model: Model | None, keep: list[str], text: str = "text") -> DataFrame:
+def scored(docs: DataFrame, model: Model | None, keep: list[str], text: str = "text", score: str = "score",
+           offending: str = "offending") -> DataFrame:
     """``keep`` columns, ``score`` and ``offending``: the sentences at fault with start, end and score.
 
     A null or empty text scores 0; so does every text if nothing was learned.
     """
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
+    source = common.fresh(docs, "source_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if model is None:
                 p, found = np.zeros(batch.num_rows), [[]] * batch.num_rows
             else:
-                p, found = score_texts(model, *common.utf8(pc.utf8_lower(pc.fill_null(batch.column("_text"), ""))))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(p), pa.array(found, kind)],
-                                             names=[*keep, "score", "offending"])
+                p, found = score_texts(model, *common.utf8(pc.utf8_lower(pc.fill_null(batch.columns[-1], ""))))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p), pa.array(found, kind)],
+                                             names=[*keep, score, offending])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(
-        run, f"{kinds}, score double, offending array<struct<start: bigint, end: bigint, score: double>>")
+    return docs.select(*keep, F.col(text).alias(source)).mapInArrow(
+        run, f"{kinds}, `{score}` double, `{offending}` array<struct<start: bigint, end: bigint, score: double>>")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents that score below 0.5, all columns; learns the labels of rows that are not held out."""
+    model = learn(docs, labels.filter(common.remainder("doc_id", 5) != 0))
+    score, offending = common.fresh(docs, "score"), common.fresh(docs, "offending")
+    return scored(docs, model, docs.columns, score=score, offending=offending).filter(F.col(score) < 0.5).select(docs.columns)
 
 
 def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
