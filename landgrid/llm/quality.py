@@ -40,7 +40,7 @@ def chunked(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     """Byte values (padding: PAD) of the chunks that begin at ``starts`` in texts that end at ``ends``."""
     at = starts[:, None] + np.arange(CHUNK)
     inside = at < ends[:, None]
-    return np.where(inside, data[np.where(inside, at, 0)], PAD) if len(data) else np.full(at.shape, PAD)
+    return np.where(inside, data[np.where(inside, at, 0)].astype(np.int16), np.int16(PAD)) if len(data) else np.full(at.shape, PAD, np.int16)
 
 
 def _responses(w: Weights, chunks: np.ndarray) -> np.ndarray:

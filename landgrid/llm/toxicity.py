@@ -50,10 +50,12 @@ class Model:
         return hit[same], place[same]
 
 
-def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the words in some bytes (ASCII case does not count)."""
+def words(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the words in some texts (ASCII case does not count); none goes over an edge."""
     word = _WORD[data]
-    begin = np.flatnonzero(word & ~np.r_[False, word[:-1]])
+    fresh = ~np.r_[False, word[:-1]] if len(data) else word
+    fresh[edges[edges < len(data)]] = True
+    begin = np.flatnonzero(word & fresh)
     if not len(begin):
         return begin, np.zeros(0, np.uint64)
     at = np.flatnonzero(word)
@@ -88,7 +90,7 @@ def _parts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, in
 
 def _sentence_scores(model: Model, data: np.ndarray, edges: np.ndarray):
     starts, text = sentences(data, edges)
-    at, hashes = words(data)
+    at, hashes = words(data, edges)
     hit, place = model.found(hashes)
     of = np.searchsorted(starts, at[hit], side="right") - 1
     # a word counts once a sentence
@@ -133,7 +135,7 @@ def fit(samples: list[tuple[str, int, float]], epochs: int = 8, rate: float = 0.
         return None
     data, offsets = common.utf8(pa.array([t or "" for t, _, _ in samples], pa.string()))
     starts, text = sentences(data, offsets)
-    at, hashes = words(data)
+    at, hashes = words(data, offsets)
     vocabulary, word = np.unique(hashes, return_inverse=True)
     size = max(1, len(vocabulary))
     # a word counts once a sentence
@@ -142,14 +144,15 @@ def fit(samples: list[tuple[str, int, float]], epochs: int = 8, rate: float = 0.
     np.add.at(mark, of, hashes)
     new = np.zeros(len(starts), bool)
     new[np.unique(mark, return_index=True)[1]] = True
+    original = np.bincount(text, new, len(samples)) * 2 >= np.bincount(text, minlength=len(samples))
     pair = np.unique(of * np.int64(size) + word)
     of, word = pair // size, pair % size
     truth = np.array([y for _, y, _ in samples], float)
     weight = np.array([v for _, _, v in samples], float)
     weight = weight / weight.mean()
-    # copies of a sentence count once, so that copied texts don't make their words tell
-    seen = np.unique((text[of] * np.int64(size) + word)[new[of]])
-    n1, n0 = truth.sum(), (1 - truth).sum()
+    # texts of which most sentences came before are copies; they don't make their words tell
+    seen = np.unique((text[of] * np.int64(size) + word)[original[text[of]]])
+    n1, n0 = max(1, truth[original].sum()), max(1, (1 - truth)[original].sum())
     with1 = np.bincount(seen % size, truth[seen // size], size)
     with0 = np.bincount(seen % size, 1 - truth[seen // size], size)
     share1, share0, share = (with1 + 0.5) / (n1 + 1), (with0 + 0.5) / (n0 + 1), (with1 + with0 + 1) / (n1 + n0 + 2)
