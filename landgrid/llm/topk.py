@@ -35,10 +35,10 @@ EXACT = 1 << 53          # below it sums of integers are exact in a double
 
 
 def integers(rows: DataFrame, key: str, vector: str, scale: int = SCALE) -> DataFrame:
-    """``key`` and ``v``: floor(scale * x) of every component; null and non-finite vectors are dropped."""
+    """``key`` and ``v``: floor(scale * x) of every component; null, empty and non-finite vectors are dropped."""
     x = F.transform(F.col(vector), lambda c: c.cast("double"))
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf"))))
-    return (rows.filter(F.col(vector).isNotNull() & F.col(key).isNotNull()).filter(~bad)
+    return (rows.filter((F.size(vector) > 0) & F.col(key).isNotNull()).filter(~bad)
             .select(F.col(key).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * scale)).alias("v")))
 
 
@@ -204,7 +204,7 @@ def searched(embeddings: DataFrame) -> DataFrame:
 SQL = f"""
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::double)) as e from embeddings
-  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), s as (
   select q.vec_id as query_id, c.vec_id as vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
   from v q join v c on q.vec_id <> c.vec_id where q.vec_id % {EVERY} = 0
