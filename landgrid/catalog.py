@@ -61,7 +61,7 @@ class Inputs:
         return readers.require_columns(readers.normalized_header(messy), readers.MANIFEST_COLUMNS)
 
     def lines(self) -> DataFrame:
-        return readers.parsed(self.table("f_geojson"))
+        return readers.parsed(self.table("f_geojson").select("p_partkey", "line"))
 
     def boundary(self) -> DataFrame:
         corners = (F.lit(v) for v in fixtures.BOUNDARY)
@@ -341,11 +341,25 @@ def rooftop_clusters(t):
     return _clustered(t).select("fid", "cluster")
 
 
-@query
-def density_clusters(t):
+def _density(t, eps: float, least: int) -> DataFrame:
     c = G.centroid("geom")
     centers = t.buildings().select("fid", c.x.alias("x"), c.y.alias("y"))
-    return graph.density_clusters(centers, "fid", 60.0, 5)
+    return graph.density_clusters(centers, "fid", eps, least)
+
+
+@query
+def density_clusters(t):
+    return _density(t, 60.0, 5)
+
+
+@query
+def density_clusters_60_1(t):
+    return _density(t, 60.0, 1)
+
+
+@query
+def density_clusters_100_5(t):
+    return _density(t, 100.0, 5)
 
 
 # -- ground ----------------------------------------------------------------------------------------
@@ -425,6 +439,22 @@ def region_polygons(t):
     return drawn.select("region", *box_columns(), G.area("geom").alias("area"), G.perimeter("geom").alias("border"))
 
 
+@query
+def region_polygons_small_blocks(t):
+    """The same polygons from blocks of 4 cells, so that most regions lie in many blocks."""
+    drawn = raster.region_polygons(raster.regions(raster.opened(_light_near(t), 4), 4), IMPERVIOUS, 4)
+    return drawn.select("region", *box_columns(), G.area("geom").alias("area"), G.perimeter("geom").alias("border"))
+
+
+@query
+def chain_components(t):
+    """Buildings in chains of up to 10,000 by key, dealt out so that no task sees a stretch of a chain."""
+    keys = t.table("f_footprint").select("bid").distinct()
+    links = keys.select(F.col("bid").alias("u"), (F.col("bid") + 1).alias("v")).filter("v % 10000 <> 0")
+    links = links.join(keys.select(F.col("bid").alias("v")), "v", "left_semi").repartition(64, F.xxhash64("u"))
+    return graph.component_labels(keys, links, "bid")
+
+
 # -- summary and maps ------------------------------------------------------------------------------
 
 @query

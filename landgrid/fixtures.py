@@ -28,7 +28,8 @@ SQL = {
         union all select bid+10000000,x0,y0,w,h from f_footprint where bid%10=0""",
     # address points with dirty coordinates, padded labels and shared locations
     "f_housing": """
-        select id, case when id%97=0 then 'n/a' else cast(px as string) end x_raw,
+        select id, case when id%97=0 then 'n/a' when id%103=5 then concat(cast(px as string),'d')
+            when id%107=6 then '0x1p3' else cast(px as string) end x_raw,
           case when id%89=0 then null else cast(py as string) end y_raw, kind
         from (
           select c_custkey id, (c_custkey*7919)%20011+(c_custkey%9)*20-40 px,
@@ -42,7 +43,7 @@ SQL = {
     "f_point": """
         select id, trim(kind) kind, try_cast(x_raw as double) x, try_cast(y_raw as double) y
         from f_housing
-        where try_cast(x_raw as double) is not null and try_cast(y_raw as double) is not null
+        where x_raw not like '%a%' and x_raw not like '%d' and x_raw not like '%x%' and y_raw is not null
           and trim(kind) in ('Multi','Single')""",
     # cells of 30 m: v1 with 250 as nodata, v2 with -9999 as nodata
     "f_cell": """
@@ -72,12 +73,23 @@ SQL = {
           lpad(cast(page_id as string),9,'0') quadkey,
           case when page_id%7=0 then null when page_id%11=0 then concat('ftp://',page_id) else url end url
         from pages""",
+    # features of which some are broken in different ways
+    "f_geojson_fault": """
+        select p_partkey, case when p_partkey%101=0 then 'no JSON' when p_partkey%61=1 then 'no geometry'
+            when p_partkey%67=2 then 'not a polygon' when p_partkey%13=3 then 'incomplete coordinates' end fault,
+          -p_partkey%10-114 x, 32+p_partkey%9 y
+        from part""",
     "f_geojson": """
-        select p_partkey, case when p_partkey%101=0 then '{"type":"Feature","geom'
+        select p_partkey, fault, case fault
+          when 'no JSON' then '{"type":"Feature","geom'
+          when 'no geometry' then case when p_partkey%2=0 then '{"foo":1}' else '{"type":"Feature","geometry":null}' end
+          when 'not a polygon' then '{"type":"Feature","geometry":{"type":"Point","coordinates":[1.0,2.0]}}'
+          when 'incomplete coordinates' then concat('{"type":"Feature","geometry":{"type":"Polygon","coordinates":',
+            case p_partkey%5 when 0 then '"abc"' when 1 then '[]' when 2 then '[[[1.0],[1.0,2.0],[3.0,4.0],[1.0,2.0]]]'
+              when 3 then '[[null,[1.0,2.0],[3.0,4.0],[1.0,2.0]]]' else '[[[1.0,2.0],[3.0,4.0]]]' end, '}}')
           else concat('{"type":"Feature","properties":{"height":-1.0},"geometry":{"type":"Polygon","coordinates":[[[',
-            -p_partkey%10-114,',',32+p_partkey%9,'],[',-p_partkey%10-113,',',32+p_partkey%9,'],[',
-            -p_partkey%10-113,',',33+p_partkey%9,'],[',-p_partkey%10-114,',',32+p_partkey%9,']]]}}') end line
-        from part""",
+            x,',',y,'],[',x+1,',',y,'],[',x+1,',',y+1,'],[',x,',',y,']]]}}') end line
+        from f_geojson_fault""",
 }
 
 # the area whose polygons are kept

@@ -89,10 +89,13 @@ def grow(box: Column, by: float) -> Column:
 # -- GeoJSON -----------------------------------------------------------------------------------
 
 def from_geojson(kind, coordinates) -> Column:
-    """Geometry from a GeoJSON type and the text of its coordinates; NULL for other types."""
+    """Geometry from a GeoJSON type and the text of its coordinates; NULL for other types.
+
+    What is missing in the text (a ring, a vertex, a number) is NULL in the geometry: see ``complete``.
+    """
     def rings(part):
         return F.transform(part, lambda ring: F.transform(
-            ring, lambda v: point(F.element_at(v, 1), F.element_at(v, 2))))
+            ring, lambda v: point(F.try_element_at(v, F.lit(1)), F.try_element_at(v, F.lit(2)))))
 
     ring_list = "array<array<array<double>>>"
     one = F.array(rings(F.from_json(_col(coordinates), ring_list)))
@@ -100,8 +103,13 @@ def from_geojson(kind, coordinates) -> Column:
     return (F.when(_col(kind) == "Polygon", one).when(_col(kind) == "MultiPolygon", many))
 
 
-def to_geojson(geom) -> Column:
-    """GeoJSON geometry text, always as MultiPolygon."""
-    coordinates = F.transform(_col(geom), lambda part: F.transform(part, lambda ring: F.transform(
-        ring, lambda v: F.array(v.x, v.y))))
-    return F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), coordinates.alias("coordinates")))
+def complete(geom) -> Column:
+    """Whether a geometry has parts, every part rings, every ring four vertices, every vertex two finite numbers."""
+    def number(c):
+        return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
+
+    def filled(items, good, least=1):
+        return items.isNotNull() & (F.size(items) >= least) & F.forall(items, lambda i: F.coalesce(good(i), F.lit(False)))
+
+    return F.coalesce(filled(_col(geom), lambda part: filled(part, lambda ring: filled(
+        ring, lambda v: number(v.x) & number(v.y), 4))), F.lit(False))

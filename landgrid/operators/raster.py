@@ -24,7 +24,7 @@ from landgrid.schemas import GEOM_DDL, RasterGrid
 from landgrid.shared import saved
 
 BLOCK = 256             # cells along one side of a block
-PIECE_BLOCKS = 4        # regions over more blocks are drawn in pieces of this many blocks a side
+BORDERS = 1 << 17       # border lines that are joined to polygons at a time
 
 
 def valid(value: Column, nodata) -> Column:
@@ -177,40 +177,80 @@ def regions(cells: DataFrame, block: int = BLOCK) -> DataFrame:
             .select("cx", "cy", F.coalesce("region", "local").alias("region")))
 
 
-def region_polygons(labelled: DataFrame, raster: RasterGrid, block: int = BLOCK,
-                    piece_blocks: int = PIECE_BLOCKS) -> DataFrame:
-    """Regions as polygons with holes: ``region, piece, geom``.
+def _border_lines(labels: np.ndarray, x0: int, y0: int) -> list[np.ndarray]:
+    """Border lines of the regions in a block whose label image has a rim of one cell: region and ends.
 
-    A region that fits one square of ``piece_blocks`` x ``piece_blocks`` blocks, wherever it lies,
-    is one polygon with ``piece`` 0. A larger one is drawn in pieces along a fixed lattice of such
-    squares, so that no task holds more cells than a square has.
+    Lines run with the region on their left. Neighbouring cell sides of one direction are one line.
     """
-    side = block * piece_blocks
-    spans = (labelled.groupBy("region").agg(F.min("cx").alias("x0"), F.max("cx").alias("x1"),
-                                            F.min("cy").alias("y0"), F.max("cy").alias("y1"))
-             .filter((F.col("x1") - F.col("x0") >= side) | (F.col("y1") - F.col("y0") >= side))
-             .select("region", F.lit(True).alias("large")))
-    piece = F.when(F.col("large"), _cell_id(F.floor(F.col("cx") / side), F.floor(F.col("cy") / side)) + 1)
-    cells = labelled.join(spans, "region", "left").withColumn("piece", F.coalesce(piece, F.lit(0)))
-
-    def per_region(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        cx, cy = table["cx"].to_numpy(), table["cy"].to_numpy()
-        x0, y0 = cx.min(), cy.min()
-        width = int(cx.max() - x0) + 2
-        x, y = cx - x0, cy - y0
-        corner = y * width + x
-        # anticlockwise around each cell; edges between two cells of the region cancel
-        tail = np.concatenate([corner, corner + 1, corner + 1 + width, corner + width])
-        head = np.concatenate([corner + 1, corner + 1 + width, corner + width, corner])
-        height = int(cy.max() - y0) + 2
-        lattice_x = np.tile(np.arange(width) + x0, height) * raster.size + raster.origin_x
-        lattice_y = np.repeat(np.arange(height) + y0, width) * raster.size + raster.origin_y
-        shape = stitch(tail, head, lattice_x, lattice_y, np.zeros(len(lattice_x), dtype=np.int64), 1)
-        return pa.table({"region": pa.array([key[0].as_py()], pa.int64()), "piece": pa.array([key[1].as_py()], pa.int64()),
-                         "geom": shape.array()})
-
-    return cells.select("region", "piece", "cx", "cy").groupBy("region", "piece").applyInArrow(
-        per_region, f"region long, piece long, geom {GEOM_DDL}")
+    core = labels[1:-1, 1:-1]
+    out = []
+    # the other side, whether lines lie along x, and which way they run
+    for other, along_x, forward in ((labels[:-2, 1:-1], True, True), (labels[2:, 1:-1], True, False),
+                                    (labels[1:-1, 2:], False, True), (labels[1:-1, :-2], False, False)):
+        side = np.where((core >= 0) & (core != other), core, -1)
+        side = side if along_x else side.T
+        joined = side[:, 1:] == side[:, :-1]
+        first = (side >= 0) & ~np.pad(joined, ((0, 0), (1, 0)))
+        last = (side >= 0) & ~np.pad(joined, ((0, 0), (0, 1)))
+        line, low = np.nonzero(first)
+        high = np.nonzero(last)[1] + 1
+        region = side[line, low]
+        line = line + (0 if along_x == forward else 1)
+        begin, end = (low, high) if forward else (high, low)
+        ends = (begin + x0, line + y0, end + x0, line + y0) if along_x else (line + x0, begin + y0, line + x0, end + y0)
+        out.append(np.stack([region, *ends]))
+    return out
+
+
+def region_polygons(labelled: DataFrame, raster: RasterGrid, block: int = BLOCK) -> DataFrame:
+    """Regions as polygons with holes, one row per region whatever its size: ``region, geom``.
+
+    Each block gives the border lines of its regions; a rim of one cell settles its sides. Only border
+    lines travel on, so what meets in one place for a region is no more than its polygon itself.
+    Many regions are joined up in one call.
+    """
+    def span(c):
+        return F.sequence(F.floor((F.col(c) - 1) / block), F.floor((F.col(c) + 1) / block))
+
+    listed = (labelled.select(F.col("cx").cast("long"), F.col("cy").cast("long"), "region")
+              .withColumn("bx", F.explode(span("cx"))).withColumn("by", F.explode(span("cy"))))
+    ends = ["ax", "ay", "ex", "ey"]
+
+    def per_block(table: pa.Table) -> pa.Table:
+        x0, y0 = table["bx"][0].as_py() * block, table["by"][0].as_py() * block
+        found, place = np.unique(table["region"].to_numpy(), return_inverse=True)
+        labels = np.full((block + 2, block + 2), -1, np.int64)
+        labels[table["cy"].to_numpy() - y0 + 1, table["cx"].to_numpy() - x0 + 1] = place
+        region, *lines = np.concatenate(_border_lines(labels, x0, y0), axis=1)
+        return pa.table({"region": found[region], **dict(zip(ends, lines))})
+
+    lines = listed.groupBy("bx", "by").applyInArrow(per_block, "region long, " + ", ".join(f"{c} long" for c in ends))
+
+    def joined(held: list[np.ndarray]) -> pa.RecordBatch:
+        region, ax, ay, ex, ey = np.concatenate(held, axis=1)
+        keys, row = np.unique(region, return_inverse=True)
+        corners, at = np.unique(np.concatenate([np.stack([row, ax, ay]), np.stack([row, ex, ey])], axis=1), axis=1, return_inverse=True)
+        at = at.ravel()
+        vx, vy = (c.astype(float) * raster.size + o for c, o in zip(corners[1:], (raster.origin_x, raster.origin_y)))
+        shape = stitch(at[:len(row)], at[len(row):], vx, vy, corners[0], len(keys))
+        return pa.RecordBatch.from_arrays([pa.array(keys), shape.array()], names=["region", "geom"])
+
+    def polygons(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(np.stack([c.to_numpy() for c in batch.columns]))
+            size += batch.num_rows
+            if size >= BORDERS:
+                every = np.concatenate(held, axis=1)
+                cut = int(np.searchsorted(every[0], every[0][-1]))       # the last region may go on
+                if cut:
+                    yield joined([every[:, :cut]])
+                held, size = [every[:, cut:]], every.shape[1] - cut
+        if size:
+            yield joined(held)
+
+    return (lines.repartition("region").sortWithinPartitions("region").select("region", *ends)
+            .mapInArrow(polygons, f"region long, geom {GEOM_DDL}"))
 
 
 def with_any_value(polygons: DataFrame, cells: DataFrame, key: str, raster: RasterGrid,
@@ -221,9 +261,15 @@ def with_any_value(polygons: DataFrame, cells: DataFrame, key: str, raster: Rast
     it decides; only at the border are centres tested.
     """
     size = raster.size * block
-    centers = cells.filter(valid(F.col("value"), raster.nodata)).select(
+    box = polygons.select(G.bbox("geom").alias("b")).agg(
+        *(f(f"b.{c}") for f, c in ((F.min, "xmin"), (F.min, "ymin"), (F.max, "xmax"), (F.max, "ymax")))).first()
+    if box[0] is None:
+        return polygons.select(key).limit(0)
+    origin = (raster.origin_x, raster.origin_y) * 2
+    near = crop(cells, *(math.floor((v - o) / raster.size) for v, o in zip(box, origin)))
+    held = near.filter(valid(F.col("value"), raster.nodata)).select(
         raster.center_x(F.col("cx")).alias("px"), raster.center_y(F.col("cy")).alias("py"))
-    held = centers.withColumns({"cx": grid.square_of("px", size), "cy": grid.square_of("py", size)}).distinct()
+    held = held.withColumns({"cx": grid.square_of("px", size), "cy": grid.square_of("py", size)})
     cut = saved(grid.chips(polygons.select(key, "geom"), size, touched=True))
     inside = (cut.filter("full").select(key, "cx", "cy")
               .join(held.select("cx", "cy").distinct(), ["cx", "cy"], "left_semi").select(key))

@@ -79,9 +79,10 @@ def extent(df: DataFrame, geom: str = "geom") -> DataFrame:
 
 
 def numeric(text) -> Column:
-    """Text as a finite number; NULL for anything else."""
-    value = F.trim(G._col(text)).try_cast("double")
-    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    """Text as a finite decimal number; NULL for anything else, type suffixes and hexadecimals among it."""
+    plain = F.trim(G._col(text).cast("string"))
+    value = F.when(plain.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), plain.try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def clean_coordinates(df: DataFrame, x: str, y: str) -> DataFrame:

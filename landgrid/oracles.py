@@ -62,6 +62,24 @@ def candidates(view: str, name: str) -> dict[str, str]:
     }
 
 
+def density(name: str, eps: int, least: int) -> dict[str, str]:
+    """Close pairs of building centres, core points and the links between them."""
+    return {
+        f"o_near{name}": f"""select a.bid u, b.bid v from o_middle a join o_middle b
+            on b.x between a.x-{eps} and a.x+{eps} and b.y between a.y-{eps} and a.y+{eps}
+            and sqrt(power(a.x-b.x,2)+power(a.y-b.y,2)) <= {eps}""",
+        f"o_core{name}": f"select u bid from o_near{name} group by u having count(*) >= {least}",
+        f"o_core_edge{name}": f"""select u, v from o_near{name} n where exists (select 1 from o_core{name} c where c.bid = n.u)
+            and exists (select 1 from o_core{name} c where c.bid = n.v)""",
+    }
+
+
+def density_labels(name: str) -> str:
+    return f"""select m.bid fid, coalesce(c.comp, (
+            select min(k.comp) from o_near{name} n join cc k on k.id = n.v where n.u = m.bid), -1) "cluster"
+        from o_middle m left join cc c on c.id = m.bid"""
+
+
 LIGHT = "v1 between 1 and 20"
 NEIGHBOURS = "b.cx between a.cx-1 and a.cx+1 and b.cy between a.cy-1 and a.cy+1"
 
@@ -125,17 +143,13 @@ PARTS = {
     "o_holed": """select gid, x0, y0, w, h, w/4e0 hw, h/4e0 hh from f_ground""",
     # centres of buildings with their number of neighbours within 60 m
     "o_middle": "select bid, x0+w/2e0 x, y0+h/2e0 y from f_footprint",
-    "o_near": """select a.bid u, b.bid v from o_middle a join o_middle b
-        on b.x between a.x-60 and a.x+60 and b.y between a.y-60 and a.y+60
-        and sqrt(power(a.x-b.x,2)+power(a.y-b.y,2)) <= 60""",
-    "o_core": "select u bid from o_near group by u having count(*) >= 5",
-    "o_core_edge": """select u, v from o_near n
-        where exists (select 1 from o_core c where c.bid = n.u) and exists (select 1 from o_core c where c.bid = n.v)""",
+    **density("", 60, 5), **density("_60_1", 60, 1), **density("_100_5", 100, 5),
 }
 
 BUILDING_COMPONENTS = components(
     "select bid id from f_footprint", "select u, v from o_pair union all select v, u from o_pair")
-CORE_COMPONENTS = components("select bid id from o_core", "select u, v from o_core_edge")
+CORE_COMPONENTS = {f"density_clusters{n}": components(f"select bid id from o_core{n}", f"select u, v from o_core_edge{n}")
+                   for n in ("", "_60_1", "_100_5")}
 REGION_COMPONENTS = components("select id from o_spot", "select u, v from o_touch")
 
 
@@ -188,23 +202,29 @@ def _utm_statement() -> str:
 ALBERS_X, ALBERS_Y = albers("lon", "lat")
 DISC = 32 * math.sin(math.pi / 32)
 
+REGION_POLYGONS = """select a.region, cast(min(a.cx)*30 as double) xmin, cast(min(a.cy)*30 as double) ymin,
+          cast(max(a.cx)*30+30 as double) xmax, cast(max(a.cy)*30+30 as double) ymax,
+          cast(count(*)*900 as double) area, cast(sum(4-a.n)*30 as double) border
+        from (select r.cx, r.cy, r.region, count(b.cx) n from o_region r left join o_region b
+              on b.region = r.region and abs(b.cx-r.cx)+abs(b.cy-r.cy) = 1
+              group by r.cx, r.cy, r.region) a group by a.region"""
+
 STATEMENTS = {
     "manifest_scan": "select location, quadkey, url from f_manifest",
     "manifest_filter": 'select location, quadkey as "QuadKey", url as "Url" from o_tile',
     "manifest_files": "select file_name from o_tile_file",
     "manifest_missing": """select quadkey as "QuadKey", file_name from o_tile_file
         where file_name not in (select file_name from o_tile_file where location = 'unitedstates')""",
-    "geojson_scan": """select p_partkey, 4 vertices, cast(-p_partkey%10-114 as double) xmin,
-          cast(32+p_partkey%9 as double) ymin, cast(-p_partkey%10-113 as double) xmax,
-          cast(33+p_partkey%9 as double) ymax, 0.5e0 area
-        from f_geojson where p_partkey%101 <> 0""",
-    "geojson_quarantine": "select p_partkey, line from f_geojson where p_partkey%101 = 0",
-    "quarantine_sample": "select p_partkey, line from f_geojson where p_partkey%101 = 0 order by p_partkey limit 5",
+    "geojson_scan": """select p_partkey, 4 vertices, cast(x as double) xmin, cast(y as double) ymin,
+          cast(x+1 as double) xmax, cast(y+1 as double) ymax, 0.5e0 area from f_geojson_fault where fault is null""",
+    "geojson_quarantine": "select p_partkey, line, fault reason from f_geojson where fault is not null",
+    "quarantine_sample": """select p_partkey, line, fault reason from f_geojson
+        where fault is not null order by p_partkey limit 5""",
     "housing_scan": 'select id as "ID", x_raw lon, y_raw lat, kind single_or_multi from f_housing',
     "housing_multi": """select id as "ID" from f_housing where trim(kind) = 'Multi'""",
     "housing_single": """select id as "ID" from f_housing where trim(kind) = 'Single'""",
     "housing_clean": """select id as "ID", try_cast(x_raw as double) lon, try_cast(y_raw as double) lat from f_housing
-        where try_cast(x_raw as double) is not null and try_cast(y_raw as double) is not null""",
+        where regexp_full_match(x_raw, '[-0-9.]+') and regexp_full_match(y_raw, '[-0-9.]+')""",
     "housing_points": 'select id as "ID", x, y from o_multi',
     "stage_metrics": """select 'read' stage, count(*) as "rows" from f_housing
         union all select 'multi', count(*) from f_housing where trim(kind) = 'Multi'
@@ -246,9 +266,7 @@ STATEMENTS = {
     "proximity_pairs": "select u, v from o_pair",
     "rooftop_components": "select id fid, comp component from cc",
     "rooftop_clusters": "select bid fid, cast(cluster as int) cluster from o_numbered",
-    "density_clusters": """select m.bid fid, coalesce(c.comp, (
-            select min(k.comp) from o_near n join cc k on k.id = n.v where n.u = m.bid), -1) "cluster"
-        from o_middle m left join cc c on c.id = m.bid""",
+    **{f"density_clusters{n}": density_labels(n) for n in ("", "_60_1", "_100_5")},
     "exclusion_union": """select case when layer = 'schools' then eid end school,
           case when layer <> 'schools' then eid end eid, layer, x0, y0, w, h from f_layer""",
     "overlay_difference": """select gid, cast(min(x0) as double) xmin, cast(min(y0) as double) ymin,
@@ -265,12 +283,13 @@ STATEMENTS = {
     "raster_erode": "select cast(cx as bigint) cx, cast(cy as bigint) cy from o_eroded",
     "raster_open": "select cx, cy from o_opened",
     "raster_regions": "select cx, cy, region from o_region",
-    "region_polygons": """select a.region, cast(min(a.cx)*30 as double) xmin, cast(min(a.cy)*30 as double) ymin,
-          cast(max(a.cx)*30+30 as double) xmax, cast(max(a.cy)*30+30 as double) ymax,
-          cast(count(*)*900 as double) area, cast(sum(4-a.n)*30 as double) border
-        from (select r.cx, r.cy, r.region, count(b.cx) n from o_region r left join o_region b
-              on b.region = r.region and abs(b.cx-r.cx)+abs(b.cy-r.cy) = 1
-              group by r.cx, r.cy, r.region) a group by a.region""",
+    "region_polygons": REGION_POLYGONS,
+    "region_polygons_small_blocks": REGION_POLYGONS,
+    # keys in runs without a gap, cut at multiples of 10,000
+    "chain_components": """select bid, min(bid) over (partition by run) component from (
+          select bid, sum(first) over (order by bid) run from (
+            select bid, case when bid%10000 = 0 or bid - 1 <> lag(bid) over (order by bid) then 1 else 0 end first
+            from (select distinct bid from f_footprint) k) c) r""",
     "tract_join_ground": 'select gid, geoid as "GEOID", area_sqm from o_ground_tract',
     "tract_join_rooftop": 'select bid fid, geoid as "GEOID", area_sqm from o_roof_tract',
     "tract_summary": "select * from o_summary",
@@ -296,7 +315,8 @@ STATEMENTS = {
 
 # which components a statement means by ``cc``
 COMPONENTS = {
-    "raster_regions": REGION_COMPONENTS, "region_polygons": REGION_COMPONENTS, "density_clusters": CORE_COMPONENTS,
+    "raster_regions": REGION_COMPONENTS, "region_polygons": REGION_COMPONENTS,
+    "region_polygons_small_blocks": REGION_COMPONENTS, **CORE_COMPONENTS,
 }
 
 

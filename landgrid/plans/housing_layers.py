@@ -48,7 +48,7 @@ def patches(cells: DataFrame, multi: DataFrame, grid_of_raster: RasterGrid, s: S
     light = near.filter(F.col("value").between(s.impervious_low, s.impervious_high))
     labelled = raster.regions(raster.opened(light.select("cx", "cy")))
     drawn = raster.region_polygons(labelled, grid_of_raster)
-    return drawn.select(F.struct("region", "piece").alias("gid"), "geom")
+    return drawn.select(F.col("region").alias("gid"), "geom")
 
 
 def ground_layer(land: DataFrame, exclusions: list[DataFrame], buildings: DataFrame,

@@ -12,12 +12,11 @@ POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.D
 # parts -> rings (the first is the shell) -> closed vertex lists
 GEOM = T.ArrayType(T.ArrayType(T.ArrayType(POINT)))
 GEOM_DDL = "array<array<array<struct<x:double,y:double>>>>"
-BBOX_DDL = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
 
 MANIFEST_COLUMNS = ("location", "quadkey", "url")
 
 HOUSING = T.StructType([
-    T.StructField("ID", T.LongType()),
+    T.StructField("ID", T.StringType()),      # as in the file, whatever it looks like
     T.StructField("lon", T.StringType()),
     T.StructField("lat", T.StringType()),
     T.StructField("single_or_multi", T.StringType()),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import zlib
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+import pyarrow as pa
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,13 +74,40 @@ def quadkey_of(path) -> Column:
 def features(spark: SparkSession, path: str) -> DataFrame:
     """Tiles as ``feature, line, quadkey``; broken lines stay as rows, the codec follows the extension.
 
-    Text is read whole-line first, so that a broken line can be quarantined with its text.
+    Text is read whole-line first, so that a broken line can be quarantined with its text. Of a
+    damaged file the lines before the damage are read; ``damaged_tiles`` names such files.
     """
     lines = (spark.read.option("ignoreCorruptFiles", True).text(path)
              .withColumn("quadkey", quadkey_of(F.input_file_name())).withColumnRenamed("value", "line"))
     return parsed(lines)
 
 
+def damaged_tiles(spark: SparkSession, path: str, suffix: str = ".gz") -> DataFrame:
+    """Compressed tiles that don't decompress to their end: ``file_name, quadkey, reason``."""
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reasons = [_gzip_damage(content) for content in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(reasons, pa.string())], names=["path", "reason"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(path)
+    found = files.select("path", "content").mapInArrow(check, "path string, reason string").filter("reason is not null")
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), quadkey_of("path").alias("quadkey"), "reason")
+
+
+def _gzip_damage(content: bytes) -> str | None:
+    reader, at = zlib.decompressobj(31), 0
+    try:
+        while at < len(content):
+            reader.decompress(content[at:at + (1 << 20)])
+            at += 1 << 20
+            if reader.eof and (reader.unused_data or at < len(content)):       # another member follows
+                at = min(at, len(content)) - len(reader.unused_data)
+                reader = zlib.decompressobj(31)
+    except zlib.error as error:
+        return f"corrupt: {error}"
+    return None if reader.eof else "ends too early"
+
+
 def parsed(lines: DataFrame, line: str = "line") -> DataFrame:
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     return lines.withColumn("feature", F.from_json(line, FEATURE, options))
@@ -85,31 +115,44 @@ def parsed(lines: DataFrame, line: str = "line") -> DataFrame:
 
 def footprints(parsed_lines: DataFrame) -> DataFrame:
     """Polygons of well-formed features, in longitude and latitude."""
-    shape = F.col("feature.geometry")
-    good = (parsed_lines.filter(~broken())
-            .withColumn("geom", G.from_geojson(shape.type, shape.coordinates))
-            .drop("feature", "line").filter(F.col("geom").isNotNull()))
+    good = parsed_lines.filter(fault().isNull()).withColumn("geom", _shape()).drop("feature", "line")
     return with_srid(good, WGS84)
 
 
-def broken() -> Column:
-    return F.col("feature").isNull() | F.col("feature._corrupt_record").isNotNull()
+def _shape() -> Column:
+    shape = F.col("feature.geometry")
+    return G.from_geojson(shape.type, shape.coordinates)
+
+
+def fault() -> Column:
+    """Why a line gives no polygon; NULL if it does. Every line is either a footprint or quarantined."""
+    kind = F.col("feature.geometry.type")
+    return (F.when(F.col("feature").isNull() | F.col("feature._corrupt_record").isNotNull(), "no JSON")
+            .when(F.col("feature.geometry").isNull(), "no geometry")
+            .when(kind.isNull() | ~kind.isin("Polygon", "MultiPolygon"), "not a polygon")
+            .when(~G.complete(_shape()), "incomplete coordinates"))
 
 
 def quarantined(parsed_lines: DataFrame) -> DataFrame:
-    """Lines that are no GeoJSON."""
-    return parsed_lines.filter(broken()).drop("feature")
+    """Lines that give no polygon, with the reason."""
+    return parsed_lines.withColumn("reason", fault()).filter("reason is not null").drop("feature")
 
 
 # -- housing -------------------------------------------------------------------------------------
 
 def housing(spark: SparkSession, path: str) -> DataFrame:
-    """Address points with their coordinates as text; ``ID`` may be absent from the file."""
+    """Address points with their coordinates as text; ``ID`` may be absent from the file.
+
+    Ids are numbers if all of them are, else they stay the text they are.
+    """
     header = spark.read.option("header", True).csv(path).columns
     raw = spark.read.option("header", True).csv(path, schema=", ".join(f"`{c}` string" for c in header))
     raw = require_columns(raw, ["lon", "lat", "single_or_multi"])
     known = [f for f in HOUSING if f.name in raw.columns]
-    return raw.select(*(F.col(f.name).cast(f.dataType) for f in known))
+    rows = raw.select(*(F.col(f.name).cast(f.dataType) for f in known))
+    if "ID" in rows.columns and rows.filter(F.col("ID").isNotNull() & F.col("ID").try_cast("long").isNull()).isEmpty():
+        rows = rows.withColumn("ID", F.col("ID").try_cast("long"))
+    return rows
 
 
 def of_kind(df: DataFrame, kind: str, column: str = "single_or_multi") -> DataFrame:
@@ -122,14 +165,14 @@ def layer(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def layers(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, list[str]]:
-    """The union of the layers that can be read, and the names of those that cannot."""
-    found, skipped = [], []
+def layers(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, dict[str, str]]:
+    """The union of the layers that can be read, and of those that cannot the names with the reasons."""
+    found, skipped = [], {}
     for name, path in paths.items():
         try:
-            found.append(spark.read.parquet(path).withColumn("layer", F.lit(name)))
-        except AnalysisException:
-            skipped.append(name)
+            found.append(layer(spark, path).withColumn("layer", F.lit(name)))
+        except (PySparkException, Py4JError) as error:       # absent, or with a footer that can't be read
+            skipped[name] = str(error).splitlines()[0]
     if not found:
         raise MissingColumns(f"none of the layers {sorted(paths)} can be read")
     return union_of(found), skipped

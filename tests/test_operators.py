@@ -250,16 +250,10 @@ def test_regions_and_their_polygons(spark, image, block):
         groups.setdefault(r.region, set()).add((r.cx + 20, r.cy + 20))
     assert {frozenset(g) for g in groups.values()} == flood({(x, y) for y, x in np.argwhere(image)})
     raster_grid = RasterGrid(30.0, 250, 100.0, -50.0)
-    for pieces in (1, 50):
-        drawn = raster.region_polygons(labelled, raster_grid, block, pieces)
-        rows = drawn.select("region", "piece", G.area("geom").alias("area"), overlay.is_valid("geom").alias("ok")).collect()
-        assert all(r.ok for r in rows)
-        total = {}
-        for r in rows:
-            total[r.region] = total.get(r.region, 0) + r.area
-        assert total == {k: 900.0 * len(g) for k, g in groups.items()}
-        whole = block * pieces > 60
-        assert (len(rows) == len(groups)) == whole and all(r.piece == 0 for r in rows) == whole
+    drawn = raster.region_polygons(labelled, raster_grid, block)
+    rows = drawn.select("region", G.area("geom").alias("area"), overlay.is_valid("geom").alias("ok")).collect()
+    assert all(r.ok for r in rows) and len(rows) == len(groups)
+    assert {r.region: r.area for r in rows} == {k: 900.0 * len(g) for k, g in groups.items()}
 
 
 @pytest.mark.parametrize("reach", [10.0, 95.0, 250.0])

@@ -58,8 +58,9 @@ def test_tiles_landed_missing_and_quarantined(spark, tmp_path):
     assert srid_of(shapes) == WGS84
     rows = shapes.select("quadkey", F.size("geom").alias("parts")).collect()
     assert sorted((r.quadkey, r.parts) for r in rows) == [("0231", 1), ("0231", 2)]
-    (bad,) = readers.quarantined(parsed).collect()
-    assert bad.line.startswith('{"type":"Feature","geom') and bad.quadkey == "0231"
+    bad = {r.reason: r for r in readers.quarantined(parsed).collect()}
+    assert set(bad) == {"no JSON", "not a polygon"} and {r.quadkey for r in bad.values()} == {"0231"}
+    assert bad["no JSON"].line.startswith('{"type":"Feature","geom')
 
 
 def test_housing_with_and_without_id(spark, tmp_path):
@@ -73,6 +74,39 @@ def test_housing_with_and_without_id(spark, tmp_path):
     assert [r.ID for r in housing_layers.points_of_kind(frame, "Multi").collect()] == [77]
 
 
+def test_housing_with_text_ids_and_odd_numbers(spark, tmp_path):
+    text = "ID,lon,lat,single_or_multi\nA12,-120.0,37.0,Multi\n7,12d,37,Multi\n8,0x1p3,37,Multi\n9,-1.2e2,+37.,Multi\n10,nan,37,Multi\n"
+    frame = readers.housing(spark, write(f"{tmp_path}/h.csv", text))
+    assert [r.ID for r in frame.collect()] == ["A12", "7", "8", "9", "10"]
+    assert sorted(r.ID for r in housing_layers.points_of_kind(frame, "Multi").collect()) == ["9", "A12"]
+
+
+def test_every_line_is_a_footprint_or_quarantined(spark, tmp_path):
+    ring = [[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 0.0]]
+    def line(kind, coordinates):
+        return json.dumps({"type": "Feature", "properties": {}, "geometry": {"type": kind, "coordinates": coordinates}})
+    lines = {line("Polygon", [ring]): None, line("MultiPolygon", [[ring], [ring]]): None, '{"type":"Feature","geom': "no JSON",
+             '{"foo":1}': "no geometry", '{"type":"Feature","geometry":null}': "no geometry", line("Point", [1.0, 2.0]): "not a polygon",
+             line("Polygon", "abc"): "incomplete coordinates", line("Polygon", []): "incomplete coordinates",
+             line("Polygon", [[[1.0], *ring]]): "incomplete coordinates", line("Polygon", [[None, *ring]]): "incomplete coordinates",
+             line("Polygon", [ring[:2]]): "incomplete coordinates", line("MultiPolygon", [[ring], None]): "incomplete coordinates"}
+    write(f"{tmp_path}/t/quadkey_12_a.csv.gz", "\n".join(lines) + "\n")
+    read = readers.features(spark, f"{tmp_path}/t")
+    assert readers.footprints(read).count() == 2
+    assert {r.line: r.reason for r in readers.quarantined(read).collect()} == {k: v for k, v in lines.items() if v}
+
+
+def test_damaged_tiles_are_named(spark, tmp_path):
+    ring = "\n".join(feature([[[float(k), 0.0], [1.0, 0.0], [1.0, 1.0], [float(k), 0.0]]]) for k in range(5000)) + "\n"
+    write(f"{tmp_path}/t/quadkey_1_a.csv.gz", ring)
+    whole = open(f"{tmp_path}/t/quadkey_1_a.csv.gz", "rb").read()
+    for name, content in {"quadkey_2_a.csv.gz": whole[:len(whole) // 2], "quadkey_3_a.csv.gz": b"no gzip at all", "quadkey_4_a.csv.gz": whole + whole}.items():
+        with open(f"{tmp_path}/t/{name}", "wb") as out:
+            out.write(content)
+    found = {r.quadkey: r.reason for r in readers.damaged_tiles(spark, f"{tmp_path}/t").collect()}
+    assert set(found) == {"2", "3"} and found["2"] == "ends too early" and found["3"].startswith("corrupt")
+
+
 def test_known_projections(spark):
     at = spark.createDataFrame([(-122.4194, 37.7749)], "lon double, lat double")
     x, y = reproject("lon", "lat", WGS84, CALIFORNIA_ALBERS)
@@ -90,7 +124,10 @@ def test_layer_round_trip_and_missing_layers(spark, tmp_path):
     back = readers.layer(spark, f"{tmp_path}/layer")
     assert {(r.fid, r.bbox.xmax, r.cell.cx) for r in back.collect()} == {(0, 10.0, 0), (1, 510.0, 5)}
     both, skipped = readers.layers(spark, {"a": f"{tmp_path}/layer", "b": f"{tmp_path}/none"})
-    assert skipped == ["b"] and both.filter("layer = 'a'").count() == 2
+    assert list(skipped) == ["b"] and both.filter("layer = 'a'").count() == 2
+    write(f"{tmp_path}/broken/part-0.parquet", "PAR1 this is no footer PAR1")
+    both, skipped = readers.layers(spark, {"a": f"{tmp_path}/layer", "c": f"{tmp_path}/broken", "b": f"{tmp_path}/none"})
+    assert sorted(skipped) == ["b", "c"] and all(skipped.values()) and both.count() == 2
     plan = back.filter("bbox.xmin > 400").select("fid")._jdf.queryExecution().toString()
     assert "GreaterThan(bbox.xmin,400.0)" in plan
 
