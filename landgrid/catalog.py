@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,9 +13,9 @@ from landgrid.functions import geom as G
 from landgrid.functions.crs import reproject
 from landgrid.operators import clusters, graph, grid, overlay, raster, tables
 from landgrid.plans import footprints, ground_near_clusters, housing_layers
-from landgrid.schemas import CALIFORNIA_ALBERS, UTM_10N, WGS84, RasterGrid
-from landgrid.shared import saved
-from landgrid.sources import readers
+from landgrid.schemas import CALIFORNIA_ALBERS, CONUS_ALBERS, UTM_10N, WGS84, RasterGrid
+from landgrid.shared import saved, shared_folder
+from landgrid.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,9 +74,12 @@ def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]
     return build
 
 
+BOX = ("xmin", "ymin", "xmax", "ymax")
+
+
 def box_columns(geom: str = "geom") -> list[Column]:
     b = G.bbox(geom)
-    return [b[c].alias(c) for c in ("xmin", "ymin", "xmax", "ymax")]
+    return [b[c].alias(c) for c in BOX]
 
 
 def rounded(value, digits: int = 3) -> Column:
@@ -455,6 +459,99 @@ def chain_components(t):
     return graph.component_labels(keys, links, "bid")
 
 
+# -- files: fixtures are written with the sinks and read back with the sources ------------------------
+
+UNTRIMMED = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def _folder(t, name: str) -> str:
+    return f"{shared_folder(t.spark)}/files-{uuid.uuid4().hex}/{name}"
+
+
+@query
+def manifest_file(t):
+    """The manifest as a CSV file with untidy headers."""
+    path = _folder(t, "manifest")
+    t.table("f_manifest").toDF(" Location ", "QuadKey ", " URL").write.options(**UNTRIMMED).csv(path)
+    return readers.manifest(t.spark, path).select("location", "quadkey", "url")
+
+
+def _tiles(t) -> tuple[str, DataFrame]:
+    """Compressed tiles of features by the last digit of the part, named as downloads are."""
+    path = _folder(t, "tiles")
+    lines = t.table("f_geojson").select("line", F.concat(F.lit("quadkey_"), F.col("p_partkey") % 10, F.lit("_tile")).alias("tile"))
+    lines.write.partitionBy("tile").option("compression", "gzip").text(path)
+    return path, readers.features(t.spark, path)
+
+
+@query
+def tile_files(t):
+    """Footprints per tile of gzip lines, with the lineage from the file's path."""
+    shapes = readers.footprints(_tiles(t)[1])
+    return shapes.groupBy("quadkey").agg(F.count("*").alias("shapes"), F.sum(G.area("geom")).alias("area"))
+
+
+@query
+def tile_faults(t):
+    """Lines without a polygon per tile and reason; no file is damaged."""
+    path, read = _tiles(t)
+    damaged = readers.damaged_tiles(t.spark, f"{path}/*").select("quadkey", "reason")
+    return readers.quarantined(read).select("quadkey", "reason").unionByName(damaged).groupBy("quadkey", "reason").count()
+
+
+@query
+def landed_tiles(t):
+    """How many files have landed; contents are not read."""
+    path, _ = _tiles(t)
+    return readers.landed_files(t.spark, f"{path}/*", ".txt.gz").select(F.count("*").alias("files")).select((F.col("files") >= 10).alias("landed"))
+
+
+@query
+def housing_file(t):
+    path = _folder(t, "housing")
+    t.housing().write.options(**UNTRIMMED).csv(path)
+    return readers.housing(t.spark, path)
+
+
+@query
+def layer_files(t):
+    """Layers with unlike columns, one of them absent, as one; boxes travel with the shapes."""
+    every, paths = t.exclusions(), {}
+    for name in ("schools", "cpad", "cced"):
+        part = every.filter(F.col("layer") == name).drop("layer")
+        paths[name] = _folder(t, name)
+        writers.write_layer(part.withColumnRenamed("eid", "school") if name == "schools" else part, paths[name], SETTINGS.ground_square)
+    both, skipped = readers.layers(t.spark, {**paths, "none": _folder(t, "none")})
+    return both.select("school", "eid", "layer", "bbox.*", F.lit(",".join(skipped)).alias("skipped"))
+
+
+@query
+def cell_files(t):
+    """A raster written as a cell table and read through a window."""
+    path = _folder(t, "cells")
+    writers.write_cells(t.cells("v1"), path)
+    return raster.crop(readers.layer(t.spark, path), 20, 30, 60, 80)
+
+
+@query
+def summary_file(t):
+    path = _folder(t, "summary")
+    writers.write_summary(tract_summary(t), path)
+    return readers.summary(t.spark, path)
+
+
+@query
+def feature_file(t):
+    """Exclusions as GeoJSON features in longitude and latitude and back."""
+    path = _folder(t, "features")
+    degrees = t.exclusions().withColumn("geom", G.map_vertices("geom", lambda x, y: (x / 100000 - 120, y / 100000 + 36)))
+    writers.write_features(degrees, path)
+    back = readers.parsed(t.spark.read.text(path).withColumnRenamed("value", "line"))
+    shapes = back.withColumn("eid", F.col("feature.properties")["eid"].cast("long"))
+    return readers.footprints(shapes).select("eid", *(F.round(c, 5).alias(n) for c, n in zip(
+        [G.bbox("geom")[k] for k in ("xmin", "ymin", "xmax", "ymax")], ("xmin", "ymin", "xmax", "ymax"))))
+
+
 # -- summary and maps ------------------------------------------------------------------------------
 
 @query
@@ -475,12 +572,22 @@ def tract_summary(t):
 @query
 def map_feed(t):
     feed = housing_layers.map_feed(t.tracts(), tract_summary(t))
-    return feed.select("GEOID", "metric", "title", "value", *box_columns())
+    return feed.select("GEOID", "metric", "title", "value", *(rounded(G.bbox("geom")[c], 6).alias(c) for c in BOX))
 
 
 @query
 def map_extent(t):
-    return housing_layers.map_extent(housing_layers.mapped_tracts(t.tracts(), tract_summary(t)))
+    extent = housing_layers.map_extent(housing_layers.mapped_tracts(t.tracts(), tract_summary(t)))
+    return extent.select(*(rounded(c, 6).alias(c) for c in extent.columns))
+
+
+@query
+def aoi_cells_conus(t):
+    """Cells near points in a raster of another system than the points."""
+    x, y = reproject("lon", "lat", WGS84, CALIFORNIA_ALBERS)
+    points = t.table("f_lonlat").select("id", x.alias("x"), y.alias("y"))
+    conus = RasterGrid(30.0, 250, 15.0, -7.0, CONUS_ALBERS)
+    return raster.cells_near(tables.points_in(points, conus.srid, CALIFORNIA_ALBERS), 60.0, conus)
 
 
 @query

@@ -128,11 +128,12 @@ class TransverseMercator:
         return self.lon_origin + F.degrees(F.atan2(F.sinh(eta), F.cos(xi))), F.degrees(lat)
 
 
-# fixed values: EPSG parameters of the two systems in use
+# fixed values: EPSG parameters of the systems in use
 CALIFORNIA_ALBERS_PROJECTION = Albers(0.0, -120.0, 34.0, 40.5, 0.0, -4000000.0)
+CONUS_ALBERS_PROJECTION = Albers(23.0, -96.0, 29.5, 45.5, 0.0, 0.0)
 UTM_10N_PROJECTION = TransverseMercator(-123.0)
 
-PROJECTIONS = {3310: CALIFORNIA_ALBERS_PROJECTION, 26910: UTM_10N_PROJECTION}
+PROJECTIONS = {3310: CALIFORNIA_ALBERS_PROJECTION, 5070: CONUS_ALBERS_PROJECTION, 26910: UTM_10N_PROJECTION}
 
 
 def reproject(x, y, source: int, target: int) -> tuple[Column, Column]:

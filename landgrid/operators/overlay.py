@@ -12,7 +12,7 @@ from landgrid.functions import slabs
 from landgrid.functions.arrow_geom import Flat, flat, ragged
 from landgrid.functions.predicates import is_valid, simplify
 from landgrid.operators import grid
-from landgrid.schemas import GEOM, require_same_srid
+from landgrid.schemas import GEOM, require_same_srid, tagged_like
 from landgrid.shared import saved
 
 CUTS_AT_ONCE = 64               # cuts taken from one polygon in one step
@@ -89,7 +89,7 @@ def difference(left: DataFrame, right: DataFrame, key: str, size: float, reach:
             .select(left.columns))
     if many:
         done = done.unionByName(_in_groups(left, pairs, crowded, key, reach, cuts_at_once, many))
-    return done.filter(F.size("geom") > 0)
+    return tagged_like(done.filter(F.size("geom") > 0), left)
 
 
 def _in_groups(left: DataFrame, pairs: DataFrame, crowded: DataFrame, key: str, reach: float,
@@ -115,7 +115,7 @@ def buffered(df: DataFrame, reach: float, geom: str = "geom") -> DataFrame:
         g = flat(column)
         return slabs.buffered(g, np.full(g.rows, float(reach))).array()
 
-    return df.withColumn(geom, grow(geom))
+    return tagged_like(df.withColumn(geom, grow(geom)), df, geom)
 
 
 def simplified(df: DataFrame, tolerance: float, geom: str = "geom") -> DataFrame:
@@ -124,7 +124,7 @@ def simplified(df: DataFrame, tolerance: float, geom: str = "geom") -> DataFrame
     def shorten(column: pa.Array) -> pa.Array:
         return simplify(flat(column), tolerance).array()
 
-    return df.withColumn(geom, shorten(geom))
+    return tagged_like(df.withColumn(geom, shorten(geom)), df, geom)
 
 
 def only_valid(df: DataFrame, geom: str = "geom") -> DataFrame:

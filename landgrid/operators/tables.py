@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from landgrid.functions import geom as G
+from landgrid.functions.crs import reproject
+from landgrid.schemas import SridMismatch, srid_of, with_srid
 from landgrid.shared import saved
 
 
@@ -65,6 +67,24 @@ def min_area(df: DataFrame, least: float, geom: str = "geom") -> DataFrame:
     return df.filter(G.area(geom) >= least)
 
 
+def reprojected(layer: DataFrame, target: int, source: int | None = None) -> DataFrame:
+    """A polygon layer in another system, vertex by vertex. The source is its tag, unless it is given."""
+    source = source or srid_of(layer)
+    if source is None:
+        raise SridMismatch("the layer has no SRID and none is given")
+    moved = layer if source == target else layer.withColumn(
+        "geom", G.map_vertices("geom", lambda x, y: reproject(x, y, source, target)))
+    return with_srid(moved, target)
+
+
+def points_in(points: DataFrame, target: int, source: int) -> DataFrame:
+    """Points ``x, y`` in another system."""
+    if source == target:
+        return points
+    x, y = reproject("x", "y", source, target)
+    return points.withColumns({"x": x, "y": y})
+
+
 def exploded(df: DataFrame, geom: str = "geom") -> DataFrame:
     """One row per polygon part, with its position in ``part``."""
     rest = [F.col(c) for c in df.columns if c != geom]

@@ -153,7 +153,7 @@ CORE_COMPONENTS = {f"density_clusters{n}": components(f"select bid id from o_cor
 REGION_COMPONENTS = components("select id from o_spot", "select u, v from o_touch")
 
 
-def albers(lon: str, lat: str) -> tuple[str, str]:
+def albers_constants(origin: float = 0, first: float = 34, second: float = 40.5) -> tuple[float, ...]:
     a, f = 6378137.0, 1 / 298.257222101
     e2 = f * (2 - f)
     e = math.sqrt(e2)
@@ -161,14 +161,34 @@ def albers(lon: str, lat: str) -> tuple[str, str]:
     def q_of(s):
         return (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
 
-    s1, s2 = math.sin(math.radians(34)), math.sin(math.radians(40.5))
+    s1, s2 = math.sin(math.radians(first)), math.sin(math.radians(second))
     m1, m2 = (math.sqrt((1 - s * s) / (1 - e2 * s * s)) for s in (s1, s2))
     n = (m1 * m1 - m2 * m2) / (q_of(s2) - q_of(s1))
     c = m1 * m1 + n * q_of(s1)
+    return a, e2, e, n, c, a * math.sqrt(c - n * q_of(math.sin(math.radians(origin)))) / n
+
+
+def albers_degrees(source: str, x: str, y: str, keep: str, steps: int = 8) -> str:
+    """Longitude and latitude of points in the state's system; the latitude by iteration."""
+    a, e2, e, n, c, rho0 = albers_constants()
+    north = f"({rho0!r}-({y}+4000000))"
+    rows = f"""select {keep}, -120+degrees(atan2({x},{north})/{n!r}) lon,
+        ({c!r}-power({n!r}/{a},2)*(power({x},2)+power({north},2)))/{n!r} q from {source}"""
+    rows = f"select {keep}, lon, q, asin(q/2) p from ({rows}) r"
+    for _ in range(steps):
+        s = "sin(p)"
+        rows = f"""select {keep}, lon, q, p + power(1-{e2!r}*{s}*{s},2)/(2*cos(p))*(q/{1 - e2!r} - {s}/(1-{e2!r}*{s}*{s})
+            + ln((1-{e!r}*{s})/(1+{e!r}*{s}))/{2 * e!r}) p from ({rows}) r"""
+    return f"select {keep}, lon, degrees(p) lat from ({rows}) r"
+
+
+def albers(lon: str, lat: str, meridian: float = -120, false_north: float = -4000000, origin: float = 0,
+           first: float = 34, second: float = 40.5) -> tuple[str, str]:
+    a, e2, e, n, c, rho0 = albers_constants(origin, first, second)
     s = f"sin(radians({lat}))"
     q = f"({1 - e2!r}*({s}/(1-{e2!r}*{s}*{s}) - ln((1-{e!r}*{s})/(1+{e!r}*{s}))/{2 * e!r}))"
-    rho, theta = f"({a}*sqrt({c!r}-{n!r}*{q})/{n!r})", f"({n!r}*radians({lon}+120))"
-    return f"{rho}*sin({theta})", f"{a * math.sqrt(c) / n!r}-4000000-{rho}*cos({theta})"
+    rho, theta = f"({a}*sqrt({c!r}-{n!r}*{q})/{n!r})", f"({n!r}*radians({lon}-({meridian})))"
+    return f"{rho}*sin({theta})", f"{rho0!r}+({false_north})-{rho}*cos({theta})"
 
 
 def utm(lon: str, lat: str) -> tuple[str, str]:
@@ -200,6 +220,9 @@ def _utm_statement() -> str:
 
 
 ALBERS_X, ALBERS_Y = albers("lon", "lat")
+CONUS = albers("lon", "lat", -96, 0, 23, 29.5, 45.5)
+DEGREE_BOX = "min(lon) xmin, min(lat) ymin, max(lon) xmax, max(lat) ymax"
+ROUND_BOX = "round(xmin, 6) xmin, round(ymin, 6) ymin, round(xmax, 6) xmax, round(ymax, 6) ymax"
 DISC = 32 * math.sin(math.pi / 32)
 
 REGION_POLYGONS = """select a.region, cast(min(a.cx)*30 as double) xmin, cast(min(a.cy)*30 as double) ymin,
@@ -290,18 +313,35 @@ STATEMENTS = {
           select bid, sum(first) over (order by bid) run from (
             select bid, case when bid%10000 = 0 or bid - 1 <> lag(bid) over (order by bid) then 1 else 0 end first
             from (select distinct bid from f_footprint) k) c) r""",
+    "manifest_file": "select location, quadkey, url from f_manifest",
+    "tile_files": """select cast(p_partkey%10 as string) quadkey, count(*) shapes, count(*)*0.5e0 area
+        from f_geojson_fault where fault is null group by p_partkey%10""",
+    "tile_faults": """select cast(p_partkey%10 as string) quadkey, fault reason, count(*) "count"
+        from f_geojson_fault where fault is not null group by p_partkey%10, fault""",
+    "landed_tiles": "select true landed",
+    "housing_file": 'select id as "ID", x_raw lon, y_raw lat, kind single_or_multi from f_housing',
+    "layer_files": f"""select case when layer = 'schools' then eid end school,
+          case when layer <> 'schools' then eid end eid, layer, {rect_box()}, 'none' skipped from f_layer""",
+    "cell_files": 'select cx, cy, v1 as "value" from f_cell where cx between 20 and 60 and cy between 30 and 80',
+    "summary_file": "select * from o_summary",
+    "feature_file": """select cast(eid as bigint) eid, round(x0/1e5-120, 5) xmin, round(y0/1e5+36, 5) ymin,
+        round((x0+w)/1e5-120, 5) xmax, round((y0+h)/1e5+36, 5) ymax from f_layer""",
     "tract_join_ground": 'select gid, geoid as "GEOID", area_sqm from o_ground_tract',
     "tract_join_rooftop": 'select bid fid, geoid as "GEOID", area_sqm from o_roof_tract',
     "tract_summary": "select * from o_summary",
-    "map_feed": f"""select geoid as "GEOID", metric, title, "value", {rect_box()} from (
+    "map_feed": f"""select geoid as "GEOID", metric, title, "value", {ROUND_BOX} from (
           select *, 'rooftop_polygon_count' metric, 'Number of Rooftop Polygons' title,
             cast(rooftop_polygon_count as double) "value" from o_shown
           union all select *, 'ground_polygon_count', 'Number of Ground Polygons', ground_polygon_count from o_shown
           union all select *, 'rooftop_total_area_sqm', 'Total Rooftop Area (sqm)', rooftop_total_area_sqm from o_shown
-          union all select *, 'ground_total_area_sqm', 'Total Ground Area (sqm)', ground_total_area_sqm from o_shown) u""",
-    "map_extent": """select xmin, ymin, xmax, ymax, (xmin+xmax)/2 center_lon, (ymin+ymax)/2 center_lat from (
-        select cast(min(x0) as double) xmin, cast(min(y0) as double) ymin, cast(max(x0+w) as double) xmax,
-          cast(max(y0+h) as double) ymax from o_shown) e""",
+          union all select *, 'ground_total_area_sqm', 'Total Ground Area (sqm)', ground_total_area_sqm from o_shown) u
+          join (select geoid corner_id, {DEGREE_BOX} from o_corner group by geoid) c on c.corner_id = u.geoid""",
+    "map_extent": f"""select {ROUND_BOX}, round((xmin+xmax)/2, 6) center_lon, round((ymin+ymax)/2, 6) center_lat
+        from (select {DEGREE_BOX} from o_corner) e""",
+    "aoi_cells_conus": """select distinct cx, cy from (
+          select x, y, cx, unnest(range(cast(floor((y+7-60)/30) as bigint), cast(floor((y+7+60)/30) as bigint)+1)) cy from (
+            select x, y, unnest(range(cast(floor((x-15-60)/30) as bigint), cast(floor((x-15+60)/30) as bigint)+1)) cx from o_conus) a) b
+        where sqrt(power(cx*30+30-x,2)+power(cy*30+8-y,2)) <= 60""",
     "cluster_centers": """select cast(cluster as int) cluster, round(x, 3) x, round(y, 3) y from o_center""",
     "cluster_ground_join": f"""select cast(n.cluster as int) cluster, {rect_box('g')} from (
           select g.gid, min(c.cluster) cluster from f_ground g join o_center c on {close('g', 'c', 150)}
@@ -313,6 +353,13 @@ STATEMENTS = {
         join f_tract t on {meet('a', 't')} group by t.geoid""",
 }
 
+PARTS |= {
+    "o_corner": albers_degrees("""(select geoid, cast(x0 as double) x, cast(y0 as double) y from o_shown
+          union all select geoid, x0+w, y0 from o_shown union all select geoid, x0+w, y0+h from o_shown
+          union all select geoid, x0, y0+h from o_shown) v""", "x", "y", "geoid"),
+    "o_conus": f"select {CONUS[0]} x, {CONUS[1]} y from f_lonlat",
+}
+
 # which components a statement means by ``cc``
 COMPONENTS = {
     "raster_regions": REGION_COMPONENTS, "region_polygons": REGION_COMPONENTS,

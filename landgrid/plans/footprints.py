@@ -5,20 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landgrid.functions import geom as G
-from landgrid.functions.crs import reproject
 from landgrid.operators import grid, tables
-from landgrid.schemas import UTM_10N, require_same_srid, srid_of, with_srid
+from landgrid.operators.tables import reprojected
+from landgrid.schemas import UTM_10N, require_same_srid
 
 SQUARE = 1000.0     # side in metres of the grid squares the boundary is cut to
 
 
-def reprojected(layer: DataFrame, target: int, source: int | None = None) -> DataFrame:
-    source = source or srid_of(layer)
-    moved = layer.withColumn("geom", G.map_vertices("geom", lambda x, y: reproject(x, y, source, target)))
-    return with_srid(moved, target)
-
-
 def named_area(areas: DataFrame, name: str) -> DataFrame:
     return tables.require_rows(areas.filter(F.col("name") == name), f"no area named {name!r}")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from landgrid.functions import geom as G
 from landgrid.functions.crs import reproject
 from landgrid.operators import clusters, grid, overlay, raster, tables
-from landgrid.schemas import CALIFORNIA_ALBERS, WGS84, RasterGrid
+from landgrid.schemas import CALIFORNIA_ALBERS, WGS84, RasterGrid, srid_of
 from landgrid.shared import saved
 from landgrid.sources.readers import of_kind, union_of
 
@@ -40,27 +40,44 @@ def points_of_kind(housing: DataFrame, kind: str) -> DataFrame:
     return tables.with_id(clean, ["lon", "lat"]).select("ID", x.alias("x"), y.alias("y"))
 
 
+def in_system(layer: DataFrame) -> DataFrame:
+    """A tagged layer in the flow's system; an untagged one is taken to be in it."""
+    return layer if srid_of(layer) is None else tables.reprojected(layer, CALIFORNIA_ALBERS)
+
+
 # -- ground ----------------------------------------------------------------------------------------
 
 def patches(cells: DataFrame, multi: DataFrame, grid_of_raster: RasterGrid, s: Settings) -> DataFrame:
-    """Patches of little-sealed land around multifamily points: ``gid, geom``."""
-    near = raster.clip_to_points(cells, multi, s.aoi_radius, grid_of_raster)
+    """Patches of little-sealed land around multifamily points: ``gid, geom``.
+
+    The raster may be in a system of its own: points go there, and patches come back.
+    """
+    located = tables.points_in(multi, grid_of_raster.srid, CALIFORNIA_ALBERS)
+    near = raster.clip_to_points(cells, located, s.aoi_radius, grid_of_raster)
     light = near.filter(F.col("value").between(s.impervious_low, s.impervious_high))
     labelled = raster.regions(raster.opened(light.select("cx", "cy")))
     drawn = raster.region_polygons(labelled, grid_of_raster)
-    return drawn.select(F.col("region").alias("gid"), "geom")
+    land = drawn.select(F.col("region").alias("gid"), "geom")
+    return land if grid_of_raster.srid == CALIFORNIA_ALBERS else \
+        tables.reprojected(land, CALIFORNIA_ALBERS, grid_of_raster.srid)
 
 
 def ground_layer(land: DataFrame, exclusions: list[DataFrame], buildings: DataFrame,
                  second_raster: DataFrame, second_grid: RasterGrid, s: Settings) -> DataFrame:
     """Patches less public lands and grown buildings, in single parts of at least the least area,
-    that hold a valid cell of the second raster; simplified. ``gid, geom``."""
+    that hold a valid cell of the second raster; simplified. ``gid, geom``.
+
+    Tagged layers in other systems are brought to that of the land first.
+    """
+    exclusions, buildings = [in_system(e) for e in exclusions], in_system(buildings)
+    land = in_system(land) if any(srid_of(e) is not None for e in (*exclusions, buildings)) else land
     lands = union_of([e.select("geom") for e in exclusions])
     free = overlay.only_valid(overlay.difference(land, lands, "gid", s.ground_square))
     open_land = overlay.only_valid(overlay.difference(free, buildings, "gid", s.ground_square, s.building_margin))
     parts = tables.min_area(tables.exploded(tables.min_area(open_land, s.least_area)), s.least_area)
     parts = saved(parts.select(F.struct("gid", "part").alias("gid"), "geom"))
-    kept = raster.with_any_value(parts, second_raster, "gid", second_grid)
+    asked = parts if second_grid.srid == CALIFORNIA_ALBERS else tables.reprojected(parts, second_grid.srid, CALIFORNIA_ALBERS)
+    kept = raster.with_any_value(asked, second_raster, "gid", second_grid)
     marked = parts.join(kept, "gid", "left_semi").withColumn("has_impervious_overlap", F.lit(True))
     return overlay.simplified(marked.select("gid", "geom"), s.tolerance)
 
@@ -143,14 +160,18 @@ def title_of(metric) -> Column:
 
 
 def map_feed(tracts: DataFrame, summary: DataFrame) -> DataFrame:
-    """One row per tract and metric: ``GEOID, metric, title, value, geom``."""
-    shown = mapped_tracts(tracts, summary)
+    """One row per tract and metric, in longitude and latitude: ``GEOID, metric, title, value, geom``."""
+    shown = in_degrees(mapped_tracts(tracts, summary))
     values = [F.col(m).cast("double").alias(m) for m in METRICS]
     long = shown.select("GEOID", "geom", *values).unpivot(["GEOID", "geom"], METRICS, "metric", "value")
     return long.withColumn("title", title_of("metric"))
 
 
+def in_degrees(layer: DataFrame) -> DataFrame:
+    return tables.reprojected(layer, WGS84, srid_of(layer) or CALIFORNIA_ALBERS)
+
+
 def map_extent(shown: DataFrame) -> DataFrame:
-    """Extent of the mapped tracts and its centre."""
-    return tables.extent(shown).withColumns({
+    """Extent of the mapped tracts and its centre, in longitude and latitude."""
+    return tables.extent(in_degrees(shown)).withColumns({
         "center_lon": (F.col("xmin") + F.col("xmax")) / 2, "center_lat": (F.col("ymin") + F.col("ymax")) / 2})

@@ -43,6 +43,7 @@ SUMMARY = T.StructType([
 
 WGS84 = 4326
 CALIFORNIA_ALBERS = 3310
+CONUS_ALBERS = 5070
 UTM_10N = 26910
 
 
@@ -61,19 +62,27 @@ def srid_of(df: DataFrame, column: str = "geom") -> int | None:
 
 def require_same_srid(left: DataFrame, right: DataFrame, left_column: str = "geom",
                       right_column: str = "geom") -> None:
+    """Both layers are tagged alike, or neither is; a tag that one side has lost is an error too."""
     a, b = srid_of(left, left_column), srid_of(right, right_column)
-    if a is not None and b is not None and a != b:
+    if a != b:
         raise SridMismatch(f"left layer has SRID {a}, right layer has SRID {b}")
 
 
+def tagged_like(df: DataFrame, source: DataFrame, column: str = "geom") -> DataFrame:
+    """Kernels return untagged geometry; give it the tag of the layer it was made of."""
+    srid = srid_of(source, column) if column in source.columns else None
+    return df if srid is None else with_srid(df, srid, column)
+
+
 @dataclass(frozen=True)
 class RasterGrid:
-    """Square cells: cell (cx, cy) has its centre at ``origin + (c + 1/2) * size``."""
+    """Square cells: cell (cx, cy) has its centre at ``origin + (c + 1/2) * size`` in the system ``srid``."""
 
     size: float
     nodata: int
     origin_x: float = 0.0
     origin_y: float = 0.0
+    srid: int = CALIFORNIA_ALBERS
 
     def center_x(self, cx):
         return (cx + F.lit(0.5)) * F.lit(self.size) + F.lit(self.origin_x)

@@ -20,6 +20,9 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_written: dict[str, list[str]] = {}
+
+
 def saved(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -28,4 +31,18 @@ def saved(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/saved-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard_saved(spark: SparkSession) -> int:
+    """Delete the tables ``saved`` has written so far; frames made from them can't be read any more.
+
+    For a caller that has stored its results. Returns the number of tables.
+    """
+    context = spark.sparkContext
+    paths = _written.pop(context.applicationId, [])
+    for path in paths:
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)

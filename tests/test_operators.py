@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from landgrid.functions import geom as G
 from landgrid.functions.predicates import point_distances, polygon_distances
 from landgrid.operators import clusters, graph, grid, overlay, raster, tables
-from landgrid.schemas import RasterGrid, SridMismatch, with_srid
+from landgrid.schemas import RasterGrid, SridMismatch, srid_of, with_srid
 from tests.shapes import crowd, flat_of, layer, points, rect, star
 
 
@@ -83,6 +83,10 @@ def test_layers_must_share_their_reference_system(spark, scene):
     shapes = scene[0]
     with pytest.raises(SridMismatch):
         grid.intersecting(with_srid(shapes, 3310), with_srid(shapes, 26910), "fid", "fid", 64.0)
+    with pytest.raises(SridMismatch):
+        grid.intersecting(with_srid(shapes, 3310), shapes, "fid", "fid", 64.0)          # a lost tag
+    assert srid_of(overlay.simplified(with_srid(shapes, 3310), 1.0)) == 3310
+    assert srid_of(overlay.difference(with_srid(shapes, 3310), with_srid(shapes, 3310), "fid", 64.0)) == 3310
 
 
 @pytest.mark.parametrize("name", ["BroadcastNestedLoopJoin", "CartesianProduct"])

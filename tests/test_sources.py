@@ -11,8 +11,8 @@ from landgrid import catalog
 from landgrid.functions import geom as G
 from landgrid.functions.crs import reproject
 from landgrid.plans import footprints, ground_near_clusters, housing_layers
-from landgrid.schemas import CALIFORNIA_ALBERS, UTM_10N, WGS84, srid_of, with_srid
-from landgrid.shared import saved
+from landgrid.schemas import CALIFORNIA_ALBERS, CONUS_ALBERS, UTM_10N, WGS84, RasterGrid, srid_of, with_srid
+from landgrid.shared import discard_saved, saved
 from landgrid.sources import readers, writers
 from tests.shapes import layer, rect
 
@@ -161,6 +161,12 @@ def test_saved_tables_go_to_the_shared_folder(spark):
     assert frame.count() == 10 and os.path.basename(spark.sparkContext.getCheckpointDir()) in frame.inputFiles()[0]
 
 
+def test_saved_tables_can_be_discarded(spark):
+    path = saved(spark.range(3)).inputFiles()[0].removeprefix("file:").removeprefix("//")
+    assert os.path.exists(path) and discard_saved(spark) >= 1
+    assert not os.path.exists(path) and discard_saved(spark) == 0
+
+
 def test_state_footprints_from_tiles(spark, tmp_path):
     inside, twice = [[[-120.5, 36.5], [-120.4999, 36.5], [-120.4999, 36.5001], [-120.5, 36.5001], [-120.5, 36.5]]], 2
     outside = [[[-110.5, 36.5], [-110.4, 36.5], [-110.4, 36.6], [-110.5, 36.5]]]
@@ -174,6 +180,20 @@ def test_state_footprints_from_tiles(spark, tmp_path):
         footprints.boundary(states, "North")
 
 
+def test_patches_from_a_raster_in_another_system(spark):
+    lon, lat = -121.5, 38.5
+    at = spark.createDataFrame([(lon, lat)], "lon double, lat double")
+    (x, y), (u, v) = reproject("lon", "lat", WGS84, CALIFORNIA_ALBERS), reproject("lon", "lat", WGS84, CONUS_ALBERS)
+    here = at.select(x.alias("x"), y.alias("y"), u.alias("u"), v.alias("v")).first()
+    cx, cy = int(here.u // 30), int(here.v // 30)
+    cells = spark.range(81).selectExpr(f"cast({cx - 4} + id % 9 as int) cx", f"cast({cy - 4} + id div 9 as int) cy", "10 value")
+    multi = spark.createDataFrame([(1, here.x, here.y)], "ID long, x double, y double")
+    land = housing_layers.patches(cells, multi, RasterGrid(30.0, 250, srid=CONUS_ALBERS), housing_layers.Settings())
+    (row,) = land.select(G.area("geom").alias("area"), G.centroid("geom").alias("c")).collect()
+    assert row.area == pytest.approx(81 * 900, rel=1e-3) and abs(row.c.x - here.x) < 40 and abs(row.c.y - here.y) < 40
+    assert srid_of(land) == CALIFORNIA_ALBERS
+
+
 def test_ground_near_clusters(spark):
     ground = layer(spark, [rect(0, 0, 10, 10), rect(155, 0, 160, 10), rect(400, 0, 410, 10)], "gid")
     roofs = layer(spark, [rect(-2, 0, 0, 2), rect(298, 0, 300, 2)]).withColumn("cluster", F.col("fid").cast("int"))
