@@ -222,24 +222,34 @@ def _summary(points: DataFrame, size: float, parent: float | None) -> DataFrame:
     return out
 
 
-def _most_in_a_square(points: DataFrame, size: float) -> int:
-    counts = points.groupBy(square_of("px", size), square_of("py", size)).count()
-    return counts.agg(F.max("count")).first()[0] or 0
-
-
-def _narrowed(left: DataFrame, points: DataFrame, key: str, reach: float, size: float,
-              nearest: bool) -> tuple[DataFrame, float]:
+def _sides(points: DataFrame, size: float) -> list[float]:
+    """Sides of the squares to search through: ``size``, and a quarter of the last while a square of
+    it holds more than ``CROWDED`` locations. One pass: all levels follow from the finest counts."""
+    sides = [float(size)]
+    while sides[-1] / 4 > FINEST:
+        sides.append(sides[-1] / 4)
+    finest = points.groupBy(square_of("px", sides[-1]).alias("sx"), square_of("py", sides[-1]).alias("sy")).count()
+    up = F.pow(F.lit(4), F.lit(len(sides) - 1) - F.col("level"))
+    counts = (finest.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(len(sides) - 1))))
+              .groupBy("level", F.floor(F.col("sx") / up).alias("sx"), F.floor(F.col("sy") / up).alias("sy"))
+              .agg(F.sum("count").alias("held")).groupBy("level").agg(F.max("held").alias("most")).collect())
+    most = {r["level"]: r["most"] for r in counts}
+    last = 0
+    while last + 1 < len(sides) and most.get(last, 0) > CROWDED:
+        last += 1
+    return sides[:last + 1]
+
+
+def _narrowed(left: DataFrame, points: DataFrame, key: str, reach: float, sides: list[float],
+              nearest: bool) -> DataFrame:
     """Branch and bound over ever finer squares.
 
-    Returns ``(key, cx, cy)`` of the squares that can still hold a decisive point of each left row,
-    and the side of those squares. Bounds come from the boxes of the left rows and the
+    Returns ``(key, cx, cy)`` of the squares, of the last side, that can still hold a decisive point of
+    each left row. Bounds come from the boxes of the left rows and the
     extents of the points in a square, so that the pairs at each step number the squares near the
     border of what is known, not the points in them.
     """
-    sides = [size]
-    while sides[-1] / 4 > FINEST and _most_in_a_square(points, sides[-1]) > CROWDED:
-        sides.append(sides[-1] / 4)
-    front = cover(left.select(key, "box"), size, reach)
+    front = cover(left.select(key, "box"), sides[0], reach)
     for step, side in enumerate(sides):
         parent = sides[step - 1] if step else None
         squares = _summary(points, side, parent)
@@ -257,7 +267,7 @@ def _narrowed(left: DataFrame, points: DataFrame, key: str, reach: float, size:
                      .filter(F.col("bound").isNull() | (F.col("label") < F.col("bound"))
                              | ((F.col("high") <= reach) & (F.col("label") == F.col("bound")))))
         front = front.select(key, "box", F.col("sx").alias("cx"), F.col("sy").alias("cy"))
-    return front, sides[-1]
+    return front
 
 
 def _point_pairs(left: DataFrame, points: DataFrame, key: str, reach: float, size: float,
@@ -268,11 +278,12 @@ def _point_pairs(left: DataFrame, points: DataFrame, key: str, reach: float, siz
     """
     points = saved(points)
     shapes = left.select(key, "geom").withColumn("box", G.bbox("geom"))
-    if _most_in_a_square(points, size) > CROWDED:
-        front, side = _narrowed(shapes, points, key, reach, size, nearest)
-        front = front.join(shapes.drop("box"), key)
+    sides = _sides(points, size)
+    side = sides[-1]
+    if len(sides) > 1:
+        front = _narrowed(shapes, points, key, reach, sides, nearest).join(shapes.drop("box"), key)
     else:
-        front, side = cover(shapes, size, reach), size
+        front = cover(shapes, size, reach)
     at = points.withColumns({"cx": square_of("px", side), "cy": square_of("py", side)})
     spot = F.struct(F.col("px").alias("xmin"), F.col("py").alias("ymin"),
                     F.col("px").alias("xmax"), F.col("py").alias("ymax"))
@@ -312,6 +323,17 @@ def nearest_locations(left: DataFrame, points: DataFrame, key: str, label: str,
     return pairs.withColumn("place", F.rank().over(order)).filter("place = 1").drop("place")
 
 
+def nearest_label(left: DataFrame, points: DataFrame, key: str, label: str, reach: float,
+                  size: float) -> DataFrame:
+    """``(key, label)``: the smallest label among the nearest points of each polygon within ``reach``.
+
+    One minimum over distance and label, aggregated before the shuffle.
+    """
+    pairs = _point_pairs(left, located(points, label), key, reach, size, nearest=True)
+    return (pairs.groupBy(key).agg(F.min(F.struct("distance", "label")).alias("best"))
+            .select(key, F.col("best.label").alias(label)))
+
+
 def nearest(left: DataFrame, points: DataFrame, key: str, label: str, reach: float,
             size: float) -> DataFrame:
     """``(key, label, distance)`` of the nearest points within ``reach``; one row per tie."""

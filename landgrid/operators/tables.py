@@ -25,7 +25,8 @@ def row_ids(df: DataFrame, order: list[str], name: str = "row_id") -> DataFrame:
     """Number the rows 0..n-1 in the order of ``order``, without a single-task sort.
 
     Rows are range-partitioned and written with their place inside the partition; the only thing
-    summed up in one place is one row count per partition.
+    summed up in one place is one row count per partition. The running number of a task is safe to
+    use here because it is written once and read back.
     """
     low_bits = (1 << 33) - 1
     placed = saved(
@@ -41,8 +42,9 @@ def row_ids(df: DataFrame, order: list[str], name: str = "row_id") -> DataFrame:
 
 
 def with_id(df: DataFrame, order: list[str], name: str = "ID") -> DataFrame:
-    """Keep the id column, or create a placeholder where the input has none."""
-    return df if name in df.columns else row_ids(df, order, name)
+    """Keep the id column, or create a placeholder where the input has none. Rows are numbered by
+    ``order`` and then by every other column, so that ids don't depend on how the input was read."""
+    return df if name in df.columns else row_ids(df, [*order, *(c for c in df.columns if c not in order)], name)
 
 
 def distinct_geometry(df: DataFrame, geom: str = "geom") -> DataFrame:

@@ -107,8 +107,7 @@ def rooftops(buildings: DataFrame, multi: DataFrame, single: DataFrame, s: Setti
     points that share a location are not multiplied into rows first.
     """
     candidates = saved(rooftop_candidates(buildings, multi, single, s))
-    best = (grid.nearest_locations(candidates, multi, "fid", "ID", s.multi_reach, s.square)
-            .groupBy("fid").agg(F.min("label").alias("ID")))
+    best = grid.nearest_label(candidates, multi, "fid", "ID", s.multi_reach, s.square)
     return tables.first_per_geometry(candidates.join(best, "fid").select("fid", "ID", "geom"), "ID")
 
 
