@@ -13,12 +13,12 @@ that only windows that may match leave a task; the join itself is an ordinary on
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +28,6 @@ from landgrid.shared import saved
 WINDOW = 5               # template words of a window
 SIMILARITY = 0.8
 BITS = 22                # the bitmap has 2 ** BITS bits, half a megabyte
-PIECE = 1 << 18          # characters of a text cut into words at a time
 
 #: units, as they follow a number
 UNITS = frozenset("""
@@ -38,113 +37,175 @@ meter meters metre metres kilometer kilometers kilometre kilometres gram grams k
 litre litres mile miles foot feet inch inches pound pounds ounce ounces dollar dollars euro euros cent cents
 percent degree degrees celsius fahrenheit
 """.split())
-SIGNS = "%$€£¥°"
 
-_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,:/]\d+)*|[%$€£¥°]|[.!?\n]", re.UNICODE)
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
-TOKENS = 300_000         # tokens whose hash and kind a Python worker remembers
-
-# the low four bits of a token's hash tell what it is
-_END, _DIGITS, _SIGN, _UNIT_WORD, _CAPITAL = 1, 2, 3, 4, 8
-_KIND, _HASH = np.uint64(15), ~np.uint64(15)
-
-
-def _mark(token: str, kind: int) -> int:
-    return xxhash.xxh3_64_intdigest(token) & ~15 | kind
-
-
-class _Table(dict):
-    def __missing__(self, token: str) -> int:
-        if len(self) >= TOKENS:
-            self.clear()
-        low = token.lower()
-        if token[0].isdigit():
-            kind = _DIGITS
-        elif token in SIGNS:
-            kind = _SIGN
-        elif token in ".!?\n":
-            kind = _END
-        else:
-            kind = (_UNIT_WORD if low in UNITS else 0) | (_CAPITAL if token[0].isupper() and token[1:].islower() else 0)
-        self[token] = mark = _mark(low, kind)
-        return mark
-
-
-_table = _Table()
-_PLACE = {kind: np.uint64(_mark(kind, 0)) for kind in (NUMBER, NAME, UNIT)}
-
-
-def _pieces(text: str) -> Iterator[list[str]]:
-    """Words, numbers, signs and sentence ends, piece by piece, cut at blanks."""
-    low = 0
-    while low < len(text):
-        end = min(low + PIECE, len(text))
-        while end < len(text) and not text[end].isspace() and end - low <= 2 * PIECE:
-            end += 1
-        yield _TOKEN.findall(text, low, end)
-        low = end
-
-
-def _template(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the template words, the token each begins with, and whether it is a placeholder."""
-    marks = [np.fromiter(map(_table.__getitem__, tokens), np.uint64, len(tokens)) for tokens in _pieces(text)]
-    marks = np.concatenate(marks) if marks else np.zeros(0, np.uint64)
-    kind = (marks & _KIND).astype(np.uint8)
-    begin = np.r_[True, kind[:-1] == _END] if len(kind) else np.zeros(0, bool)
-    token = np.flatnonzero(kind != _END)
-    kind, begin, marks = kind[token], begin[token], marks[token] & _HASH
-    number = kind == _DIGITS
-    after_number = np.r_[False, number[:-1]] if len(kind) else number
-    unit = (kind == _SIGN) | after_number & (kind & ~np.uint8(_CAPITAL) == _UNIT_WORD)
-    capital = (kind & _CAPITAL > 0) & ~unit
-    inner = capital & ~begin
-    name = inner | capital & np.r_[inner[1:], False] if len(kind) else inner     # a sentence may begin with a full name
-    marks = np.where(number, _PLACE[NUMBER], np.where(unit, _PLACE[UNIT], np.where(name, _PLACE[NAME], marks)))
-    goes_on = np.r_[False, name[:-1]] & ~begin if len(kind) else name
-    first = ~(name & goes_on)                                                # a run of capitalised words is one name
-    return marks[first], token[first], (number | unit | name)[first]
-
-
-def _values(text: str, token: np.ndarray, held: np.ndarray, wanted: np.ndarray) -> dict[int, str]:
-    """Values of the placeholders among the ``wanted`` template words."""
-    spans = {int(token[w]): int(w) for w in wanted if held[w]}
-    found: dict[int, str] = {}
-    low, run = 0, None
-    for tokens in _pieces(text):
-        for at in (range(len(tokens)) if spans else ()):
-            if low + at in spans:
-                run = spans[low + at]
-                found[run] = tokens[at].lower().replace(",", "")
-            elif run is not None and tokens[at][0].isupper() and tokens[at][1:].islower() and (run + 1 >= len(token) or low + at < token[run + 1]):
-                found[run] += " " + tokens[at].lower()
-            else:
-                run = None
-        low += len(tokens)
-    return found
-
-
-def template(text: str) -> list[tuple[str, str | None]]:
-    """Template words of a text and the values of their slots.
+LONGEST = 64             # bytes; a longer run of letters or digits counts as several words
+
+# Texts are cut on their bytes. Letters are ASCII letters and all longer characters but Latin-1 signs
+# (lead byte C2), general punctuation (E2 80, E2 81) and currency signs (E2 82).
+_BYTES = np.arange(256)
+_LETTER = (_BYTES >= 128) | ((_BYTES | 32) >= 97) & ((_BYTES | 32) <= 122)
+_DIGIT = (_BYTES >= 48) & (_BYTES <= 57)
+_JOINT = np.isin(_BYTES, [ord(c) for c in ".,:/"])
+_STOP = np.isin(_BYTES, [ord(c) for c in ".!?\n"])
+_POWERS = np.cumprod(np.r_[np.uint64(1), np.full(LONGEST - 1, 0x100000001B3, np.uint64)])
+END, WORD, DIGITS, SIGN = 0, 1, 2, 3
+
+
+def _lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of texts, the same in lower case, and where each text begins; lengths never change."""
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    data, offsets = common.utf8(column)
+    low, other = common.utf8(pc.utf8_lower(column))
+    if not np.array_equal(offsets, other):           # characters whose lower case is longer or shorter stay
+        def same(c):
+            return c.lower() if len(c.lower().encode()) == len(c.encode()) else c
+        low, _ = common.utf8(pa.array(["".join(map(same, t)) for t in column.to_pylist()], pa.large_string()))
+    return data, low, offsets
+
+
+def _cut(data: np.ndarray, low: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Tokens of some texts: start, end, kind, whether capitalised, hash. None goes over an edge."""
+    n = len(data)
+    if not n:
+        return (*(np.zeros(0, np.int64) for _ in range(2)), np.zeros(0, np.uint8), np.zeros(0, bool), np.zeros(0, np.uint64))
+    fresh = np.zeros(n + 1, bool)
+    fresh[edges] = True
+    opens, closes = fresh[:-1], fresh[1:]
+
+    def shifted(flags):
+        return np.r_[False, flags[:-1]] & ~opens, np.r_[flags[1:], False] & ~closes
+
+    after = np.r_[low[1:], np.uint8(0)]
+    letter, digit = _LETTER[low], _DIGIT[low]
+    long_sign = (low == 0xE2) & (after >= 0x80) & (after <= 0x82)
+    strange = np.flatnonzero(long_sign)
+    c2 = np.flatnonzero(low == 0xC2)
+    for at, size in ((strange, 3), (c2, 2)):
+        for k in range(size):
+            letter[np.minimum(at + k, n - 1)] = False
+    sign = np.isin(low, [ord("%"), ord("$")])
+    sign[c2] = np.isin(after[c2], [0xA3, 0xA5, 0xB0])                      # pound, yen, degree
+    sign[strange] = after[strange] == 0x82
+    before, behind = shifted(letter)
+    letter |= (low == 39) & before & behind                                # an apostrophe inside a word
+    before, behind = shifted(digit)
+    digit |= _JOINT[low] & before & behind                                 # a separator inside a number
+    stop = _STOP[low] & ~digit
+    kind = np.where(letter, WORD, np.where(digit, DIGITS, 255)).astype(np.uint8)
+    run = kind != 255
+    first = run & (opens | (kind != np.r_[np.uint8(254), kind[:-1]]))
+    at = np.flatnonzero(run)
+    begin = np.flatnonzero(first)
+    place = at - np.repeat(begin, np.diff(np.r_[np.searchsorted(at, begin), len(at)]))
+    within = place % LONGEST
+    head = np.flatnonzero(within == 0)
+    start = at[head]
+    mixed = np.add.reduceat((low[at].astype(np.uint64) + np.uint64(1)) * _POWERS[within], head) if len(head) else np.zeros(0, np.uint64)
+    end = start + np.diff(np.r_[head, len(at)])
+    size = 1 + (low[start] >= 0xC0) + (low[start] >= 0xE0) + (low[start] >= 0xF0)      # bytes of the first character
+    changed = np.r_[0, np.cumsum(data != low)]
+    inner = np.minimum(start + size, end)
+    capital = (changed[inner] > changed[start]) & (changed[end] == changed[inner]) & (end > inner)
+    single = np.flatnonzero(sign | stop)
+    starts = np.concatenate([start, single])
+    order = np.argsort(starts, kind="stable")
+    kinds = np.concatenate([kind[start], np.where(sign[single], SIGN, END).astype(np.uint8)])
+    width = np.where(low[single] == 0xE2, 3, np.where(low[single] == 0xC2, 2, 1))
+    return (starts[order], np.concatenate([end, single + width])[order], kinds[order],
+            np.concatenate([capital, np.zeros(len(single), bool)])[order],
+            np.concatenate([_stirred(mixed), np.zeros(len(single), np.uint64)])[order])
+
+
+def _stirred(mixed: np.ndarray) -> np.ndarray:
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed ^ (mixed >> np.uint64(29))
+
+
+def _hash_of(word: str) -> int:
+    low = np.frombuffer(word.encode(), np.uint8).astype(np.uint64)
+    return int(_stirred(((low + np.uint64(1)) * _POWERS[:len(low)]).sum(keepdims=True))[0])
+
+
+_UNIT_HASHES = np.sort(np.array([_hash_of(u) for u in UNITS], np.uint64))
+_PLACE = {kind: np.uint64(_hash_of(kind)) for kind in (NUMBER, NAME, UNIT)}
+
+
+@dataclass
+class Template:
+    """Template words of some texts: hash, place in the bytes, whether a placeholder, and the text's row."""
+    marks: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    held: np.ndarray
+    row: np.ndarray
+
+
+def templates(data: np.ndarray, low: np.ndarray, offsets: np.ndarray) -> Iterator[Template]:
+    """Templates of texts, some texts at a time; a text is never divided between two.
 
     A number is digits with separators; a unit is a sign, or a unit word behind a number; a name is a
     run of capitalised words (one capital, then small letters) inside a sentence, or of two and more.
     """
-    marks, token, held = _template(text)
-    tokens = [t for piece in _pieces(text) for t in piece]
-    values = _values(text, token, held, np.arange(len(token)))
+    for first, last in common.blocks(offsets):
+        begin, end = int(offsets[first]), int(offsets[last])
+        parts = []
+        while begin < end:
+            stop = end
+            if end - begin > common.BLOCK:                        # a long text is cut behind a blank
+                blanks = np.flatnonzero(np.isin(low[begin:begin + common.BLOCK], [10, 32]))
+                stop = begin + (int(blanks[-1]) + 1 if len(blanks) else common.BLOCK)
+            edges = np.clip(offsets[first:last + 1] - begin, 0, stop - begin)
+            found = _cut(data[begin:stop], low[begin:stop], edges)
+            parts.append((found[0] + begin, found[1] + begin, *found[2:]))
+            begin = stop
+        if not parts:
+            continue
+        start, stop, kind, capital, marks = (np.concatenate(c) for c in zip(*parts))
+        row = np.searchsorted(offsets, start, side="right") - 1
+        opens = np.r_[True, (row[1:] != row[:-1]) | (kind[:-1] == END)] if len(kind) else np.zeros(0, bool)
+        kept = np.flatnonzero(kind != END)
+        start, stop, kind, capital, marks, row, opens = (c[kept] for c in (start, stop, kind, capital, marks, row, opens))
+        if not len(kept):
+            continue
+        same = np.r_[False, row[1:] == row[:-1]]
+        number = kind == DIGITS
+        behind = np.flatnonzero(np.r_[False, number[:-1]] & same & (kind == WORD))
+        unit = kind == SIGN
+        unit[behind] = np.isin(marks[behind], _UNIT_HASHES)
+        capital = capital & (kind == WORD) & ~unit
+        inside = capital & ~opens
+        name = inside | capital & np.r_[inside[1:], False]                 # a sentence may begin with a full name
+        marks = np.where(number, _PLACE[NUMBER], np.where(unit, _PLACE[UNIT], np.where(name, _PLACE[NAME], marks)))
+        head = np.flatnonzero(~(name & np.r_[False, name[:-1]] & ~opens))  # a run of capitalised words is one name
+        tail = np.r_[head[1:], len(kept)] - 1
+        yield Template(marks[head], start[head], stop[tail], (number | unit | name)[head], row[head])
+
+
+def _value(low: np.ndarray, t: Template, k: int) -> str | None:
+    """What a placeholder stands for; None for a word."""
+    return " ".join(low[t.start[k]:t.end[k]].tobytes().decode(errors="replace").replace(",", "").split()) if t.held[k] else None
+
+
+def template(text: str) -> list[tuple[str, str | None]]:
+    """Template words of a text and the values of their slots."""
+    data, low, offsets = _lowered(pa.array([text]))
     names = {int(v): k for k, v in _PLACE.items()}
-    return [(names.get(int(m), tokens[t].lower()), values.get(k)) for k, (m, t) in enumerate(zip(marks, token))]
+    return [(names.get(int(t.marks[k]), low[t.start[k]:t.end[k]].tobytes().decode(errors="replace")), _value(low, t, k))
+            for t in templates(data, low, offsets) for k in range(len(t.marks))]
 
 
-def _hashes(marks: np.ndarray, window: int) -> np.ndarray:
-    """A hash of every window of template words."""
-    if len(marks) < window:
-        return np.zeros(0, np.uint64)
-    mixed = np.zeros(len(marks) - window + 1, np.uint64)
+def _hashes(t: Template, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words and hashes of the windows that lie in one text."""
+    n = len(t.marks) - window + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    mixed = np.zeros(n, np.uint64)
     for k in range(window):
-        mixed = (mixed ^ marks[k:len(mixed) + k]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (mixed ^ t.marks[k:n + k]) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(32)
-    return mixed
+    inside = np.flatnonzero(t.row[:n] == t.row[window - 1:])
+    return inside, mixed[inside]
 
 
 _SLOT = pa.list_(pa.string())
@@ -160,23 +221,19 @@ def windows(rows: DataFrame, key: str, text: str, bitmap=None, window: int = WIN
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = None if bitmap is None else bitmap.value
         for batch in batches:
-            owner, marks, places, totals, values = [], [np.zeros(0, np.uint64)], [], [], []
-            for row, body in enumerate(batch.column(1).to_pylist()):
-                words, token, held = _template(body or "")
-                found = _hashes(words, window)
-                bits = (found >> np.uint64(64 - BITS)).astype(np.int64)
-                at = np.arange(len(found)) if wanted is None else np.flatnonzero(wanted[bits >> 3] >> (bits & 7).astype(np.uint8) & 1)
-                if not len(at):
-                    continue
-                slot = _values(body, token, held, np.unique(at[:, None] + np.arange(window)))
-                owner += [row] * len(at)
-                marks.append(found[at])
-                places += at.tolist()
-                totals += [len(found)] * len(at)
-                values += [[slot.get(k + j) for j in range(window)] for k in at.tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(owner, pa.int64())), pa.array(np.concatenate(marks).view(np.int64)),
-                 pa.array(places, pa.int64()), pa.array(totals, pa.int64()), pa.array(values, _SLOT)], names=names)
+            data, low, offsets = _lowered(batch.column(1))
+            for t in templates(data, low, offsets):
+                at, found = _hashes(t, window)
+                begin = np.searchsorted(t.row, t.row[at])                       # first template word of the text
+                totals = np.searchsorted(t.row, t.row[at], side="right") - begin - window + 1
+                if wanted is not None:
+                    bits = (found >> np.uint64(64 - BITS)).astype(np.int64)
+                    hit = np.flatnonzero(wanted[bits >> 3] >> (bits & 7).astype(np.uint8) & 1)
+                    at, found, begin, totals = at[hit], found[hit], begin[hit], totals[hit]
+                values = [[_value(low, t, k + j) for j in range(window)] for k in at.tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(t.row[at])), pa.array(found.view(np.int64)), pa.array(at - begin),
+                     pa.array(totals.astype(np.int64)), pa.array(values, _SLOT)], names=names)
 
     kind = rows.schema[key].dataType.simpleString()
     return rows.select(F.col(key).alias("id"), F.col(text).alias("source")).mapInArrow(

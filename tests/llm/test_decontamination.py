@@ -2,7 +2,7 @@
 
 import random
 
-from landgrid.llm import decontamination
+from landgrid.llm import common, decontamination
 from tests.llm import cases
 
 ITEMS = "item_id long, text string, doc_id string, place string"
@@ -18,10 +18,17 @@ def test_template():
     assert decontamination.template("") == [] == decontamination.template(" \n.!?")
 
 
+def test_odd_characters():
+    words = decontamination.template("É. “l'été” d’Été: 3€ 5 °C ﬁ İx Иван Петров 中文 naïve—x 1,5:3 $")
+    assert words[:4] == [("é", None), ("l'été", None), ("d", None), ("<name>", "été")]
+    assert ("<unit>", "€") in words and ("<name>", "иван петров") in words and ("<number>", "15:3") in words
+    assert decontamination.template("a" * 200 + " b")[-1] == ("b", None)
+
+
 def test_pieces_do_not_show(monkeypatch):
     text = " ".join(t for _, t, _ in cases.corpus(20)) + " " + QUESTION
     whole = decontamination.template(text)
-    monkeypatch.setattr(decontamination, "PIECE", 30)
+    monkeypatch.setattr(common, "BLOCK", 40)
     assert decontamination.template(text) == whole
 
 
