@@ -135,7 +135,13 @@ def fit(samples: list[tuple[str, int, float]], epochs: int = 8, rate: float = 0.
         return None
     data, offsets = common.utf8(pa.array([t or "" for t, _, _ in samples], pa.string()))
     starts, text = sentences(data, offsets)
-    at, hashes = words(data, offsets)
+    at, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for first, last in common.blocks(offsets):                # a few texts at a time, for the driver's memory
+        low = int(offsets[first])
+        begin, mark = words(data[low:offsets[last]], offsets[first:last + 1] - low)
+        at.append(begin + low)
+        hashes.append(mark)
+    at, hashes = np.concatenate(at), np.concatenate(hashes)
     vocabulary, word = np.unique(hashes, return_inverse=True)
     size = max(1, len(vocabulary))
     # a word counts once a sentence
