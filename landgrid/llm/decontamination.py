@@ -2,8 +2,9 @@
 
 Texts are turned into templates: lower-case words, with numbers, names and units replaced by typed
 placeholders whose values are kept aside as slots. Windows of ``WINDOW`` template words are hashed and
-joined with the benchmark's windows. Matches of one document and item line up on a diagonal (the
-difference of their places); a diagonal leaks the item if it has a share of at least ``SIMILARITY`` of
+joined with the benchmark's windows. Matches of one document and item line up on a band of diagonals
+(differences of their places, ``BAND`` wide, every second band shifted by half, so that inserted and
+dropped words do no harm); a band leaks the item if it has a share of at least ``SIMILARITY`` of
 the item's windows and its slots are consistent: each value of the item stands for one value in the
 document and the other way round. Equal values are a copy, others a re-parameterised question.
 
@@ -27,6 +28,7 @@ from landgrid.shared import saved
 
 WINDOW = 5               # template words of a window
 SIMILARITY = 0.8
+BAND = 16                # places by which matches of one leak may be displaced against each other, half of it for sure
 BITS = 22                # the bitmap has 2 ** BITS bits, half a megabyte
 
 #: units, as they follow a number
@@ -263,10 +265,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     asked = saved(windows(items, "item_id", "text", window=window).withColumnsRenamed(
         {"id": "item_id", "place": "item_place", "windows": "item_windows", "slots": "item_slots"}))
     found = windows(docs, key, text, _bitmap(asked), window).select("id", "window", "place", "slots")
-    pairs = found.join(asked, "window").withColumn("lag", F.col("place") - F.col("item_place"))
-    hits = saved(pairs.select("id", "item_id", "lag", "item_place", "item_windows", "place", "slots", "item_slots"))
-    line = ["id", "item_id", "lag"]
-    lines = (hits.groupBy(*line).agg(F.countDistinct("item_place").alias("matched"), F.first("item_windows").alias("item_windows"))
+    lag = F.col("place") - F.col("item_place")
+    bands = F.array(F.floor(lag / BAND) * 2, F.floor((lag + BAND // 2) / BAND) * 2 + 1)
+    pairs = found.join(asked, "window").withColumn("lag", lag).withColumn("band", F.explode(bands))
+    hits = saved(pairs.select("id", "item_id", "band", "lag", "item_place", "item_windows", "slots", "item_slots"))
+    line = ["id", "item_id", "band"]
+    lines = (hits.groupBy(*line).agg(F.countDistinct("item_place").alias("matched"), F.first("item_windows").alias("item_windows"),
+                                     F.min("lag").alias("lag"))
              .filter(F.col("matched") >= F.ceil(F.lit(similarity) * F.col("item_windows") - 1e-9)))
     near = hits.join(lines.select(*line, "matched"), [hits[c].eqNullSafe(lines[c]) for c in line], "left_semi")
     slots = (near.select(*line, F.explode(F.arrays_zip("slots", "item_slots")).alias("s"))

@@ -39,23 +39,26 @@ def around(rng, text):
 def test_leaks(spark):
     rng = random.Random(6)
     items = [(k, cases.words(rng, "en", rng.randint(15, 40)), "x", "y") for k in range(12)]
+    items[5] = (5, cases.words(rng, "en", 40), "x", "y")
     items += [(50, QUESTION, "x", "y"), (51, QUESTION + "?", "x", "y"), (60, None, None, None), (61, "", None, None), (62, "too few words", None, None),
               (None, "an item that has no id and is long enough for windows", None, None)]
     consistent = (QUESTION.replace("Maria Lopez", "Ines Braun").replace("12", "17").replace("30", "45").replace("4.50", "9.99")
                   .replace("Tom Baker", "Paul Weiss").replace("3 km", "5 km"))
     mixed = QUESTION.replace("12 apples and", "17 apples and")           # 12 stands for 17 here and for 12 there
     half = " ".join(items[1][1].split()[:len(items[1][1].split()) // 2])
-    texts = {2000: around(rng, items[0][1]), 2001: items[2][1].upper(), 2002: around(rng, QUESTION), 2003: around(rng, consistent),
+    bent = items[5][1].split()
+    bent = " ".join([*bent[:4], "then", *bent[4:]])                     # one word more: 4 of its windows are gone
+    texts = {2008: around(rng, bent), 2000: around(rng, items[0][1]), 2001: items[2][1].upper(), 2002: around(rng, QUESTION), 2003: around(rng, consistent),
              2004: around(rng, mixed), 2005: around(rng, half), 2006: around(rng, "too few words"), 2007: around(rng, items[3][1]) * 2}
     docs = cases.awkward(spark, more=[*texts.items(), (2000, texts[2000]), (None, around(rng, items[4][1]))])
     bench = spark.createDataFrame(items, ITEMS)
     found = decontamination.contaminated(docs, bench)
     got = {(r.doc_id, r.item_id): r for r in found.collect()}
-    assert set(got) == {(2000, 0), (2001, 2), (2002, 50), (2002, 51), (2003, 50), (2003, 51), (2007, 3), (None, 4)}
+    assert set(got) == {(2000, 0), (2001, 2), (2002, 50), (2002, 51), (2003, 50), (2003, 51), (2007, 3), (2008, 5), (None, 4)}
     assert {k for k, r in got.items() if r.kind == "reparameterised"} == {(2003, 50), (2003, 51)}
     kept = decontamination.clean(docs, bench)
     assert kept.columns == docs.columns
-    bad = {2000, 2001, 2002, 2003, 2007, None}
+    bad = {2000, 2001, 2002, 2003, 2007, 2008, None}
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in docs.collect() if r.doc_id not in bad)
 
 
