@@ -69,29 +69,26 @@ def _star_round(edges: DataFrame) -> DataFrame:
     return small.filter("u <> v").distinct()
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    mark = F.xxhash64("u", "v")
-    return tuple(edges.agg(F.count("*"), F.bit_xor(mark), F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF)))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: no node is both a centre and a member, and a member has one edge."""
+    roles = (edges.select(F.col("u").alias("node"), F.lit(0).alias("member"))
+             .unionByName(edges.select(F.col("v").alias("node"), F.lit(1).alias("member"))))
+    counts = roles.groupBy("node").agg(F.min("member").alias("low"), F.sum("member").alias("times"))
+    return counts.filter("times > 1 or times = 1 and low = 0").isEmpty()
 
 
 def component_roots(edges: DataFrame) -> DataFrame:
     """``(member, root)`` of every node that is not the smallest of its component.
 
     ``edges`` has long columns ``u, v``; direction and repetition do not matter. Every size takes the
-    same way: forests per task, then star rounds until a round changes nothing.
+    same way: forests per task, then star rounds until only stars are left.
     """
     rest = saved(contracted(edges))
-    seen = _fingerprint(rest)
-    for _ in range(MAX_ROUNDS if seen[0] else 0):
+    for _ in range(MAX_ROUNDS):
+        if _settled(rest):
+            return rest.select(F.col("v").alias("member"), F.col("u").alias("root"))
         rest = saved(contracted(_star_round(rest)))
-        now = _fingerprint(rest)
-        if now == seen:
-            break
-        seen = now
-    else:
-        if seen[0]:
-            raise NotConverged(f"components did not settle in {MAX_ROUNDS} rounds")
-    return rest.select(F.col("v").alias("member"), F.col("u").alias("root"))
+    raise NotConverged(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
 def component_labels(nodes: DataFrame, edges: DataFrame, key: str, label: str = "component") -> DataFrame:
