@@ -5,8 +5,8 @@ placeholders whose values are kept aside as slots. Windows of ``WINDOW`` templat
 joined with the benchmark's windows. Matches of one document and item line up on a band of diagonals
 (differences of their places, ``BAND`` wide, every second band shifted by half, so that inserted and
 dropped words do no harm); a band leaks the item if it has a share of at least ``SIMILARITY`` of
-the item's windows and its slots are consistent: each value of the item stands for one value in the
-document and the other way round. Equal values are a copy, others a re-parameterised question.
+the item's windows in an alignment, an order in which places rise on both sides, whose slots are
+consistent: each value of the item stands for one value in the document and the other way round. Equal values are a copy, others a re-parameterised question.
 
 The benchmark is held against all documents through a bitmap of its windows, whose size is fixed, so
 that only windows that may match leave a task; the join itself is an ordinary one.
@@ -14,6 +14,7 @@ that only windows that may match leave a task; the join itself is an ordinary on
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,7 @@ from landgrid.shared import saved
 WINDOW = 5               # template words of a window
 SIMILARITY = 0.8
 BAND = 16                # places by which matches of one leak may be displaced against each other, half of it for sure
+COSTS = (4.0, 0.5)       # matches that a change of the lag must bring: as many as a change costs windows, then any
 BITS = 22                # the bitmap has 2 ** BITS bits, half a megabyte
 
 #: units, as they follow a number
@@ -252,6 +254,89 @@ def _bitmap(marks: DataFrame):
     return marks.sparkSession.sparkContext.broadcast(table)
 
 
+def _needed(item_windows: int, similarity: float) -> int:
+    return math.ceil(similarity * item_windows - 1e-9)
+
+
+def _chain(places: list[int], items: list[int], cost: float) -> list[int]:
+    """Hits in document order that make the best alignment: places rise on both sides, and each change
+    of the lag costs ``cost`` matches. Hits come sorted by place and item place; of equal chains the first."""
+    rank = {p: k + 1 for k, p in enumerate(sorted(set(items)))}
+    tree = [(0.0, -1)] * (len(rank) + 1)                  # best chains that end before an item place
+    on_lag: dict[int, tuple[float, int]] = {}
+    score, back = [0.0] * len(places), [-1] * len(places)
+    done = 0
+    for k, (place, item) in enumerate(zip(places, items)):
+        while places[done] < place:
+            r = rank[items[done]]
+            while r < len(tree):
+                if score[done] > tree[r][0]:
+                    tree[r] = (score[done], done)
+                r += r & -r
+            done += 1
+        best, r = (cost, -1), rank[item] - 1
+        while r:
+            best = tree[r] if tree[r][0] > best[0] else best
+            r -= r & -r
+        best = (best[0] - cost, best[1])
+        same = on_lag.get(place - item, (0.0, -1))
+        best = same if same[1] >= 0 and same[0] >= best[0] else best
+        score[k], back[k] = best[0] + 1, best[1]
+        on_lag[place - item] = (score[k], k)
+    at = max(range(len(score)), key=score.__getitem__, default=-1)
+    out = []
+    while at >= 0:
+        out.append(at)
+        at = back[at]
+    return out[::-1]
+
+
+def _aligned(places: list[int], items: list[int], slots: list, item_slots: list, needed: int) -> list[tuple[int, int, bool]]:
+    """``(matches, lag of the first, whether values differ)`` of every alignment with consistent slots.
+
+    An alignment takes each place once, so a window that occurs again in the item is not held against
+    its other occurrence. Short detours are left out at first, and taken in if slots disagree or matches
+    are too few without them. The hits of an alignment are gone before the next is looked for.
+    """
+    order = sorted(range(len(places)), key=lambda k: (places[k], items[k]))
+    out = []
+    while len({items[k] for k in order}) >= needed:
+        for cost in COSTS:
+            chain = [order[k] for k in _chain([places[k] for k in order], [items[k] for k in order], cost)]
+            pairs = {(m, t) for k in chain for m, t in zip(slots[k], item_slots[k]) if m is not None and t is not None}
+            changed = any(m != t for m, t in pairs)
+            if len(chain) >= needed and (not changed or len(pairs) == len({m for m, _ in pairs}) == len({t for _, t in pairs})):
+                out.append((len(chain), places[chain[0]] - items[chain[0]], changed))
+                break
+        if len(chain) < needed:
+            break
+        gone = set(chain)
+        order = [k for k in order if k not in gone]
+    return out
+
+
+def _judged(hits: DataFrame, line: list[str], similarity: float) -> DataFrame:
+    """``id, item_id, item_windows, matched, lag, changed`` of the alignments found in each line's hits."""
+    names = ["id", "item_id", "item_windows", "matched", "lag", "changed"]
+    kinds = {f.name: f.dataType.simpleString() for f in hits.schema.fields}
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        distinct = {}                                     # repeated rows of a document count once
+        for k, spot in enumerate(zip(*(table[c].to_pylist() for c in ("lag", "item_place", "slots", "item_slots")))):
+            distinct.setdefault((spot[0], spot[1], *map(tuple, spot[2:])), k)
+        lags, items, slots, item_slots = zip(*distinct)
+        total = table["item_windows"][0].as_py()
+        found = _aligned([a + b for a, b in zip(lags, items)], list(items), slots, item_slots, _needed(total, similarity))
+        matched, lag, changed = zip(*found) if found else ((), (), ())
+        first = pa.array([0] * len(found), pa.int64())
+        return pa.table([table["id"].take(first), table["item_id"].take(first), table["item_windows"].take(first), pa.array(matched, pa.int64()),
+                         pa.array(lag, pa.int64()), pa.array(changed, pa.bool_())], names=names)
+
+    return hits.groupBy(*line).applyInArrow(
+        run, f"id {kinds['id']}, item_id {kinds['item_id']}, item_windows bigint, matched bigint, lag bigint, changed boolean")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
           similarity: float = SIMILARITY) -> DataFrame:
     """``key, item_id, place, matched, item_windows, similarity, kind`` of every leaked item.
@@ -270,25 +355,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     pairs = found.join(asked, "window").withColumn("lag", lag).withColumn("band", F.explode(bands))
     hits = saved(pairs.select("id", "item_id", "band", "lag", "item_place", "item_windows", "slots", "item_slots"))
     line = ["id", "item_id", "band"]
-    lines = (hits.groupBy(*line).agg(F.countDistinct("item_place").alias("matched"), F.first("item_windows").alias("item_windows"),
-                                     F.min("lag").alias("lag"))
+    lines = (hits.groupBy(*line).agg(F.countDistinct("item_place").alias("matched"), F.first("item_windows").alias("item_windows"))
              .filter(F.col("matched") >= F.ceil(F.lit(similarity) * F.col("item_windows") - 1e-9)))
-    near = hits.join(lines.select(*line, "matched"), [hits[c].eqNullSafe(lines[c]) for c in line], "left_semi")
-    slots = (near.select(*line, F.explode(F.arrays_zip("slots", "item_slots")).alias("s"))
-             .select(*line, F.col("s.slots").alias("mine"), F.col("s.item_slots").alias("theirs"))
-             .filter("mine is not null and theirs is not null").distinct())
-    judged = slots.groupBy(*line).agg(
-        F.count("*").alias("pairs"), F.countDistinct("mine").alias("mine"), F.countDistinct("theirs").alias("theirs"),
-        F.max((F.col("mine") != F.col("theirs")).cast("int")).alias("changed"))
-    right = lines.alias("l").join(judged.alias("j"), [F.col(f"l.{c}").eqNullSafe(F.col(f"j.{c}")) for c in line], "left")
-    right = right.filter("pairs is null or changed = 0 or (pairs = mine and pairs = theirs)")
-    best = right.groupBy("l.id", "l.item_id").agg(F.max(F.struct(
-        F.col("matched"), (F.lit(1) - F.coalesce("changed", F.lit(0))).alias("same"), (-F.col("l.lag")).alias("back"),
-        F.col("item_windows"))).alias("b"))
+    near = hits.join(lines.select(*line), [hits[c].eqNullSafe(lines[c]) for c in line], "left_semi")
+    right = _judged(near, line, similarity)
+    best = right.groupBy("id", "item_id").agg(F.max(F.struct(
+        "matched", (~F.col("changed")).alias("same"), (-F.col("lag")).alias("back"), "item_windows")).alias("b"))
     return best.select(
         F.col("id").alias(key), "item_id", (-F.col("b.back")).alias("place"), F.col("b.matched").alias("matched"),
         F.col("b.item_windows").alias("item_windows"), (F.col("b.matched") / F.col("b.item_windows")).alias("similarity"),
-        F.when(F.col("b.same") == 1, "copy").otherwise("reparameterised").alias("kind"))
+        F.when(F.col("b.same"), "copy").otherwise("reparameterised").alias("kind"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

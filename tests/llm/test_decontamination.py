@@ -62,6 +62,25 @@ def test_leaks(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in docs.collect() if r.doc_id not in bad)
 
 
+def test_repeated_windows(spark):
+    # one template window with a number, twice in the item and 1 to 15 words apart
+    rng = random.Random(8)
+    items, texts = [], {}
+    for gap in range(1, 16):
+        filler = [f"w{gap}x{k}" .translate(str.maketrans("0123456789", "abcdefghij")) for k in range(40)]
+        phrase = "holds {} red pens and" if gap >= 6 else "so {} so {} so {} so {} so {} so {}"
+        body = " ".join([*filler[:12], phrase, *filler[12:12 + gap], phrase, *filler[30:]])
+        n = body.count("{}")
+        values = [12 + 7 * k for k in range(n)]
+        items.append((gap, body.format(*values), "x", "y"))
+        texts[100 + gap] = around(rng, items[-1][1])
+        texts[200 + gap] = around(rng, body.format(*[v + 100 for v in values]))
+        texts[300 + gap] = around(rng, body.format(*values[:-1], values[0]))          # two values became one
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.kind for r in decontamination.contaminated(docs, spark.createDataFrame(items, ITEMS)).collect()}
+    assert got == {**{(100 + g, g): "copy" for g in range(1, 16)}, **{(200 + g, g): "reparameterised" for g in range(1, 16)}}
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, QUESTION, "", "")], ITEMS)
     assert decontamination.contaminated(cases.empty(spark), bench).count() == 0
