@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts are turned into templates: lower-case words, with numbers, names and units replaced by typed
-placeholders whose values are kept aside as slots. Windows of ``WINDOW`` template words are hashed and
+placeholders whose values are kept aside as slots. A second template keeps names as words, so that a copy
+in other letter case, where names can't be told, is found all the same. Windows of ``WINDOW`` template words are hashed and
 joined with the benchmark's windows. Matches of one document and item line up on a band of diagonals
 (differences of their places, ``BAND`` wide, every second band shifted by half, so that inserted and
 dropped words do no harm); a band leaks the item if it has a share of at least ``SIMILARITY`` of
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landgrid.llm import common
+from landgrid.llm import common, names
 from landgrid.shared import saved
 
 WINDOW = 5               # template words of a window
@@ -105,7 +106,11 @@ def _cut(data: np.ndarray, low: np.ndarray, edges: np.ndarray) -> tuple[np.ndarr
     within = place % LONGEST
     head = np.flatnonzero(within == 0)
     start = at[head]
-    mixed = np.add.reduceat((low[at].astype(np.uint64) + np.uint64(1)) * _POWERS[within], head) if len(head) else np.zeros(0, np.uint64)
+    folded = low.copy()                                                    # what upper-case letters don't tell apart
+    sharp = np.flatnonzero((low == 0xC3) & (after == 0x9F))                # sharp s, as ss
+    folded[sharp] = folded[np.minimum(sharp + 1, n - 1)] = 115
+    folded[np.minimum(np.flatnonzero((low == 0xCF) & (after == 0x82)) + 1, n - 1)] = 0x83      # final sigma
+    mixed = np.add.reduceat((folded[at].astype(np.uint64) + np.uint64(1)) * _POWERS[within], head) if len(head) else np.zeros(0, np.uint64)
     end = start + np.diff(np.r_[head, len(at)])
     size = 1 + (low[start] >= 0xC0) + (low[start] >= 0xE0) + (low[start] >= 0xF0)      # bytes of the first character
     changed = np.r_[0, np.cumsum(data != low)]
@@ -132,6 +137,7 @@ def _hash_of(word: str) -> int:
 
 
 _UNIT_HASHES = np.sort(np.array([_hash_of(u) for u in UNITS], np.uint64))
+_GIVEN_HASHES = np.sort(np.array([_hash_of(n.lower().replace("ς", "σ")) for group in names.GIVEN.values() for n in group], np.uint64))
 _PLACE = {kind: np.uint64(_hash_of(kind)) for kind in (NUMBER, NAME, UNIT)}
 
 
@@ -145,11 +151,32 @@ class Template:
     row: np.ndarray
 
 
-def templates(data: np.ndarray, low: np.ndarray, offsets: np.ndarray) -> Iterator[Template]:
-    """Templates of texts, some texts at a time; a text is never divided between two.
+def _openers(marks: np.ndarray, row: np.ndarray, asked: np.ndarray, inside: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Which of the capitalised words that open a sentence are names: known given names, and words that
+    their text has capitalised inside sentences at least as often as in small letters."""
+    keys = _stirred(marks ^ (row.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+    out = np.zeros(len(marks), bool)
+    at = np.flatnonzero(asked)
+    out[at] = np.isin(marks[at], _GIVEN_HASHES)
+    table = np.intersect1d(keys[at], keys[inside])
+    if len(table):
+        def counts(flags):
+            found = np.searchsorted(table, keys[flags])
+            found = found[table[np.minimum(found, len(table) - 1)] == keys[flags]]
+            return np.bincount(found, minlength=len(table))
+
+        table_kept = table[counts(inside) >= counts(word)]
+        out[at] |= np.isin(keys[at], table_kept)
+    return out
+
+
+def templates(data: np.ndarray, low: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[Template, Template]]:
+    """Templates of texts with names as placeholders and as words, some texts at a time; a text is never
+    divided between two.
 
     A number is digits with separators; a unit is a sign, or a unit word behind a number; a name is a
-    run of capitalised words (one capital, then small letters) inside a sentence, or of two and more.
+    run of capitalised words (one capital, then small letters) inside a sentence, or of two and more, or
+    one that opens a sentence and is known to be a name (``_openers``).
     """
     for first, last in common.blocks(offsets):
         begin, end = int(offsets[first]), int(offsets[last])
@@ -180,10 +207,13 @@ def templates(data: np.ndarray, low: np.ndarray, offsets: np.ndarray) -> Iterato
         capital = capital & (kind == WORD) & ~unit
         inside = capital & ~opens
         name = inside | capital & np.r_[inside[1:], False]                 # a sentence may begin with a full name
-        marks = np.where(number, _PLACE[NUMBER], np.where(unit, _PLACE[UNIT], np.where(name, _PLACE[NAME], marks)))
+        name |= _openers(marks, row, capital & opens & ~name, inside, (kind == WORD) & ~capital)
+        marks = np.where(number, _PLACE[NUMBER], np.where(unit, _PLACE[UNIT], marks))
+        plain = Template(marks, start, stop, number | unit, row)
+        marks = np.where(name, _PLACE[NAME], marks)
         head = np.flatnonzero(~(name & np.r_[False, name[:-1]] & ~opens))  # a run of capitalised words is one name
         tail = np.r_[head[1:], len(kept)] - 1
-        yield Template(marks[head], start[head], stop[tail], (number | unit | name)[head], row[head])
+        yield Template(marks[head], start[head], stop[tail], (number | unit | name)[head], row[head]), plain
 
 
 def _value(low: np.ndarray, t: Template, k: int) -> str | None:
@@ -194,17 +224,17 @@ def _value(low: np.ndarray, t: Template, k: int) -> str | None:
 def template(text: str) -> list[tuple[str, str | None]]:
     """Template words of a text and the values of their slots."""
     data, low, offsets = _lowered(pa.array([text]))
-    names = {int(v): k for k, v in _PLACE.items()}
-    return [(names.get(int(t.marks[k]), low[t.start[k]:t.end[k]].tobytes().decode(errors="replace")), _value(low, t, k))
-            for t in templates(data, low, offsets) for k in range(len(t.marks))]
+    kinds = {int(v): k for k, v in _PLACE.items()}
+    return [(kinds.get(int(t.marks[k]), low[t.start[k]:t.end[k]].tobytes().decode(errors="replace")), _value(low, t, k))
+            for t, _ in templates(data, low, offsets) for k in range(len(t.marks))]
 
 
-def _hashes(t: Template, window: int) -> tuple[np.ndarray, np.ndarray]:
+def _hashes(t: Template, window: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
     """First words and hashes of the windows that lie in one text."""
     n = len(t.marks) - window + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    mixed = np.zeros(n, np.uint64)
+    mixed = np.full(n, salt, np.uint64)
     for k in range(window):
         mixed = (mixed ^ t.marks[k:n + k]) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(32)
@@ -216,32 +246,40 @@ _SLOT = pa.list_(pa.string())
 
 
 def windows(rows: DataFrame, key: str, text: str, bitmap=None, window: int = WINDOW) -> DataFrame:
-    """``id, window, place, windows, slots`` of every template window (those in the bitmap, if one is given).
+    """``id, plain, window, place, spot, windows, slots`` of every template window (those in the bitmap, if one is given).
 
-    ``windows`` is their number in the text; ``slots`` holds a value for placeholders, null for words.
+    ``plain`` windows have names as words. ``windows`` is their number in the text; ``slots`` holds a value
+    for placeholders, null for words; ``spot`` is the place in the template with names as placeholders.
+    Without a bitmap a text that has no names gives plain windows alone, since whatever matches the
+    others matches these.
     """
-    names = ["id", "window", "place", "windows", "slots"]
+    fields = ["id", "plain", "window", "place", "spot", "windows", "slots"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = None if bitmap is None else bitmap.value
         for batch in batches:
             data, low, offsets = _lowered(batch.column(1))
-            for t in templates(data, low, offsets):
-                at, found = _hashes(t, window)
-                begin = np.searchsorted(t.row, t.row[at])                       # first template word of the text
-                totals = np.searchsorted(t.row, t.row[at], side="right") - begin - window + 1
-                if wanted is not None:
-                    bits = (found >> np.uint64(64 - BITS)).astype(np.int64)
-                    hit = np.flatnonzero(wanted[bits >> 3] >> (bits & 7).astype(np.uint8) & 1)
-                    at, found, begin, totals = at[hit], found[hit], begin[hit], totals[hit]
-                values = [[_value(low, t, k + j) for j in range(window)] for k in at.tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(t.row[at])), pa.array(found.view(np.int64)), pa.array(at - begin),
-                     pa.array(totals.astype(np.int64)), pa.array(values, _SLOT)], names=names)
+            for named, plain in templates(data, low, offsets):
+                for t in (named, plain):
+                    at, found = _hashes(t, window, t is plain)
+                    if wanted is None and t is named:
+                        hit = np.flatnonzero(np.isin(t.row[at], t.row[t.marks == _PLACE[NAME]]))
+                        at, found = at[hit], found[hit]
+                    if wanted is not None:
+                        bits = (found >> np.uint64(64 - BITS)).astype(np.int64)
+                        hit = np.flatnonzero(wanted[bits >> 3] >> (bits & 7).astype(np.uint8) & 1)
+                        at, found = at[hit], found[hit]
+                    begin = np.searchsorted(t.row, t.row[at])                   # first template word of the text
+                    totals = np.searchsorted(t.row, t.row[at], side="right") - begin - window + 1
+                    spot = np.searchsorted(named.start, t.start[at], side="right") - 1 - np.searchsorted(named.row, t.row[at])
+                    values = [[_value(low, t, k + j) for j in range(window)] for k in at.tolist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(t.row[at])), pa.array(np.full(len(at), t is plain)), pa.array(found.view(np.int64)),
+                         pa.array(at - begin), pa.array(spot), pa.array(totals.astype(np.int64)), pa.array(values, _SLOT)], names=fields)
 
     kind = rows.schema[key].dataType.simpleString()
     return rows.select(F.col(key).alias("id"), F.col(text).alias("source")).mapInArrow(
-        run, f"id {kind}, window bigint, place bigint, windows bigint, slots array<string>")
+        run, f"id {kind}, plain boolean, window bigint, place bigint, spot bigint, windows bigint, slots array<string>")
 
 
 def _bitmap(marks: DataFrame):
@@ -292,7 +330,7 @@ def _chain(places: list[int], items: list[int], cost: float) -> list[int]:
 
 
 def _aligned(places: list[int], items: list[int], slots: list, item_slots: list, needed: int) -> list[tuple[int, int, bool]]:
-    """``(matches, lag of the first, whether values differ)`` of every alignment with consistent slots.
+    """``(matches, the first hit, whether values differ)`` of every alignment with consistent slots.
 
     An alignment takes each place once, so a window that occurs again in the item is not held against
     its other occurrence. Short detours are left out at first, and taken in if slots disagree or matches
@@ -306,7 +344,7 @@ def _aligned(places: list[int], items: list[int], slots: list, item_slots: list,
             pairs = {(m, t) for k in chain for m, t in zip(slots[k], item_slots[k]) if m is not None and t is not None}
             changed = any(m != t for m, t in pairs)
             if len(chain) >= needed and (not changed or len(pairs) == len({m for m, _ in pairs}) == len({t for _, t in pairs})):
-                out.append((len(chain), places[chain[0]] - items[chain[0]], changed))
+                out.append((len(chain), chain[0], changed))
                 break
         if len(chain) < needed:
             break
@@ -316,8 +354,8 @@ def _aligned(places: list[int], items: list[int], slots: list, item_slots: list,
 
 
 def _judged(hits: DataFrame, line: list[str], similarity: float) -> DataFrame:
-    """``id, item_id, item_windows, matched, lag, changed`` of the alignments found in each line's hits."""
-    names = ["id", "item_id", "item_windows", "matched", "lag", "changed"]
+    """``id, item_id, item_windows, matched, base, changed`` of the alignments found in each line's hits."""
+    fields = ["id", "item_id", "item_windows", "matched", "base", "changed"]
     kinds = {f.name: f.dataType.simpleString() for f in hits.schema.fields}
 
     def run(table: pa.Table) -> pa.Table:
@@ -328,13 +366,14 @@ def _judged(hits: DataFrame, line: list[str], similarity: float) -> DataFrame:
         lags, items, slots, item_slots = zip(*distinct)
         total = table["item_windows"][0].as_py()
         found = _aligned([a + b for a, b in zip(lags, items)], list(items), slots, item_slots, _needed(total, similarity))
-        matched, lag, changed = zip(*found) if found else ((), (), ())
-        first = pa.array([0] * len(found), pa.int64())
+        matched, first, changed = zip(*found) if found else ((), (), ())
+        rows = list(distinct.values())
+        first = pa.array([rows[k] for k in first], pa.int64())
         return pa.table([table["id"].take(first), table["item_id"].take(first), table["item_windows"].take(first), pa.array(matched, pa.int64()),
-                         pa.array(lag, pa.int64()), pa.array(changed, pa.bool_())], names=names)
+                         table["base"].take(first), pa.array(changed, pa.bool_())], names=fields)
 
     return hits.groupBy(*line).applyInArrow(
-        run, f"id {kinds['id']}, item_id {kinds['item_id']}, item_windows bigint, matched bigint, lag bigint, changed boolean")
+        run, f"id {kinds['id']}, item_id {kinds['item_id']}, item_windows bigint, matched bigint, base bigint, changed boolean")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
@@ -348,22 +387,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     items = benchmark.select("item_id", F.col("text").alias("text")).filter("item_id is not null and text is not null")
     items = items.groupBy("item_id").agg(F.min("text").alias("text"))
     asked = saved(windows(items, "item_id", "text", window=window).withColumnsRenamed(
-        {"id": "item_id", "place": "item_place", "windows": "item_windows", "slots": "item_slots"}))
-    found = windows(docs, key, text, _bitmap(asked), window).select("id", "window", "place", "slots")
+        {"id": "item_id", "place": "item_place", "spot": "item_spot", "windows": "item_windows", "slots": "item_slots"}))
+    found = windows(docs, key, text, _bitmap(asked), window).select("id", "plain", "window", "place", "spot", "slots")
     lag = F.col("place") - F.col("item_place")
     bands = F.array(F.floor(lag / BAND) * 2, F.floor((lag + BAND // 2) / BAND) * 2 + 1)
-    pairs = found.join(asked, "window").withColumn("lag", lag).withColumn("band", F.explode(bands))
-    hits = saved(pairs.select("id", "item_id", "band", "lag", "item_place", "item_windows", "slots", "item_slots"))
-    line = ["id", "item_id", "band"]
+    pairs = found.join(asked, ["plain", "window"]).withColumn("lag", lag).withColumn("band", F.explode(bands))
+    hits = saved(pairs.select("id", "item_id", "plain", "band", "lag", (F.col("spot") - F.col("item_spot")).alias("base"), "item_place", "item_windows", "slots", "item_slots"))
+    line = ["id", "item_id", "plain", "band"]
     lines = (hits.groupBy(*line).agg(F.countDistinct("item_place").alias("matched"), F.first("item_windows").alias("item_windows"))
              .filter(F.col("matched") >= F.ceil(F.lit(similarity) * F.col("item_windows") - 1e-9)))
     near = hits.join(lines.select(*line), [hits[c].eqNullSafe(lines[c]) for c in line], "left_semi")
     right = _judged(near, line, similarity)
     best = right.groupBy("id", "item_id").agg(F.max(F.struct(
-        "matched", (~F.col("changed")).alias("same"), (-F.col("lag")).alias("back"), "item_windows")).alias("b"))
+        (F.col("matched") / F.col("item_windows")).alias("similarity"), (~F.col("changed")).alias("same"),
+        (-F.col("base")).alias("back"), "matched", "item_windows")).alias("b"))
     return best.select(
         F.col("id").alias(key), "item_id", (-F.col("b.back")).alias("place"), F.col("b.matched").alias("matched"),
-        F.col("b.item_windows").alias("item_windows"), (F.col("b.matched") / F.col("b.item_windows")).alias("similarity"),
+        F.col("b.item_windows").alias("item_windows"), F.col("b.similarity").alias("similarity"),
         F.when(F.col("b.same"), "copy").otherwise("reparameterised").alias("kind"))
 
 

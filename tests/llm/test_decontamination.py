@@ -81,6 +81,25 @@ def test_repeated_windows(spark):
     assert got == {**{(100 + g, g): "copy" for g in range(1, 16)}, **{(200 + g, g): "reparameterised" for g in range(1, 16)}}
 
 
+def test_letter_case(spark):
+    german = ("Die Straße vor dem Haus hat 12 Bäume und jeder Baum trägt 30 Äpfel für die Kinder der Schule am Markt. "
+              "Wie viele Äpfel haben die Kinder der Schule im Sommer")
+    clips = ("Natalia sold 48 clips to her friends in spring. Then in May she saw that Natalia had half as many clips left. "
+             "Natalia gives 12 clips away to Peter. Natalia keeps the rest at home")
+    items = [(1, QUESTION, "x", "y"), (2, german, "x", "y"), (3, clips, "x", "y")]
+    texts = {10 * k + j: case(t) for k, t, _, _ in items for j, case in enumerate([str.upper, str.lower, str.title])}
+    texts[40] = around(random.Random(9), clips.replace("Natalia", "Zorica").replace("48", "52"))
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.kind for r in decontamination.contaminated(docs, spark.createDataFrame(items, ITEMS)).collect()}
+    assert got == {**{(10 * k + j, k): "copy" for k in (1, 2, 3) for j in range(3)}, (40, 3): "reparameterised"}
+
+
+def test_names_that_open_sentences():
+    words = [w for w, _ in decontamination.template("Zorica runs. The dog saw the mouse, the cat saw Zorica. The Shop saw The Cat. Emily ran. The End. The cat ran. Zoric ran.")]
+    assert words == ["<name>", "runs", "the", "dog", "saw", "the", "mouse", "the", "cat", "saw", "<name>", "<name>", "saw", "<name>",
+                     "<name>", "ran", "<name>", "the", "cat", "ran", "zoric", "ran"]
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, QUESTION, "", "")], ITEMS)
     assert decontamination.contaminated(cases.empty(spark), bench).count() == 0
