@@ -6,34 +6,32 @@ from __future__ import annotations
 GIVEN = {
     ("latin", "f"): """
 Mary Anna Maria Emma Sophie Julia Laura Elena Lucia Camille Chloe Ingrid Sarah Linda Patricia Jennifer Elizabeth Susan Marie Claire
-Emily Olivia Ava Sophia Isabella Charlotte Amelia Mia Evelyn Abigail Ella Avery Scarlett Madison Luna Layla Penelope Riley Zoey Nora
-Hannah Lillian Addison Eleanor Natalie Natalia Natasha Savannah Audrey Brooklyn Claudia Stella Victoria Caroline Alice Alicia Amanda
-Amber Amy Andrea Angela Angelica Ann Anne Annie Barbara Beatrice Bella Bernadette Bethany Betty Beverly Bianca Brenda Bridget Brittany
+Emily Olivia Ava Sophia Isabella Charlotte Amelia Mia Evelyn Abigail Ella Avery Scarlett Luna Layla Penelope Riley Zoey Nora
+Hannah Lillian Addison Eleanor Natalie Natalia Natasha Audrey Claudia Stella Victoria Caroline Alice Alicia Amanda
+Amy Andrea Angela Angelica Ann Anne Annie Barbara Beatrice Bella Bernadette Bethany Betty Beverly Bianca Brenda Bridget Brittany
 Carla Carmen Carol Carolina Catherine Cathy Cecilia Celine Charlene Cheryl Christina Christine Cindy Clara Claudine Colleen Connie
-Courtney Crystal Cynthia Daniela Danielle Deborah Debra Delia Denise Diana Diane Dolores Donna Dora Doris Dorothy Edith Eileen Elaine
-Elisa Elise Ellen Elsa Erica Erika Esther Eva Fatima Felicia Fernanda Fiona Florence Frances Francesca Gabriela Gabrielle Georgia
-Geraldine Gertrude Giulia Gloria Greta Gwendolyn Heather Heidi Helen Helena Helga Henrietta Ida Ines Irene Isabel Isabelle Jacqueline
+Courtney Cynthia Daniela Danielle Deborah Debra Delia Denise Diana Diane Dolores Donna Dora Doris Dorothy Edith Eileen Elaine
+Elisa Elise Ellen Elsa Erica Erika Esther Eva Fatima Felicia Fernanda Fiona Frances Francesca Gabriela Gabrielle Geraldine Gertrude Giulia Gloria Greta Gwendolyn Heather Heidi Helen Helena Helga Henrietta Ida Ines Irene Isabel Isabelle Jacqueline
 Jana Jane Janet Janice Jasmine Jean Jeanne Jessica Jill Joan Joanna Josephine Joyce Juanita Judith Judy Julie Juliet Karen Karin Katarina
 Kate Katherine Kathleen Kathryn Katie Katrin Kayla Kelly Kimberly Kirsten Kristen Kristin Lara Lauren Leah Lena Leonie Leticia Lisa
 Lois Louisa Louise Lucy Lydia Madeleine Magdalena Manuela Margaret Margarita Margot Marianne Marina Marion Marta Martha Martina
 Matilda Megan Melanie Melissa Mercedes Michelle Mildred Miriam Molly Monica Monika Monique Nadia Nadine Nancy Naomi Nicole Nina Noemi
 Olga Pamela Paula Pauline Petra Phyllis Priya Rachel Rebecca Regina Renate Rita Roberta Rosa Rosalie Rosemary Ruth Sabine Sabrina
 Samantha Sandra Sara Sharon Sheila Shirley Silvia Simone Sofia Sonia Stefanie Stephanie Susanne Suzanne Svetlana Sylvia Tamara Tanya
-Tatiana Teresa Theresa Tiffany Tina Tracy Ursula Valentina Valerie Vanessa Vera Veronica Virginia Vivian Wanda Wendy Yolanda Yvonne Zoe
+Tatiana Teresa Theresa Tiffany Tina Tracy Ursula Valentina Valerie Vanessa Vera Veronica Vivian Wanda Wendy Yolanda Yvonne Zoe
 Aisha Amina Ayesha Layan Leila Mariam Noor Zainab Mei Sakura Yuki Yuko Ananya Deepa Kavita Lakshmi Pooja Sunita Anjali
 """.split(),
     ("latin", "m"): """
 John James Robert Michael David William Thomas Daniel Paul Peter Pierre Louis Hans Klaus Carlos Juan Miguel Antonio Charles
 Aaron Adam Adrian Alan Albert Alberto Alejandro Alex Alexander Alfred Alfredo Allen Andre Andreas Andrew Andy Angelo Anthony Arnold
-Arthur Axel Barry Benjamin Bernard Bernd Bob Brandon Brian Bruce Bruno Bryan Calvin Carl Cesar Christian Christoph Christopher Clarence
+Arthur Axel Barry Benjamin Bernard Bernd Bob Brandon Brian Bruce Bruno Bryan Calvin Carl Cesar Christoph Christopher Clarence
 Claude Claudio Clifford Craig Curtis Dale Darren Dennis Derek Diego Dietmar Dieter Dirk Dominic Donald Douglas Duncan Dylan Edgar
 Eduardo Edward Edwin Elias Emil Emilio Emmanuel Enrique Eric Erik Ernest Ernst Ethan Eugene Evan Felipe Felix Fernando Florian
 Francesco Francis Francisco Francois Franz Fred Frederick Friedrich Fritz Gabriel Gareth Gary Geoffrey George Georg Gerald Gerhard
 Giovanni Giuseppe Glenn Gordon Graham Greg Gregory Guido Guillaume Gustavo Harold Harry Harvey Hector Heinrich Heinz Helmut Henri Henry
-Herbert Herman Howard Hugo Ian Ignacio Isaac Ivan Jacob Jacques Jakob Jamal Jan Jason Javier Jeff Jeffrey Jeremy Jerome Jesse Jesus
-Joachim Joaquin Joel Johann Johannes Johnny Jonathan Jordan Jorge Jose Joseph Joshua Juergen Julian Julien Julio Justin Karl Keith
+Herbert Herman Howard Hugo Ian Ignacio Isaac Ivan Jacob Jacques Jakob Jamal Jan Jason Javier Jeff Jeffrey Jeremy Jerome Jesse Joachim Joaquin Joel Johann Johannes Johnny Jonathan Jorge Jose Joseph Joshua Juergen Julian Julien Julio Justin Karl Keith
 Kenneth Kevin Kurt Kyle Larry Laurent Lawrence Leo Leon Leonard Leonardo Leroy Liam Logan Lorenzo Lucas Luca Luigi Luis Lukas Luke Manfred
-Manuel Marc Marcel Marco Marcus Mario Markus Martin Mason Mateo Matteo Matthew Matthias Maurice Max Maximilian Melvin Mohamed Mohammed
+Manuel Marc Marcel Marco Marcus Mario Markus Martin Mateo Matteo Matthew Matthias Maurice Max Maximilian Melvin Mohamed Mohammed
 Muhammad Nathan Nathaniel Neil Nicholas Nicolas Niklas Noah Norbert Norman Oliver Olivier Omar Oscar Oskar Otto Owen Pablo Patrick Pedro
 Philip Philippe Phillip Rafael Ralph Ramon Raul Raymond Reinhard Rene Ricardo Richard Roberto Rodrigo Roger Roland Ronald Ruben Rudolf
 Russell Ryan Salvador Samuel Scott Sean Sebastian Sergio Seth Simon Stanley Stefan Stephan Stephen Steve Steven Stuart Sven Terry Theodore

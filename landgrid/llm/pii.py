@@ -21,20 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landgrid.llm import common
+from landgrid.llm.names import GIVEN
 from landgrid.shared import saved
 
 KEY = b"change this key for each release of a corpus"
 DRAWS = 40               # attempts after which the space of a format counts as exhausted
 
-# fixed values: given names by script and gender, from public name statistics
-GIVEN = {
-    ("latin", "f"): "Mary Anna Maria Emma Sophie Julia Laura Elena Lucia Camille Chloe Ingrid Sarah Linda Patricia Jennifer Elizabeth Susan Marie Claire".split(),
-    ("latin", "m"): "John James Robert Michael David William Thomas Daniel Paul Peter Pierre Louis Hans Klaus Carlos Juan Miguel Antonio Jean Charles".split(),
-    ("cyrillic", "f"): "Анна Мария Елена Ольга Наталья Татьяна Ирина Светлана".split(),
-    ("cyrillic", "m"): "Иван Сергей Александр Дмитрий Андрей Алексей Михаил Николай".split(),
-    ("greek", "f"): "Μαρία Ελένη Αικατερίνη Βασιλική Σοφία Αγγελική".split(),
-    ("greek", "m"): "Γεώργιος Δημήτριος Κωνσταντίνος Ιωάννης Νικόλαος Χρήστος".split(),
-}
+# fixed values: words before a name, and small words inside one
+TITLES = """Mr Mrs Ms Miss Mx Dr Prof Professor Doctor Sir Herr Frau Madame Mme Monsieur Señor Señora Signor Signora
+Господин Госпожа Г-н Г-жа Κύριος Κυρία""".split()
+PARTICLES = "van von de da del della di la le der den du dos bin ibn al el ten ter zu".split()
 # fixed values: what surrogate names are put together from
 STEMS = {"latin": "al ber cor dan el fer gal hol is jor kel lor mar nor or per ros sal tor val".split(),
          "cyrillic": "ал бор вел гор дар ев зор ил кор лад мир нор ол рад сав тор".split(),
@@ -43,6 +39,7 @@ ENDINGS = {("latin", "f"): ["a", "ine", "elle"], ("latin", "m"): ["us", "in", "a
            ("cyrillic", "f"): ["а", "ина"], ("cyrillic", "m"): ["ан", "ор"], ("cyrillic", ""): ["енко", "ич"],
            ("greek", "f"): ["α", "η"], ("greek", "m"): ["ος", "ης"], ("greek", ""): ["ίδης", "άκης"]}
 _GENDER = {name: kind for kind, names in GIVEN.items() for name in names}
+_GENDER |= {name.upper(): kind for name, kind in _GENDER.items()}
 _SCRIPTS = (("cyrillic", "Ѐ", "ӿ"), ("greek", "Ͱ", "Ͽ"))
 
 _CAPITAL = "A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫЀ-Я"
@@ -56,7 +53,16 @@ _PATTERNS = [
     ("card", re.compile(r"(?<!\w)\d(?:[ -]?\d){12,18}(?!\w)", re.A)),
 ]
 _DIGIT = re.compile(r"\d", re.A)
-_NAME = re.compile(rf"(?<!\w)[{_CAPITAL}][{_SMALL}]+(?:[ -][{_CAPITAL}][{_SMALL}]+)*(?!\w)")
+# a word of a name: O'Brien, McDonald, Smith, SMITH; between words: a hyphen, or blanks with initials and particles
+_FORM = rf"(?:[{_CAPITAL}]['’](?=[{_CAPITAL}]))?[{_CAPITAL}](?:[{_SMALL}]+(?:[{_CAPITAL}][{_SMALL}]+)*|[{_CAPITAL}]+)"
+_INITIALS = rf"(?:[{_CAPITAL}]\. ?|[{_CAPITAL}] )"
+_WORD = re.compile(rf"(?<![\w'’]){_FORM}(?!\w)")
+_NAME = re.compile(rf"(?<![\w'’]){_FORM}(?:(?:-| (?:{_INITIALS}|(?:{'|'.join(PARTICLES)}) )*){_FORM})*(?!\w)")
+_LEAD = re.compile(rf"{_INITIALS}+")
+_BACK = re.compile(rf"(?<!\w){_INITIALS}+$")
+_TITLE = re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\.? $")
+_CELTIC = re.compile(rf"O['’][{_CAPITAL}]|Mc[{_CAPITAL}]|MC[{_CAPITAL}]{{3}}")
+_TURNED = re.compile(rf"(?<![\w'’])({_FORM}(?:[ -]{_FORM})?), ({_FORM})(?: [{_CAPITAL}]\.?)?(?!\w)")
 
 
 def _luhn(digits: str) -> bool:
@@ -71,6 +77,63 @@ def _script(word: str) -> str:
     return next((name for name, low, high in _SCRIPTS if low <= word[0] <= high), "latin")
 
 
+def _surname(text: str, start: int, end: int) -> tuple[int, int, str, str]:
+    """A name's word with the initials before it."""
+    lead = _BACK.search(text, max(0, start - 12), start)
+    return lead.start() if lead else start, end, f"name/{_script(text[start:])}/", text[start:end].lower().replace("’", "'")
+
+
+def _names(text: str) -> list[tuple[int, int, str, str]]:
+    """Words of names, as evidence shows them: a listed given name or a title before them, the forms O'..., Mc...
+    and SURNAME, GIVEN; what is known as a surname is one at its bare mentions in the text, too."""
+    found: dict[int, tuple[int, int, str, str]] = {}
+    for m in _NAME.finditer(text):
+        words = [(m.start() + w.start(), m.start() + w.end(), w.group()) for w in re.finditer(_FORM, m.group())]
+        given = next((k for k, w in enumerate(words) if w[2] in _GENDER and not (w[2].isupper() and len(w[2]) < 4 and len(words) == 1)), None)
+        titled = 0 if _TITLE.search(text, max(0, m.start() - 12), m.start()) else next(
+            (k + 1 for k, w in enumerate(words[:-1]) if w[2] in TITLES), None)
+        first = min((k for k in (given, titled) if k is not None), default=None)
+        if first is None:
+            first = next((k for k, w in enumerate(words) if _CELTIC.match(w[2])), None)
+            if first is None:
+                continue
+            words = words[:first + 1]
+        if words[first][2].isupper() and len(words) > 3:                   # text in capitals: a name ends with its surname
+            last = first
+            while last + 1 < len(words) and words[last][2] in _GENDER:
+                last += 1
+            words = words[:last + 1]
+        for start, end, word in words[first:]:
+            if word in _GENDER:
+                script, gender = _GENDER[word]
+                found[start] = (start, end, f"name/{script}/{gender}", word.lower())
+            elif word not in TITLES:
+                found[start] = _surname(text, start, end)
+    for m in _TURNED.finditer(text):
+        if m.group(2) not in _GENDER:
+            continue
+        before, behind = text[:m.start()].rstrip(" ")[-1:], text[m.end():].lstrip(" ")[:1]
+        alone = before in "\n;:(|\t\"" and behind in "\n;,.)|\t\""        # a field or line of its own ('' is in every text)
+        words = list(re.finditer(_FORM, m.group(1)))
+        if not alone:                                     # in running text the surname stands out by its capitals
+            words = [w for k, w in enumerate(words) if all(x.group().isupper() for x in words[k:])]
+            at = m.start() + words[0].start() if words else m.start()
+            near = [w.strip(".,;:()\"") for w in (text[max(0, at - 40):at].split()[-1:] + text[m.end():m.end() + 40].split()[:1])]
+            words = [] if any(w.isupper() and len(w) > 1 for w in near) else words
+        for w in words:
+            start, end = m.start() + w.start(), m.start() + w.end()
+            if start not in found:
+                found[start] = (start, end, f"name/{_script(w.group())}/", w.group().lower().replace("’", "'"))
+    known = {f[3]: f[2] for f in found.values() if f[2].endswith("/")}
+    known = {n: k for n, k in known.items() if not re.search(rf"(?<!\w){re.escape(n)}(?!\w)", text)}      # not if it is a word, too
+    if known:
+        taken = {f[1] for f in found.values()}
+        for w in _WORD.finditer(text):
+            if w.end() not in taken and w.group().lower().replace("’", "'") in known:
+                found[w.start()] = _surname(text, w.start(), w.end())
+    return list(found.values())
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, normal form)`` of the entities of a text, without overlaps; earlier kinds win."""
     found: list[tuple[int, int, str, str]] = []
@@ -83,16 +146,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
                 plain = value if kind == "ip" else "".join(c for c in value if c.isalnum())
                 if kind != "phone" or 7 <= len(plain) <= 15:
                     found.append((m.start(), m.end(), kind, plain))
-    for m in _NAME.finditer(text):
-        words = [w for w in re.finditer(r"[^ -]+", m.group())]
-        given = next((k for k, w in enumerate(words) if w.group() in _GENDER), None)
-        if given is None:
-            continue
-        script, gender = _GENDER[words[given].group()]
-        for k, w in enumerate(words[given:]):
-            first = k == 0 or w.group() in _GENDER
-            g = _GENDER[w.group()][1] if first else ""
-            found.append((m.start() + w.start(), m.start() + w.end(), f"name/{script}/{g}", w.group().lower()))
+    found += _names(text)
     rank = {kind: k for k, (kind, _) in enumerate(_PATTERNS)}
     out: list[tuple[int, int, str, str]] = []
     taken: list[tuple[int, int]] = []
@@ -164,7 +218,11 @@ def surrogate(key: bytes, kind: str, normal: str, attempt: int) -> str:
 def dressed(kind: str, original: str, normal: str, fake: str) -> str:
     """The replacement's normal form in the written form of a mention."""
     if kind.startswith("name/"):
-        return fake[0].upper() + fake[1:]
+        lead = _LEAD.match(original)                      # initials follow the surrogate's letters
+        lead, body = (lead.group(), original[lead.end():]) if lead else ("", original)
+        letters = iter(fake.upper() * len(original))
+        lead = "".join(next(letters) if c.isalpha() else c for c in lead)
+        return lead + (fake.upper() if body.isupper() else fake[0].upper() + fake[1:])
     if kind == "email":
         if original.upper() == original:
             return fake.upper()
@@ -181,7 +239,7 @@ def dressed(kind: str, original: str, normal: str, fake: str) -> str:
 
 
 def _normal(kind: str, original: str, written: str) -> str:
-    return written.lower() if kind == "email" or kind.startswith("name/") else written if kind == "ip" else "".join(c for c in written if c.isalnum())
+    return written.lower() if kind == "email" else written if kind == "ip" else "".join(c for c in written if c.isalnum())
 
 
 def rewritten(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str, list[dict]]:
@@ -220,7 +278,8 @@ def _drawn(entities: DataFrame, key: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kinds, normals, forms, attempts = (c.to_pylist() for c in batch.columns)
-            fakes = [_normal(k, f, dressed(k, f, n, surrogate(key, k, n, a))) for k, n, f, a in zip(kinds, normals, forms, attempts)]
+            fakes = [x if k.startswith("name/") else _normal(k, f, dressed(k, f, n, x)) for k, f, n, x in (
+                (k, f, n, surrogate(key, k, n, a)) for k, n, f, a in zip(kinds, normals, forms, attempts))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fakes, pa.string())], names=["kind", "normal", "form", "attempt", "fake"])
 
     return entities.select("kind", "normal", "form", "attempt").mapInArrow(
