@@ -143,12 +143,14 @@ _PLACE = {kind: np.uint64(_hash_of(kind)) for kind in (NUMBER, NAME, UNIT)}
 
 @dataclass
 class Template:
-    """Template words of some texts: hash, place in the bytes, whether a placeholder, and the text's row."""
+    """Template words of some texts: hash, place in the bytes, whether a placeholder, the text's row, and
+    whether a line begins there."""
     marks: np.ndarray
     start: np.ndarray
     end: np.ndarray
     held: np.ndarray
     row: np.ndarray
+    line: np.ndarray
 
 
 def _openers(marks: np.ndarray, row: np.ndarray, asked: np.ndarray, inside: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -200,6 +202,9 @@ def templates(data: np.ndarray, low: np.ndarray, offsets: np.ndarray) -> Iterato
         if not len(kept):
             continue
         same = np.r_[False, row[1:] == row[:-1]]
+        at = start - int(offsets[first])                                   # lines that end before a word
+        breaks = np.cumsum(low[int(offsets[first]):int(offsets[last])] == 10)[at]
+        line = ~same | np.r_[True, breaks[1:] > breaks[:-1]]
         number = kind == DIGITS
         behind = np.flatnonzero(np.r_[False, number[:-1]] & same & (kind == WORD))
         unit = kind == SIGN
@@ -209,11 +214,11 @@ def templates(data: np.ndarray, low: np.ndarray, offsets: np.ndarray) -> Iterato
         name = inside | capital & np.r_[inside[1:], False]                 # a sentence may begin with a full name
         name |= _openers(marks, row, capital & opens & ~name, inside, (kind == WORD) & ~capital)
         marks = np.where(number, _PLACE[NUMBER], np.where(unit, _PLACE[UNIT], marks))
-        plain = Template(marks, start, stop, number | unit, row)
+        plain = Template(marks, start, stop, number | unit, row, line)
         marks = np.where(name, _PLACE[NAME], marks)
         head = np.flatnonzero(~(name & np.r_[False, name[:-1]] & ~opens))  # a run of capitalised words is one name
         tail = np.r_[head[1:], len(kept)] - 1
-        yield Template(marks[head], start[head], stop[tail], (number | unit | name)[head], row[head]), plain
+        yield Template(marks[head], start[head], stop[tail], (number | unit | name)[head], row[head], line[head]), plain
 
 
 def _value(low: np.ndarray, t: Template, k: int) -> str | None:
@@ -242,6 +247,18 @@ def _hashes(t: Template, window: int, salt: int) -> tuple[np.ndarray, np.ndarray
     return inside, mixed[inside]
 
 
+def _short(t: Template, window: int, salt: int, lines: bool) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """First words, hashes and length of whole texts of fewer words than a window; or, if ``lines``, of
+    runs of as many words that are one or more whole lines."""
+    ends = np.r_[t.line[1:], True]
+    opens = np.r_[True, t.row[1:] != t.row[:-1]]
+    edges, closes = (t.line, ends) if lines else (opens, np.r_[opens[1:], True])
+    for size in range(1, min(window, len(t.marks) + 1)):
+        at, found = _hashes(t, size, salt + 2 * size)
+        kept = edges[at] & closes[at + size - 1]
+        yield at[kept], found[kept], size
+
+
 _SLOT = pa.list_(pa.string())
 
 
@@ -250,6 +267,7 @@ def windows(rows: DataFrame, key: str, text: str, bitmap=None, window: int = WIN
 
     ``plain`` windows have names as words. ``windows`` is their number in the text; ``slots`` holds a value
     for placeholders, null for words; ``spot`` is the place in the template with names as placeholders.
+    A text of fewer words than a window has one, over all of it; it is held against whole lines of others.
     Without a bitmap a text that has no names gives plain windows alone, since whatever matches the
     others matches these.
     """
@@ -260,8 +278,8 @@ def windows(rows: DataFrame, key: str, text: str, bitmap=None, window: int = WIN
         for batch in batches:
             data, low, offsets = _lowered(batch.column(1))
             for named, plain in templates(data, low, offsets):
-                for t in (named, plain):
-                    at, found = _hashes(t, window, t is plain)
+                for t, (at, found, size) in ((t, w) for t in (named, plain) for w in (
+                        (*_hashes(t, window, t is plain), window), *_short(t, window, t is plain, bitmap is not None))):
                     if wanted is None and t is named:
                         hit = np.flatnonzero(np.isin(t.row[at], t.row[t.marks == _PLACE[NAME]]))
                         at, found = at[hit], found[hit]
@@ -270,9 +288,9 @@ def windows(rows: DataFrame, key: str, text: str, bitmap=None, window: int = WIN
                         hit = np.flatnonzero(wanted[bits >> 3] >> (bits & 7).astype(np.uint8) & 1)
                         at, found = at[hit], found[hit]
                     begin = np.searchsorted(t.row, t.row[at])                   # first template word of the text
-                    totals = np.searchsorted(t.row, t.row[at], side="right") - begin - window + 1
+                    totals = np.searchsorted(t.row, t.row[at], side="right") - begin - size + 1
                     spot = np.searchsorted(named.start, t.start[at], side="right") - 1 - np.searchsorted(named.row, t.row[at])
-                    values = [[_value(low, t, k + j) for j in range(window)] for k in at.tolist()]
+                    values = [[_value(low, t, k + j) for j in range(size)] for k in at.tolist()]
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array(t.row[at])), pa.array(np.full(len(at), t is plain)), pa.array(found.view(np.int64)),
                          pa.array(at - begin), pa.array(spot), pa.array(totals.astype(np.int64)), pa.array(values, _SLOT)], names=fields)
@@ -343,6 +361,8 @@ def _aligned(places: list[int], items: list[int], slots: list, item_slots: list,
             chain = [order[k] for k in _chain([places[k] for k in order], [items[k] for k in order], cost)]
             pairs = {(m, t) for k in chain for m, t in zip(slots[k], item_slots[k]) if m is not None and t is not None}
             changed = any(m != t for m, t in pairs)
+            if changed and all(None not in item_slots[k] for k in chain):
+                break                                     # placeholders alone tell nothing
             if len(chain) >= needed and (not changed or len(pairs) == len({m for m, _ in pairs}) == len({t for _, t in pairs})):
                 out.append((len(chain), chain[0], changed))
                 break
@@ -381,8 +401,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     """``key, item_id, place, matched, item_windows, similarity, kind`` of every leaked item.
 
     ``place`` is the template word in the document where the item begins (the first, of several
-    places). ``kind`` is ``copy`` or ``reparameterised``. An item with fewer words than a window can't
-    leak as part of a longer text and is left out. Items of equal id count once, as the first by text.
+    places). ``kind`` is ``copy`` or ``reparameterised``. An item with fewer words than a window leaks as
+    whole lines, not inside one; of an item of placeholders alone only copies count. Items of equal id count once, as the first by text.
     """
     items = benchmark.select("item_id", F.col("text").alias("text")).filter("item_id is not null and text is not null")
     items = items.groupBy("item_id").agg(F.min("text").alias("text"))

@@ -100,6 +100,15 @@ def test_names_that_open_sentences():
                      "<name>", "ran", "<name>", "the", "cat", "ran", "zoric", "ran"]
 
 
+def test_short_items(spark):
+    items = [(1, "What is 12 + 30?", "x", "y"), (2, "Anna Smith", "x", "y"), (3, "Wie heißt\nsie?", "x", "y"), (4, "?!", "x", "y")]
+    texts = {1: "What is 12 + 30?", 2: "WHAT IS 12 + 30", 3: "what is 7 + 8?", 4: "Some words come first.\nWhat is 12 + 30?\nAnd some words follow",
+             5: "What is 12 + 30 of these", 6: "anna smith", 7: "Ben Jones", 8: "First\nWIE HEISST\nSIE\n", 9: "what is 5 + 5"}
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.kind for r in decontamination.contaminated(docs, spark.createDataFrame(items, ITEMS)).collect()}
+    assert got == {(1, 1): "copy", (2, 1): "copy", (3, 1): "reparameterised", (4, 1): "copy", (6, 2): "copy", (8, 3): "copy"}
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, QUESTION, "", "")], ITEMS)
     assert decontamination.contaminated(cases.empty(spark), bench).count() == 0
