@@ -3,10 +3,10 @@
 Texts are turned into templates: lower-case words, with numbers, names and units replaced by typed
 placeholders whose values are kept aside as slots. A second template keeps names as words, so that a copy
 in other letter case, where names can't be told, is found all the same. Windows of ``WINDOW`` template words are hashed and
-joined with the benchmark's windows. Matches of one document and item line up on a band of diagonals
-(differences of their places, ``BAND`` wide, every second band shifted by half, so that inserted and
-dropped words do no harm); a band leaks the item if it has a share of at least ``SIMILARITY`` of
-the item's windows in an alignment, an order in which places rise on both sides, whose slots are
+joined with the benchmark's windows. Matches of one document and item are taken by stretches of the
+document, whose length follows the item's (every second stretch shifted by half, so that all matches
+within half a stretch are in one); a stretch leaks the item if it has a share of at least ``SIMILARITY``
+of the item's windows in an alignment, wherever words are inserted or dropped:  an order in which places rise on both sides, whose slots are
 consistent: each value of the item stands for one value in the document and the other way round. Equal values are a copy, others a re-parameterised question.
 
 The benchmark is held against all documents through a bitmap of its windows, whose size is fixed, so
@@ -30,7 +30,7 @@ from landgrid.shared import saved
 
 WINDOW = 5               # template words of a window
 SIMILARITY = 0.8
-BAND = 16                # places by which matches of one leak may be displaced against each other, half of it for sure
+SLACK = 64               # words inserted in a leak may be as many as the item has windows, and so many
 COSTS = (4.0, 0.5)       # matches that a change of the lag must bring: as many as a change costs windows, then any
 BITS = 22                # the bitmap has 2 ** BITS bits, half a megabyte
 
@@ -410,10 +410,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         {"id": "item_id", "place": "item_place", "spot": "item_spot", "windows": "item_windows", "slots": "item_slots"}))
     found = windows(docs, key, text, _bitmap(asked), window).select("id", "plain", "window", "place", "spot", "slots")
     lag = F.col("place") - F.col("item_place")
-    bands = F.array(F.floor(lag / BAND) * 2, F.floor((lag + BAND // 2) / BAND) * 2 + 1)
-    pairs = found.join(asked, ["plain", "window"]).withColumn("lag", lag).withColumn("band", F.explode(bands))
-    hits = saved(pairs.select("id", "item_id", "plain", "band", "lag", (F.col("spot") - F.col("item_spot")).alias("base"), "item_place", "item_windows", "slots", "item_slots"))
-    line = ["id", "item_id", "plain", "band"]
+    half = F.col("item_windows") * 2 + SLACK
+    stretches = F.array(F.floor(F.col("place") / (half * 2)) * 2, F.floor((F.col("place") + half) / (half * 2)) * 2 + 1)
+    pairs = found.join(asked, ["plain", "window"]).withColumn("lag", lag).withColumn("stretch", F.explode(stretches))
+    hits = saved(pairs.select("id", "item_id", "plain", "stretch", "lag", (F.col("spot") - F.col("item_spot")).alias("base"), "item_place", "item_windows", "slots", "item_slots"))
+    line = ["id", "item_id", "plain", "stretch"]
     lines = (hits.groupBy(*line).agg(F.countDistinct("item_place").alias("matched"), F.first("item_windows").alias("item_windows"))
              .filter(F.col("matched") >= F.ceil(F.lit(similarity) * F.col("item_windows") - 1e-9)))
     near = hits.join(lines.select(*line), [hits[c].eqNullSafe(lines[c]) for c in line], "left_semi")

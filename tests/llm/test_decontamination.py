@@ -109,6 +109,21 @@ def test_short_items(spark):
     assert got == {(1, 1): "copy", (2, 1): "copy", (3, 1): "reparameterised", (4, 1): "copy", (6, 2): "copy", (8, 3): "copy"}
 
 
+def test_long_insertions(spark):
+    rng = random.Random(10)
+    words = [f"{a}{b}{c}" for a in "bdfgklmn" for b in ("al", "er", "in", "os", "ut") for c in ("ba", "de", "fi", "go", "ku")]
+    rng.shuffle(words)
+    body, remark = words[:150], [f"{w}x" for w in words]
+    items = [(1, " ".join(body), "x", "y"), (2, " ".join(words[150:180]), "x", "y")]
+    short = items[1][1].split()
+    texts = {1: [*body[:75], *remark[:20], *body[75:]], 2: [*body[:75], *body[95:]], 3: [*body[:50], *remark[:60], *body[50:100], *remark[60:130], *body[100:]],
+             4: [*short[:15], *remark[:40], *short[15:]], 5: [*body[75:], *body[:75]], 6: [*short[:15], *remark, *remark, *short[15:]],
+             7: [*remark[:37], *body[:75], *remark[:20], *body[75:]] * 2}
+    docs = spark.createDataFrame([(k, around(rng, " ".join(t))) for k, t in texts.items()], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.matched for r in decontamination.contaminated(docs, spark.createDataFrame(items, ITEMS)).collect()}
+    assert got == {(1, 1): 142, (2, 1): 122, (3, 1): 138, (4, 2): 22, (7, 1): 142}
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, QUESTION, "", "")], ITEMS)
     assert decontamination.contaminated(cases.empty(spark), bench).count() == 0
