@@ -40,6 +40,9 @@ ENDINGS = {("latin", "f"): ["a", "ine", "elle"], ("latin", "m"): ["us", "in", "a
            ("greek", "f"): ["α", "η"], ("greek", "m"): ["ος", "ης"], ("greek", ""): ["ίδης", "άκης"]}
 _GENDER = {name: kind for kind, names in GIVEN.items() for name in names}
 _GENDER |= {name.upper(): kind for name, kind in _GENDER.items()}
+# fixed values: country codes of two digits; 1 and 7 stand alone, all others have three
+CODES = frozenset("""20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66
+81 82 84 86 90 91 92 93 94 95 98""".split())
 _SCRIPTS = (("cyrillic", "Ѐ", "ӿ"), ("greek", "Ͱ", "Ͽ"))
 
 _CAPITAL = "A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫЀ-Я"
@@ -145,7 +148,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
                 value = m.group()
                 plain = value if kind == "ip" else "".join(c for c in value if c.isalnum())
                 if kind != "phone" or 7 <= len(plain) <= 15:
-                    found.append((m.start(), m.end(), kind, plain))
+                    found.append((m.start(), m.end(), kind, "+" + plain if value[0] == "+" else plain))
     found += _names(text)
     rank = {kind: k for k, (kind, _) in enumerate(_PATTERNS)}
     out: list[tuple[int, int, str, str]] = []
@@ -212,7 +215,10 @@ def surrogate(key: bytes, kind: str, normal: str, attempt: int) -> str:
         stems, ends = STEMS[script], ENDINGS[script, gender]
         count = 2 + attempt // 4
         return "".join(stems[draw.below(len(stems))] for _ in range(count)) + ends[draw.below(len(ends))]
-    return "".join(draw.like(c) for c in normal)
+    kept = 0
+    if kind == "phone" and normal[0] == "+":              # the country code stays, however the number is written
+        kept = 2 if normal[1] in "17" else 3 if normal[1:3] in CODES else 4
+    return normal[:kept] + "".join(draw.like(c) for c in normal[kept:])
 
 
 def dressed(kind: str, original: str, normal: str, fake: str) -> str:
@@ -230,18 +236,10 @@ def dressed(kind: str, original: str, normal: str, fake: str) -> str:
         return "".join(f.upper() if o.isupper() else f for o, f in zip(original, local)) + "@" + domain
     if kind == "ip":
         return fake
-    if kind == "phone" and original.startswith("+"):      # the country code stays
-        code = re.match(r"\+\d{1,3}(?=\D)", original)
-        kept = len(code.group()) - 1 if code else 1
-        fake = normal[:kept] + fake[kept:]
-    letters = iter(fake)
+    letters = iter(fake.lstrip("+"))
     return "".join(next(letters) if c.isalnum() else c for c in original)
 
 
-def _normal(kind: str, original: str, written: str) -> str:
-    return written.lower() if kind == "email" else written if kind == "ip" else "".join(c for c in written if c.isalnum())
-
-
 def rewritten(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str, list[dict]]:
     """The text with surrogates, and the entities' kinds and places in the original."""
     out, last, found = [], 0, detect(text)
@@ -274,12 +272,11 @@ def mentions(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _drawn(entities: DataFrame, key: bytes) -> DataFrame:
-    """``kind, normal, form, attempt, fake``: the replacement's normal form, as it will be written."""
+    """``kind, normal, form, attempt, fake``: the replacement's normal form, which written forms have no part in."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds, normals, forms, attempts = (c.to_pylist() for c in batch.columns)
-            fakes = [x if k.startswith("name/") else _normal(k, f, dressed(k, f, n, x)) for k, f, n, x in (
-                (k, f, n, surrogate(key, k, n, a)) for k, n, f, a in zip(kinds, normals, forms, attempts))]
+            kinds, normals, _, attempts = (c.to_pylist() for c in batch.columns)
+            fakes = [surrogate(key, k, n, a) for k, n, a in zip(kinds, normals, attempts)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fakes, pa.string())], names=["kind", "normal", "form", "attempt", "fake"])
 
     return entities.select("kind", "normal", "form", "attempt").mapInArrow(

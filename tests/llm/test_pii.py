@@ -58,6 +58,14 @@ def test_surname_keeps_one_surrogate():
     assert pii.rewritten("In Paris, John Brown said brown bread is good. Brown left.", KEY, {})[0].startswith("In Paris, ")
 
 
+def test_phones_in_any_form():
+    for forms in (["+44 20 7946 0958", "+442079460958", "+44-20-7946-0958"], ["+1 (555) 010-1234", "+15550101234"], ["+353 1 234 5678", "+35312345678"]):
+        fakes = {re.sub(r"\D", "", pii.rewritten(f"call {f} now", KEY, {})[0]) for f in forms}
+        (normal,) = {pii.detect(f)[0][3] for f in forms}
+        assert fakes == {pii.surrogate(KEY, "phone", normal, 0)[1:]}
+        assert next(iter(fakes)).startswith(re.match(r"\+(\d+)", forms[0]).group(1))
+
+
 def test_only_whole_entities():
     assert pii.detect("version 1.2.3.4.5, a1.2.3.4, deadbeef12345678901234, 999.1.1.1, x@y, 12-34, AnnaLena") == []
     assert [f[2] for f in pii.detect("mail a.b+c@d-e.co.uk. or 1.2.3.4, 4111111111111111!")] == ["email", "ip", "card"]
