@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-# fixed values, from public name statistics; names that are ordinary words too (Will, Mark, Grace, May) are left out
+# fixed values, from public name statistics; names that are ordinary words too (Will, Mark, Grace, May) are left out.
+# Some are places or things as well (Victoria, Max): what stands around a name decides
 GIVEN = {
     ("latin", "f"): """
 Mary Anna Maria Emma Sophie Julia Laura Elena Lucia Camille Chloe Ingrid Sarah Linda Patricia Jennifer Elizabeth Susan Marie Claire
@@ -46,3 +47,14 @@ Hiroshi Kenji Takashi Takeshi Jean
     ("greek", "f"): "Μαρία Ελένη Αικατερίνη Βασιλική Σοφία Αγγελική Άννα Ειρήνη Κατερίνα Γεωργία Δήμητρα Ευαγγελία Αναστασία Ιωάννα Χριστίνα".split(),
     ("greek", "m"): "Γεώργιος Δημήτριος Κωνσταντίνος Ιωάννης Νικόλαος Χρήστος Γιώργος Νίκος Γιάννης Κώστας Δημήτρης Παναγιώτης Βασίλειος Αλέξανδρος Μιχάλης Πέτρος".split(),
 }
+
+# fixed values: words before and behind a given name that is part of a place's name
+BEFORE_PLACES = """Lake Lac Lago Mount Mt St Saint Sainte San Santa Santo Sankt Fort Port Cape Point Loch Isle Port Rio Río Queen King
+Hotel Villa Place Rue Via Calle Plaza Hurricane Storm""".split()
+PLACES = frozenset("""Station Springs Street Avenue Boulevard Road Drive Square Beach Island Islands Falls County City Airport
+University College Hospital Cathedral Hotel Museum Theatre Theater Stadium Tower Terrace Embankment Bridge River Lake Harbour
+Harbor Peninsula Province Desert Bay Gardens Line Platz Straße Strasse Allee Bahnhof""".split())
+# fixed values: verbs of speech behind a name
+SPEECH = frozenset("""said says asked asks told tells replied replies answered answers wrote writes spoke speaks explained
+explains added adds called calls thought thinks laughed smiled nodded sagte sagt fragte fragt antwortete dit demande dijo dice
+disse сказал сказала говорит είπε λέει""".split())

@@ -5,7 +5,10 @@ names) get keyed replacements of the same type and format: separators, lengths,
 check digits stay valid, names keep gender and script. A surrogate is drawn by HMAC from the entity's
 normal form, so all mentions of an entity, in any document, get the same one. Draws are checked over
 the whole corpus: one that another entity has drawn too, or that is itself an entity of the corpus, is
-drawn again. Only entities that needed another draw have to be looked up when texts are rewritten.
+drawn again, from a space that grows with the attempt where the kind allows it. A format that the corpus
+itself fills (all numbers of a short form, say) has no values left to draw; its entities then exchange
+their values in a keyed order, so they stay distinct and none keeps its own. Only entities that did not
+keep their first draw have to be looked up when texts are rewritten.
 """
 
 from __future__ import annotations
@@ -21,11 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landgrid.llm import common
-from landgrid.llm.names import GIVEN
+from landgrid.llm.names import BEFORE_PLACES, GIVEN, PLACES, SPEECH
+from landgrid.operators.tables import row_ids
 from landgrid.shared import saved
 
 KEY = b"change this key for each release of a corpus"
-DRAWS = 40               # attempts after which the space of a format counts as exhausted
+DRAWS = 40               # attempts after which a format counts as full
+FULL = 16                # a format is full, too, if of many entities fewer than one in so many finds a value,
+MANY = 64
+BARREN = 6               # or if none does for so many rounds
 
 # fixed values: words before a name, and small words inside one
 TITLES = """Mr Mrs Ms Miss Mx Dr Prof Professor Doctor Sir Herr Frau Madame Mme Monsieur Señor Señora Signor Signora
@@ -65,6 +72,12 @@ _LEAD = re.compile(rf"{_INITIALS}+")
 _BACK = re.compile(rf"(?<!\w){_INITIALS}+$")
 _TITLE = re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\.? $")
 _CELTIC = re.compile(rf"O['’][{_CAPITAL}]|Mc[{_CAPITAL}]|MC[{_CAPITAL}]{{3}}")
+_CAPITALISED = re.compile(rf"(?<![\w'’]){_FORM}")
+_OPENS = re.compile(r"(?:^|[^\w\s,;:&/'’()|+=@-]|[\n\r])[\s\"'“”„»«()\[\]*#>-]*$")
+_ARTICLE = re.compile(r"(?<!\w)(?:[Tt]he|[Aa]n?) $")
+_BEHIND = re.compile(rf" ?([\w’'-]+)")
+_PLACE_BEFORE = re.compile(rf"(?<!\w)(?:{'|'.join(BEFORE_PLACES)})\.? $")
+_EVIDENCE = frozenset(_GENDER) | frozenset(TITLES)
 _TURNED = re.compile(rf"(?<![\w'’])({_FORM}(?:[ -]{_FORM})?), ({_FORM})(?: [{_CAPITAL}]\.?)?(?!\w)")
 
 
@@ -86,10 +99,26 @@ def _surname(text: str, start: int, end: int) -> tuple[int, int, str, str]:
     return lead.start() if lead else start, end, f"name/{_script(text[start:])}/", text[start:end].lower().replace("’", "'")
 
 
+def _of_place(text: str, words: list[tuple[int, int, str]], first: int) -> bool:
+    """Whether a listed name is part of a place's name, or a thing's: Lake Victoria, Alice Springs, the Adam optimizer."""
+    start = words[first][0]
+    if first and words[first - 1][2] in BEFORE_PLACES or _PLACE_BEFORE.search(text, max(0, start - 16), start):
+        return True
+    if any(w[2] in PLACES for w in words[first + 1:]):
+        return True
+    return first == len(words) - 1 and bool(_ARTICLE.search(text, max(0, start - 5), start))
+
+
 def _names(text: str) -> list[tuple[int, int, str, str]]:
     """Words of names, as evidence shows them: a listed given name or a title before them, the forms O'..., Mc...
-    and SURNAME, GIVEN; what is known as a surname is one at its bare mentions in the text, too."""
+    and SURNAME, GIVEN; what is known as a surname is one at its bare mentions in the text, too. A listed name is none
+    as part of a place's name; one that stands alone and opens a sentence may be any word: it needs a verb of speech
+    behind it, or the same name inside a sentence of the text."""
     found: dict[int, tuple[int, int, str, str]] = {}
+    shapes = set(_CAPITALISED.findall(text))
+    if shapes.isdisjoint(_EVIDENCE) and not any(map(_CELTIC.match, shapes)):
+        return []
+    lone: list[tuple[int, int, str, str]] = []
     for m in _NAME.finditer(text):
         words = [(m.start() + w.start(), m.start() + w.end(), w.group()) for w in re.finditer(_FORM, m.group())]
         given = next((k for k, w in enumerate(words) if w[2] in _GENDER and not (w[2].isupper() and len(w[2]) < 4 and len(words) == 1)), None)
@@ -101,6 +130,16 @@ def _names(text: str) -> list[tuple[int, int, str, str]]:
             if first is None:
                 continue
             words = words[:first + 1]
+        elif titled is None:
+            if _of_place(text, words, first):
+                continue
+            start, end, word = words[first]
+            if len(words) == 1 and _OPENS.search(text, max(0, start - 12), start):
+                behind = _BEHIND.match(text, end)
+                if not (behind and behind.group(1).lower() in SPEECH):
+                    script, gender = _GENDER[word]
+                    lone.append((start, end, f"name/{script}/{gender}", word.lower()))
+                    continue
         if words[first][2].isupper() and len(words) > 3:                   # text in capitals: a name ends with its surname
             last = first
             while last + 1 < len(words) and words[last][2] in _GENDER:
@@ -127,6 +166,8 @@ def _names(text: str) -> list[tuple[int, int, str, str]]:
             start, end = m.start() + w.start(), m.start() + w.end()
             if start not in found:
                 found[start] = (start, end, f"name/{_script(w.group())}/", w.group().lower().replace("’", "'"))
+    inside = {f[3] for f in found.values()}
+    found.update({f[0]: f for f in lone if f[3] in inside})
     known = {f[3]: f[2] for f in found.values() if f[2].endswith("/")}
     known = {n: k for n, k in known.items() if not re.search(rf"(?<!\w){re.escape(n)}(?!\w)", text)}      # not if it is a word, too
     if known:
@@ -192,10 +233,14 @@ def surrogate(key: bytes, kind: str, normal: str, attempt: int) -> str:
         local, _, domain = normal.partition("@")
         labels = domain.split(".")
         host = ["".join(map(draw.like, x)) for x in labels[:-2]]
+        if attempt > 1:                                   # one more label, longer with each attempt
+            host.append("".join(map(draw.like, "a" * attempt)))
         return f"{''.join(map(draw.like, local))}@{'.'.join([*host, 'example', labels[-1] if labels[-1] in ('com', 'org', 'net') else 'com'])}"
     if kind == "ip":
         octets = [int(x) for x in normal.split(".")]
         kept = 1 if octets[0] in (10, 127) else 2 if octets[:2] == [192, 168] or octets[0] == 172 and 16 <= octets[1] < 32 else 0
+        if kept == 2 and attempt > 2:                     # the largest private range
+            octets, kept = [10], 1
         fresh = [1 + draw.below(254) for _ in range(4)]
         while not kept and (fresh[0] in (10, 127, 172, 192) or fresh[0] > 223):      # a public address stays public
             fresh[0] = 1 + draw.below(254)
@@ -215,12 +260,28 @@ def surrogate(key: bytes, kind: str, normal: str, attempt: int) -> str:
         stems, ends = STEMS[script], ENDINGS[script, gender]
         count = 2 + attempt // 4
         return "".join(stems[draw.below(len(stems))] for _ in range(count)) + ends[draw.below(len(ends))]
-    kept = 0
-    if kind == "phone" and normal[0] == "+":              # the country code stays, however the number is written
-        kept = 2 if normal[1] in "17" else 3 if normal[1:3] in CODES else 4
+    kept = _prefix(kind, normal)
     return normal[:kept] + "".join(draw.like(c) for c in normal[kept:])
 
 
+def _prefix(kind: str, normal: str) -> int:
+    """The length of a phone number's country code, which stays, however the number is written."""
+    if kind != "phone" or normal[0] != "+":
+        return 0
+    return 2 if normal[1] in "17" else 3 if normal[1:3] in CODES else 4
+
+
+def shape(kind: str, normal: str) -> str:
+    """What entities of a kind must have in common to exchange their values."""
+    if kind == "phone":
+        return f"{kind}|{normal[:_prefix(kind, normal)]}|{len(normal)}"
+    if kind == "card":
+        return f"{kind}|{normal[0]}|{len(normal)}|{_luhn(normal)}"
+    if kind == "iban":
+        return f"{kind}|{normal[:2]}|{''.join('0' if c.isdigit() else 'A' for c in normal[4:])}"
+    return kind
+
+
 def dressed(kind: str, original: str, normal: str, fake: str) -> str:
     """The replacement's normal form in the written form of a mention."""
     if kind.startswith("name/"):
@@ -240,11 +301,14 @@ def dressed(kind: str, original: str, normal: str, fake: str) -> str:
     return "".join(next(letters) if c.isalnum() else c for c in original)
 
 
-def rewritten(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str, list[dict]]:
-    """The text with surrogates, and the entities' kinds and places in the original."""
+def rewritten(text: str, key: bytes, fakes: dict[tuple[str, str], str]) -> tuple[str, list[dict]]:
+    """The text with surrogates, and the entities' kinds and places in the original.
+
+    ``fakes`` holds the replacements' normal forms of entities that did not keep their first draw.
+    """
     out, last, found = [], 0, detect(text)
     for start, end, kind, normal in found:
-        fake = surrogate(key, kind, normal, attempts.get((kind, normal), 0))
+        fake = fakes.get((kind, normal)) or surrogate(key, kind, normal, 0)
         out += [text[last:start], dressed(kind, text[start:end], normal, fake)]
         last = end
     return "".join([*out, text[last:]]), [{"kind": f[2], "start": f[0], "end": f[1]} for f in found]
@@ -252,8 +316,9 @@ def rewritten(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tu
 
 # -- over the corpus -------------------------------------------------------------------------------
 
-def mentions(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``id, kind, normal, form``: the distinct entities of every row; ``form`` is a written form."""
+def mentions(docs: DataFrame, text: str) -> DataFrame:
+    """``mark, kind, normal, form``: the distinct entities of every text; ``mark`` is a hash of the text, ``form`` a
+    written form. Equal texts hold equal entities, so neither ids nor their repetition matter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -264,35 +329,60 @@ def mentions(docs: DataFrame, key: str, text: str) -> DataFrame:
             at, kind, normal, form = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, pa.string()) for c in (kind, normal, form))],
-                names=["id", "kind", "normal", "form"])
+                names=["mark", "kind", "normal", "form"])
 
-    dtype = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("id"), F.col(text).alias("source")).mapInArrow(
-        run, f"id {dtype}, kind string, normal string, form string")
+    return docs.select(F.xxhash64(text).alias("mark"), F.col(text).alias("source")).mapInArrow(
+        run, "mark long, kind string, normal string, form string")
 
 
 def _drawn(entities: DataFrame, key: bytes) -> DataFrame:
-    """``kind, normal, form, attempt, fake``: the replacement's normal form, which written forms have no part in."""
+    """``kind, normal, attempt, fake``: the replacement's normal form, which written forms have no part in."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds, normals, _, attempts = (c.to_pylist() for c in batch.columns)
+            kinds, normals, attempts = (c.to_pylist() for c in batch.columns)
             fakes = [surrogate(key, k, n, a) for k, n, a in zip(kinds, normals, attempts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fakes, pa.string())], names=["kind", "normal", "form", "attempt", "fake"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fakes, pa.string())], names=["kind", "normal", "attempt", "fake"])
 
-    return entities.select("kind", "normal", "form", "attempt").mapInArrow(
-        run, "kind string, normal string, form string, attempt int, fake string")
+    return entities.select("kind", "normal", "attempt").mapInArrow(run, "kind string, normal string, attempt int, fake string")
 
 
-def redrawn(entities: DataFrame, key: bytes) -> DataFrame | None:
-    """``kind, normal, attempt`` of the entities whose first draw collided; None if there are none.
-
-    ``entities`` holds every entity once (``kind, normal, form``). Of entities with one draw in common
-    the first by normal form keeps it. Settled draws stay settled, so the rounds end.
+def _shaped(entities: DataFrame, key: bytes) -> DataFrame:
+    """``kind, normal, shape, turn``: ``turn`` is a keyed order of the entities of one shape."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, normals = (c.to_pylist() for c in batch.columns)
+            shapes = [shape(k, n) for k, n in zip(kinds, normals)]
+            turns = [hmac.new(key, f"turn|{k}|{n}".encode(), hashlib.sha256).hexdigest() for k, n in zip(kinds, normals)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shapes, pa.string()), pa.array(turns, pa.string())],
+                                             names=["kind", "normal", "shape", "turn"])
+
+    return entities.select("kind", "normal").mapInArrow(run, "kind string, normal string, shape string, turn string")
+
+
+def _exchanged(entities: DataFrame, lost: DataFrame, key: bytes) -> DataFrame:
+    """``kind, normal, attempt, fake`` of all entities whose shape is one of a lost entity's: each takes the value of
+    its successor in the keyed order, the last one that of the first. No draw of another entity is an original, so
+    these values are free."""
+    full = _shaped(lost, key).select("shape").distinct()
+    turns = saved(row_ids(_shaped(entities, key).join(full, "shape", "left_semi"), ["shape", "turn", "kind", "normal"], "place"))
+    ends = turns.groupBy("shape").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    behind = turns.join(F.broadcast(ends), "shape").withColumn(      # shapes are bounded: lengths, country codes, masks
+        "place", F.when(F.col("place") == F.col("last"), F.col("first")).otherwise(F.col("place") + 1))
+    values = turns.select("place", F.col("normal").alias("fake"))
+    return behind.join(values, "place").select("kind", "normal", F.lit(DRAWS).alias("attempt"), "fake")
+
+
+def redrawn(entities: DataFrame, key: bytes) -> DataFrame:
+    """``kind, normal, attempt, fake`` of the entities that did not keep their first draw.
+
+    ``entities`` holds every entity once (``kind, normal``). Of entities with one draw in common the first by normal
+    form keeps it. Settled draws stay settled, so the rounds end; what finds no value after ``DRAWS`` rounds, or in a
+    round where hardly any does, takes part in an exchange of values (:func:`_exchanged`, with ``attempt`` = ``DRAWS``).
     """
     originals = entities.select("kind", F.col("normal").alias("fake"))
     family = F.split("kind", "/")[0]
     open_ = entities.withColumn("attempt", F.lit(0))
-    settled = None
+    settled, barren = None, 0
     for _ in range(DRAWS):
         drawn = saved(_drawn(open_, key))
         # a name must not meet a name of another gender or script either
@@ -304,27 +394,42 @@ def redrawn(entities: DataFrame, key: bytes) -> DataFrame | None:
         good = good.select("fake", F.col("first.normal").alias("normal"), F.col("first.kind").alias("kind"))
         won = saved(drawn.join(good, ["kind", "normal", "fake"], "left_semi"))
         settled = won if settled is None else settled.unionByName(won)
-        lost = drawn.join(won.select("kind", "normal"), ["kind", "normal"], "left_anti")
-        lost = saved(lost.select("kind", "normal", "form", (F.col("attempt") + 1).alias("attempt")))
-        if lost.isEmpty():
-            return settled.filter("attempt > 0").select("kind", "normal", "attempt")
-        open_ = lost
-    raise ValueError(f"{DRAWS} draws did not find free surrogates; the format has too few values for this corpus")
+        found = won.count()
+        left = drawn.count() - found
+        if not left:
+            return settled.filter("attempt > 0")
+        open_ = (drawn.join(won.select("kind", "normal"), ["kind", "normal"], "left_anti")
+                 .select("kind", "normal", (F.col("attempt") + 1).alias("attempt")))
+        barren = barren + 1 if not found else 0
+        if barren == BARREN or left > MANY and found * FULL < left:
+            # formats that grow are left alone; the others' draws stay within a full space
+            growing = F.col("kind").isin("email", "ip") | F.col("kind").startswith("name/")
+            stuck = saved(open_.filter(~growing))
+            if not stuck.isEmpty():
+                turned = saved(_exchanged(entities, stuck, key))
+                settled = settled.join(turned, ["kind", "normal"], "left_anti").unionByName(turned)
+                open_ = saved(open_.join(turned, ["kind", "normal"], "left_anti"))
+                if open_.isEmpty():
+                    return settled.filter("attempt > 0")
+    turned = saved(_exchanged(entities, open_, key))
+    return settled.join(turned, ["kind", "normal"], "left_anti").unionByName(turned).filter("attempt > 0")
 
 
 def anonymised(docs: DataFrame, key_column: str = "doc_id", text: str = "text", key: bytes = KEY, report: str | None = None) -> DataFrame:
     """``docs`` with ``text`` rewritten and, if named, a column ``report`` of the entities found.
 
-    Null texts stay null, others without entities stay as they are. Rows of one id are rewritten
-    alike; null ids are an id of their own. All columns stay.
+    Null texts stay null, others without entities stay as they are. Ids have no part in it: rows of any id, null too,
+    are rewritten alike if their texts are. All columns stay. ``key_column`` is kept for callers and not read.
     """
-    seen = saved(mentions(docs, key_column, text))
-    entities = saved(seen.groupBy("kind", "normal").agg(F.min("form").alias("form")))
-    again = redrawn(entities, key)
-    again = seen.select("id", "kind", "normal").distinct().join(again, ["kind", "normal"])
-    lookup = saved(again.groupBy("id").agg(F.collect_list(F.struct("kind", "normal", "attempt")).alias("again")))
-    own, extra, found = (common.fresh(docs, c) for c in ("lookup_id", "lookup", "found"))
-    joined = docs.join(lookup.select(F.col("id").alias(own), F.col("again").alias(extra)), docs[key_column].eqNullSafe(F.col(own)), "left").drop(own)
+    seen = saved(mentions(docs, text))
+    entities = saved(seen.select("kind", "normal").distinct())
+    again = redrawn(entities, key).select("kind", "normal", "fake")
+    again = seen.select("mark", "kind", "normal").distinct().join(again, ["kind", "normal"])
+    # at most the entities of one text in a list (of two, should their hashes meet)
+    lookup = saved(again.groupBy("mark").agg(F.collect_list(F.struct("kind", "normal", "fake")).alias("again")))
+    own, extra, found = (common.fresh(docs, c) for c in ("lookup_mark", "lookup", "found"))
+    lookup = lookup.select(F.col("mark").alias(own), F.col("again").alias(extra))
+    joined = docs.join(lookup, F.xxhash64(F.col(text)) == F.col(own), "left").drop(own)
     at = docs.columns.index(text)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     names = [*docs.columns, report or found]
@@ -334,8 +439,8 @@ def anonymised(docs: DataFrame, key_column: str = "doc_id", text: str = "text",
             columns = list(batch.columns)
             bodies, spans = [], []
             for body, draws in zip(columns[at].to_pylist(), columns[-1].to_pylist()):
-                attempts = {(d["kind"], d["normal"]): d["attempt"] for d in draws or ()}
-                body, places = (body, []) if body is None else rewritten(body, key, attempts)
+                fakes = {(d["kind"], d["normal"]): d["fake"] for d in draws or ()}
+                body, places = (body, []) if body is None else rewritten(body, key, fakes)
                 bodies.append(body)
                 spans.append(places)
             columns[at] = pa.array(bodies, pa.string())

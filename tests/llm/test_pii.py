@@ -98,16 +98,70 @@ def test_corpus_coreference_and_distinctness(spark):
     assert pii.replaced(cases.empty(spark)).count() == 0
 
 
-def test_collisions_are_drawn_again(spark, monkeypatch):
+@pytest.mark.parametrize("text", [
+    "They sailed on Lake Victoria. Victoria Station was shut.", "St. Louis and Santa Monica Boulevard and Alice Springs.",
+    "The Adam optimizer converges. Jean jackets sell.", "Max is the maximum. Ines in onndreed esatth. Dora onered."])
+def test_places_and_words_are_no_names(text):
+    assert pii.detect(text) == []
+
+
+def test_names_that_open_sentences_need_evidence():
+    assert len(pii.detect("Victoria said no.")) == len(pii.detect("We saw Dora")) == len(pii.detect("Mrs Victoria came")) == 1
+    assert len(pii.detect("Dora came. Then we saw Dora.")) == len(pii.detect("Alice Miller came")) == 2
+
+
+def draws(entities, key):
+    """The replacements in plain Python, by a dictionary of draws."""
+    originals = {(k.split("/")[0], n) for k, n in entities}
+    taken, out, open_ = set(originals), {}, sorted(entities, key=lambda e: (e[1], e[0]))
+    for attempt in range(pii.DRAWS):
+        now, lost = set(), []
+        for kind, normal in open_:
+            value = (kind.split("/")[0], pii.surrogate(key, kind, normal, attempt))
+            if value in taken or value in now:
+                lost.append((kind, normal))
+            else:
+                now.add(value)
+                out[kind, normal] = value[1]
+        taken, open_ = taken | now, lost
+    return out, open_
+
+
+def frame(spark, entities):
+    return spark.createDataFrame(list(entities), "kind string, normal string").repartition(3)
+
+
+def test_collisions_are_drawn_again(spark):
     # four-digit numbers only: many draws meet each other or an original
-    rows = [("phone", f"{k:04d}", f"{k:04d}") for k in range(0, 9000, 3)]
-    entities = spark.createDataFrame(rows, "kind string, normal string, form string").repartition(3)
-    again = {r.normal: r.attempt for r in pii.redrawn(entities, KEY).collect()}
-    fakes = {n: pii.surrogate(KEY, "phone", n, again.get(n, 0)) for _, n, _ in rows}
-    assert again and len(set(fakes.values())) == len(rows) and not set(fakes.values()) & set(fakes)
-    monkeypatch.setattr(pii, "DRAWS", 2)
-    with pytest.raises(ValueError):
-        pii.redrawn(spark.createDataFrame([("phone", str(k), str(k)) for k in range(10)], "kind string, normal string, form string"), KEY)
+    entities = [("phone", f"{k:04d}") for k in range(0, 9000, 3)] + [("name/latin/f", f"anna{k}") for k in range(60)]
+    again = {(r.kind, r.normal): r.fake for r in pii.redrawn(frame(spark, entities), KEY).collect()}
+    fakes = {e: again.get(e) or pii.surrogate(KEY, *e, 0) for e in entities}
+    assert again and len(set(fakes.values())) == len(entities) and not set(fakes.values()) & {n for _, n in entities}
+    assert (fakes, []) == draws(entities, KEY)
+
+
+@pytest.mark.parametrize("entities", [
+    [("phone", str(k)) for k in range(10)],                                        # a full format
+    [("email", f"a@d{k}.com") for k in range(1000)],                               # one-letter addresses
+    [("ip", f"192.168.{a}.{b}") for a in range(256) for b in range(256)]], ids=["digits", "letters", "private"])
+def test_crowded_formats_never_raise(spark, entities):
+    again = {(r.kind, r.normal): r.fake for r in pii.redrawn(frame(spark, entities), KEY).collect()}
+    fakes = {e: again.get(e) or pii.surrogate(KEY, *e, 0) for e in entities}
+    assert len(set(fakes.values())) == len(entities) and all(f != n for (_, n), f in fakes.items())
+    if entities[0][0] != "phone":
+        assert not set(fakes.values()) & {n for _, n in entities}
+    if entities[0][0] == "ip":
+        assert all(f.startswith(("192.168.", "10.")) for f in fakes.values())
+
+
+def test_null_ids_and_corpus_against_plain_python(spark):
+    texts = [f"write to a@d{k}.com today, or ring 555-01{k % 10}-00{k:02d}" for k in range(40)] * 2 + ["", None]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").repartition(4)
+    entities = {f[2:] for t in texts if t for f in pii.detect(t)}
+    fakes, lost = draws(entities, KEY)
+    want = sorted(pii.rewritten(t, KEY, fakes)[0] for t in texts if t) 
+    got = [r.text for r in pii.anonymised(docs, key=KEY).collect()]
+    assert not lost and sorted(t for t in got if t) == want and got.count(None) == got.count("") == 1
 
 
 def test_key_decides(spark):
