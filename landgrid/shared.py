@@ -35,6 +35,22 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the one table that ``saved`` returned as ``df``; all that was made from it must be written by now."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    paths = _written.get(context.applicationId, [])
+    files = df.inputFiles()
+    for path in [p for p in paths if files and p.rsplit("/", 1)[1] in files[0]]:
+        _delete(context, path)
+        paths.remove(path)
+
+
+def _delete(context, path: str) -> None:
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def discard_saved(spark: SparkSession) -> int:
     """Delete the tables ``saved`` has written so far; frames made from them can't be read any more.
 
@@ -43,6 +59,5 @@ def discard_saved(spark: SparkSession) -> int:
     context = spark.sparkContext
     paths = _written.pop(context.applicationId, [])
     for path in paths:
-        place = context._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        _delete(context, path)
     return len(paths)
