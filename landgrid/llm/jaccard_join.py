@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from landgrid.llm import common, shingles
 from landgrid.operators.graph import component_roots
-from landgrid.shared import saved
+from landgrid.shared import discard, saved
 
 WIDTH = 4
 SIMILARITY = 85          # hundredths
@@ -361,26 +361,28 @@ def _similar(a: bytes, b: bytes) -> bool:
     return 100 * shared >= SIMILARITY * (len(x) + len(y) - shared)
 
 
-def _near(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` whose sizes and bitmaps allow a link."""
+def _near(pairs: DataFrame, bitmaps: DataFrame, extra: str) -> DataFrame:
+    """The pairs ``u, v`` whose sizes and bitmaps allow a link, with a column ``extra``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, WORDS) for c in ("map_u", "map_v"))
             n, m = (batch.column(c).to_numpy() for c in ("size_u", "size_v"))
             overlap = np.minimum(_popcount(a & b) + np.minimum(n - _popcount(a), m - _popcount(b)), np.minimum(n, m))
-            yield batch.filter(pa.array((100 + SIMILARITY) * overlap >= SIMILARITY * (n + m))).select(["u", "v"])
+            yield batch.filter(pa.array((100 + SIMILARITY) * overlap >= SIMILARITY * (n + m))).select(["u", "v", extra])
 
     u = bitmaps.select(F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("bitmap").alias("map_u"))
     v = bitmaps.select(F.col("node").alias("v"), F.col("size").alias("size_v"), F.col("bitmap").alias("map_v"))
-    return pairs.join(u, "u").join(v, "v").select("u", "v", "size_u", "size_v", "map_u", "map_v").mapInArrow(run, "u long, v long")
+    return pairs.join(u, "u").join(v, "v").select("u", "v", extra, "size_u", "size_v", "map_u", "map_v").mapInArrow(
+        run, f"u long, v long, {extra} long")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, text: str, first: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` that are links. A set with very many partners is on one side of a skewed join only."""
+    """The pairs ``u, v`` that are links. The sets of ``v`` go to those of ``u``, a set with very many partners."""
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     sets = _sets(docs, text, first, nodes)
-    joined = (pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u")
-              .join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v"))
+    hubs = sets.join(pairs.select(F.col("u").alias("node")).distinct(), "node", "left_semi")
+    joined = (pairs.join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v")
+              .join(hubs.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -414,15 +416,23 @@ def set_links(docs: DataFrame, text: str, described: DataFrame) -> DataFrame:
     group = ["token", "class"]
     stars = shared.groupBy(*group).agg(F.min(F.struct("node", "size")).alias("hub"), F.count("*").alias("sets")).filter("sets > 1")
     members = saved(shared.join(stars, group).filter("node <> hub.node"))
-    spokes = (members.filter(_fits(F.col("size"), F.col("hub.size"))).select(F.col("hub.node").alias("u"), F.col("node").alias("v")).distinct())
-    links = _linked(saved(_near(spokes, bitmaps)), docs, text, first)
-
-    # the hub has been held against all of its group: the walk goes on without it
+    spokes = (members.filter(_fits(F.col("size"), F.col("hub.size"))).groupBy(F.col("hub.node").alias("u"), F.col("node").alias("v"))
+              .agg(F.count("*").alias("groups")))
+    spokes = saved(_near(spokes, bitmaps, "groups"))
+    best = spokes.groupBy("v").agg(F.max(F.struct("groups", "u")).alias("most")).select("most.u", "v")
+    links = _linked(saved(best), docs, text, first)
+    discard(listed)
+
+    # every hub is held against all of its group (sets that links have joined already need no test): the walk goes on without it
     roots = saved(component_roots(links)).select(F.col("member").alias("node"), F.col("root").alias("label"))
     rest = members.filter("sets > 2").select(*group, "node", "size").join(roots, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = rest.groupBy(*group).agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select(*group)
     open_ = saved(rest.join(mixed, group, "left_semi").join(bitmaps.select("node", "bitmap"), "node"))
-    pairs = saved(_walked(_blocks(open_)).distinct())
+    for side in "uv":
+        label = roots.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+        spokes = spokes.join(label, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
+    apart = spokes.join(best, ["u", "v"], "left_anti").filter("label_u <> label_v").select("u", "v")
+    pairs = saved(_walked(_blocks(open_)).unionByName(apart).distinct())
     return links.unionByName(_linked(pairs, docs, text, first))
 
 
