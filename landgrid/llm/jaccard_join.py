@@ -328,8 +328,17 @@ def _set_bits(column: str):
 
 # -- exact tests -----------------------------------------------------------------------------------
 
-def _sets(docs: DataFrame, text: str, first: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, hashes``: the sets of the given nodes, from one text each (``first``: ``node, mark``)."""
+def _wide(hashes: np.ndarray) -> bytes:
+    """A bitmap of 8 to 16 bits a shingle; a wider one folds to a narrower one by ORing its parts."""
+    width = 1 << max(6, int(8 * len(hashes) - 1).bit_length())
+    out = np.zeros(width, bool)
+    out[(hashes & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(out, bitorder="little").tobytes()
+
+
+def _sets(docs: DataFrame, text: str, first: DataFrame, nodes: DataFrame, wide: bool) -> DataFrame:
+    """``node, n, body``: the sets of the given nodes, from one text each (``first``: ``node, mark``), as hashes or as
+    wide bitmaps."""
     wanted = saved(first.join(nodes, "node", "left_semi"))
     chosen = _Filter(wanted, "mark")
 
@@ -343,17 +352,30 @@ def _sets(docs: DataFrame, text: str, first: DataFrame, nodes: DataFrame) -> Dat
                 seen.add(int(marks[k]))
             batch = batch.filter(pa.array(fresh))
             for i, j, hashes, offsets in shingles.shingle_sets(batch.column(1), WIDTH):
-                bodies = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
+                parts = [hashes[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+                bodies = [_wide(h) if wide else h.tobytes() for h in parts]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(_digest(hashes, offsets)), pa.array(bodies, pa.binary())],
-                    names=["mark", "node", "hashes"])
+                    [batch.column(0).slice(i, j - i), pa.array(_digest(hashes, offsets)),
+                     pa.array(np.diff(offsets), pa.int64()), pa.array(bodies, pa.binary())], names=["mark", "node", "n", "body"])
 
     found = docs.select(F.xxhash64(text).alias("mark"), F.col(text).alias("source")).mapInArrow(
-        run, "mark long, node long, hashes binary")
-    return saved(found.join(wanted, ["mark", "node"], "left_semi").dropDuplicates(["node"]).select("node", "hashes"))
+        run, "mark long, node long, n long, body binary")
+    out = saved(found.join(wanted, ["mark", "node"], "left_semi").dropDuplicates(["node"]).select("node", "n", "body"))
+    discard(wanted)
+    return out
+
+
+def _possible(a: bytes, b: bytes, n: int, m: int) -> bool:
+    """Whether two sets' wide bitmaps and sizes allow a link."""
+    x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    if len(y) > len(x):
+        n, m = (n, m) if len(a) < len(b) else (m, n)
+        y = np.bitwise_or.reduce(y.reshape(-1, len(x)), axis=0)
+    overlap = int(_popcount(x & y)) + min(n - int(_popcount(x)), m - int(_popcount(y)))
+    return (100 + SIMILARITY) * min(overlap, n, m) >= SIMILARITY * (n + m)
 
 
-def _similar(a: bytes, b: bytes) -> bool:
+def _similar(a: bytes, b: bytes, n: int, m: int) -> bool:
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     both = np.concatenate([x, y])
     both.sort()
@@ -376,20 +398,24 @@ def _near(pairs: DataFrame, bitmaps: DataFrame, extra: str) -> DataFrame:
         run, f"u long, v long, {extra} long")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, text: str, first: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` that are links. The sets of ``v`` go to those of ``u``, a set with very many partners."""
+def _linked(pairs: DataFrame, docs: DataFrame, text: str, first: DataFrame, wide: bool = False) -> DataFrame:
+    """The pairs ``u, v`` that are links, or with ``wide`` those that wide bitmaps leave. The sets of ``v`` go to those of ``u``, a set with very many partners."""
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    sets = _sets(docs, text, first, nodes)
+    sets = _sets(docs, text, first, nodes, wide)
+    test = _possible if wide else _similar
     hubs = sets.join(pairs.select(F.col("u").alias("node")).distinct(), "node", "left_semi")
-    joined = (pairs.join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v")
-              .join(hubs.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u"))
+    joined = (pairs.join(sets.select(F.col("node").alias("v"), F.col("body").alias("b"), F.col("n").alias("m")), "v")
+              .join(hubs.select(F.col("node").alias("u"), F.col("body").alias("a"), "n"), "u"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [_similar(x.as_py(), y.as_py()) for x, y in zip(batch.column("a"), batch.column("b"))]
+            good = [test(x.as_py(), y.as_py(), n, m) for x, y, n, m in zip(
+                batch.column("a"), batch.column("b"), batch.column("n").to_pylist(), batch.column("m").to_pylist())]
             yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
 
-    return saved(joined.select("u", "v", "a", "b").mapInArrow(run, "u long, v long"))
+    out = saved(joined.select("u", "v", "a", "b", "n", "m").mapInArrow(run, "u long, v long"))
+    discard(sets)
+    return out
 
 
 # -- the join --------------------------------------------------------------------------------------
@@ -433,7 +459,9 @@ def set_links(docs: DataFrame, text: str, described: DataFrame) -> DataFrame:
         spokes = spokes.join(label, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
     apart = spokes.join(best, ["u", "v"], "left_anti").filter("label_u <> label_v").select("u", "v")
     pairs = saved(_walked(_blocks(open_)).unionByName(apart).distinct())
-    return links.unionByName(_linked(pairs, docs, text, first))
+    discard(open_)
+    left = _linked(pairs, docs, text, first, wide=True)
+    return links.unionByName(_linked(left, docs, text, first))
 
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

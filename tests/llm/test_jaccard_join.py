@@ -107,3 +107,16 @@ def test_forest_leaves_no_link():
     want = {(i, j) for j in range(len(sets)) for i in range(j) if tree[i] == tree[j]
             and 100 * len(set(sets[i]) & set(sets[j])) >= 85 * len(set(sets[i]) | set(sets[j]))}
     assert want <= found and len(found) < len(sets) ** 2 / 8
+
+
+def test_wide_bitmaps_leave_every_link():
+    rng = random.Random(2)
+    for n in (1, 7, 8, 9, 100, 128, 129, 1000):
+        for _ in range(30):
+            a = np.sort(np.array(rng.sample(range(1 << 62), n), np.uint64))
+            kept = max(0, n - rng.randrange(max(1, n // 5) + 1))
+            b = np.sort(np.concatenate([a[:kept], np.array(rng.sample(range(1 << 62), rng.randrange(n // 8 + 2)), np.uint64)]))
+            if len(b) and jaccard_join._similar(a.tobytes(), b.tobytes(), len(a), len(b)):
+                assert jaccard_join._possible(jaccard_join._wide(a), jaccard_join._wide(b), len(a), len(b))
+    far = np.array(rng.sample(range(1 << 62), 1000), np.uint64)
+    assert not jaccard_join._possible(jaccard_join._wide(a), jaccard_join._wide(far), 1000, 1000)
