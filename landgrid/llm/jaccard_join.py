@@ -2,9 +2,10 @@
 
 Each text is the set of its distinct word shingles (``WIDTH`` words, A-Z in lower case); texts are linked when the
 Jaccard similarity of their sets is at least ``SIMILARITY`` (in hundredths, so that the test is exact). The work is
-spread by prefixes: with all shingles in one fixed order, linked sets share one of their first ``n - ceil(0.85 n) + 1``
-shingles, so it is enough to search the sets that share a shingle there and have sizes in one or two neighbouring
-classes (a *group*). Frequent shingles come last in the order, which keeps groups small.
+spread by parts: linked sets of sizes n and m differ in at most 15/185 (n + m) shingles, so if shingles are dealt to
+more parts than that by their hash, a part is the same in both. Sets with an equal part make a *group*; the number of
+parts follows the size, by classes, and a set near the upper end of its class takes part in the next one, too. Unlike
+texts hardly ever have a part in common, whatever passages they share.
 
 A group is searched with a signature tree. A leaf is a set's token bitmap of ``BITS`` bits, an inner node the OR of its
 children's with the range of their sizes; two nodes are walked together, from the roots down, as long as the sizes fit
@@ -37,12 +38,23 @@ WORDS = BITS // 64
 CHUNK = 2048             # sets of a group that one task holds twice at most
 FANOUT = 8
 PAIRS = 1 << 15          # node pairs looked at in one step
-COUNTED = 1 << 20        # shingles of distinct texts that are counted together when frequent ones are sought
-OFTEN = 6                # occurrences among them that make a shingle a candidate
-FREQUENT = 1 << 17       # frequent shingles that the order knows; any order is right
+GROWTH = 1.41            # of the size classes; above 100 / SIMILARITY
 FILTER = 1 << 23         # bits of the filters sent to all tasks
 
 
+def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The smallest size, the number of parts and the largest number of differences of each size class."""
+    low = [1]
+    while low[-1] < 1 << 40:
+        low.append(max(low[-1] + 1, math.ceil(low[-1] * GROWTH)))
+    low = np.array(low)
+    most = (100 - SIMILARITY) * 2 * (low[1:] - 1) // (100 + SIMILARITY)
+    return low, most + 1 + np.where(most > 0, most // 20 + 2, 0), most        # a few more parts, as some stay empty
+
+
+LOW, PARTS, MOST = _classes()
+
+
 def _digest(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A 63-bit hash of each set; empty sets have none of their own (0)."""
     n = np.diff(offsets)
@@ -65,47 +77,19 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 
 def _described(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per document (``id, mark, size, node, bitmap``), and rows with ``token, times`` of frequent shingles.
-
-    ``mark`` is a hash of the text, ``node`` one of the set. Shingles are counted once per set and task.
-    """
+    """``id, mark, size, node, bitmap`` of every row; ``mark`` is a hash of the text, ``node`` one of the set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        held, count = [], 0
-
-        def frequent():
-            tokens, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times >= OFTEN
-            return tokens[often].view(np.int64), times[often]
-
         for batch in batches:
             for i, j, hashes, offsets in shingles.shingle_sets(batch.column(2), WIDTH):
-                nodes = _digest(hashes, offsets)
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(np.diff(offsets), pa.int64()), pa.array(nodes),
-                     _binary(_bitmaps(hashes, offsets)), pa.nulls(j - i, pa.int64()), pa.nulls(j - i, pa.int64())], names=names)
-                for k, node in enumerate(nodes.tolist()):
-                    if node and node not in seen:
-                        seen.add(node)
-                        held.append(hashes[offsets[k]:offsets[k + 1]])
-                        count += len(held[-1])
-                if count >= COUNTED:
-                    yield counted(*frequent())
-                    held, count = [], 0
-        if held:
-            yield counted(*frequent())
-
-    def counted(tokens, times):
-        none = [pa.nulls(len(tokens), t) for t in (id_type, pa.int64(), pa.int64(), pa.int64(), pa.binary())]
-        return pa.RecordBatch.from_arrays([*none, pa.array(tokens), pa.array(times, pa.int64())], names=names)
+                    [part.column(0), part.column(1), pa.array(np.diff(offsets), pa.int64()),
+                     pa.array(_digest(hashes, offsets)), _binary(_bitmaps(hashes, offsets))],
+                    names=["id", "mark", "size", "node", "bitmap"])
 
-    from pyspark.sql.pandas.types import to_arrow_type
-    id_type = to_arrow_type(docs.schema[key].dataType)
-    names = ["id", "mark", "size", "node", "bitmap", "token", "times"]
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("source")).mapInArrow(
-        run, f"id {kind}, mark long, size long, node long, bitmap binary, token long, times long")
+        run, f"id {kind}, mark long, size long, node long, bitmap binary")
 
 
 class _Filter:
@@ -123,48 +107,73 @@ class _Filter:
         return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
 
 
-def _prefixes(docs: DataFrame, text: str, chosen: _Filter, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``token, node, size``: the first shingles of each set, frequent ones last; once per set and task."""
-    tokens, times = frequent
-
+def _part_keys(hashes: np.ndarray, offsets: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the parts of the sets ``rows``, dealt as in the given classes, and the place in ``rows`` of each. Two sets
+    whose only equal parts are empty have as many empty ones as a class has parts beyond the differences: other sets
+    need no key for their empty parts."""
+    n = np.diff(offsets)[rows]
+    parts = PARTS[classes]
+    base = np.concatenate([[0], np.cumsum(parts)])
+    owner = np.repeat(np.arange(len(rows)), n)
+    at = np.repeat(offsets[rows], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    spread = shingles.mixed(hashes[at] ^ np.uint64(0x2545F4914F6CDD1D))
+    place = base[owner] + ((spread >> np.uint64(20)) % parts[owner].astype(np.uint64)).astype(np.int64)
+    sums = np.zeros(base[-1], np.uint64)
+    np.add.at(sums, place, spread)
+    filled = np.bincount(place, minlength=base[-1]) > 0
+    owner = np.repeat(np.arange(len(rows)), parts)
+    empty = parts - np.bincount(owner[filled], minlength=len(rows))
+    kept = filled | (empty >= parts - MOST[classes])[owner]
+    number = np.arange(base[-1]) - base[owner]
+    keys = shingles.mixed(shingles.mixed(sums + number.astype(np.uint64)) ^ (classes[owner].astype(np.uint64) << np.uint64(48)))
+    return keys[kept].view(np.int64), owner[kept]
+
+
+def _parts(docs: DataFrame, text: str, chosen: _Filter) -> DataFrame:
+    """``key, node, size``: the parts of each set, once per set and task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             batch = batch.filter(pa.array(chosen(batch.column(0).to_numpy())))
-            for _, _, hashes, offsets in shingles.shingle_sets(batch.column(1), WIDTH):
+            for _, _, hashes, offsets in shingles.shingle_sets(batch.column(1), WIDTH, limit=1 << 21):
                 nodes, n = _digest(hashes, offsets), np.diff(offsets)
-                fresh = np.zeros(len(nodes), bool)
-                for k, node in enumerate(nodes.tolist()):
-                    if node and node not in seen:
-                        seen.add(node)
-                        fresh[k] = True
-                row = np.repeat(np.arange(len(n)), n)
-                place = np.arange(len(hashes)) - np.repeat(offsets[:-1], n)
-                if len(tokens):
-                    at = np.minimum(np.searchsorted(tokens, hashes), len(tokens) - 1)
-                    known = tokens[at] == hashes
-                    late = np.flatnonzero(known)
-                    late = late[np.lexsort((hashes[late], times[at[late]], row[late]))]
-                    before = np.concatenate([[0], np.cumsum(known)])
-                    place -= before[:-1] - before[offsets[:-1]][row]       # frequent ones before it go behind it
-                    many = before[offsets[1:]] - before[offsets[:-1]]
-                    place[late] = (n - many)[row[late]] + np.arange(len(late)) - before[offsets[:-1]][row[late]]
-                kept = fresh[row] & (place <= (n - -(-SIMILARITY * n // 100))[row])
+                fresh = [k for k, node in enumerate(nodes.tolist()) if node and node not in seen and not seen.add(node)]
+                rows = np.array(fresh, np.int64)
+                own = np.searchsorted(LOW, n[rows], side="right") - 1
+                near = 100 * n[rows] >= SIMILARITY * LOW[own + 1]          # may be linked with sets of the next class
+                rows, classes = np.concatenate([rows, rows[near]]), np.concatenate([own, own[near] + 1])
+                keys, owner = _part_keys(hashes, offsets, rows, classes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[kept].view(np.int64)), pa.array(nodes[row[kept]]), pa.array(n[row[kept]], pa.int64())],
-                    names=["token", "node", "size"])
+                    [pa.array(keys), pa.array(nodes[rows[owner]]), pa.array(n[rows[owner]], pa.int64())], names=["key", "node", "size"])
 
     return docs.select(F.xxhash64(text).alias("mark"), F.col(text).alias("source")).mapInArrow(
-        run, "token long, node long, size long")
+        run, "key long, node long, size long")
+
 
+def _members(parts: DataFrame) -> DataFrame:
+    """``key, node, size, hub, hub_size`` of the sets of every group but the smallest node, which is the hub.
 
-def _passing(rows: DataFrame, column: str, chosen: _Filter) -> DataFrame:
-    """The rows whose ``column`` may be in the filter."""
+    Rows stream by in order; no group is held."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None                                        # key, hub, its size and the last node of the open group
         for batch in batches:
-            yield batch.filter(pa.array(chosen(batch.column(column).to_numpy())))
-
-    return rows.mapInArrow(run, rows.schema)
+            if not batch.num_rows:
+                continue
+            key, node, size = (c.to_numpy() for c in batch.columns)
+            opens = np.concatenate([[last is None or key[0] != last[0]], key[1:] != key[:-1]])
+            again = np.concatenate([[last is not None and key[0] == last[0] and node[0] == last[3]],
+                                    (key[1:] == key[:-1]) & (node[1:] == node[:-1])])
+            first = np.maximum.accumulate(np.where(opens, np.arange(len(key)), -1))
+            inside = first >= 0
+            hub = np.where(inside, node[first], last[1] if last else 0)
+            hub_size = np.where(inside, size[first], last[2] if last else 0)
+            kept = ~again & (node != hub)
+            last = (key[-1], hub[-1], hub_size[-1], node[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (key, node, size, hub, hub_size)],
+                                             names=["key", "node", "size", "hub", "hub_size"])
+
+    return parts.repartition("key").sortWithinPartitions("key", "node").mapInArrow(
+        run, "key long, node long, size long, hub long, hub_size long")
 
 
 def _fits(a, b):
@@ -283,13 +292,13 @@ def _walked(rows: DataFrame) -> DataFrame:
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Parts of groups in pairs. ``rows``: ``token, class, node, size, label, bitmap``.
+    """Parts of groups in pairs. ``rows``: ``key, node, size, label, bitmap``.
 
     A group of over ``CHUNK`` sets is divided by the hash of the set, apart from the sets of its most frequent class:
     those make nodes of one class, which need not be walked with each other. The top nodes' sizes and bitmaps decide
     which parts meet.
     """
-    group = ["token", "class"]
+    group = ["key"]
     classes = rows.groupBy(*group, "label").count()
     sizes = classes.groupBy(*group).agg(F.sum("count").alias("sets"), F.max_by("label", "count").alias("most"))
     small = rows.join(sizes.filter(F.col("sets") <= CHUNK).select(*group), group, "left_semi")
@@ -383,19 +392,19 @@ def _similar(a: bytes, b: bytes, n: int, m: int) -> bool:
     return 100 * shared >= SIMILARITY * (len(x) + len(y) - shared)
 
 
-def _near(pairs: DataFrame, bitmaps: DataFrame, extra: str) -> DataFrame:
-    """The pairs ``u, v`` whose sizes and bitmaps allow a link, with a column ``extra``."""
+def _near(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """The pairs ``u, v`` whose sizes and bitmaps allow a link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, WORDS) for c in ("map_u", "map_v"))
             n, m = (batch.column(c).to_numpy() for c in ("size_u", "size_v"))
             overlap = np.minimum(_popcount(a & b) + np.minimum(n - _popcount(a), m - _popcount(b)), np.minimum(n, m))
-            yield batch.filter(pa.array((100 + SIMILARITY) * overlap >= SIMILARITY * (n + m))).select(["u", "v", extra])
+            yield batch.filter(pa.array((100 + SIMILARITY) * overlap >= SIMILARITY * (n + m))).select(["u", "v"])
 
     u = bitmaps.select(F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("bitmap").alias("map_u"))
     v = bitmaps.select(F.col("node").alias("v"), F.col("size").alias("size_v"), F.col("bitmap").alias("map_v"))
-    return pairs.join(u, "u").join(v, "v").select("u", "v", extra, "size_u", "size_v", "map_u", "map_v").mapInArrow(
-        run, f"u long, v long, {extra} long")
+    return pairs.join(u, "u").join(v, "v").select("u", "v", "size_u", "size_v", "map_u", "map_v").mapInArrow(
+        run, "u long, v long")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, text: str, first: DataFrame, wide: bool = False) -> DataFrame:
@@ -423,42 +432,25 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str, first: DataFrame, wide
 def set_links(docs: DataFrame, text: str, described: DataFrame) -> DataFrame:
     """``u, v``: links between different sets that join the same sets as all links do."""
     rows = described.filter("node <> 0")
-    frequent = (described.filter("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
-                .orderBy(F.col("times").desc(), "token").limit(FREQUENT).toArrow())
-    tokens = frequent.column("token").to_numpy().view(np.uint64)
-    order = np.argsort(tokens)
-    ranks = tokens[order], frequent.column("times").to_numpy()[order]
-
     sets = saved(rows.groupBy("node").agg(F.min("mark").alias("mark"), F.min("size").alias("size"), F.any_value("bitmap").alias("bitmap")))
     first, bitmaps = sets.select("node", "mark"), sets.select("node", "size", "bitmap")
-    listed = saved(_prefixes(docs, text, _Filter(sets, "mark"), ranks))
-    met = saved(listed.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("token"))
-    met = saved(met)
-    step = math.log(100 / SIMILARITY) * (1 + 1e-9)        # sizes of linked sets are in one class or in two neighbours
-    size_class = F.floor(F.log("size") / F.lit(step)).cast("int")
-    shared = (_passing(listed, "token", _Filter(met, "token")).join(met, "token", "left_semi").dropDuplicates(["token", "node"])
-              .withColumn("class", F.explode(F.array(size_class, size_class + 1))))
-    shared = saved(shared)
-    group = ["token", "class"]
-    stars = shared.groupBy(*group).agg(F.min(F.struct("node", "size")).alias("hub"), F.count("*").alias("sets")).filter("sets > 1")
-    members = saved(shared.join(stars, group).filter("node <> hub.node"))
-    spokes = (members.filter(_fits(F.col("size"), F.col("hub.size"))).groupBy(F.col("hub.node").alias("u"), F.col("node").alias("v"))
-              .agg(F.count("*").alias("groups")))
-    spokes = saved(_near(spokes, bitmaps, "groups"))
-    best = spokes.groupBy("v").agg(F.max(F.struct("groups", "u")).alias("most")).select("most.u", "v")
-    links = _linked(saved(best), docs, text, first)
-    discard(listed)
+    members = saved(_members(_parts(docs, text, _Filter(sets, "mark"))))
+    spokes = members.filter(_fits(F.col("size"), F.col("hub_size")))
+    best = saved(spokes.groupBy(F.col("node").alias("v")).agg(F.min("hub").alias("u")))
+    links = _linked(saved(_near(best, bitmaps)), docs, text, first)
 
     # every hub is held against all of its group (sets that links have joined already need no test): the walk goes on without it
     roots = saved(component_roots(links)).select(F.col("member").alias("node"), F.col("root").alias("label"))
-    rest = members.filter("sets > 2").select(*group, "node", "size").join(roots, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = rest.groupBy(*group).agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select(*group)
-    open_ = saved(rest.join(mixed, group, "left_semi").join(bitmaps.select("node", "bitmap"), "node"))
-    for side in "uv":
-        label = roots.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
-        spokes = spokes.join(label, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
-    apart = spokes.join(best, ["u", "v"], "left_anti").filter("label_u <> label_v").select("u", "v")
-    pairs = saved(_walked(_blocks(open_)).unionByName(apart).distinct())
+    hubs = roots.withColumnsRenamed({"node": "hub", "label": "hub_label"})
+    rest = (members.join(roots, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            .join(hubs, "hub", "left").withColumn("hub_label", F.coalesce("hub_label", "hub")))
+    mixed = rest.groupBy("key").agg(F.min(F.least("label", "hub_label")).alias("low"), F.max(F.greatest("label", "hub_label")).alias("high"))
+    rest = saved(rest.join(mixed.filter("low <> high").select("key"), "key", "left_semi"))
+    apart = (rest.filter(_fits(F.col("size"), F.col("hub_size"))).filter("label <> hub_label")
+             .select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct().join(best, ["u", "v"], "left_anti"))
+    open_ = saved(rest.select("key", "node", "size", "label").join(bitmaps.select("node", "bitmap"), "node"))
+    discard(members)
+    pairs = saved(_walked(_blocks(open_)).unionByName(_near(apart, bitmaps)).distinct())
     discard(open_)
     left = _linked(pairs, docs, text, first, wide=True)
     return links.unionByName(_linked(left, docs, text, first))

@@ -78,10 +78,9 @@ def test_sets_are_the_plain_ones():
     assert (starts.tolist(), ends.tolist(), first.tolist()) == ([0, 3, 5], [2, 5, 7], [0, 2, 2, 3, 3])
 
 
-@pytest.mark.parametrize("chunk, frequent", [(2048, 1 << 17), (8, 40)])
-def test_join_against_all_pairs(spark, monkeypatch, chunk, frequent):
+@pytest.mark.parametrize("chunk", [2048, 8])
+def test_join_against_all_pairs(spark, monkeypatch, chunk):
     monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
-    monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
     docs = cases.awkward(spark, more=near_copies())
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert collected(jaccard_join.joined(docs)) == brute(rows)
@@ -120,3 +119,20 @@ def test_wide_bitmaps_leave_every_link():
                 assert jaccard_join._possible(jaccard_join._wide(a), jaccard_join._wide(b), len(a), len(b))
     far = np.array(rng.sample(range(1 << 62), 1000), np.uint64)
     assert not jaccard_join._possible(jaccard_join._wide(a), jaccard_join._wide(far), 1000, 1000)
+
+
+def test_linked_sets_have_a_part_in_common():
+    rng = random.Random(9)
+    for _ in range(400):
+        n = rng.choice([1, 2, 5, 6, 7, 11, 12, 13, 14, 30, 100, 300])
+        a = np.array(rng.sample(range(1 << 62), n), np.uint64)
+        kept = rng.randrange(n * 84 // 100, n + 1)
+        b = np.concatenate([a[:kept], np.array(rng.sample(range(1 << 62), rng.randrange(n // 6 + 2)), np.uint64)])
+        if 100 * kept < 85 * (n + len(b) - kept):
+            continue
+        keys = []
+        for s in (np.sort(a), np.sort(b)):
+            own = np.searchsorted(jaccard_join.LOW, [len(s)], side="right") - 1
+            classes = [own] + ([own + 1] if 100 * len(s) >= 85 * jaccard_join.LOW[own[0] + 1] else [])
+            keys.append({k for c in classes for k in jaccard_join._part_keys(s, np.array([0, len(s)]), np.array([0]), c)[0].tolist()})
+        assert keys[0] & keys[1]
