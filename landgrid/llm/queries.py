@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landgrid.llm import (decontamination, jaccard_join, language_id, packing, pii, quality, secrets, simhash, topk, toxicity,
-                           warc)
+from landgrid.llm import (decontamination, jaccard_join, language_id, packing, pii, quality, runs, secrets, simhash, topk,
+                           toxicity, warc)
 from landgrid.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,14 @@ def op10_warc(spark, folder):
 ORACLE_SQL["op10_warc"] = warc.SQL
 
 
+@query
+def op11_periodic_runs(spark, folder):
+    return runs.periodic_runs(read(spark, folder, "documents"), planted=True)
+
+
+ORACLE_SQL["op11_periodic_runs"] = runs.SQL
+
+
 @query
 def op13_jaccard_join(spark, folder):
     return jaccard_join.joined(read(spark, folder, "documents"))
