@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landgrid.llm import (decontamination, jaccard_join, language_id, packing, pii, quality, runs, secrets, simhash, topk,
-                           toxicity, warc)
+from landgrid.llm import (decontamination, jaccard_join, language_id, lexical, packing, pii, quality, runs, secrets, simhash,
+                           topk, toxicity, warc)
 from landgrid.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,14 @@ def op11_periodic_runs(spark, folder):
 ORACLE_SQL["op11_periodic_runs"] = runs.SQL
 
 
+@query
+def op12_ranked_search(spark, folder):
+    return lexical.ranked(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+ORACLE_SQL["op12_ranked_search"] = lexical.SQL
+
+
 @query
 def op13_jaccard_join(spark, folder):
     return jaccard_join.joined(read(spark, folder, "documents"))
