@@ -23,6 +23,7 @@ QUERIES: dict[str, Query] = {}
 SETTINGS = housing_layers.Settings()
 IMPERVIOUS = RasterGrid(30.0, 250)
 SECOND = RasterGrid(30.0, -9999)
+WINDOW = (1000.0, 700.0, 1900.0, 1500.0)
 
 
 class Inputs:
@@ -214,6 +215,19 @@ def explode_parts(t):
     return tables.exploded(two).select("eid", "part", *box_columns(), G.area("geom").alias("area"))
 
 
+@query
+def valid_filter_holes(t):
+    """Rectangles with two holes each, which may meet, touch in a corner, lie in each other or leave the rectangle."""
+    r = t.table("f_ground")
+
+    def rectangle(dx, dy, side):
+        return G.rectangle(F.col("x0") + dx, F.col("y0") + dy, F.col("x0") + dx + side, F.col("y0") + dy + side)[0][0]
+
+    shell = G.rectangle("x0", "y0", F.col("x0") + F.col("w"), F.col("y0") + F.col("h"))[0][0]
+    rings = F.array(shell, rectangle(F.lit(5), F.lit(5), 10), rectangle(F.col("gid") % 71, F.col("gid") % 53, 8))
+    return overlay.only_valid(r.select("gid", F.array(rings).alias("geom"))).select("gid")
+
+
 @query
 def simplify_bounds(t):
     """Rectangles with a bump of 0.3 m on each side, which the tolerance removes."""
@@ -452,9 +466,9 @@ def region_polygons_small_blocks(t):
 
 @query
 def chain_components(t):
-    """Buildings in chains of up to 10,000 by key, dealt out so that no task sees a stretch of a chain."""
+    """Buildings in chains by key, as long as the keys go on, dealt out so that no task sees a stretch of a chain."""
     keys = t.table("f_footprint").select("bid").distinct()
-    links = keys.select(F.col("bid").alias("u"), (F.col("bid") + 1).alias("v")).filter("v % 10000 <> 0")
+    links = keys.select(F.col("bid").alias("u"), (F.col("bid") + 1).alias("v"))
     links = links.join(keys.select(F.col("bid").alias("v")), "v", "left_semi").repartition(64, F.xxhash64("u"))
     return graph.component_labels(keys, links, "bid")
 
@@ -480,7 +494,7 @@ def _tiles(t) -> tuple[str, DataFrame]:
     """Compressed tiles of features by the last digit of the part, named as downloads are."""
     path = _folder(t, "tiles")
     lines = t.table("f_geojson").select("line", F.concat(F.lit("quadkey_"), F.col("p_partkey") % 10, F.lit("_tile")).alias("tile"))
-    lines.write.partitionBy("tile").option("compression", "gzip").text(path)
+    lines.repartition("tile").write.partitionBy("tile").option("compression", "gzip").text(path)
     return path, readers.features(t.spark, path)
 
 
@@ -501,9 +515,9 @@ def tile_faults(t):
 
 @query
 def landed_tiles(t):
-    """How many files have landed; contents are not read."""
+    """How many files of each tile have landed; contents are not read."""
     path, _ = _tiles(t)
-    return readers.landed_files(t.spark, f"{path}/*", ".txt.gz").select(F.count("*").alias("files")).select((F.col("files") >= 10).alias("landed"))
+    return readers.landed_files(t.spark, f"{path}/*", ".txt.gz").groupBy("quadkey").agg(F.count("*").alias("files"))
 
 
 @query
@@ -525,6 +539,14 @@ def layer_files(t):
     return both.select("school", "eid", "layer", "bbox.*", F.lit(",".join(skipped)).alias("skipped"))
 
 
+@query
+def layer_window(t):
+    """Polygons of a layer that meet a window; the file statistics of their boxes leave other files unread."""
+    path = _folder(t, "layer")
+    writers.write_layer(t.exclusions(), path, SETTINGS.ground_square)
+    return readers.layer_window(t.spark, path, WINDOW).select("eid", "layer", "bbox.*")
+
+
 @query
 def cell_files(t):
     """A raster written as a cell table and read through a window."""

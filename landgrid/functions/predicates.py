@@ -109,8 +109,8 @@ def polygon_distances(a: Flat, b: Flat) -> np.ndarray:
     return np.sqrt(best)
 
 
-def overlapping_ranges(low: np.ndarray, high: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs i, j of closed ranges of the same row that overlap, each once, by sorting."""
+def _reaches(low: np.ndarray, high: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges in the order of their lower ends, by row, and how many that follow each begin inside it."""
     n = len(low)
     # ranks keep the rows apart; equal values rank the lower ends first
     order = np.lexsort((np.repeat([0, 1], n), np.concatenate([low, high]), np.tile(row, 2)))
@@ -118,11 +118,34 @@ def overlapping_ranges(low: np.ndarray, high: np.ndarray, row: np.ndarray) -> tu
     rank[order] = np.arange(2 * n)
     by_low = np.argsort(rank[:n])
     starts, ends = rank[:n][by_low], rank[n:][by_low]
-    reach = np.searchsorted(starts, ends) - np.arange(n) - 1
+    return by_low, np.searchsorted(starts, ends) - np.arange(n) - 1
+
+
+def overlapping_ranges(low: np.ndarray, high: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs i, j of closed ranges of the same row that overlap, each once, by sorting."""
+    by_low, reach = _reaches(low, high, row)
     i, k = ragged(reach)
     return by_low[i], by_low[i + 1 + k]
 
 
+def meeting_boxes(boxes: tuple[np.ndarray, ...], row: np.ndarray):
+    """Index pairs i, j of boxes (xmin, ymin, xmax, ymax) of one row that meet, each once, in blocks of bounded size.
+
+    Boxes are swept along the axis on which fewer overlap."""
+    sweeps = [(_reaches(boxes[k], boxes[k + 2], row), boxes[1 - k], boxes[3 - k]) for k in (0, 1)]
+    (order, reach), low, high = min(sweeps, key=lambda w: w[0][1].sum())
+    ends = np.cumsum(reach)
+    start = 0
+    while start < len(order):
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + BLOCK, side="right")))
+        i, k = ragged(reach[start:stop])
+        a, b = order[start + i], order[start + i + 1 + k]
+        near = (low[a] <= high[b]) & (low[b] <= high[a])
+        yield a[near], b[near]
+        start = stop
+
+
 def ring_areas(x: np.ndarray, y: np.ndarray, ring: np.ndarray) -> np.ndarray:
     """Signed area of each closed ring, anticlockwise positive."""
     size = np.diff(ring)
@@ -176,46 +199,102 @@ def valid_polygons(g: Flat) -> np.ndarray:
     ok[ring_row[(count < 3) & ok[ring_row]]] = False
     place = np.arange(len(ring)) - counts_to_offsets(count)[ring]
     ax, ay, bx, by = g.x[seg], g.y[seg], g.x[seg + 1], g.y[seg + 1]
-    i, j = overlapping_ranges(np.minimum(ax, bx), np.maximum(ax, bx), row)
-    near = (np.minimum(ay, by)[i] <= np.maximum(ay, by)[j]) & (np.minimum(ay, by)[j] <= np.maximum(ay, by)[i])
-    i, j = i[near], j[near]
-    p, q = (ax[i], ay[i], bx[i], by[i]), (ax[j], ay[j], bx[j], by[j])
-    wrong = segments_cross(p, q)
-    # contacts without a crossing: ends that lie on the other segment
-    touch = np.array([_on(s, x, y) for s, x, y in ((p, q[0], q[1]), (p, q[2], q[3]), (q, p[0], p[1]), (q, p[2], p[3]))])
-    step = np.abs(place[i] - place[j])
-    same = ring[i] == ring[j]
-    neighbours = same & ((step == 1) | (step == count[ring[i]] - 1))
-    contacts = touch.sum(axis=0)
-    wrong |= same & ~neighbours & (contacts > 0)
-    # two common points on one line are a common stretch, unless both are the same shared end
-    straight = (p[2] - p[0]) * (q[3] - q[1]) == (p[3] - p[1]) * (q[2] - q[0])
-    shared = (((p[0] == q[0]) & (p[1] == q[1])) | ((p[0] == q[2]) & (p[1] == q[3]))
-              | ((p[2] == q[0]) & (p[3] == q[1])) | ((p[2] == q[2]) & (p[3] == q[3])))
-    wrong |= straight & (contacts >= 2) & ~(shared & (contacts == 2))
-    ok[row[i[wrong]]] = False
-    for k in np.flatnonzero(ok & (np.diff(g.row_ring) > 1)):
-        ok[k] = _well_nested(g.rings_of(k))
+    boxes = np.minimum(ax, bx), np.minimum(ay, by), np.maximum(ax, bx), np.maximum(ay, by)
+    for i, j in meeting_boxes(boxes, row):
+        p, q = (ax[i], ay[i], bx[i], by[i]), (ax[j], ay[j], bx[j], by[j])
+        wrong = segments_cross(p, q)
+        # contacts without a crossing: ends that lie on the other segment
+        touch = np.array([_on(s, x, y) for s, x, y in ((p, q[0], q[1]), (p, q[2], q[3]), (q, p[0], p[1]), (q, p[2], p[3]))])
+        step = np.abs(place[i] - place[j])
+        same = ring[i] == ring[j]
+        neighbours = same & ((step == 1) | (step == count[ring[i]] - 1))
+        contacts = touch.sum(axis=0)
+        wrong |= same & ~neighbours & (contacts > 0)
+        # two common points on one line are a common stretch, unless both are the same shared end
+        straight = (p[2] - p[0]) * (q[3] - q[1]) == (p[3] - p[1]) * (q[2] - q[0])
+        shared = (((p[0] == q[0]) & (p[1] == q[1])) | ((p[0] == q[2]) & (p[1] == q[3]))
+                  | ((p[2] == q[0]) & (p[3] == q[1])) | ((p[2] == q[2]) & (p[3] == q[3])))
+        wrong |= straight & (contacts >= 2) & ~(shared & (contacts == 2))
+        ok[row[i[wrong]]] = False
+    several = ok & (np.diff(g.row_ring) > 1)
+    if several.any():
+        used = several[row]
+        first = np.concatenate([[0], np.cumsum(np.bincount(row[used], minlength=g.rows))])
+        seg, ring = seg[used], ring[used]
+        anticlockwise = ring_areas(g.x, g.y, g.ring) > 0
+        shell = np.repeat(g.part[:-1], np.diff(g.part))
+        for k in np.flatnonzero(several).tolist():
+            s, r = seg[first[k]:first[k + 1]], ring[first[k]:first[k + 1]]
+            around = containers(g.x[s], g.y[s], g.x[s + 1], g.y[s + 1], r, anticlockwise)
+            # a hole lies in its shell directly, a shell in a hole or in nothing
+            ok[k] = all(o == shell[n] if n != shell[n] else o < 0 or o != shell[o] for n, o in around.items())
     return ok
 
 
+def containers(ax, ay, bx, by, ring, anticlockwise) -> dict[int, int]:
+    """The innermost ring around each ring, -1 for none, by one sweep along y.
+
+    Rings neither cross nor share stretches, so the edges that a horizontal line meets stay in one order from where they begin
+    to where they end. Where a ring begins, the edge to the left of it tells what it lies in: that edge's ring, if its inside is
+    on this side, and otherwise what that ring lies in.
+    """
+    level = ay == by
+    ax, ay, bx, by, ring = (c[~level] for c in (ax, ay, bx, by, ring))
+    up = by > ay
+    x0, y0, x1, y1 = (np.where(up, u, v).tolist() for u, v in ((ax, bx), (ay, by), (bx, ax), (by, ay)))
+    inside_right = (anticlockwise[ring] != up).tolist()
+    of = ring.tolist()
+
+    def place(e: int) -> int:
+        """Where an edge belongs in the order: by comparing it with others in the middle of their common height."""
+        low, high = 0, len(active)
+        ex, ey, ey1 = x0[e], y0[e], y1[e]
+        slope = (x1[e] - ex) / (ey1 - ey)
+        while low < high:
+            middle = (low + high) // 2
+            f = active[middle]
+            if f == e:
+                return middle
+            y = ((ey if ey > y0[f] else y0[f]) + (ey1 if ey1 < y1[f] else y1[f])) / 2
+            if x0[f] + (y - y0[f]) * (x1[f] - x0[f]) / (y1[f] - y0[f]) < ex + (y - ey) * slope:
+                low = middle + 1
+            else:
+                high = middle
+        return low
+
+    active: list[int] = []
+    around: dict[int, int] = {}
+    starts = sorted(range(len(of)), key=y0.__getitem__)
+    ends = sorted(range(len(of)), key=y1.__getitem__)
+    at = 0
+    begin = 0
+    while begin < len(starts):
+        y = y0[starts[begin]]
+        while at < len(ends) and y1[ends[at]] <= y:
+            k = place(ends[at])
+            if k == len(active) or active[k] != ends[at]:      # rounding has put two touching edges out of order
+                k = active.index(ends[at])
+            del active[k]
+            at += 1
+        fresh = []
+        while begin < len(starts) and y0[starts[begin]] == y:
+            e = starts[begin]
+            active.insert(place(e), e)
+            if of[e] not in around:
+                fresh.append(e)
+            begin += 1
+        for k, e in sorted((place(e), e) for e in fresh):
+            if of[e] not in around:
+                left = active[k - 1] if k else -1
+                around[of[e]] = -1 if left < 0 else of[left] if inside_right[left] else around[of[left]]
+    return around
+
+
 def _on(s, x, y):
     return ((_turn(*s, x, y) == 0) & (np.minimum(s[0], s[2]) <= x) & (x <= np.maximum(s[0], s[2]))
             & (np.minimum(s[1], s[3]) <= y) & (y <= np.maximum(s[1], s[3])))
 
 
-def _well_nested(parts: list[list[np.ndarray]]) -> bool:
-    for shell, *holes in parts:
-        for k, hole in enumerate(holes):
-            if not covered(shell, hole) or any(covered(o, hole) for m, o in enumerate(holes) if m != k):
-                return False
-    for k, part in enumerate(parts):
-        for m, other in enumerate(parts):
-            if m != k and covered(other[0], part[0]) and not any(covered(h, part[0]) for h in other[1:]):
-                return False
-    return True
-
-
 def kept_vertices(g: Flat, tolerance: float) -> np.ndarray:
     """Douglas-Peucker on every ring at once: which vertices stay. The start of a ring stays."""
     keep = np.zeros(len(g.x), dtype=bool)

@@ -266,6 +266,9 @@ STATEMENTS = {
           select eid, 0 part, x0, y0, w, h from f_layer
           union all select eid, 1, x0+2000, y0, w, h from f_layer) p""",
     "simplify_bounds": f"select bid, 5 vertices, {rect_box()}, cast(w*h as double) area from f_footprint",
+    "valid_filter_holes": """select gid from f_ground
+        where gid%71 > 0 and gid%53 > 0 and gid%71+8 < w and gid%53+8 < h
+          and (gid%71 > 15 or gid%53 > 15 or (gid%71 = 15 and gid%53 = 15))""",
     "valid_filter": "select gid from f_ground where w%3 <> 0 and h%5 <> 0",
     "layer_extent": """select cast(min(x0) as double) xmin, cast(min(y0) as double) ymin,
         cast(max(x0+w) as double) xmax, cast(max(y0+h) as double) ymax from f_footprint""",
@@ -311,14 +314,17 @@ STATEMENTS = {
     # keys in runs without a gap, cut at multiples of 10,000
     "chain_components": """select bid, min(bid) over (partition by run) component from (
           select bid, sum(first) over (order by bid) run from (
-            select bid, case when bid%10000 = 0 or bid - 1 <> lag(bid) over (order by bid) then 1 else 0 end first
+            select bid, case when bid - 1 <> lag(bid) over (order by bid) then 1 else 0 end first
             from (select distinct bid from f_footprint) k) c) r""",
     "manifest_file": "select location, quadkey, url from f_manifest",
     "tile_files": """select cast(p_partkey%10 as string) quadkey, count(*) shapes, count(*)*0.5e0 area
         from f_geojson_fault where fault is null group by p_partkey%10""",
     "tile_faults": """select cast(p_partkey%10 as string) quadkey, fault reason, count(*) "count"
         from f_geojson_fault where fault is not null group by p_partkey%10, fault""",
-    "landed_tiles": "select true landed",
+    "landed_tiles": """select cast(p_partkey%10 as string) quadkey, cast(1 as bigint) files
+        from f_geojson group by p_partkey%10""",
+    "layer_window": f"""select eid, layer, {rect_box()} from f_layer
+        where x0 <= 1900 and x0+w >= 1000 and y0 <= 1500 and y0+h >= 700""",
     "housing_file": 'select id as "ID", x_raw lon, y_raw lat, kind single_or_multi from f_housing',
     "layer_files": f"""select case when layer = 'schools' then eid end school,
           case when layer <> 'schools' then eid end eid, layer, {rect_box()}, 'none' skipped from f_layer""",

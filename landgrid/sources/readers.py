@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landgrid.functions import geom as G
+from landgrid.functions.predicates import polygon_distance
 from landgrid.schemas import FEATURE, HOUSING, MANIFEST_COLUMNS, SUMMARY, WGS84, with_srid
 
 
@@ -54,9 +55,9 @@ def landed_name(url, quadkey) -> Column:
 
 
 def landed_files(spark: SparkSession, folder: str, suffix: str = ".csv.gz") -> DataFrame:
-    """Names of the tiles present in a folder; file contents are not read."""
+    """Names and quadkeys of the tiles present in a folder; file contents are not read."""
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder))
-    return listing.select(F.element_at(F.split("path", "/"), -1).alias("file_name"))
+    return listing.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), quadkey_of("path").alias("quadkey"))
 
 
 def missing_tiles(tiles: DataFrame, landed: DataFrame) -> DataFrame:
@@ -165,6 +166,22 @@ def layer(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def layer_window(spark: SparkSession, path: str, window: tuple[float, float, float, float]) -> DataFrame:
+    """Rows of a written layer whose polygon meets a window ``(xmin, ymin, xmax, ymax)``, touching included.
+
+    The conditions on ``bbox`` go down to the scan, where files and row groups with boxes elsewhere are skipped: few are
+    left if ``write_layer`` laid the layer out by squares. Only rows whose box reaches over the window's border are
+    tested exactly.
+    """
+    low_x, low_y, high_x, high_y = (float(c) for c in window)
+    b = F.col("bbox")
+    near = layer(spark, path).filter((b.xmin <= high_x) & (b.xmax >= low_x) & (b.ymin <= high_y) & (b.ymax >= low_y))
+    within = (b.xmin >= low_x) & (b.xmax <= high_x) & (b.ymin >= low_y) & (b.ymax <= high_y)
+    frame = G.rectangle(F.lit(low_x), F.lit(low_y), F.lit(high_x), F.lit(high_y))
+    crossing = near.filter(~within).filter(polygon_distance("geom", frame) <= 0)
+    return near.filter(within).unionByName(crossing)
+
+
 def layers(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, dict[str, str]]:
     """The union of the layers that can be read, and of those that cannot the names with the reasons."""
     found, skipped = [], {}

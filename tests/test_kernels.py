@@ -1,6 +1,7 @@
 """Numpy kernels on hand-made and random shapes."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -157,6 +158,58 @@ def test_validity(parts, good):
     assert valid_polygons(g).tolist() == [True, good, True]
 
 
+def nested_by_pairs(parts):
+    """Every ring held against every other one: holes in their shell and outside each other, parts outside each other."""
+    for shell, *holes in parts:
+        for k, hole in enumerate(holes):
+            if not covered(shell, hole) or any(covered(o, hole) for m, o in enumerate(holes) if m != k):
+                return False
+    return not any(m != k and covered(other[0], part[0]) and not any(covered(h, part[0]) for h in other[1:])
+                   for k, part in enumerate(parts) for m, other in enumerate(parts))
+
+
+def test_nesting_by_sweep_against_pairs():
+    rng = np.random.default_rng(11)
+    seen = set()
+    for _ in range(400):
+        # squares with corners on few lines that never share a stretch, in random roles
+        n = int(rng.integers(2, 9))
+        xs, ys = (rng.permutation(40)[:2 * n].reshape(n, 2) for _ in range(2))
+        rings = []
+        for (a, b), (c, d) in zip(np.sort(xs, axis=1), np.sort(ys, axis=1)):
+            box = (a, c, b, d)
+            if all(box[2] < o[0] or o[2] < box[0] or box[3] < o[1] or o[3] < box[1]
+                   or (o[0] < box[0] and box[2] < o[2] and o[1] < box[1] and box[3] < o[3])
+                   or (box[0] < o[0] and o[2] < box[2] and box[1] < o[1] and o[3] < box[3]) for o, _ in rings):
+                r = rect(*box).astype(float)
+                rings.append((box, r[::-1] if rng.random() < 0.5 else r))
+        rings = [r for _, r in rings]
+        turn = rng.uniform(0, 6)
+        rings = [np.column_stack([r[:, 0] * math.cos(turn) - r[:, 1] * math.sin(turn), r[:, 0] * math.sin(turn) + r[:, 1] * math.cos(turn)]) for r in rings]
+        for r in rings:
+            r[-1] = r[0]
+        parts = []
+        for r in rings:
+            if parts and rng.random() < 0.6:
+                parts[int(rng.integers(len(parts)))].append(r)
+            else:
+                parts.append([r])
+        want = nested_by_pairs(parts)
+        seen.add((want, len(rings) > 2))
+        assert valid_polygons(from_rings([parts]))[0] == want
+    assert len(seen) == 4
+
+
+@pytest.mark.parametrize("across, down", [(100, 100), (10_000, 1), (1, 10_000)])
+def test_many_holes(across, down):
+    shell = rect(0, 0, 4 * across + 2, 4 * down + 2)
+    holes = [rect(4 * i + 2, 4 * j + 2, 4 * i + 4, 4 * j + 4) for i in range(across) for j in range(down)]
+    g = from_rings([[[shell, *holes]], [[shell, *holes, rect(2.5, 2.5, 3, 3)]], [[shell, *holes, rect(3, 3, 5, 5)]]])
+    start = time.time()
+    assert valid_polygons(g).tolist() == [True, False, False]
+    assert time.time() - start < 12
+
+
 def test_simplify_keeps_within_tolerance_and_valid():
     rng = np.random.default_rng(3)
     g = from_rings([[[star(rng, 0, 0, 60, 40)]] for _ in range(50)])

@@ -234,3 +234,20 @@ def test_catalog_against_sql(spark, name):
     theirs = duck.sql(entry.oracle_sql()[name]).df()
     mine = catalog.QUERIES[name](spark, folder).toPandas()[list(theirs.columns)]
     assert sorted(map(repr, mine.itertuples(index=False, name=None))) == sorted(map(repr, theirs.itertuples(index=False, name=None)))
+
+
+def test_window_reads_few_files(spark, tmp_path):
+    boxes = [(k, 40.0 * (k % 60), 40.0 * (k // 60)) for k in range(3600)]
+    rows = spark.createDataFrame(boxes, "fid long, x double, y double")
+    shapes = rows.select("fid", G.rectangle("x", "y", F.col("x") + 30, F.col("y") + 30).alias("geom"))
+    writers.write_layer(shapes.repartition(16), str(tmp_path / "layer"), 200.0)
+    window = (415.0, 830.0, 600.0, 1000.0)
+    found = readers.layer_window(spark, str(tmp_path / "layer"), window)
+    want = {k for k, x, y in boxes if x <= window[2] and x + 30 >= window[0] and y <= window[3] and y + 30 >= window[1]}
+    assert {r.fid for r in found.collect()} == want
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = readers.layer_window(spark, str(tmp_path / "layer"), window)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "LessThanOrEqual(bbox.xmin" in plan and "GreaterThanOrEqual(bbox.ymax" in plan
+    every = readers.layer(spark, str(tmp_path / "layer")).select(F.input_file_name()).distinct().count()
+    assert found.select(F.input_file_name()).distinct().count() < every
