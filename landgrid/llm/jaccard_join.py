@@ -39,6 +39,7 @@ CHUNK = 2048             # sets of a group that one task holds twice at most
 FANOUT = 8
 PAIRS = 1 << 15          # node pairs looked at in one step
 GROWTH = 1.41            # of the size classes; above 100 / SIMILARITY
+ROUNDS = 6               # of stars, at most, before the walk
 FILTER = 1 << 23         # bits of the filters sent to all tasks
 
 
@@ -49,7 +50,7 @@ def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         low.append(max(low[-1] + 1, math.ceil(low[-1] * GROWTH)))
     low = np.array(low)
     most = (100 - SIMILARITY) * 2 * (low[1:] - 1) // (100 + SIMILARITY)
-    return low, most + 1 + np.where(most > 0, most // 20 + 2, 0), most        # a few more parts, as some stay empty
+    return low, most + 1 + np.where(most > 0, most * 3 // 20 + 2, 0), most    # some more parts, as some stay thin
 
 
 LOW, PARTS, MOST = _classes()
@@ -109,8 +110,8 @@ class _Filter:
 
 def _part_keys(hashes: np.ndarray, offsets: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the parts of the sets ``rows``, dealt as in the given classes, and the place in ``rows`` of each. Two sets
-    whose only equal parts are empty have as many empty ones as a class has parts beyond the differences: other sets
-    need no key for their empty parts."""
+    whose only equal parts are thin, of one shingle or none, have as many thin ones as a class has parts beyond the
+    differences: other sets need no key for their thin parts, which unlike texts may well have in common."""
     n = np.diff(offsets)[rows]
     parts = PARTS[classes]
     base = np.concatenate([[0], np.cumsum(parts)])
@@ -120,10 +121,10 @@ def _part_keys(hashes: np.ndarray, offsets: np.ndarray, rows: np.ndarray, classe
     place = base[owner] + ((spread >> np.uint64(20)) % parts[owner].astype(np.uint64)).astype(np.int64)
     sums = np.zeros(base[-1], np.uint64)
     np.add.at(sums, place, spread)
-    filled = np.bincount(place, minlength=base[-1]) > 0
+    thick = np.bincount(place, minlength=base[-1]) > 1
     owner = np.repeat(np.arange(len(rows)), parts)
-    empty = parts - np.bincount(owner[filled], minlength=len(rows))
-    kept = filled | (empty >= parts - MOST[classes])[owner]
+    thin = parts - np.bincount(owner[thick], minlength=len(rows))
+    kept = thick | (thin >= parts - MOST[classes])[owner]
     number = np.arange(base[-1]) - base[owner]
     keys = shingles.mixed(shingles.mixed(sums + number.astype(np.uint64)) ^ (classes[owner].astype(np.uint64) << np.uint64(48)))
     return keys[kept].view(np.int64), owner[kept]
@@ -429,25 +430,40 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str, first: DataFrame, wide
 
 # -- the join --------------------------------------------------------------------------------------
 
+def _apart(pairs: DataFrame, roots: DataFrame, u: str, v: str) -> DataFrame:
+    """The pairs of sets of different classes."""
+    for side in (u, v):
+        label = roots.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+        pairs = pairs.join(label, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
+    return pairs.filter(F.col(f"label_{u}") != F.col(f"label_{v}")).select(u, v)
+
+
 def set_links(docs: DataFrame, text: str, described: DataFrame) -> DataFrame:
     """``u, v``: links between different sets that join the same sets as all links do."""
     rows = described.filter("node <> 0")
     sets = saved(rows.groupBy("node").agg(F.min("mark").alias("mark"), F.min("size").alias("size"), F.any_value("bitmap").alias("bitmap")))
     first, bitmaps = sets.select("node", "mark"), sets.select("node", "size", "bitmap")
     members = saved(_members(_parts(docs, text, _Filter(sets, "mark"))))
-    spokes = members.filter(_fits(F.col("size"), F.col("hub_size")))
-    best = saved(spokes.groupBy(F.col("node").alias("v")).agg(F.min("hub").alias("u")))
-    links = _linked(saved(_near(best, bitmaps)), docs, text, first)
+    spokes = members.filter(_fits(F.col("size"), F.col("hub_size"))).select(F.col("hub").alias("u"), F.col("node").alias("v"))
+    tested, links, roots = None, None, None
+    for _ in range(ROUNDS):
+        # of the hubs of other classes that a set has not been held against, the smallest
+        apart = spokes if roots is None else _apart(spokes, roots, "u", "v").distinct().join(tested, ["u", "v"], "left_anti")
+        best = saved(apart.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
+        found = _linked(saved(_near(best, bitmaps)), docs, text, first)
+        tested = best if tested is None else tested.unionByName(best)
+        links = found if links is None else links.unionByName(found)
+        roots = saved(component_roots(links)).select(F.col("member").alias("node"), F.col("root").alias("label"))
+        if found.isEmpty():
+            break
 
     # every hub is held against all of its group (sets that links have joined already need no test): the walk goes on without it
-    roots = saved(component_roots(links)).select(F.col("member").alias("node"), F.col("root").alias("label"))
     hubs = roots.withColumnsRenamed({"node": "hub", "label": "hub_label"})
     rest = (members.join(roots, "node", "left").withColumn("label", F.coalesce("label", "node"))
             .join(hubs, "hub", "left").withColumn("hub_label", F.coalesce("hub_label", "hub")))
-    mixed = rest.groupBy("key").agg(F.min(F.least("label", "hub_label")).alias("low"), F.max(F.greatest("label", "hub_label")).alias("high"))
-    rest = saved(rest.join(mixed.filter("low <> high").select("key"), "key", "left_semi"))
-    apart = (rest.filter(_fits(F.col("size"), F.col("hub_size"))).filter("label <> hub_label")
-             .select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct().join(best, ["u", "v"], "left_anti"))
+    mixed = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    rest = rest.join(mixed.filter("low <> high").select("key"), "key", "left_semi")
+    apart = saved(_apart(spokes, roots, "u", "v").distinct().join(tested, ["u", "v"], "left_anti"))
     open_ = saved(rest.select("key", "node", "size", "label").join(bitmaps.select("node", "bitmap"), "node"))
     discard(members)
     pairs = saved(_walked(_blocks(open_)).unionByName(_near(apart, bitmaps)).distinct())
