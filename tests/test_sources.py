@@ -240,7 +240,9 @@ def test_window_reads_few_files(spark, tmp_path):
     boxes = [(k, 40.0 * (k % 60), 40.0 * (k // 60)) for k in range(3600)]
     rows = spark.createDataFrame(boxes, "fid long, x double, y double")
     shapes = rows.select("fid", G.rectangle("x", "y", F.col("x") + 30, F.col("y") + 30).alias("geom"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")       # small files, but several
     writers.write_layer(shapes.repartition(16), str(tmp_path / "layer"), 200.0)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     window = (415.0, 830.0, 600.0, 1000.0)
     found = readers.layer_window(spark, str(tmp_path / "layer"), window)
     want = {k for k, x, y in boxes if x <= window[2] and x + 30 >= window[0] and y <= window[3] and y + 30 >= window[1]}
