@@ -39,7 +39,7 @@ CHUNK = 2048             # sets of a group that one task holds twice at most
 FANOUT = 8
 PAIRS = 1 << 15          # node pairs looked at in one step
 GROWTH = 1.41            # of the size classes; above 100 / SIMILARITY
-ROUNDS = 6               # of stars, at most, before the walk
+ROUNDS = 2               # of stars before the walk
 FILTER = 1 << 23         # bits of the filters sent to all tasks
 
 
