@@ -205,7 +205,11 @@ def dictionary(pages: DataFrame) -> bytes:
 
 
 def write(rows: DataFrame, folder: str, content: bytes, roll: int = ROLL) -> DataFrame:
-    """Write ``resolved`` rows as archives into ``folder``; a row per archive with path, records, bytes."""
+    """Write ``resolved`` rows as archives into ``folder``; a row per archive with path, records, bytes.
+
+    An archive is named after the attempt that wrote it, so one that is repeated, or runs beside another, never
+    replaces archives whose rows were kept. The paths in the rows tell which archives count.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
         writer = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(content) if content else None,
@@ -220,8 +224,8 @@ def write(rows: DataFrame, folder: str, content: bytes, roll: int = ROLL) -> Dat
         for batch in batches:
             for page, url, payload, digest, first in zip(*(c.to_pylist() for c in batch.columns)):
                 if open_ is None:
-                    name = f"{root}/part-{context.partitionId():06d}-{number:04d}.warc.zst"
-                    temporary = f"{name}.{context.taskAttemptId()}.open"
+                    name = f"{root}/part-{context.partitionId():06d}-{context.taskAttemptId()}-{number:04d}.warc.zst"
+                    temporary = f"{name}.open"
                     open_ = [store.open_output_stream(temporary, compression=None), temporary, name, 0, 0]
                     open_[0].write(dictionary_frame(content))
                     number += 1

@@ -63,6 +63,22 @@ def test_archives_roll_and_hold_payloads(spark):
         warc.read(short, folder).collect()
 
 
+def test_an_attempt_beside_another_replaces_nothing(spark):
+    import os
+
+    folder = f"{shared_folder(spark)}/attempts".removeprefix("file:")
+    os.makedirs(folder)
+    frame = pages(spark)
+    rows, content = warc.resolved(frame).repartition(3, "page_id"), warc.dictionary(frame)
+    first = warc.write(rows, folder, content, roll=2000).collect()
+    held = {r.path: open(r.path, "rb").read() for r in first}
+    second = warc.write(rows.orderBy("digest"), folder, content, roll=3000).collect()
+    assert not {r.path for r in first} & {r.path for r in second}
+    assert held == {r.path: open(r.path, "rb").read() for r in first}
+    listed = spark.createDataFrame(first, "path string, records bigint, bytes bigint")
+    assert warc.read(listed, folder).count() == frame.count()
+
+
 def archive(bodies, content=b"", raw=False):
     maker = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(content) if content else None, write_checksum=True)
     made = [b if raw else warc.record(str(k), None, b, hashlib.sha256(b).hexdigest(), None) for k, b in enumerate(bodies)]
