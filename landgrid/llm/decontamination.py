@@ -10,7 +10,9 @@ of the item's windows in an alignment, wherever words are inserted or dropped:
 consistent: each value of the item stands for one value in the document and the other way round. Equal values are a copy, others a re-parameterised question.
 
 The benchmark is held against all documents through a bitmap of its windows, whose size is fixed, so
-that only windows that may match leave a task; the join itself is an ordinary one.
+that only windows that may match leave a task; the joins are ordinary ones. A document is first held against
+an item's rarest windows only, as many as no leak can do without (``_opening``); all windows are fetched for
+the stretches that have one of them. So a phrase that many items share, or a table of numbers, opens no pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landgrid.llm import common, names
@@ -347,7 +349,16 @@ def _chain(places: list[int], items: list[int], cost: float) -> list[int]:
     return out[::-1]
 
 
-def _aligned(places: list[int], items: list[int], slots: list, item_slots: list, needed: int) -> list[tuple[int, int, bool]]:
+def _telling(order: list[int], places: list[int], slots: list, item_slots: list, reach: int) -> list[int]:
+    """Of the hits in document order, those that can be part of an alignment: placeholders alone tell nothing if
+    values differ, so such hits need a hit with a word in their reach."""
+    words = np.array([places[k] for k in order if None in item_slots[k]], np.int64)
+    at = np.array([places[k] for k in order], np.int64)
+    near = np.searchsorted(words, at - reach) < np.searchsorted(words, at + reach, side="right")
+    return [k for k, close in zip(order, near.tolist()) if close or slots[k] == item_slots[k]]
+
+
+def _aligned(places: list[int], items: list[int], slots: list, item_slots: list, needed: int, total: int) -> list[tuple[int, int, bool]]:
     """``(matches, the first hit, whether values differ)`` of every alignment with consistent slots.
 
     An alignment takes each place once, so a window that occurs again in the item is not held against
@@ -356,7 +367,10 @@ def _aligned(places: list[int], items: list[int], slots: list, item_slots: list,
     """
     order = sorted(range(len(places)), key=lambda k: (places[k], items[k]))
     out = []
-    while len({items[k] for k in order}) >= needed:
+    while True:
+        order = _telling(order, places, slots, item_slots, 2 * total + SLACK)
+        if len({items[k] for k in order}) < needed:
+            break
         for cost in COSTS:
             chain = [order[k] for k in _chain([places[k] for k in order], [items[k] for k in order], cost)]
             pairs = {(m, t) for k in chain for m, t in zip(slots[k], item_slots[k]) if m is not None and t is not None}
@@ -366,8 +380,8 @@ def _aligned(places: list[int], items: list[int], slots: list, item_slots: list,
             if len(chain) >= needed and (not changed or len(pairs) == len({m for m, _ in pairs}) == len({t for _, t in pairs})):
                 out.append((len(chain), chain[0], changed))
                 break
-        if len(chain) < needed:
-            break
+        if len(chain) < needed or not changed and len(chain) == total and len({places[k] - items[k] for k in chain}) == 1:
+            break                                         # behind a whole copy, the first, nothing better comes
         gone = set(chain)
         order = [k for k in order if k not in gone]
     return out
@@ -385,7 +399,7 @@ def _judged(hits: DataFrame, line: list[str], similarity: float) -> DataFrame:
             distinct.setdefault((spot[0], spot[1], *map(tuple, spot[2:])), k)
         lags, items, slots, item_slots = zip(*distinct)
         total = table["item_windows"][0].as_py()
-        found = _aligned([a + b for a, b in zip(lags, items)], list(items), slots, item_slots, _needed(total, similarity))
+        found = _aligned([a + b for a, b in zip(lags, items)], list(items), slots, item_slots, _needed(total, similarity), total)
         matched, first, changed = zip(*found) if found else ((), (), ())
         rows = list(distinct.values())
         first = pa.array([rows[k] for k in first], pa.int64())
@@ -396,6 +410,29 @@ def _judged(hits: DataFrame, line: list[str], similarity: float) -> DataFrame:
         run, f"id {kinds['id']}, item_id {kinds['item_id']}, item_windows bigint, matched bigint, base bigint, changed boolean")
 
 
+def _keyed(rows: DataFrame, slots: str) -> DataFrame:
+    """``alone``: whether a window is placeholders alone, and ``key``, by which it opens a pair: with the values, if so."""
+    alone = F.forall(slots, lambda value: value.isNotNull())
+    return rows.withColumn("alone", alone).withColumn("key", F.when(alone, F.xxhash64("window", slots)).otherwise(F.col("window")))
+
+
+def _opening(asked: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """The windows of ``asked`` one of which every leak has, the rarest that will do.
+
+    Of an item's n windows, p are placeholders alone, and a leak has at least m. So it has at least m - p with words;
+    without any of those it is a copy, with at least m of the p in equal values. Of w windows of which a leak has at
+    least k, any w - k + 1 do; the rarest in the documents are taken. Placeholders alone open a pair by their values.
+    """
+    times = found.groupBy("plain", "key").agg(F.count("*").alias("times"))
+    item = Window.partitionBy("item_id", "plain")
+    rows = asked.join(times, ["plain", "key"], "left").withColumns({
+        "p": F.count_if("alone").over(item), "n": F.count("*").over(item),
+        "rank": F.row_number().over(Window.partitionBy("item_id", "plain", "alone").orderBy(F.coalesce("times", F.lit(0)), "item_place"))})
+    least = F.ceil(F.lit(similarity) * F.col("n") - 1e-9)
+    enough = F.when(F.col("alone"), F.col("p") - least + 1).otherwise(F.col("n") - F.col("p") - F.greatest(F.lit(1), least - F.col("p")) + 1)
+    return rows.filter(F.col("rank") <= enough).select("plain", "key", "item_id", "item_place", "item_windows")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
           similarity: float = SIMILARITY) -> DataFrame:
     """``key, item_id, place, matched, item_windows, similarity, kind`` of every leaked item.
@@ -406,15 +443,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     """
     items = benchmark.select("item_id", F.col("text").alias("text")).filter("item_id is not null and text is not null")
     items = items.groupBy("item_id").agg(F.min("text").alias("text"))
-    asked = saved(windows(items, "item_id", "text", window=window).withColumnsRenamed(
-        {"id": "item_id", "place": "item_place", "spot": "item_spot", "windows": "item_windows", "slots": "item_slots"}))
-    found = windows(docs, key, text, _bitmap(asked), window).select("id", "plain", "window", "place", "spot", "slots")
-    lag = F.col("place") - F.col("item_place")
+    asked = windows(items, "item_id", "text", window=window).withColumnsRenamed(
+        {"id": "item_id", "place": "item_place", "spot": "item_spot", "windows": "item_windows", "slots": "item_slots"})
+    asked = saved(_keyed(asked, "item_slots"))
+    found = saved(_keyed(windows(docs, key, text, _bitmap(asked), window), "slots").drop("windows"))
     half = F.col("item_windows") * 2 + SLACK
     stretches = F.array(F.floor(F.col("place") / (half * 2)) * 2, F.floor((F.col("place") + half) / (half * 2)) * 2 + 1)
-    pairs = found.join(asked, ["plain", "window"]).withColumn("lag", lag).withColumn("stretch", F.explode(stretches))
-    hits = saved(pairs.select("id", "item_id", "plain", "stretch", "lag", (F.col("spot") - F.col("item_spot")).alias("base"), "item_place", "item_windows", "slots", "item_slots"))
     line = ["id", "item_id", "plain", "stretch"]
+    opened = saved(found.select("id", "plain", "key", "place").join(_opening(asked, found, similarity), ["plain", "key"])
+                   .withColumn("stretch", F.explode(stretches)).select(*line).distinct())
+    worded = asked.groupBy("item_id", "plain").agg(F.bool_or(~F.col("alone")).alias("worded"))
+    wanted = (opened.join(asked.drop("key", "alone"), ["item_id", "plain"]).join(worded, ["item_id", "plain"])
+              .withColumnsRenamed({"id": "asked_id", "plain": "asked_plain", "window": "asked_window"}))
+    pairs = wanted.join(found, wanted["asked_id"].eqNullSafe(found["id"]) & (F.col("asked_plain") == F.col("plain"))
+                        & (F.col("asked_window") == F.col("window")) & F.array_contains(stretches, F.col("stretch"))
+                        & (F.col("worded") | (F.col("slots") == F.col("item_slots"))))
+    hits = saved(pairs.select("id", "item_id", "plain", "stretch", (F.col("place") - F.col("item_place")).alias("lag"),
+                              (F.col("spot") - F.col("item_spot")).alias("base"), "item_place", "item_windows", "slots", "item_slots").distinct())
     lines = (hits.groupBy(*line).agg(F.countDistinct("item_place").alias("matched"), F.first("item_windows").alias("item_windows"))
              .filter(F.col("matched") >= F.ceil(F.lit(similarity) * F.col("item_windows") - 1e-9)))
     near = hits.join(lines.select(*line), [hits[c].eqNullSafe(lines[c]) for c in line], "left_semi")

@@ -1,6 +1,7 @@
 """Templates, leaks and slots."""
 
 import random
+import time
 
 from landgrid.llm import common, decontamination
 from tests.llm import cases
@@ -124,6 +125,80 @@ def test_long_insertions(spark):
     assert got == {(1, 1): 142, (2, 1): 122, (3, 1): 138, (4, 2): 22, (7, 1): 142}
 
 
+def by_all_windows(docs, items, window=decontamination.WINDOW):
+    """Every window of every document against every window of every item; texts without names."""
+    def cut(text):
+        words = decontamination.template(text)
+        return [(tuple(w for w, _ in words[k:k + window]), tuple(v for _, v in words[k:k + window])) for k in range(len(words) - window + 1)]
+
+    out = {}
+    for i, text in docs:
+        for j, item in items:
+            found, asked = cut(text), cut(item)
+            half = 2 * len(asked) + decontamination.SLACK
+            hits = [(p, q) for p, (a, _) in enumerate(found) for q, (b, _) in enumerate(asked) if a == b]
+            for shift in (0, half):
+                for stretch in {(p + shift) // (2 * half) for p, _ in hits}:
+                    part = [(p, q) for p, q in hits if (p + shift) // (2 * half) == stretch]
+                    made = decontamination._aligned([p for p, _ in part], [q for _, q in part], [found[p][1] for p, _ in part],
+                                                    [asked[q][1] for _, q in part], decontamination._needed(len(asked), 0.8), len(asked))
+                    for matched, first, changed in made:
+                        best = (matched / len(asked), not changed, -(part[first][0] - part[first][1]))
+                        out[i, j] = max(out.get((i, j), best), best)
+    return {(i, j, -place, round(s, 9), "copy" if same else "reparameterised") for (i, j), (s, same, place) in out.items()}
+
+
+def test_all_windows_find_no_more(spark):
+    rng = random.Random(11)
+    word = lambda: rng.choice("alpha beta gamma delta of the and sum".split() + [str(rng.randint(0, 9))] * 4)
+    items = [(k, " ".join(word() for _ in range(rng.randint(5, 24)))) for k in range(25)]
+    items += [(25, "1 2 3 4 5 6 7"), (26, "4 4 4 4 4 4"), (27, "sum of 1 2 3 4 5 6 7 8 9 1 2 3 4 5 6 7"), (28, "the sum of the sum of the sum of the sum")]
+
+    def altered(text):
+        words = text.split()
+        if rng.random() < 0.5:
+            words = [str((int(w) + 3) % 10) if w.isdigit() else w for w in words]
+        if rng.random() < 0.6:
+            words[rng.randrange(len(words))] = word()
+        return " ".join(words)
+
+    docs = [(k, " ".join([word() for _ in range(30)] + altered(rng.choice(items)[1]).split() + [word() for _ in range(90)]
+                         + altered(rng.choice(items)[1]).split())) for k in range(60)]
+    docs += [(60, " ".join("4" * 80)), (61, " ".join(str(k % 10) for k in range(300)))]
+    got = decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id, r.place, round(r.similarity, 9), r.kind) for r in got.collect()}
+    want = by_all_windows(docs, items)
+    assert got == want and len({kind for *_, kind in want}) == 2 and len(want) > 60
+
+
+def test_tables_of_numbers(spark):
+    rng = random.Random(12)
+    items = [(k, " ".join(str(rng.randint(0, 999)) for _ in range(40))) for k in range(200)] + [(200, "7 " * 40)]
+    table = [str(rng.randint(0, 999)) for _ in range(100_000)]
+    table[50_000:50_040] = items[17][1].split()
+    docs = [(1, " ".join(table)), (2, "7 " * 5_000), (3, "costs of 2020 by month: " + " ".join(map(str, range(3000, 8000))))]
+    items.append((201, "costs of 2021 by month: " + " ".join(map(str, rng.sample(range(1000, 2000), 60)))))     # each value once
+    started = time.monotonic()
+    got = decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.kind) for r in got.collect()} == {(1, 17, "copy"), (2, 200, "copy"), (3, 201, "reparameterised")}
+    assert time.monotonic() - started < 120         # 36 to 49 s where this was written; hours if all numbers meet
+
+
+def test_shared_openings_open_nothing(spark):
+    rng = random.Random(13)
+    phrase = "what is the value of the following sum of terms that are given in the list"
+    items = [(k, phrase + " " + " ".join(f"w{rng.randint(0, 10 ** 6):06d}".translate(str.maketrans("0123456789", "abcdefghij")) for _ in range(12)))
+             for k in range(3000)]
+    docs = [(k, f"{phrase} and so on {phrase}") for k in range(300)] + [(300, items[5][1])]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    asked = decontamination._keyed(decontamination.windows(items, "item_id", "text").withColumnsRenamed(
+        {"id": "item_id", "place": "item_place", "windows": "item_windows", "slots": "item_slots"}), "item_slots")
+    found = decontamination._keyed(decontamination.windows(docs, "doc_id", "text"), "slots")
+    opening = decontamination._opening(asked, found, 0.8)
+    assert found.join(opening, ["plain", "key"]).count() < 50
+    assert [(r.doc_id, r.item_id) for r in decontamination.leaks(docs, items).collect()] == [(300, 5)]
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, QUESTION, "", "")], ITEMS)
     assert decontamination.contaminated(cases.empty(spark), bench).count() == 0
