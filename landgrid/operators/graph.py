@@ -16,6 +16,8 @@ from landgrid.shared import saved
 
 EDGES_AT_ONCE = 1 << 20     # edges one task holds while it contracts
 MAX_ROUNDS = 60
+POINT_PAIRS = 1 << 14       # pairs of points that two nodes may make without being divided
+STEP = 2                    # halvings of a node's side from one level to the next
 
 
 class NotConverged(RuntimeError):
@@ -140,8 +142,7 @@ def density_clusters(points: DataFrame, key: str, eps: float, min_samples: int)
 
     # core points of one square are linked by a star; squares by their pairs of core points
     hubs = saved(core.groupBy("cx", "cy").agg(
-        F.min("id").alias("hub"), F.min("x").alias("x0"), F.max("x").alias("x1"),
-        F.min("y").alias("y0"), F.max("y").alias("y1")))
+        F.min("id").alias("hub"), F.count("*").alias("n"), *_extent()))
     stars = core.join(hubs, ["cx", "cy"]).select(F.col("hub").alias("u"), F.col("id").alias("v"))
     links = saved(_square_links(core, hubs, eps, side))
     roots = component_roots(stars.unionByName(links))
@@ -157,23 +158,31 @@ def density_clusters(points: DataFrame, key: str, eps: float, min_samples: int)
     return points.select(key, "x", "y").join(labelled, ["x", "y"]).select(key, "cluster")
 
 
+def _extent():
+    return [f(c).alias(f"{c}{k}") for c in "xy" for k, f in enumerate((F.min, F.max))]
+
+
+def _apart(pairs: DataFrame, eps: float) -> DataFrame:
+    """Pairs of boxes with their smallest (``gap``) and largest (``far``) distance, without those out of reach."""
+    far_x = F.greatest(F.col("o_x1") - F.col("x0"), F.col("x1") - F.col("o_x0"))
+    far_y = F.greatest(F.col("o_y1") - F.col("y0"), F.col("y1") - F.col("o_y0"))
+    gap_x = F.greatest(F.col("o_x0") - F.col("x1"), F.col("x0") - F.col("o_x1"), F.lit(0.0))
+    gap_y = F.greatest(F.col("o_y0") - F.col("y1"), F.col("y0") - F.col("o_y1"), F.lit(0.0))
+    return pairs.withColumns({"far": F.hypot(far_x, far_y), "gap": F.hypot(gap_x, gap_y)}).filter(F.col("gap") <= eps)
+
+
 def _square_links(core: DataFrame, hubs: DataFrame, eps: float, side: float) -> DataFrame:
     """One edge for each two squares that hold core points within ``eps`` of each other.
 
-    Whether the closest two points are near enough is first read off the extents of the squares. In
-    between, only points that are near the other square's extent are paired.
+    Whether the closest two points are near enough is first read off the extents of the squares; what these
+    leave open is walked.
     """
     near = hubs.withColumn("dx", F.explode(F.sequence(F.lit(0), F.lit(2)))) \
                .withColumn("dy", F.explode(F.sequence(F.lit(-2), F.lit(2)))) \
                .filter("dx > 0 or dy > 0")
     other = hubs.select(*(F.col(c).alias(f"o_{c}") for c in hubs.columns))
     pairs = near.join(other, (F.col("cx") + F.col("dx") == F.col("o_cx")) & (F.col("cy") + F.col("dy") == F.col("o_cy")))
-    far_x = F.greatest(F.col("o_x1") - F.col("x0"), F.col("x1") - F.col("o_x0"))
-    far_y = F.greatest(F.col("o_y1") - F.col("y0"), F.col("y1") - F.col("o_y0"))
-    gap_x = F.greatest(F.col("o_x0") - F.col("x1"), F.col("x0") - F.col("o_x1"), F.lit(0.0))
-    gap_y = F.greatest(F.col("o_y0") - F.col("y1"), F.col("y0") - F.col("o_y1"), F.lit(0.0))
-    pairs = saved(pairs.withColumns({"far": F.hypot(far_x, far_y), "gap": F.hypot(gap_x, gap_y)})
-                  .filter(F.col("gap") <= eps))
+    pairs = saved(_apart(pairs, eps))
     sure = pairs.filter(F.col("far") <= eps).select(F.col("hub").alias("u"), F.col("o_hub").alias("v"))
     # squares that a chain of sure links already joins need no further test
     roots = component_roots(sure).withColumnsRenamed({"member": "hub", "root": "root"})
@@ -181,15 +190,58 @@ def _square_links(core: DataFrame, hubs: DataFrame, eps: float, side: float) ->
     side_b = roots.select(F.col("hub").alias("o_hub"), F.col("root").alias("root_b"))
     open_pairs = (pairs.filter(F.col("far") > eps).join(side_a, "hub", "left").join(side_b, "o_hub", "left")
                   .filter(F.coalesce("root_a", "hub") != F.coalesce("root_b", "o_hub"))
-                  .drop("root_a", "root_b"))
+                  .withColumns({"sx": F.col("cx"), "sy": F.col("cy"), "o_sx": F.col("o_cx"), "o_sy": F.col("o_cy")})
+                  .drop("root_a", "root_b", "dx", "dy", "far", "gap"))
+    return sure.unionByName(_walked(saved(open_pairs), core.select("cx", "cy", "x", "y"), eps, side))
+
+
+def _walked(pairs: DataFrame, core: DataFrame, eps: float, side: float) -> DataFrame:
+    """``u, v`` of the pairs of squares that hold points within ``eps``, by a walk down two quadtrees at once.
+
+    Nodes that make few pairs of points are compared point by point. Crowded ones are divided: their children's
+    extents rule a pair out, prove it (any two points of it are witnesses, and all other pairs of these squares are
+    dropped), or leave it to the next level. ``core`` has every location once, so nodes thin out.
+    """
+    level, found = 0, []
+    while True:
+        crowded = pairs.filter(F.col("n") * F.col("o_n") > POINT_PAIRS)
+        found.append(_tested(pairs.filter(F.col("n") * F.col("o_n") <= POINT_PAIRS), _placed(core, side, level), eps))
+        if crowded.isEmpty():
+            break
+        level += STEP
+        squares = crowded.select("cx", "cy").unionByName(crowded.select(F.col("o_cx").alias("cx"), F.col("o_cy").alias("cy")))
+        core = core.join(squares.distinct(), ["cx", "cy"], "left_semi")
+        nodes = (_placed(core, side, level).groupBy("cx", "cy", "sx", "sy").agg(F.count("*").alias("n"), *_extent())
+                 .withColumns({"px": F.shiftright("sx", STEP), "py": F.shiftright("sy", STEP)}))
+        theirs = nodes.select(*(F.col(c).alias(f"o_{c}") for c in nodes.columns))
+        ends = ["cx", "cy", "px", "py"]
+        parents = crowded.select("hub", "o_hub", "cx", "cy", "o_cx", "o_cy", *(
+            F.col(f"{o}s{c}").alias(f"{o}p{c}") for o in ("", "o_") for c in "xy"))
+        below = parents.join(nodes, ends).join(theirs, [f"o_{c}" for c in ends]).drop("px", "py", "o_px", "o_py")
+        below = saved(_apart(below, eps))
+        sure = below.filter(F.col("far") <= eps).select("hub", "o_hub").distinct()
+        found.append(sure.select(F.col("hub").alias("u"), F.col("o_hub").alias("v")))
+        pairs = below.drop("far", "gap").join(sure, ["hub", "o_hub"], "left_anti")
+    links = found[0]
+    for more in found[1:]:
+        links = links.unionByName(more)
+    return links.distinct() if len(found) > 1 else links
+
+
+def _placed(core: DataFrame, side: float, level: int) -> DataFrame:
+    """Points with the part ``sx, sy`` of their square that they lie in, after ``level`` halvings of its side."""
+    part = side / 2 ** level
+    return core.withColumns({"sx": F.floor(F.col("x") / part), "sy": F.floor(F.col("y") / part)})
+
+
+def _tested(pairs: DataFrame, placed: DataFrame, eps: float) -> DataFrame:
+    """``u, v`` of the node pairs that hold points within ``eps``; only points near the other node's extent are paired."""
     dx = F.greatest(F.col("o_x0") - F.col("x"), F.col("x") - F.col("o_x1"), F.lit(0.0))
     dy = F.greatest(F.col("o_y0") - F.col("y"), F.col("y") - F.col("o_y1"), F.lit(0.0))
-    mine = (core.select("cx", "cy", "x", "y")
-            .join(open_pairs.select("cx", "cy", "o_cx", "o_cy", "hub", "o_hub", "o_x0", "o_x1", "o_y0", "o_y1"),
-                  ["cx", "cy"])
-            .filter(F.hypot(dx, dy) <= eps).select("hub", "o_hub", "o_cx", "o_cy", "x", "y"))
-    theirs = core.select(F.col("cx").alias("o_cx"), F.col("cy").alias("o_cy"), F.col("x").alias("xb"), F.col("y").alias("yb"))
-    tested = (mine.join(theirs, ["o_cx", "o_cy"])
-              .filter(F.hypot(F.col("x") - F.col("xb"), F.col("y") - F.col("yb")) <= eps)
-              .select(F.col("hub").alias("u"), F.col("o_hub").alias("v")).distinct())
-    return sure.unionByName(tested)
+    here, there = ["cx", "cy", "sx", "sy"], ["o_cx", "o_cy", "o_sx", "o_sy"]
+    mine = (placed.join(pairs.select(*here, *there, "hub", "o_hub", "o_x0", "o_x1", "o_y0", "o_y1"), here)
+            .filter(F.hypot(dx, dy) <= eps).select("hub", "o_hub", *there, "x", "y"))
+    theirs = placed.select(*(F.col(c).alias(f"o_{c}") for c in here), F.col("x").alias("xb"), F.col("y").alias("yb"))
+    return (mine.join(theirs, there)
+            .filter(F.hypot(F.col("x") - F.col("xb"), F.col("y") - F.col("yb")) <= eps)
+            .select(F.col("hub").alias("u"), F.col("o_hub").alias("v")).distinct())

@@ -198,6 +198,32 @@ def test_density_clusters(spark, eps, min_samples):
     assert {r.fid: r.cluster for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("eps, min_samples", [(40.0, 5), (60.0, 1)])
+def test_density_clusters_by_divided_squares(spark, eps, min_samples, monkeypatch):
+    """The walk goes down to single points if nodes may make no pairs."""
+    xy = crowd(np.random.default_rng(6), 400, 700.0)
+    whole = graph.density_clusters(points(spark, xy, "fid"), "fid", eps, min_samples)
+    whole = {r.fid: r.cluster for r in whole.collect()}
+    monkeypatch.setattr(graph, "POINT_PAIRS", 2)
+    got = graph.density_clusters(points(spark, xy, "fid"), "fid", eps, min_samples)
+    assert {r.fid: r.cluster for r in got.collect()} == whole
+
+
+def test_two_crowds_make_few_pairs(spark, monkeypatch):
+    """10 ** 5 points each in two squares whose extents are near; only ``witness`` brings the crowds together."""
+    rng = np.random.default_rng(7)
+    n = 100_000
+    left = np.concatenate([rng.uniform(0, 0.5, (n, 2)), [[0.2, 7.0]]])
+    right = np.concatenate([rng.uniform(0, 0.2, (n, 2)) + [10.3, 3.4], [[13.0, 0.1]]])
+    made, real = [], graph._apart
+    monkeypatch.setattr(graph, "_apart", lambda pairs, eps: made.append(real(pairs, eps)) or made[-1])
+    for witness, clusters in (([11.0, 6.9], 2), ([10.4, 0.3], 1)):
+        xy = np.concatenate([left, right, [witness]])
+        got = graph.density_clusters(points(spark, xy, "fid"), "fid", 10.0, 4)
+        assert got.select("cluster").distinct().count() == clusters
+    assert len(made) > 2 and max(m.count() for m in made) < 10_000
+
+
 def image_cells(spark, image):
     y, x = np.nonzero(image)
     return spark.createDataFrame([(int(a) - 20, int(b) - 20) for a, b in zip(x, y)], "cx int, cy int")
