@@ -345,9 +345,7 @@ def proximity_pairs(t):
 
 @query
 def rooftop_components(t):
-    buildings = t.buildings()
-    links = clusters.proximity_links(buildings, "fid", SETTINGS.cluster_gap, SETTINGS.square)
-    return graph.component_labels(buildings.select("fid"), links, "fid")
+    return clusters.proximity_components(t.buildings(), "fid", SETTINGS.cluster_gap, SETTINGS.square)
 
 
 def _clustered(t) -> DataFrame:

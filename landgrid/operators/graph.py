@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landgrid.functions.forest import star_forest
+from landgrid.operators.squares import least_of_component, square_code, square_components
 from landgrid.operators.tables import row_ids
 from landgrid.shared import saved
 
@@ -140,14 +141,12 @@ def density_clusters(points: DataFrame, key: str, eps: float, min_samples: int)
     core = saved(spots.filter(F.col("held") >= min_samples).unionByName(
         thin.join(counted.select(F.col("id1").alias("id")), "id", "left_semi").select(spots.columns)))
 
-    # core points of one square are linked by a star; squares by their pairs of core points
-    hubs = saved(core.groupBy("cx", "cy").agg(
-        F.min("id").alias("hub"), F.count("*").alias("n"), *_extent()))
-    stars = core.join(hubs, ["cx", "cy"]).select(F.col("hub").alias("u"), F.col("id").alias("v"))
+    # core points of one square are neighbours: clusters are components of squares
+    hubs = saved(core.groupBy("cx", "cy").agg(F.min("id").alias("least"), F.count("*").alias("n"), *_extent())
+                 .withColumn("hub", square_code(F.col("cx"), F.col("cy"))))
     links = saved(_square_links(core, hubs, eps, side))
-    roots = component_roots(stars.unionByName(links))
-    core = saved(core.join(roots.withColumnsRenamed({"member": "id", "root": "found"}), "id", "left")
-                 .withColumn("cluster", F.coalesce("found", "id")).drop("found"))
+    labels = least_of_component(hubs.select("hub", "cx", "cy", "least"), links, "hub", "least", "cluster")
+    core = saved(core.join(labels.select("cx", "cy", "cluster"), ["cx", "cy"]))
     edge = thin.join(core.select("id"), "id", "left_anti")
     reached = (around(edge, {"x": "x1", "y": "y1", "id": "id1"})
                .join(core.select("cx", "cy", "x", "y", "cluster"), ["cx", "cy"]).filter(close())
@@ -172,7 +171,7 @@ def _apart(pairs: DataFrame, eps: float) -> DataFrame:
 
 
 def _square_links(core: DataFrame, hubs: DataFrame, eps: float, side: float) -> DataFrame:
-    """One edge for each two squares that hold core points within ``eps`` of each other.
+    """Edges ``u, v`` of squares (``hub``) that join the same ones as all pairs with core points within ``eps`` do.
 
     Whether the closest two points are near enough is first read off the extents of the squares; what these
     leave open is walked.
@@ -180,14 +179,16 @@ def _square_links(core: DataFrame, hubs: DataFrame, eps: float, side: float) ->
     near = hubs.withColumn("dx", F.explode(F.sequence(F.lit(0), F.lit(2)))) \
                .withColumn("dy", F.explode(F.sequence(F.lit(-2), F.lit(2)))) \
                .filter("dx > 0 or dy > 0")
-    other = hubs.select(*(F.col(c).alias(f"o_{c}") for c in hubs.columns))
+    near = near.drop("least")
+    other = hubs.drop("least")
+    other = other.select(*(F.col(c).alias(f"o_{c}") for c in other.columns))
     pairs = near.join(other, (F.col("cx") + F.col("dx") == F.col("o_cx")) & (F.col("cy") + F.col("dy") == F.col("o_cy")))
     pairs = saved(_apart(pairs, eps))
     sure = pairs.filter(F.col("far") <= eps).select(F.col("hub").alias("u"), F.col("o_hub").alias("v"))
     # squares that a chain of sure links already joins need no further test
-    roots = component_roots(sure).withColumnsRenamed({"member": "hub", "root": "root"})
-    side_a = roots.select("hub", F.col("root").alias("root_a"))
-    side_b = roots.select(F.col("hub").alias("o_hub"), F.col("root").alias("root_b"))
+    roots = square_components(sure)
+    side_a = roots.select(F.col("member").alias("hub"), F.col("root").alias("root_a"))
+    side_b = roots.select(F.col("member").alias("o_hub"), F.col("root").alias("root_b"))
     open_pairs = (pairs.filter(F.col("far") > eps).join(side_a, "hub", "left").join(side_b, "o_hub", "left")
                   .filter(F.coalesce("root_a", "hub") != F.coalesce("root_b", "o_hub"))
                   .withColumns({"sx": F.col("cx"), "sy": F.col("cy"), "o_sx": F.col("o_cx"), "o_sy": F.col("o_cy")})
