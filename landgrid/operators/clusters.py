@@ -103,7 +103,7 @@ def proximity_components(polygons: DataFrame, key: str, gap: float, size: float,
 
 
 def clusters(polygons: DataFrame, key: str, gap: float, size: float, number: str = "cluster") -> DataFrame:
-    """``polygons`` with the smallest key of their cluster and a dense cluster number."""
+    """``polygons`` (``key`` is unique) with the smallest key of their cluster and a dense cluster number."""
     found = dense_numbers(proximity_components(polygons, key, gap, size), "component", number)
     return polygons.join(found, key)
 
