@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from landgrid.functions.forest import star_forest
 from landgrid.operators.squares import least_of_component, square_code, square_components
 from landgrid.operators.tables import row_ids
-from landgrid.shared import saved
+from landgrid.shared import saved, shuffled
 
 EDGES_AT_ONCE = 1 << 20     # edges one task holds while it contracts
 MAX_ROUNDS = 60
@@ -97,13 +97,13 @@ def component_roots(edges: DataFrame) -> DataFrame:
 def component_labels(nodes: DataFrame, edges: DataFrame, key: str, label: str = "component") -> DataFrame:
     """``nodes`` with the smallest key of their component; a node without edges is its own."""
     found = component_roots(edges).select(F.col("member").alias(key), F.col("root").alias(label))
-    return nodes.join(found, key, "left").withColumn(label, F.coalesce(label, F.col(key).cast("long")))
+    return nodes.join(shuffled(found), key, "left").withColumn(label, F.coalesce(label, F.col(key).cast("long")))
 
 
 def dense_numbers(labelled: DataFrame, label: str, number: str = "cluster") -> DataFrame:
     """Replace labels by 0..n-1 in the order of the labels."""
     numbers = row_ids(labelled.select(label).distinct(), [label], number)
-    return labelled.join(numbers.withColumn(number, F.col(number).cast("int")), label)
+    return labelled.join(shuffled(numbers.withColumn(number, F.col(number).cast("int"))), label)
 
 
 def density_clusters(points: DataFrame, key: str, eps: float, min_samples: int) -> DataFrame:
@@ -122,7 +122,7 @@ def density_clusters(points: DataFrame, key: str, eps: float, min_samples: int)
     spots = (points.groupBy("x", "y").agg(F.count("*").alias("weight"), F.min(key).alias("id"))
              .withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)}))
     squares = spots.groupBy("cx", "cy").agg(F.sum("weight").alias("held"))
-    spots = saved(spots.join(squares, ["cx", "cy"]))
+    spots = saved(spots.join(shuffled(squares), ["cx", "cy"]))
     thin = spots.filter(F.col("held") < min_samples)
 
     def around(df, names):
@@ -136,25 +136,25 @@ def density_clusters(points: DataFrame, key: str, eps: float, min_samples: int)
         return F.hypot(F.col("x") - F.col("x1"), F.col("y") - F.col("y1")) <= limit
 
     asked = around(thin, {"x": "x1", "y": "y1", "id": "id1"})
-    counted = (asked.join(spots, ["cx", "cy"]).filter(close())
+    counted = (asked.join(shuffled(spots), ["cx", "cy"]).filter(close())
                .groupBy("id1").agg(F.sum("weight").alias("n")).filter(F.col("n") >= min_samples))
     core = saved(spots.filter(F.col("held") >= min_samples).unionByName(
-        thin.join(counted.select(F.col("id1").alias("id")), "id", "left_semi").select(spots.columns)))
+        thin.join(shuffled(counted.select(F.col("id1").alias("id"))), "id", "left_semi").select(spots.columns)))
 
     # core points of one square are neighbours: clusters are components of squares
     hubs = saved(core.groupBy("cx", "cy").agg(F.min("id").alias("least"), F.count("*").alias("n"), *_extent())
                  .withColumn("hub", square_code(F.col("cx"), F.col("cy"))))
     links = saved(_square_links(core, hubs, eps, side))
     labels = least_of_component(hubs.select("hub", "cx", "cy", "least"), links, "hub", "least", "cluster")
-    core = saved(core.join(labels.select("cx", "cy", "cluster"), ["cx", "cy"]))
-    edge = thin.join(core.select("id"), "id", "left_anti")
+    core = saved(core.join(shuffled(labels.select("cx", "cy", "cluster")), ["cx", "cy"]))
+    edge = thin.join(shuffled(core.select("id")), "id", "left_anti")
     reached = (around(edge, {"x": "x1", "y": "y1", "id": "id1"})
-               .join(core.select("cx", "cy", "x", "y", "cluster"), ["cx", "cy"]).filter(close())
+               .join(shuffled(core.select("cx", "cy", "x", "y", "cluster")), ["cx", "cy"]).filter(close())
                .groupBy(F.col("id1").alias("id")).agg(F.min("cluster").alias("cluster")))
     found = core.select("id", "cluster").unionByName(reached)
-    labelled = spots.select("x", "y", "id").join(found, "id", "left") \
+    labelled = spots.select("x", "y", "id").join(shuffled(found), "id", "left") \
                     .select("x", "y", F.coalesce("cluster", F.lit(-1)).cast("long").alias("cluster"))
-    return points.select(key, "x", "y").join(labelled, ["x", "y"]).select(key, "cluster")
+    return points.select(key, "x", "y").join(shuffled(labelled), ["x", "y"]).select(key, "cluster")
 
 
 def _extent():
@@ -182,14 +182,14 @@ def _square_links(core: DataFrame, hubs: DataFrame, eps: float, side: float) ->
     near = near.drop("least")
     other = hubs.drop("least")
     other = other.select(*(F.col(c).alias(f"o_{c}") for c in other.columns))
-    pairs = near.join(other, (F.col("cx") + F.col("dx") == F.col("o_cx")) & (F.col("cy") + F.col("dy") == F.col("o_cy")))
+    pairs = near.join(shuffled(other), (F.col("cx") + F.col("dx") == F.col("o_cx")) & (F.col("cy") + F.col("dy") == F.col("o_cy")))
     pairs = saved(_apart(pairs, eps))
     sure = pairs.filter(F.col("far") <= eps).select(F.col("hub").alias("u"), F.col("o_hub").alias("v"))
     # squares that a chain of sure links already joins need no further test
     roots = square_components(sure)
     side_a = roots.select(F.col("member").alias("hub"), F.col("root").alias("root_a"))
     side_b = roots.select(F.col("member").alias("o_hub"), F.col("root").alias("root_b"))
-    open_pairs = (pairs.filter(F.col("far") > eps).join(side_a, "hub", "left").join(side_b, "o_hub", "left")
+    open_pairs = (pairs.filter(F.col("far") > eps).join(shuffled(side_a), "hub", "left").join(shuffled(side_b), "o_hub", "left")
                   .filter(F.coalesce("root_a", "hub") != F.coalesce("root_b", "o_hub"))
                   .withColumns({"sx": F.col("cx"), "sy": F.col("cy"), "o_sx": F.col("o_cx"), "o_sy": F.col("o_cy")})
                   .drop("root_a", "root_b", "dx", "dy", "far", "gap"))
@@ -211,18 +211,18 @@ def _walked(pairs: DataFrame, core: DataFrame, eps: float, side: float) -> DataF
             break
         level += STEP
         squares = crowded.select("cx", "cy").unionByName(crowded.select(F.col("o_cx").alias("cx"), F.col("o_cy").alias("cy")))
-        core = core.join(squares.distinct(), ["cx", "cy"], "left_semi")
+        core = core.join(shuffled(squares.distinct()), ["cx", "cy"], "left_semi")
         nodes = (_placed(core, side, level).groupBy("cx", "cy", "sx", "sy").agg(F.count("*").alias("n"), *_extent())
                  .withColumns({"px": F.shiftright("sx", STEP), "py": F.shiftright("sy", STEP)}))
         theirs = nodes.select(*(F.col(c).alias(f"o_{c}") for c in nodes.columns))
         ends = ["cx", "cy", "px", "py"]
         parents = crowded.select("hub", "o_hub", "cx", "cy", "o_cx", "o_cy", *(
             F.col(f"{o}s{c}").alias(f"{o}p{c}") for o in ("", "o_") for c in "xy"))
-        below = parents.join(nodes, ends).join(theirs, [f"o_{c}" for c in ends]).drop("px", "py", "o_px", "o_py")
+        below = parents.join(shuffled(nodes), ends).join(shuffled(theirs), [f"o_{c}" for c in ends]).drop("px", "py", "o_px", "o_py")
         below = saved(_apart(below, eps))
         sure = below.filter(F.col("far") <= eps).select("hub", "o_hub").distinct()
         found.append(sure.select(F.col("hub").alias("u"), F.col("o_hub").alias("v")))
-        pairs = below.drop("far", "gap").join(sure, ["hub", "o_hub"], "left_anti")
+        pairs = below.drop("far", "gap").join(shuffled(sure), ["hub", "o_hub"], "left_anti")
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
@@ -240,9 +240,9 @@ def _tested(pairs: DataFrame, placed: DataFrame, eps: float) -> DataFrame:
     dx = F.greatest(F.col("o_x0") - F.col("x"), F.col("x") - F.col("o_x1"), F.lit(0.0))
     dy = F.greatest(F.col("o_y0") - F.col("y"), F.col("y") - F.col("o_y1"), F.lit(0.0))
     here, there = ["cx", "cy", "sx", "sy"], ["o_cx", "o_cy", "o_sx", "o_sy"]
-    mine = (placed.join(pairs.select(*here, *there, "hub", "o_hub", "o_x0", "o_x1", "o_y0", "o_y1"), here)
+    mine = (placed.join(shuffled(pairs.select(*here, *there, "hub", "o_hub", "o_x0", "o_x1", "o_y0", "o_y1")), here)
             .filter(F.hypot(dx, dy) <= eps).select("hub", "o_hub", *there, "x", "y"))
     theirs = placed.select(*(F.col(c).alias(f"o_{c}") for c in here), F.col("x").alias("xb"), F.col("y").alias("yb"))
-    return (mine.join(theirs, there)
+    return (mine.join(shuffled(theirs), there)
             .filter(F.hypot(F.col("x") - F.col("xb"), F.col("y") - F.col("yb")) <= eps)
             .select(F.col("hub").alias("u"), F.col("o_hub").alias("v")).distinct())

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landgrid.functions.forest import roots, star_forest
-from landgrid.shared import saved
+from landgrid.shared import saved, shuffled
 
 ORIGIN = 1 << 30            # added to square numbers, which so are 31 bits without a sign
 FIRST = 8                   # halvings from the block of the first round to a square
@@ -106,7 +106,7 @@ def square_components(edges: DataFrame) -> DataFrame:
     found = settled.pop() if settled else rest.select(F.col("v").alias("member"), F.col("u").alias("root"))
     while settled:
         above = found.select(F.col("member").alias("root"), F.col("root").alias("top"))
-        below = settled.pop().join(above, "root", "left").select("member", F.coalesce("top", "root").alias("root"))
+        below = settled.pop().join(shuffled(above), "root", "left").select("member", F.coalesce("top", "root").alias("root"))
         found = saved(found.unionByName(below))
     return found
 
@@ -114,6 +114,6 @@ def square_components(edges: DataFrame) -> DataFrame:
 def least_of_component(squares: DataFrame, edges: DataFrame, code: str, value: str, name: str) -> DataFrame:
     """``squares`` (one row per square ``code``) with the smallest ``value`` of their component as ``name``."""
     found = square_components(edges).select(F.col("member").alias(code), F.col("root").alias("_root"))
-    rooted = squares.join(found, code, "left").withColumn("_root", F.coalesce("_root", code))
+    rooted = squares.join(shuffled(found), code, "left").withColumn("_root", F.coalesce("_root", code))
     least = rooted.groupBy("_root").agg(F.min(value).alias(name))
-    return rooted.join(least, "_root").drop("_root")
+    return rooted.join(shuffled(least), "_root").drop("_root")
