@@ -18,7 +18,7 @@ from landgrid.functions import geom as G
 from landgrid.functions.predicates import point_distance, polygon_distance
 from landgrid.functions.tiles import TILE_DDL, tile_batch
 from landgrid.schemas import require_same_srid
-from landgrid.shared import saved
+from landgrid.shared import saved, shuffled
 
 CROWDED = 256           # points a square may hold before it is narrowed
 WORTH_DIVIDING = 3.0    # parts of a divided square that a box may meet on average
@@ -49,12 +49,17 @@ def with_box(df: DataFrame, geom: str = "geom", box: str = "box") -> DataFrame:
 
 # -- polygons with polygons --------------------------------------------------------------------
 
-def _by_size(df: DataFrame, size: float, touched: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Small polygons with their ``box``, and large ones cut to squares (``cx, cy, full, chip``)."""
+def is_simple(size: float) -> Column:
+    """Whether a polygon with its ``box`` is small enough to be listed whole under each square."""
     b = F.col("box")
     squares = ((square_of(b.xmax, size) - square_of(b.xmin, size) + 1)
                * (square_of(b.ymax, size) - square_of(b.ymin, size) + 1))
-    simple = (G.vertex_count("geom") <= SIMPLE_VERTICES) & (squares <= SIMPLE_SQUARES)
+    return (G.vertex_count("geom") <= SIMPLE_VERTICES) & (squares <= SIMPLE_SQUARES)
+
+
+def _by_size(df: DataFrame, size: float, touched: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Small polygons with their ``box``, and large ones cut to squares (``cx, cy, full, chip``)."""
+    simple = is_simple(size)
 
     @arrow_udf(DataType.fromDDL(TILE_DDL))
     def cut(geom: pa.Array) -> pa.Array:
@@ -179,7 +184,7 @@ def near_polygons(left: DataFrame, right: DataFrame, reach: float, size: float)
     home = ((F.floor(F.greatest(ab.xmin, bb.xmin) / F.col("side")) == F.col("cx"))
             & (F.floor(F.greatest(ab.ymin, bb.ymin) / F.col("side")) == F.col("cy")))
     close = G.boxes_meet(ab, bb) & (G.box_gap(G.grow(ab, -wide), bb) <= reach)
-    return (a.join(b, ["side", "cx", "cy"]).filter(home & close).drop("side", "cx", "cy")
+    return (a.join(shuffled(b), ["side", "cx", "cy"]).filter(home & close).drop("side", "cx", "cy")
             .withColumn("a_box", G.grow(F.col("a_box"), -wide)))
 
 

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import DataType
 
+from landgrid.functions import geom as G
 from landgrid.functions import slabs
 from landgrid.functions.arrow_geom import Flat, flat, ragged
 from landgrid.functions.predicates import is_valid, simplify
 from landgrid.operators import grid
-from landgrid.schemas import GEOM, require_same_srid, tagged_like
-from landgrid.shared import saved
+from landgrid.schemas import GEOM, GEOM_DDL, require_same_srid, tagged_like
+from landgrid.shared import saved, shuffled
 
 CUTS_AT_ONCE = 64               # cuts taken from one polygon in one step
 VERTICES_AT_ONCE = 50_000       # vertices one sweep holds
+GROWN = 16                      # vertices that growing makes of one
+FINER = 4                       # small squares in a side of a square where cuts crowd
 
 
 def _lists(column: pa.Array) -> tuple[Flat, np.ndarray, np.ndarray]:
@@ -54,12 +60,73 @@ def _runs(weight: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(start.tolist(), [*start[1:].tolist(), len(weight)]))
 
 
+def _frames(cx: pa.Array, cy: pa.Array, size: float, shape: int, lo: int, hi: int) -> slabs.Edges:
+    """The squares of rows ``[lo, hi)`` as a shape."""
+    low = np.column_stack([cx.to_numpy()[lo:hi], cy.to_numpy()[lo:hi]]).astype(np.float64)
+    return slabs.Edges.boxes(np.hstack([low, low + 1]) * float(size), np.arange(len(low)), shape)
+
+
+def _by_runs(weight: np.ndarray, overlay: Callable[[int, int], slabs.Trapezoids]) -> tuple[Flat, np.ndarray]:
+    """Polygons and areas of ``overlay`` over rows ``[lo, hi)``, whose vertices number ``weight``, run by run."""
+    shapes, areas = [Flat.empty(0)], [np.zeros(0)]
+    for lo, hi in _runs(weight):
+        shape = overlay(lo, hi)
+        shapes.append(slabs.polygons(shape, hi - lo))
+        areas.append(shape.areas(hi - lo))
+    return Flat.concat(shapes), np.concatenate(areas)
+
+
+def _listed_edges(members: Flat, row: np.ndarray, place: np.ndarray, lo: int, hi: int, grow: np.ndarray | None = None) -> slabs.Edges:
+    """Edges of the list members of rows ``[lo, hi)``, grown; their shapes count from 1."""
+    mine = np.arange(*np.searchsorted(row, [lo, hi]))
+    some = members.take(mine)
+    if grow is not None and (grow > 0).any():
+        some = slabs.buffered(some, grow[row[mine]])
+    return slabs.Edges.of(some, row[mine] - lo, place[mine] + 1)
+
+
+def _united_in(size: float) -> Callable:
+    """Lists of polygons, grown by ``reach``, as their union inside a square: ``full`` if that is all of it, else ``geom``."""
+    @arrow_udf(DataType.fromDDL(f"struct<full:boolean,geom:{GEOM_DDL}>"))
+    def united(cuts: pa.Array, reach: pa.Array, cx: pa.Array, cy: pa.Array) -> pa.Array:
+        members, row, place = _lists(cuts)
+        grow, rows = reach.to_numpy(), len(cx)
+        corners = np.diff(members.row_vertex) * np.where(grow[row] > 0, GROWN, 1)
+
+        def inside(_, shape, step, __, running):
+            return (running(step * (shape == 0)) == 1) & (running(step * (shape > 0)) > 0)
+
+        shapes, area = _by_runs(np.bincount(row, corners, rows), lambda lo, hi: slabs.sweep(
+            _frames(cx, cy, size, 0, lo, hi) + _listed_edges(members, row, place, lo, hi, grow), inside))
+        full = area >= size * size * (1 - 1e-12)
+        kept = Flat.choose([shapes, Flat.empty(rows)], full.astype(np.int64))
+        return pa.StructArray.from_arrays([pa.array(full), kept.array()], names=["full", "geom"])
+
+    return united
+
+
+def _left_in(size: float) -> Callable:
+    """What a polygon has inside a square and outside ``hole``, a polygon or null."""
+    @arrow_udf(GEOM)
+    def left(geom: pa.Array, hole: pa.Array, cx: pa.Array, cy: pa.Array) -> pa.Array:
+        mine, holes = flat(geom), flat(hole)
+
+        def rest(lo, hi):
+            rows = np.arange(lo, hi)
+            keep = slabs.Edges.of(mine.take(rows), rows - lo, 0) + _frames(cx, cy, size, 1, lo, hi)
+            return slabs.difference(keep, slabs.Edges.of(holes.take(rows), rows - lo, 2), kept_shapes=2)
+
+        return _by_runs(np.diff(mine.row_vertex) + np.diff(holes.row_vertex), rest)[0].array()
+
+    return left
+
+
 @arrow_udf(GEOM)
-def _common(parts: pa.Array) -> pa.Array:
-    """The intersection of each list of polygons."""
-    members, row, place = _lists(parts)
-    shared = slabs.intersection(slabs.Edges.of(members, row, place), np.bincount(row, minlength=len(parts)))
-    return slabs.polygons(shared, len(parts)).array()
+def _joined(chips: pa.Array) -> pa.Array:
+    """The union of each list of polygons."""
+    members, row, place = _lists(chips)
+    weight = np.bincount(row, np.diff(members.row_vertex), len(chips))
+    return _by_runs(weight, lambda lo, hi: slabs.union(_listed_edges(members, row, place, lo, hi)))[0].array()
 
 
 def difference(left: DataFrame, right: DataFrame, key: str, size: float, reach: float = 0.0,
@@ -67,45 +134,91 @@ def difference(left: DataFrame, right: DataFrame, key: str, size: float, reach:
     """``left`` less the union of the ``right`` polygons grown by ``reach``; what becomes empty is
     dropped.
 
-    A polygon with more than ``cuts_at_once`` candidates is spread over groups of about that size:
-    each group is taken from the whole polygon on its own, and the results are intersected, again in
-    groups of bounded size, until one is left.
+    A polygon with more than ``cuts_at_once`` candidates, or one that meets a square with more cuts than that, is cut
+    by small squares: see :func:`_by_squares`. No list of pairs is made for it.
     """
     require_same_srid(left, right)
     a = grid.with_box(left.select(F.col(key).alias("key"), "geom")).drop("geom")
     b = grid.with_box(right.select("geom").distinct())      # copies cut the same hole once
-    pairs = saved(grid.near_polygons(a, b, reach, size)
+    crowded = saved(grid.cover(b.select("box"), size, reach).groupBy("cx", "cy").count()
+                    .filter(F.col("count") > cuts_at_once).select("cx", "cy"))
+    hot = saved(grid.cover(a.filter("key is not null"), size)
+                .join(shuffled(crowded), ["cx", "cy"], "left_semi").select("key").distinct())
+    pairs = saved(grid.near_polygons(a.join(shuffled(hot), "key", "left_anti"), b, reach, size)
                   .select(F.col("a_key").alias("key"), F.col("b_geom").alias("cut")))
-    crowded = saved(pairs.groupBy("key").count().filter(F.col("count") > cuts_at_once)
-                    .select("key", F.ceil(F.col("count") / cuts_at_once).cast("int").alias("groups")))
-    many = crowded.agg(F.max("groups")).first()[0]
-    bounded = pairs if not many else pairs.join(crowded.select("key"), "key", "left_anti")
-    cuts = bounded.groupBy("key").agg(F.collect_list("cut").alias("cuts")).withColumnRenamed("key", key)
+    many = pairs.groupBy("key").count().filter(F.col("count") > cuts_at_once).select("key")
+    dense = saved(hot.unionByName(many))
+    cuts = (pairs.join(shuffled(dense), "key", "left_anti")
+            .groupBy("key").agg(F.collect_list("cut").alias("cuts")).withColumnRenamed("key", key))
     cut = _minus("geom", "cuts", F.lit(float(reach)))
-    whole = left if not many else left.join(crowded.select(F.col("key").alias(key)), key, "left_anti")
-    done = (whole.join(cuts, key, "left")
+    some = not dense.isEmpty()
+    keys = dense.select(F.col("key").alias(key))
+    whole = left if not some else left.join(shuffled(keys), key, "left_anti")
+    done = (whole.join(shuffled(cuts), key, "left")
             .withColumn("_rest", cut)
             .withColumn("geom", F.when(F.col("cuts").isNull(), F.col("geom")).otherwise(F.col("_rest")))
             .select(left.columns))
-    if many:
-        done = done.unionByName(_in_groups(left, pairs, crowded, key, reach, cuts_at_once, many))
+    if some:
+        done = done.unionByName(_by_squares(left.join(shuffled(keys), key, "left_semi"), b, size / FINER, reach, cuts_at_once))
     return tagged_like(done.filter(F.size("geom") > 0), left)
 
 
-def _in_groups(left: DataFrame, pairs: DataFrame, crowded: DataFrame, key: str, reach: float,
-               at_once: int, groups: int) -> DataFrame:
-    grouped = (pairs.join(crowded, "key")
-               .withColumn("part", F.pmod(F.xxhash64("cut"), F.col("groups")))
-               .groupBy("key", "part").agg(F.collect_list("cut").alias("cuts")))
-    geoms = left.select(F.col(key).alias("key"), "geom")
-    partial = saved(grouped.join(geoms, "key").select("key", "part", _minus("geom", "cuts", F.lit(float(reach))).alias("geom")))
-    while groups > 1:
-        partial = saved(partial.groupBy("key", F.floor(F.col("part") / at_once).alias("part"))
-                        .agg(F.collect_list("geom").alias("parts"))
-                        .select("key", "part", _common("parts").alias("geom")))
-        groups = -(-groups // at_once)
-    rest = partial.select(F.col("key").alias(key), "geom")
-    return left.drop("geom").join(rest, key).select(left.columns)
+def _by_squares(left: DataFrame, right: DataFrame, side: float, reach: float, at_once: int) -> DataFrame:
+    """``left`` less the union of ``right``, square by square: the cuts of a square are united once, whatever the
+    number of polygons there, and what is left of a polygon in its squares is joined again.
+
+    Cuts are united in a tree of bounded lists; a square that they cover in full settles its rows without geometry.
+    """
+    square = ["cx", "cy"]
+    mine = saved(left.withColumn("_row", F.monotonically_increasing_id()))       # written once, so the numbers stay
+    shapes = grid.with_box(mine.select("_row", "geom"))
+    small, large = shapes.filter(grid.is_simple(side)), shapes.filter(~grid.is_simple(side))
+    listed = grid.cover(small.select("_row", "box"), side).select("_row", *square)
+    cut = saved(grid.chips(large.select("_row", "geom"), side))
+    asked = saved(listed.select(square).unionByName(cut.select(square)).distinct())
+    holes = saved(_cuts_by_square(right, asked, side, reach, at_once))
+    whole = holes.filter("full").select(square)
+    holes = holes.filter("not full").select(*square, F.col("geom").alias("hole"))
+    x, y = F.col("cx") * F.lit(side), F.col("cy") * F.lit(side)
+    listed = (listed.join(shuffled(whole), square, "left_anti")
+              .join(shuffled(mine.select("_row", "geom")), "_row").select("_row", *square, "geom"))
+    cut = (cut.join(shuffled(whole), square, "left_anti")
+           .select("_row", *square, F.when(F.col("full"), G.rectangle(x, y, x + side, y + side)).otherwise(F.col("chip")).alias("geom")))
+    rest = (listed.unionByName(cut).join(shuffled(holes), square, "left")
+            .select("_row", _left_in(side)("geom", "hole", *square).alias("geom")).filter(F.size("geom") > 0))
+    found = rest.groupBy("_row").agg(F.collect_list("geom").alias("chips")).select("_row", _joined("chips").alias("geom"))
+    return mine.drop("geom").join(shuffled(found), "_row").select(left.columns)
+
+
+def _cuts_by_square(right: DataFrame, asked: DataFrame, side: float, reach: float, at_once: int) -> DataFrame:
+    """``cx, cy, full, geom``: the union of all cuts, grown by ``reach``, inside each of the squares ``asked``."""
+    square, united = ["cx", "cy"], _united_in(side)
+    simple = grid.is_simple(side)
+    small = grid.cover(right.filter(simple), side, reach).select(
+        *square, F.lit(float(reach)).alias("reach"), F.lit(False).alias("full"), "geom")
+    large = right.filter(~simple).select("geom")
+    large = grid.chips(buffered(large, reach) if reach else large, side).select(
+        *square, F.lit(0.0).alias("reach"), "full", F.col("chip").alias("geom"))
+    parts = saved(small.unionByName(large).join(shuffled(asked), square, "left_semi"))
+    done, raw = [], True
+    while True:
+        full = saved(parts.filter("full").select(square).distinct())
+        done.append(full)
+        held = parts.filter("not full").join(shuffled(full), square, "left_anti")
+        counts = saved(held.groupBy(square).agg(F.count("*").alias("n")))
+        if not raw and counts.filter("n > 1").isEmpty():
+            break
+        lists = F.ceil(F.col("n") / at_once).cast("int")
+        grouped = (held.join(shuffled(counts), square).withColumn("part", F.pmod(F.xxhash64("geom"), lists))
+                   .groupBy(*square, "part", "reach").agg(F.collect_list("geom").alias("cuts")))
+        parts = saved(grouped.withColumn("u", united("cuts", "reach", *square))
+                      .select(*square, F.lit(0.0).alias("reach"), "u.full", "u.geom").filter(F.col("full") | (F.size("geom") > 0)))
+        raw = False
+    none = F.lit(None).cast(held.schema["geom"].dataType)
+    out = held.select(*square, F.lit(False).alias("full"), "geom")
+    for full in done:
+        out = out.unionByName(full.select(*square, F.lit(True).alias("full"), none.alias("geom")))
+    return out
 
 
 def buffered(df: DataFrame, reach: float, geom: str = "geom") -> DataFrame:

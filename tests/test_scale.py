@@ -1,10 +1,15 @@
 """What has to stay bounded when the tables grow, on tables small enough for a test."""
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
-from landgrid.operators import graph, squares
+from landgrid.functions import geom as G
+from landgrid.functions.predicates import is_valid
+from landgrid.operators import graph, grid, overlay, squares
+from landgrid.schemas import GEOM
 from tests.plans import plan_of, plans_written
-from tests.shapes import crowd, points
+from tests.shapes import crowd, layer, points, rect, star
 
 
 def test_density_clusters_send_no_table_through_the_driver(spark, monkeypatch):
@@ -15,3 +20,29 @@ def test_density_clusters_send_no_table_through_the_driver(spark, monkeypatch):
     assert found.count() == 600
     assert len(plans) > 4
     assert not [p for p in [*plans, plan_of(found)] if "BroadcastHashJoin" in p]
+
+
+@pytest.mark.parametrize("reach", [0.0, 5.0])
+def test_crowded_cuts_are_united_before_they_meet_polygons(spark, monkeypatch, reach):
+    """Where many cuts lie on many polygons, their pairs are never listed; the rest is that of single cuts."""
+    rng = np.random.default_rng(3)
+    left = [rect(x, y, x + 90, y + 70) for x, y in rng.uniform(0, 500, (40, 2)).tolist()]
+    left += [rect(-2000, -2000, 2500, 2500), [rect(0, 0, 200, 200)[0] + [r[::-1] for r in rect(50, 50, 90, 90)[0]]]]
+    cuts = [star(rng, *rng.uniform(0, 600, 2), 6, 40) for _ in range(250)] + [star(rng, 150, 150, 90, 200)]
+    a, b = layer(spark, left, "gid"), layer(spark, cuts).drop("fid")
+    whole = overlay.difference(a, b, "gid", 256.0, reach, 10_000).select("gid", G.area("geom").alias("area"), *bounds()).collect()
+    monkeypatch.setattr(overlay, "_minus", lambda *_: F.raise_error(F.lit("a crowded polygon was cut pair by pair")).cast(GEOM))
+    listed = []
+    near = grid.near_polygons
+    monkeypatch.setattr(grid, "near_polygons", lambda *a: listed.append(near(*a)) or listed[-1])
+    rest = overlay.difference(a, b, "gid", 256.0, reach, 8)
+    parts = {r.gid: r for r in rest.select("gid", G.area("geom").alias("area"), *bounds()).collect()}
+    assert listed[0].count() == 0
+    assert set(parts) == {r.gid for r in whole}
+    for r in whole:
+        assert list(parts[r.gid]) == pytest.approx(list(r), abs=1e-4)
+    assert rest.filter(~is_valid("geom")).count() == 0
+
+
+def bounds():
+    return [G.bbox("geom")[c].alias(c) for c in ("xmin", "ymin", "xmax", "ymax")]
