@@ -17,6 +17,7 @@ from landgrid.shared import saved, shuffled
 
 EDGES_AT_ONCE = 1 << 20     # edges one task holds while it contracts
 MAX_ROUNDS = 60
+HUB = 1 << 16              # edges of a node that one task may get
 POINT_PAIRS = 1 << 14       # pairs of points that two nodes may make without being divided
 STEP = 2                    # halvings of a node's side from one level to the next
 
@@ -52,6 +53,16 @@ def contracted(edges: DataFrame) -> DataFrame:
     return plain.mapInArrow(shrink, "u long, v long")
 
 
+def _with_low(rows: DataFrame, lows: DataFrame) -> DataFrame:
+    """``rows`` (``u, v``) with the ``low`` of their ``u``. ``lows`` (``u, low, n``) is written.
+
+    Rows of a node with more than ``HUB`` of them stay where they are: there is one such node per ``HUB`` rows at most,
+    so these nodes are broadcast, and no task gets all the rows of one. The others go through a shuffle."""
+    hubs = F.broadcast(lows.filter(F.col("n") > HUB).select("u", "low"))
+    light = rows.join(hubs.select("u"), "u", "left_anti").join(shuffled(lows.select("u", "low")), "u")
+    return light.unionByName(rows.join(hubs, "u"))
+
+
 def _star_round(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step (Kiveris et al., "Connected Components in MapReduce
     and Beyond", 2014). The minimum of a node's neighbours is aggregated map-side and joined back,
@@ -60,14 +71,14 @@ def _star_round(edges: DataFrame) -> DataFrame:
         return e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
     def lowest(e):
-        return e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
+        return saved(e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"), F.count("*").alias("n")))
 
     around = both(edges)
-    large = (around.join(lowest(around), "u").filter("v > u")
+    large = (_with_low(around, lowest(around)).filter("v > u")
              .select(F.col("low").alias("u"), "v").filter("u <> v").distinct())
-    down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    down = saved(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
     lows = lowest(down)
-    small = (down.join(lows, "u").select(F.col("low").alias("u"), "v")
+    small = (_with_low(down, lows).select(F.col("low").alias("u"), "v")
              .unionByName(lows.select(F.col("low").alias("u"), F.col("u").alias("v"))))
     return small.filter("u <> v").distinct()
 

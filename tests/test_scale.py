@@ -46,3 +46,18 @@ def test_crowded_cuts_are_united_before_they_meet_polygons(spark, monkeypatch, r
 
 def bounds():
     return [G.bbox("geom")[c].alias(c) for c in ("xmin", "ymin", "xmax", "ymax")]
+
+
+def test_no_task_gets_all_edges_of_a_hub(spark, monkeypatch):
+    """A node with very many edges is joined where its edges lie; components are the same."""
+    monkeypatch.setattr(graph, "HUB", 20)
+    star = [(7, 1000 + k) for k in range(300)] + [(1000 + k, 2000 + k) for k in range(5)] + [(3, 2000), (500, 501)]
+    edges = spark.createDataFrame(star, "u long, v long").repartition(3)
+    rows = graph._with_low(edges, graph.saved(edges.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("n"))))
+    assert {tuple(r) for r in rows.select("u", "v", "low").collect()} == {(u, v, min(w for a, w in star if a == u)) for u, v in star}
+    dealt = spark.createDataFrame([(7, k) for k in range(300)], "u long, v long").repartition(6)
+    lows = graph.saved(dealt.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("n")))
+    held = graph._with_low(dealt, lows).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in held) == 300 and max(r["count"] for r in held) <= 100
+    roots = {r.member: r.root for r in graph.component_roots(edges).collect()}
+    assert roots == {n: 3 for e in star if e[0] != 500 for n in e if n != 3} | {501: 500}
