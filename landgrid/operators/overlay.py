@@ -121,12 +121,58 @@ def _left_in(size: float) -> Callable:
     return left
 
 
-@arrow_udf(GEOM)
-def _joined(chips: pa.Array) -> pa.Array:
-    """The union of each list of polygons."""
-    members, row, place = _lists(chips)
-    weight = np.bincount(row, np.diff(members.row_vertex), len(chips))
-    return _by_runs(weight, lambda lo, hi: slabs.union(_listed_edges(members, row, place, lo, hi)))[0].array()
+def _joined_from(size: float) -> Callable:
+    """Lists of chips, each from another square of a grid, as one polygon."""
+    @arrow_udf(GEOM)
+    def joined(chips: pa.Array) -> pa.Array:
+        members, row, _ = _lists(chips)
+        weight, pieces = np.bincount(row, np.diff(members.row_vertex), len(chips)), [Flat.empty(0)]
+        for lo, hi in _runs(weight):
+            mine = np.arange(*np.searchsorted(row, [lo, hi]))
+            pieces.append(_sewn(members.take(mine), row[mine] - lo, hi - lo, size))
+        return Flat.concat(pieces).array()
+
+    return joined
+
+
+def _sewn(chips: Flat, row: np.ndarray, rows: int, size: float) -> Flat:
+    """Chips without the borders on grid lines that they have in common. Only edges on a line are compared."""
+    seg, owner, _ = chips.segments()
+    row = np.tile(row[owner], 2)
+    xy = [np.concatenate([c[seg], c[seg + 1]]) for c in (chips.x, chips.y)]
+    line, on = [np.rint(c / size) * size for c in xy], []
+    for k in (0, 1):
+        on.append(np.abs(xy[k] - line[k]) <= 2 * slabs.SNAP)
+        xy[k] = np.where(on[k], line[k], xy[k])
+    for k in (0, 1):                                     # points on a line that are the same but for rounding
+        at = np.flatnonzero(on[k])
+        at = at[np.lexsort((xy[1 - k][at], xy[k][at], row[at]))]
+        if len(at):
+            new = np.ones(len(at), dtype=bool)
+            new[1:] = (np.diff(xy[1 - k][at]) > 2 * slabs.SNAP) | (np.diff(xy[k][at]) != 0) | (np.diff(row[at]) != 0)
+            xy[1 - k][at] = xy[1 - k][at[np.flatnonzero(new)]][np.cumsum(new) - 1]
+    x, y = xy
+    order = np.lexsort((x, y, row))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (np.diff(x[order]) != 0) | (np.diff(y[order]) != 0) | (np.diff(row[order]) != 0)
+    vertex = np.empty(len(order), dtype=np.int64)
+    vertex[order] = np.cumsum(new) - 1
+    vx, vy, vrow = x[order][new], y[order][new], row[order][new]
+    tail, head = vertex.reshape(2, -1)
+    for k, (along, across) in enumerate(((vy, vx), (vx, vy))):       # edges on a line are cut at all points on it
+        on_line = np.abs(across - np.rint(across / size) * size) == 0
+        seam = on_line[tail] & on_line[head] & (across[tail] == across[head]) & (tail != head)
+        place = np.lexsort((along, across, vrow))
+        rank = np.empty(len(place), dtype=np.int64)
+        rank[place] = np.arange(len(place))
+        first, last = rank[tail[seam]], rank[head[seam]]
+        edge, step = ragged(np.abs(last - first))
+        way = np.sign(last - first)[edge]
+        here = first[edge] + way * step
+        tail = np.concatenate([tail[~seam], place[here]])
+        head = np.concatenate([head[~seam], place[here + way]])
+    kept = tail != head
+    return slabs.stitch(tail[kept], head[kept], vx, vy, vrow, rows)
 
 
 def difference(left: DataFrame, right: DataFrame, key: str, size: float, reach: float = 0.0,
@@ -186,7 +232,7 @@ def _by_squares(left: DataFrame, right: DataFrame, side: float, reach: float, at
            .select("_row", *square, F.when(F.col("full"), G.rectangle(x, y, x + side, y + side)).otherwise(F.col("chip")).alias("geom")))
     rest = (listed.unionByName(cut).join(shuffled(holes), square, "left")
             .select("_row", _left_in(side)("geom", "hole", *square).alias("geom")).filter(F.size("geom") > 0))
-    found = rest.groupBy("_row").agg(F.collect_list("geom").alias("chips")).select("_row", _joined("chips").alias("geom"))
+    found = rest.groupBy("_row").agg(F.collect_list("geom").alias("chips")).select("_row", _joined_from(side)("chips").alias("geom"))
     return mine.drop("geom").join(shuffled(found), "_row").select(left.columns)
 
 
