@@ -172,7 +172,19 @@ def _sewn(chips: Flat, row: np.ndarray, rows: int, size: float) -> Flat:
         tail = np.concatenate([tail[~seam], place[here]])
         head = np.concatenate([head[~seam], place[here + way]])
     kept = tail != head
-    return slabs.stitch(tail[kept], head[kept], vx, vy, vrow, rows)
+    return _from_lowest(slabs.stitch(tail[kept], head[kept], vx, vy, vrow, rows))
+
+
+def _from_lowest(g: Flat) -> Flat:
+    """Rings that begin at their lowest vertex, as those of a sweep do: simplification depends on it."""
+    size = np.diff(g.ring) - 1
+    ring, place = ragged(size)
+    at = g.ring[:-1][ring] + place
+    order = np.lexsort((g.x[at], g.y[at], ring))
+    lowest = place[order[np.cumsum(size) - size]]
+    ring, place = ragged(size + 1)
+    turned = g.ring[:-1][ring] + (place + lowest[ring]) % size[ring]
+    return Flat(g.x[turned], g.y[turned], g.ring, g.part, g.row)
 
 
 def difference(left: DataFrame, right: DataFrame, key: str, size: float, reach: float = 0.0,
