@@ -176,12 +176,15 @@ def _sewn(chips: Flat, row: np.ndarray, rows: int, size: float) -> Flat:
 
 
 def _from_lowest(g: Flat) -> Flat:
-    """Rings that begin at their lowest vertex, as those of a sweep do: simplification depends on it."""
+    """Rings that begin at their lowest vertex, or the one before it if level with it, as in a sweep: simplification depends on it."""
     size = np.diff(g.ring) - 1
     ring, place = ragged(size)
     at = g.ring[:-1][ring] + place
     order = np.lexsort((g.x[at], g.y[at], ring))
     lowest = place[order[np.cumsum(size) - size]]
+    before = (lowest - 1) % np.maximum(size, 1)
+    level = np.abs(g.y[g.ring[:-1] + before] - g.y[g.ring[:-1] + lowest]) <= slabs.SNAP
+    lowest = np.where(level, before, lowest)            # a hole's bottom runs down to its lowest vertex
     ring, place = ragged(size + 1)
     turned = g.ring[:-1][ring] + (place + lowest[ring]) % size[ring]
     return Flat(g.x[turned], g.y[turned], g.ring, g.part, g.row)
