@@ -21,6 +21,8 @@ from landgrid.schemas import require_same_srid
 from landgrid.shared import saved, shuffled
 
 CROWDED = 256           # points a square may hold before it is narrowed
+FEW = 8                 # points that share a square on average, up to which the whole reach is searched at once
+NEARER = 3              # searches within a quarter of the reach, a quarter of that, ..., that may come before
 WORTH_DIVIDING = 3.0    # parts of a divided square that a box may meet on average
 FINEST = 1e-3           # side in metres below which a square is not divided any more
 SIMPLE_VERTICES = 64    # polygons up to this size are joined whole, if they span few squares
@@ -227,22 +229,65 @@ def _summary(points: DataFrame, size: float, parent: float | None) -> DataFrame:
     return out
 
 
-def _sides(points: DataFrame, size: float) -> list[float]:
-    """Sides of the squares to search through: ``size``, and a quarter of the last while a square of
-    it holds more than ``CROWDED`` locations. One pass: all levels follow from the finest counts."""
+def _levels(points: DataFrame, size: float) -> list[tuple[float, int, float]]:
+    """Ever finer squares, from ``size`` on by quarters: the side, the most locations that a square holds, and how many
+    a location finds in its square on average. One pass: all levels follow from the finest counts."""
     sides = [float(size)]
     while sides[-1] / 4 > FINEST:
         sides.append(sides[-1] / 4)
     finest = points.groupBy(square_of("px", sides[-1]).alias("sx"), square_of("py", sides[-1]).alias("sy")).count()
     up = F.pow(F.lit(4), F.lit(len(sides) - 1) - F.col("level"))
+    held = F.col("held").cast("double")
     counts = (finest.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(len(sides) - 1))))
               .groupBy("level", F.floor(F.col("sx") / up).alias("sx"), F.floor(F.col("sy") / up).alias("sy"))
-              .agg(F.sum("count").alias("held")).groupBy("level").agg(F.max("held").alias("most")).collect())
-    most = {r["level"]: r["most"] for r in counts}
-    last = 0
-    while last + 1 < len(sides) and most.get(last, 0) > CROWDED:
+              .agg(F.sum("count").alias("held")).groupBy("level")
+              .agg(F.max("held").alias("most"), (F.sum(held * held) / F.sum(held)).alias("shared")).collect())
+    found = {r["level"]: (r["most"], r["shared"]) for r in counts}
+    return [(side, *found.get(level, (0, 0.0))) for level, side in enumerate(sides)]
+
+
+def _sides(levels: list[tuple[float, int, float]], first: int = 0) -> list[float]:
+    """Sides of the squares to search through, from level ``first`` on: the next one while a square of the last holds
+    more than ``CROWDED`` locations."""
+    last = first
+    while last + 1 < len(levels) and levels[last][1] > CROWDED:
         last += 1
-    return sides[:last + 1]
+    return [side for side, _, _ in levels[first:last + 1]]
+
+
+def _searches(left: DataFrame, levels: list[tuple[float, int, float]], reach: float) -> list[tuple[float, list[float]]]:
+    """``(reach, sides)`` of searches from near to far, the last one over the whole reach.
+
+    Where points lie close, most polygons have one within a small part of the reach, so that the pairs of a
+    polygon don't grow with the density. Squares are not made smaller than a polygon is on average.
+    """
+    nearer = 0
+    while nearer < NEARER and nearer + 1 < len(levels) and levels[nearer][2] > FEW:
+        nearer += 1
+    finest = 0
+    if nearer:
+        b = G.bbox("geom")
+        wide = left.agg(F.avg(F.greatest(b.xmax - b.xmin, b.ymax - b.ymin))).first()[0] or 0.0
+        while finest < nearer and levels[finest + 1][0] >= wide:
+            finest += 1
+    if not reach:
+        return [(reach, _sides(levels, finest))]
+    return [(reach / 4 ** k, _sides(levels, min(k, finest))) for k in range(nearer, -1, -1)]
+
+
+def _by_reach(left: DataFrame, points: DataFrame, key: str, reach: float, size: float, nearest: bool, settle) -> DataFrame:
+    """``settle`` of the pairs of each polygon, searched from near to far: a polygon that has pairs is searched no farther."""
+    points, left, found = saved(points), left.select(key, "geom"), None
+    levels = _levels(points, size)
+    for within_reach, sides in _searches(left, levels, reach):
+        hits = settle(_point_pairs(left, points, key, within_reach, sides, nearest))
+        if levels[0][2] > FEW:
+            hits = saved(hits)                 # one to several searches build on it
+        if within_reach < reach:
+            done = hits.select(F.col(key).alias("_done")).distinct()
+            left = left.join(shuffled(done), F.col(key).eqNullSafe(F.col("_done")), "left_anti")
+        found = hits if found is None else found.unionByName(hits)
+    return found
 
 
 def _narrowed(left: DataFrame, points: DataFrame, key: str, reach: float, sides: list[float],
@@ -267,28 +312,27 @@ def _narrowed(left: DataFrame, points: DataFrame, key: str, reach: float, sides:
         if nearest:
             front = front.withColumn("bound", F.min("high").over(mine)).filter(F.col("low") <= F.col("bound"))
         else:
-            sure = F.when(F.col("high") <= reach, F.col("label"))
+            # of the squares that lie within reach as a whole, one with the smallest label is enough
+            sure = F.when((F.col("high") <= reach) & F.col("label").isNotNull(), F.struct("label", "sx", "sy"))
             front = (front.withColumn("bound", F.min(sure).over(mine))
-                     .filter(F.col("bound").isNull() | (F.col("label") < F.col("bound"))
-                             | ((F.col("high") <= reach) & (F.col("label") == F.col("bound")))))
+                     .filter(F.col("bound").isNull() | (F.col("label") < F.col("bound.label"))
+                             | ((F.col("sx") == F.col("bound.sx")) & (F.col("sy") == F.col("bound.sy")))))
         front = front.select(key, "box", F.col("sx").alias("cx"), F.col("sy").alias("cy"))
     return front
 
 
-def _point_pairs(left: DataFrame, points: DataFrame, key: str, reach: float, size: float,
+def _point_pairs(left: DataFrame, points: DataFrame, key: str, reach: float, sides: list[float],
                  nearest: bool) -> DataFrame:
     """``(key, px, py, label, distance)`` for all pairs that can matter, distance at most ``reach``.
 
-    ``points`` has distinct locations ``px, py`` with a ``label``.
+    ``points`` has distinct locations ``px, py`` with a ``label`` and is written.
     """
-    points = saved(points)
     shapes = left.select(key, "geom").withColumn("box", G.bbox("geom"))
-    sides = _sides(points, size)
     side = sides[-1]
     if len(sides) > 1:
         front = _narrowed(shapes, points, key, reach, sides, nearest).join(shapes.drop("box"), key)
     else:
-        front = cover(shapes, size, reach)
+        front = cover(shapes, side, reach)
     at = points.withColumns({"cx": square_of("px", side), "cy": square_of("py", side)})
     spot = F.struct(F.col("px").alias("xmin"), F.col("py").alias("ymin"),
                     F.col("px").alias("xmax"), F.col("py").alias("ymax"))
@@ -309,23 +353,24 @@ def located(points: DataFrame, label: str | None = None) -> DataFrame:
 
 def within(left: DataFrame, points: DataFrame, key: str, reach: float, size: float) -> DataFrame:
     """Keys of the polygons that have a point at most ``reach`` away."""
-    return _point_pairs(left, located(points), key, reach, size, nearest=False).select(key).distinct()
+    return _by_reach(left, located(points), key, reach, size, False, lambda pairs: pairs.select(key).distinct())
 
 
 def first_within(left: DataFrame, points: DataFrame, key: str, label: str, reach: float,
                  size: float) -> DataFrame:
     """The smallest label among the points at most ``reach`` away from each polygon. Large polygons
     are searched piece by piece, so that their outline is not repeated for every square."""
-    pairs = _point_pairs(pieces(left, key, size), located(points, label), "piece", reach, size, nearest=False)
+    spots = saved(located(points, label))
+    pairs = _point_pairs(pieces(left, key, size), spots, "piece", reach, _sides(_levels(spots, size)), nearest=False)
     return pairs.groupBy(F.col("piece.key").alias(key)).agg(F.min("label").alias(label))
 
 
 def nearest_locations(left: DataFrame, points: DataFrame, key: str, label: str, reach: float,
                       size: float) -> DataFrame:
     """The nearest locations of each polygon within ``reach``, ties kept, with their smallest label."""
-    pairs = _point_pairs(left, located(points, label), key, reach, size, nearest=True)
     order = Window.partitionBy(key).orderBy("distance")
-    return pairs.withColumn("place", F.rank().over(order)).filter("place = 1").drop("place")
+    return _by_reach(left, located(points, label), key, reach, size, True,
+                     lambda pairs: pairs.withColumn("place", F.rank().over(order)).filter("place = 1").drop("place"))
 
 
 def nearest_label(left: DataFrame, points: DataFrame, key: str, label: str, reach: float,
@@ -334,9 +379,9 @@ def nearest_label(left: DataFrame, points: DataFrame, key: str, label: str, reac
 
     One minimum over distance and label, aggregated before the shuffle.
     """
-    pairs = _point_pairs(left, located(points, label), key, reach, size, nearest=True)
-    return (pairs.groupBy(key).agg(F.min(F.struct("distance", "label")).alias("best"))
-            .select(key, F.col("best.label").alias(label)))
+    return _by_reach(left, located(points, label), key, reach, size, True,
+                     lambda pairs: pairs.groupBy(key).agg(F.min(F.struct("distance", "label")).alias("best"))
+                     .select(key, F.col("best.label").alias(label)))
 
 
 def nearest(left: DataFrame, points: DataFrame, key: str, label: str, reach: float,

@@ -1,6 +1,7 @@
 """What has to stay bounded when the tables grow, on tables small enough for a test."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,41 @@ from tests.plans import plan_of, plans_written
 from tests.shapes import crowd, layer, points, rect, star
 
 
+def test_batches_for_python_are_bounded_in_bytes(spark):
+    """Rows of 100 KB: 10,000 of them would be one batch of 20 MB here."""
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    rows = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    found = [r.n for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) >= 20_000_000 and max(found) <= 5_000_000
+
+
+def test_pairs_do_not_grow_with_the_density_of_points(spark, monkeypatch):
+    """A polygon with a point nearby is not paired with all points in reach; results are those of all pairs."""
+    rng = np.random.default_rng(8)
+    corners = rng.uniform(0, 400, (50, 2))
+    shapes = layer(spark, [rect(x, y, x + 10, y + 8) for x, y in corners.tolist()] + [rect(700, 700, 712, 705), rect(5000, 0, 5010, 9)])
+    xy = np.concatenate([rng.uniform(0, 400, (1000, 2)), [[760.0, 700.0], [640.0, 705.0]]]).round(3)
+    xy = np.concatenate([xy, xy[:30]])                    # ties
+    boxes = [(x, y, x + 10, y + 8) for x, y in corners.tolist()] + [(700, 700, 712, 705), (5000, 0, 5010, 9)]
+    gap = np.array([np.hypot(np.maximum(0, np.maximum(a - xy[:, 0], xy[:, 0] - c)), np.maximum(0, np.maximum(b - xy[:, 1], xy[:, 1] - d)))
+                    for a, b, c, d in boxes])
+    listed, pairs = [], grid._point_pairs
+    monkeypatch.setattr(grid, "_point_pairs", lambda *a, **k: listed.append(pairs(*a, **k)) or listed[-1])
+    spots = points(spark, xy)
+    label = {r.fid: r.ID for r in grid.nearest_label(shapes, spots, "fid", "ID", 100.0, 128.0).collect()}
+    assert sum(p.count() for p in listed) <= 50 * 40
+    near = np.isclose(gap, gap.min(axis=1, keepdims=True), atol=1e-9) & (gap <= 100)
+    assert label == {k: int(np.flatnonzero(row)[0]) for k, row in enumerate(near) if row.any()}
+    ties = {(r.fid, r.ID) for r in grid.nearest(shapes, spots, "fid", "ID", 100.0, 128.0).collect()}
+    assert ties == {(int(k), int(i)) for k, i in zip(*np.nonzero(near))}
+    for reach in (0.0, 2.0, 30.0, 60.0):
+        found = [r.fid for r in grid.within(shapes, spots, "fid", reach, 128.0).collect()]
+        assert sorted(found) == np.flatnonzero((gap <= reach).any(axis=1)).tolist()
+
+
 def test_density_clusters_send_no_table_through_the_driver(spark, monkeypatch):
     """Files of spots are small beside the hash table made of them, so their size must not decide on a broadcast."""
     plans = plans_written(monkeypatch, graph, squares)
