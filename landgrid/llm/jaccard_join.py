@@ -12,7 +12,9 @@ children's with the range of their sizes; two nodes are walked together, from th
 and the largest overlap that their bitmaps allow reaches the least one that a link needs. Groups of over ``CHUNK`` sets
 are divided, and the nodes on top of the parts are held against each other by a join, so a task never has more than two
 parts. Node pairs of one class of already linked sets are passed over: before the walk every set is compared with the
-smallest of its group, which joins large groups of near copies by a star. What the walk leaves is tested exactly.
+hub (smallest) of one of its groups, which joins large groups of near copies by a star. Linked sets have many parts in
+common, so pairs that meet in too few groups are no links. The others are tested exactly, in blocks of sets that share a
+group: a set is sent once to each block, not once for each pair.
 
 Equal sets are one node throughout, so copies are never paired. Sets are told apart by 64-bit hashes.
 """
@@ -41,6 +43,7 @@ PAIRS = 1 << 15          # node pairs looked at in one step
 GROWTH = 1.41            # of the size classes; above 100 / SIMILARITY
 ROUNDS = 2               # of stars before the walk
 FILTER = 1 << 23         # bits of the filters sent to all tasks
+ROWS = ["block", "side", "node", "size", "spare", "label", "bitmap"]     # of the walk
 
 
 def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,10 +111,15 @@ class _Filter:
         return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
 
 
-def _part_keys(hashes: np.ndarray, offsets: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the parts of the sets ``rows``, dealt as in the given classes, and the place in ``rows`` of each. Two sets
+def _part_keys(hashes: np.ndarray, offsets: np.ndarray, rows: np.ndarray,
+               classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the parts of the sets ``rows``, dealt as in the given classes, the place in ``rows`` of each, and how many
+    parts each set has that count. Two sets
     whose only equal parts are thin, of one shingle or none, have as many thin ones as a class has parts beyond the
-    differences: other sets need no key for their thin parts, which unlike texts may well have in common."""
+    differences: other sets need no key for their thin parts, which unlike texts may well have in common.
+
+    Sets with d differences have all but d parts in common, and at least as many keys as the larger of their counts less
+    d; a set that keeps its thin parts counts for nothing (0), as the other one may have no keys for them."""
     n = np.diff(offsets)[rows]
     parts = PARTS[classes]
     base = np.concatenate([[0], np.cumsum(parts)])
@@ -124,14 +132,15 @@ def _part_keys(hashes: np.ndarray, offsets: np.ndarray, rows: np.ndarray, classe
     thick = np.bincount(place, minlength=base[-1]) > 1
     owner = np.repeat(np.arange(len(rows)), parts)
     thin = parts - np.bincount(owner[thick], minlength=len(rows))
-    kept = thick | (thin >= parts - MOST[classes])[owner]
+    thin_too = thin >= parts - MOST[classes]
+    kept = thick | thin_too[owner]
     number = np.arange(base[-1]) - base[owner]
     keys = shingles.mixed(shingles.mixed(sums + number.astype(np.uint64)) ^ (classes[owner].astype(np.uint64) << np.uint64(48)))
-    return keys[kept].view(np.int64), owner[kept]
+    return keys[kept].view(np.int64), owner[kept], np.where(thin_too, 0, parts - thin)
 
 
 def _parts(docs: DataFrame, text: str, chosen: _Filter) -> DataFrame:
-    """``key, node, size``: the parts of each set, once per set and task."""
+    """``key, node, size, spare``: the parts of each set, once per set and task, and how many of them count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -143,38 +152,40 @@ def _parts(docs: DataFrame, text: str, chosen: _Filter) -> DataFrame:
                 own = np.searchsorted(LOW, n[rows], side="right") - 1
                 near = 100 * n[rows] >= SIMILARITY * LOW[own + 1]          # may be linked with sets of the next class
                 rows, classes = np.concatenate([rows, rows[near]]), np.concatenate([own, own[near] + 1])
-                keys, owner = _part_keys(hashes, offsets, rows, classes)
+                keys, owner, spare = _part_keys(hashes, offsets, rows, classes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array(nodes[rows[owner]]), pa.array(n[rows[owner]], pa.int64())], names=["key", "node", "size"])
+                    [pa.array(keys), pa.array(nodes[rows[owner]]), pa.array(n[rows[owner]], pa.int64()), pa.array(spare[owner], pa.int64())],
+                    names=["key", "node", "size", "spare"])
 
     return docs.select(F.xxhash64(text).alias("mark"), F.col(text).alias("source")).mapInArrow(
-        run, "key long, node long, size long")
+        run, "key long, node long, size long, spare long")
 
 
 def _members(parts: DataFrame) -> DataFrame:
-    """``key, node, size, hub, hub_size`` of the sets of every group but the smallest node, which is the hub.
+    """``key, node, size, spare, hub, hub_size, hub_spare`` of the sets of every group but the smallest node, the hub.
 
     Rows stream by in order; no group is held."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None                                        # key, hub, its size and the last node of the open group
+        last = None                                        # key, hub, its size and spare, and the last node of the open group
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, node, size = (c.to_numpy() for c in batch.columns)
+            key, node, size, spare = (c.to_numpy() for c in batch.columns)
             opens = np.concatenate([[last is None or key[0] != last[0]], key[1:] != key[:-1]])
-            again = np.concatenate([[last is not None and key[0] == last[0] and node[0] == last[3]],
+            again = np.concatenate([[last is not None and key[0] == last[0] and node[0] == last[4]],
                                     (key[1:] == key[:-1]) & (node[1:] == node[:-1])])
             first = np.maximum.accumulate(np.where(opens, np.arange(len(key)), -1))
             inside = first >= 0
             hub = np.where(inside, node[first], last[1] if last else 0)
             hub_size = np.where(inside, size[first], last[2] if last else 0)
+            hub_spare = np.where(inside, spare[first], last[3] if last else 0)
             kept = ~again & (node != hub)
-            last = (key[-1], hub[-1], hub_size[-1], node[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (key, node, size, hub, hub_size)],
-                                             names=["key", "node", "size", "hub", "hub_size"])
+            last = (key[-1], hub[-1], hub_size[-1], hub_spare[-1], node[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (key, node, size, spare, hub, hub_size, hub_spare)],
+                                             names=["key", "node", "size", "spare", "hub", "hub_size", "hub_spare"])
 
     return parts.repartition("key").sortWithinPartitions("key", "node").mapInArrow(
-        run, "key long, node long, size long, hub long, hub_size long")
+        run, "key long, node long, size long, spare long, hub long, hub_size long, hub_spare long")
 
 
 def _fits(a, b):
@@ -247,17 +258,19 @@ class Forest:
 
 
 def _walked(rows: DataFrame) -> DataFrame:
-    """``u, v`` of the pairs that the walk leaves. ``rows``: ``block, side, node, size, label, bitmap``; a block is one
+    """``u, v, hits, need, block`` of the pairs that the walk leaves: in how many groups they meet here, in how many linked
+    sets meet, and one of the blocks. ``rows``: ``block, side, node, size, spare, label, bitmap``; a block is one
     part of a group with itself (side 0 only) or with another part, and has at most two parts' rows."""
     def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks()
-        block, side, node, size, label = (table.column(c).to_numpy() for c in ("block", "side", "node", "size", "label"))
+        block, side, node, size, spare, label = (table.column(c).to_numpy() for c in ROWS[:-1])
         maps = np.frombuffer(b"".join(table.column("bitmap").to_pylist()), np.uint64).reshape(-1, WORDS)
         number = np.cumsum(np.concatenate([[0], block[1:] != block[:-1]]))
         tree = number * 2 + side
         # alike bitmaps side by side: by size classes, then by the bitmap
         order = np.lexsort((maps[:, 1], maps[:, 0], np.log2(size.astype(float)).astype(int), tree))
         tree, node, size, label, maps = tree[order], node[order], size[order], label[order], maps[order]
+        block, spare = block[order], spare[order]
         forest = Forest(tree, size, label, maps)
         roots = forest.roots
         paired = np.flatnonzero(roots % 2 == 1)
@@ -265,10 +278,16 @@ def _walked(rows: DataFrame) -> DataFrame:
         found = list(forest.pairs(np.concatenate([paired - 1, alone]), np.concatenate([paired, alone])))
         a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
         b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
+        a, b = a[node[a] != node[b]], b[node[a] != node[b]]
         u, v = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
-        kept = u != v
-        both = np.unique(np.stack([u[kept], v[kept]], axis=1), axis=0) if kept.any() else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["u", "v"])
+        need = np.maximum(spare[a], spare[b]) - (100 - SIMILARITY) * (size[a] + size[b]) // (100 + SIMILARITY)
+        order = np.lexsort((block[a], v, u))
+        u, v, need, block = u[order], v[order], need[order], block[a][order]
+        starts = np.flatnonzero(np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])][:len(u)])
+        hits = np.diff(np.r_[starts, len(u)])
+        least = np.minimum.reduceat(need, starts) if len(starts) else need
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (u[starts], v[starts], hits, least, block[starts])],
+                                          names=["u", "v", "hits", "need", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows_held = [], 0
@@ -288,12 +307,12 @@ def _walked(rows: DataFrame) -> DataFrame:
         if held:
             yield solve(held)
 
-    return (rows.select("block", "side", "node", "size", "label", "bitmap").repartition("block")
-            .sortWithinPartitions("block").mapInArrow(run, "u long, v long"))
+    return (rows.select(ROWS).repartition("block").sortWithinPartitions("block")
+            .mapInArrow(run, "u long, v long, hits long, need long, block long"))
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Parts of groups in pairs. ``rows``: ``key, node, size, label, bitmap``.
+    """Parts of groups in pairs. ``rows``: ``key, node, size, spare, label, bitmap``.
 
     A group of over ``CHUNK`` sets is divided by the hash of the set, apart from the sets of its most frequent class:
     those make nodes of one class, which need not be walked with each other. The top nodes' sizes and bitmaps decide
@@ -303,7 +322,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
     classes = rows.groupBy(*group, "label").count()
     sizes = classes.groupBy(*group).agg(F.sum("count").alias("sets"), F.max_by("label", "count").alias("most"))
     small = rows.join(sizes.filter(F.col("sets") <= CHUNK).select(*group), group, "left_semi")
-    alone = small.select(F.xxhash64(*group).alias("block"), F.lit(0).alias("side"), "node", "size", "label", "bitmap")
+    alone = small.select(F.xxhash64(*group).alias("block"), F.lit(0).alias("side"), *ROWS[2:])
 
     parts = rows.join(sizes.filter(F.col("sets") > CHUNK), group).withColumn(
         "part", F.struct((F.col("label") == F.col("most")).alias("common"),
@@ -338,17 +357,8 @@ def _set_bits(column: str):
 
 # -- exact tests -----------------------------------------------------------------------------------
 
-def _wide(hashes: np.ndarray) -> bytes:
-    """A bitmap of 8 to 16 bits a shingle; a wider one folds to a narrower one by ORing its parts."""
-    width = 1 << max(6, int(8 * len(hashes) - 1).bit_length())
-    out = np.zeros(width, bool)
-    out[(hashes & np.uint64(width - 1)).astype(np.int64)] = True
-    return np.packbits(out, bitorder="little").tobytes()
-
-
-def _sets(docs: DataFrame, text: str, first: DataFrame, nodes: DataFrame, wide: bool) -> DataFrame:
-    """``node, n, body``: the sets of the given nodes, from one text each (``first``: ``node, mark``), as hashes or as
-    wide bitmaps."""
+def _sets(docs: DataFrame, text: str, first: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, body``: the sets of the given nodes as hashes, from one text each (``first``: ``node, mark``)."""
     wanted = saved(first.join(nodes, "node", "left_semi"))
     chosen = _Filter(wanted, "mark")
 
@@ -362,19 +372,26 @@ def _sets(docs: DataFrame, text: str, first: DataFrame, nodes: DataFrame, wide:
                 seen.add(int(marks[k]))
             batch = batch.filter(pa.array(fresh))
             for i, j, hashes, offsets in shingles.shingle_sets(batch.column(1), WIDTH):
-                parts = [hashes[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
-                bodies = [_wide(h) if wide else h.tobytes() for h in parts]
+                bodies = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(_digest(hashes, offsets)),
-                     pa.array(np.diff(offsets), pa.int64()), pa.array(bodies, pa.binary())], names=["mark", "node", "n", "body"])
+                    [batch.column(0).slice(i, j - i), pa.array(_digest(hashes, offsets)), pa.array(bodies, pa.binary())],
+                    names=["mark", "node", "body"])
 
     found = docs.select(F.xxhash64(text).alias("mark"), F.col(text).alias("source")).mapInArrow(
-        run, "mark long, node long, n long, body binary")
-    out = saved(found.join(wanted, ["mark", "node"], "left_semi").dropDuplicates(["node"]).select("node", "n", "body"))
+        run, "mark long, node long, body binary")
+    out = saved(found.join(wanted, ["mark", "node"], "left_semi").dropDuplicates(["node"]).select("node", "body"))
     discard(wanted)
     return out
 
 
+def _wide(hashes: np.ndarray) -> bytes:
+    """A bitmap of 8 to 16 bits a shingle; a wider one folds to a narrower one by ORing its parts."""
+    width = 1 << max(6, int(8 * len(hashes) - 1).bit_length())
+    out = np.zeros(width, bool)
+    out[(hashes & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(out, bitorder="little").tobytes()
+
+
 def _possible(a: bytes, b: bytes, n: int, m: int) -> bool:
     """Whether two sets' wide bitmaps and sizes allow a link."""
     x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
@@ -394,36 +411,60 @@ def _similar(a: bytes, b: bytes, n: int, m: int) -> bool:
 
 
 def _near(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` whose sizes and bitmaps allow a link."""
+    """The pairs ``u, v, hits, block`` whose sizes and bitmaps allow a link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, WORDS) for c in ("map_u", "map_v"))
             n, m = (batch.column(c).to_numpy() for c in ("size_u", "size_v"))
             overlap = np.minimum(_popcount(a & b) + np.minimum(n - _popcount(a), m - _popcount(b)), np.minimum(n, m))
-            yield batch.filter(pa.array((100 + SIMILARITY) * overlap >= SIMILARITY * (n + m))).select(["u", "v"])
+            yield batch.filter(pa.array((100 + SIMILARITY) * overlap >= SIMILARITY * (n + m))).select(["u", "v", "hits", "block"])
 
     u = bitmaps.select(F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("bitmap").alias("map_u"))
     v = bitmaps.select(F.col("node").alias("v"), F.col("size").alias("size_v"), F.col("bitmap").alias("map_v"))
-    return pairs.join(u, "u").join(v, "v").select("u", "v", "size_u", "size_v", "map_u", "map_v").mapInArrow(
-        run, "u long, v long")
+    return pairs.join(u, "u").join(v, "v").select("u", "v", "hits", "block", "size_u", "size_v", "map_u", "map_v").mapInArrow(
+        run, "u long, v long, hits long, block long")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, text: str, first: DataFrame, wide: bool = False) -> DataFrame:
-    """The pairs ``u, v`` that are links, or with ``wide`` those that wide bitmaps leave. The sets of ``v`` go to those of ``u``, a set with very many partners."""
-    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    sets = _sets(docs, text, first, nodes, wide)
-    test = _possible if wide else _similar
-    hubs = sets.join(pairs.select(F.col("u").alias("node")).distinct(), "node", "left_semi")
-    joined = (pairs.join(sets.select(F.col("node").alias("v"), F.col("body").alias("b"), F.col("n").alias("m")), "v")
-              .join(hubs.select(F.col("node").alias("u"), F.col("body").alias("a"), "n"), "u"))
+def _ends(pairs: DataFrame, *by: str) -> DataFrame:
+    """The distinct sets, as ``node``, of pairs ``u, v``, by the columns ``by``."""
+    return pairs.select(*by, F.col("u").alias("node")).unionByName(pairs.select(*by, F.col("v").alias("node"))).distinct()
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, text: str, first: DataFrame) -> DataFrame:
+    """Links ``u, v`` among the pairs that join the same sets as all links among them do. ``pairs``
+    (``u, v, hits, block``) is written; a block has at most two parts of a group, and each of its sets once, however many
+    pairs it is in. Pairs with most groups in common come first, and sets that links of the block have joined are not
+    tested any more."""
+    sets = _sets(docs, text, first, _ends(pairs))
+    nothing = F.lit(None).cast("long")
+    bodies = _ends(pairs, "block").join(sets, "node").select(
+        "block", F.col("node").alias("u"), nothing.alias("v"), nothing.alias("hits"), "body")
+    rows = bodies.unionByName(pairs.select("block", "u", "v", "hits", F.lit(None).cast("binary").alias("body")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = [test(x.as_py(), y.as_py(), n, m) for x, y, n, m in zip(
-                batch.column("a"), batch.column("b"), batch.column("n").to_pylist(), batch.column("m").to_pylist())]
-            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
+        block, held, above = None, {}, {}                  # sets of the open block, which come before its pairs
 
-    out = saved(joined.select("u", "v", "a", "b", "n", "m").mapInArrow(run, "u long, v long"))
+        def root(node: int) -> int:
+            while above[node] != node:
+                above[node] = node = above[above[node]]
+            return node
+
+        for batch in batches:
+            good = np.zeros(batch.num_rows, bool)
+            for k, (at, u, v, body) in enumerate(zip(*(c.to_pylist() for c in batch.columns))):
+                if at != block:
+                    block, held, above = at, {}, {}
+                if v is None:
+                    held[u], above[u] = (body, _wide(np.frombuffer(body, np.uint64)), len(body) // 8), u
+                elif root(u) != root(v):
+                    (a, wide_a, n), (b, wide_b, m) = held[u], held[v]
+                    good[k] = _possible(wide_a, wide_b, n, m) and _similar(a, b, n, m)
+                    if good[k]:
+                        above[root(u)] = root(v)
+            yield batch.select(["u", "v"]).filter(pa.array(good))
+
+    out = saved(rows.repartition("block").sortWithinPartitions("block", F.col("v").isNotNull(), F.desc("hits"))
+                .select("block", "u", "v", "body").mapInArrow(run, "u long, v long"))
     discard(sets)
     return out
 
@@ -435,7 +476,7 @@ def _apart(pairs: DataFrame, roots: DataFrame, u: str, v: str) -> DataFrame:
     for side in (u, v):
         label = roots.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
         pairs = pairs.join(label, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
-    return pairs.filter(F.col(f"label_{u}") != F.col(f"label_{v}")).select(u, v)
+    return pairs.filter(F.col(f"label_{u}") != F.col(f"label_{v}")).drop(f"label_{u}", f"label_{v}")
 
 
 def set_links(docs: DataFrame, text: str, described: DataFrame) -> DataFrame:
@@ -444,13 +485,24 @@ def set_links(docs: DataFrame, text: str, described: DataFrame) -> DataFrame:
     sets = saved(rows.groupBy("node").agg(F.min("mark").alias("mark"), F.min("size").alias("size"), F.any_value("bitmap").alias("bitmap")))
     first, bitmaps = sets.select("node", "mark"), sets.select("node", "size", "bitmap")
     members = saved(_members(_parts(docs, text, _Filter(sets, "mark"))))
-    spokes = members.filter(_fits(F.col("size"), F.col("hub_size"))).select(F.col("hub").alias("u"), F.col("node").alias("v"))
+    differences = F.floor((100 - SIMILARITY) * (F.col("size") + F.col("hub_size")) / F.lit(100 + SIMILARITY))
+    held = saved(members.filter(_fits(F.col("size"), F.col("hub_size")))
+                 .withColumn("need", F.greatest("spare", "hub_spare") - differences)
+                 .groupBy(F.col("hub").alias("u"), F.col("node").alias("v"))
+                 .agg(F.count("*").alias("hits"), F.min("need").alias("need")))
+    # a hub's sets in blocks of bounded size
+    part = F.pmod(F.xxhash64("v", F.lit(5)), F.ceil(F.col("count") / F.lit(CHUNK)))
+    spokes = saved(held.join(held.groupBy("u").count(), "u").select("u", "v", "hits", "need", F.xxhash64("u", part).alias("block")))
+    discard(held)
     tested, links, roots = None, None, None
     for _ in range(ROUNDS):
-        # of the hubs of other classes that a set has not been held against, the smallest
-        apart = spokes if roots is None else _apart(spokes, roots, "u", "v").distinct().join(tested, ["u", "v"], "left_anti")
-        best = saved(apart.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
+        # of the hubs of other classes that a set has not been held against and that alone bring the groups that linked sets
+        # meet in, the one it has most groups in common with; all others are left to the walk
+        apart = spokes if roots is None else _apart(spokes, roots, "u", "v").join(tested, ["u", "v"], "left_anti")
+        best = saved(apart.filter("hits >= need").groupBy("v").agg(F.max_by(F.struct("u", "hits", "block"), "hits").alias("hub"))
+                     .select("v", "hub.*"))
         found = _linked(saved(_near(best, bitmaps)), docs, text, first)
+        best = best.select("u", "v")
         tested = best if tested is None else tested.unionByName(best)
         links = found if links is None else links.unionByName(found)
         roots = saved(component_roots(links)).select(F.col("member").alias("node"), F.col("root").alias("label"))
@@ -463,13 +515,15 @@ def set_links(docs: DataFrame, text: str, described: DataFrame) -> DataFrame:
             .join(hubs, "hub", "left").withColumn("hub_label", F.coalesce("hub_label", "hub")))
     mixed = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     rest = rest.join(mixed.filter("low <> high").select("key"), "key", "left_semi")
-    apart = saved(_apart(spokes, roots, "u", "v").distinct().join(tested, ["u", "v"], "left_anti"))
-    open_ = saved(rest.select("key", "node", "size", "label").join(bitmaps.select("node", "bitmap"), "node"))
+    open_ = saved(rest.select("key", "node", "size", "spare", "label").join(bitmaps.select("node", "bitmap"), "node"))
     discard(members)
-    pairs = saved(_walked(_blocks(open_)).unionByName(_near(apart, bitmaps)).distinct())
+    # pairs that meet in fewer groups than linked sets do are left out
+    met = _walked(_blocks(open_)).unionByName(_apart(spokes, roots, "u", "v").select("u", "v", "hits", "need", "block"))
+    pairs = saved(met.groupBy("u", "v").agg(F.sum("hits").alias("hits"), F.min("need").alias("need"), F.min("block").alias("block"))
+                  .filter("hits >= need").select("u", "v", "hits", "block"))
     discard(open_)
-    left = _linked(pairs, docs, text, first, wide=True)
-    return links.unionByName(_linked(left, docs, text, first))
+    discard(spokes)
+    return links.unionByName(_linked(pairs, docs, text, first))
 
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

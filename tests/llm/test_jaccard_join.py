@@ -136,3 +136,49 @@ def test_linked_sets_have_a_part_in_common():
             classes = [own] + ([own + 1] if 100 * len(s) >= 85 * jaccard_join.LOW[own[0] + 1] else [])
             keys.append({k for c in classes for k in jaccard_join._part_keys(s, np.array([0, len(s)]), np.array([0]), c)[0].tolist()})
         assert keys[0] & keys[1]
+
+
+def test_linked_sets_meet_in_as_many_groups_as_they_need():
+    rng, close = random.Random(4), 0
+    for _ in range(600):
+        n = rng.choice([5, 12, 30, 100, 147, 300, 900])
+        a = np.array(rng.sample(range(1 << 62), n), np.uint64)
+        kept = rng.randrange(n * 84 // 100, n + 1)
+        b = np.concatenate([a[:kept], np.array(rng.sample(range(1 << 62), rng.randrange(n // 6 + 2)), np.uint64)])
+        if 100 * kept < 85 * (n + len(b) - kept):
+            continue
+        grade = np.searchsorted(jaccard_join.LOW, [max(n, len(b))], side="right") - 1
+        (one, _, spare), (two, _, other) = (
+            jaccard_join._part_keys(np.sort(s), np.array([0, len(s)]), np.array([0]), grade) for s in (a, b))
+        need = max(spare[0], other[0]) - 15 * (n + len(b)) // 185
+        assert len(set(one.tolist()) & set(two.tolist())) >= max(1, need)
+        close += need > 3
+    assert close > 50
+
+
+def test_a_set_is_sent_to_a_block_and_not_to_each_pair(spark, monkeypatch):
+    """All pairs of 40 near copies: their sets are sent once a block; the links that are found join the same sets as all."""
+    rng = random.Random(6)
+    base = [rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(900)) for _ in range(150)]
+    texts = [edited(rng, base, rng.randrange(1, 6)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    described = jaccard_join._described(docs, "doc_id", "text").collect()
+    first = spark.createDataFrame([(r.node, r.mark) for r in described], "node long, mark long")
+    nodes = {r.node: plain(texts[r.id]) for r in described}
+    pairs = [(u, v, 1, u % 2) for u in nodes for v in nodes if u < v]
+    written, ends = [], jaccard_join._ends
+    monkeypatch.setattr(jaccard_join, "_ends", lambda *a: written.append((a[1:], ends(*a))) or written[-1][1])
+    rows = spark.createDataFrame(pairs, "u long, v long, hits long, block long")
+    found = {(r.u, r.v) for r in jaccard_join._linked(rows, docs, "text", first).collect()}
+    assert len(pairs) == 780 and [df.count() for by, df in written if by == ("block",)] == [len({(b, x) for u, v, _, b in pairs for x in (u, v)})]
+    links = {(u, v) for u, v, _, _ in pairs if 100 * len(nodes[u] & nodes[v]) >= 85 * len(nodes[u] | nodes[v])}
+    assert found < links and len(found) <= 2 * 39
+
+    def classes(edges):
+        of = {x: x for x in nodes}
+        for u, v in edges:
+            old, new = of[u], of[v]
+            of = {x: new if c == old else c for x, c in of.items()}
+        return {frozenset(x for x in of if of[x] == c) for c in of.values()}
+
+    assert classes(found) == classes(links)
