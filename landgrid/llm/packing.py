@@ -30,6 +30,8 @@ SEGMENTS = 256           # pieces of a sequence
 END = 1                  # id behind the last token of a document
 POOL = 1024              # rests that wait for a place
 WORTH_CUTTING = 32       # room for which an example is cut
+ROWS = 4096              # pieces sent on at a time
+ROWS_WITH_IDS = 256      # with up to 8 KB of ids each
 
 
 class Packer:
@@ -167,7 +169,7 @@ def packed(examples: DataFrame, key: str, text: str = "text", bears_loss: Column
                 count += 1
                 if len(packer.owner) >= POOL:
                     emit(packer.drain(POOL // 2))
-                if len(out) >= 4096:
+                if len(out) >= (ROWS_WITH_IDS if with_ids else ROWS):
                     yield batch_of()
         emit(packer.finish())
         if out:
