@@ -222,7 +222,9 @@ def links(marks: DataFrame, name: str, distance: int = DISTANCE, crowded: int =
 
 def components(marks: DataFrame, name: str, distance: int = DISTANCE, crowded: int = CROWDED) -> DataFrame:
     """``(name, root)`` for every distinct fingerprint that is not the smallest of its component."""
-    return component_roots(links(marks, name, distance, crowded)).select(F.col("member").alias(name), F.col("root"))
+    # written, so that a task runs one Python worker, that of the index or that of the components, not both at a time
+    found = saved(links(marks, name, distance, crowded))
+    return component_roots(found).select(F.col("member").alias(name), F.col("root"))
 
 
 def classes(rows: DataFrame, mark: str, key: str, distance: int, crowded: int = CROWDED) -> DataFrame:

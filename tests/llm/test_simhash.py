@@ -7,7 +7,9 @@ import numpy as np
 import xxhash
 
 from landgrid.llm import simhash
+from landgrid.operators import graph
 from tests.llm import cases
+from tests.plans import plans_written
 
 
 def plain(text):
@@ -99,3 +101,11 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert kept.count() == len(set(roots[m] for m in signed.values()))
     assert {r.doc_id for r in kept.collect() if r.doc_id is not None} == set(lowest.values())
     assert simhash.near_duplicates(cases.empty(spark)).count() == simhash.deduplicated(cases.empty(spark)).count() == 0
+
+
+def test_a_task_runs_one_python_worker(spark, monkeypatch):
+    """The index is written before its links are joined to components, so that their workers don't run side by side."""
+    plans = plans_written(monkeypatch, graph)
+    marks = spark.createDataFrame([(k,) for k in (0, 1, 7, 0xFFFF00000000)], "mark long")
+    assert {r.mark: r.root for r in simhash.components(marks, "mark").collect()} == {1: 0, 7: 0}
+    assert plans and max(p.count("MapInArrow") for p in plans) == 1
