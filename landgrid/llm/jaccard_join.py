@@ -479,6 +479,18 @@ def _apart(pairs: DataFrame, roots: DataFrame, u: str, v: str) -> DataFrame:
     return pairs.filter(F.col(f"label_{u}") != F.col(f"label_{v}")).drop(f"label_{u}", f"label_{v}")
 
 
+def _placed(pairs: DataFrame) -> DataFrame:
+    """Pairs ``u, v, hits`` with their ``block``: that of the component they are in, so that a set is in one block, or in
+    those of its part if the component has over ``CHUNK`` sets."""
+    roots = saved(component_roots(pairs))
+    many = (roots.groupBy("root").count().filter(F.col("count") >= CHUNK)
+            .select("root", F.ceil(F.col("count") / F.lit(CHUNK // 2)).alias("parts")))
+    at = pairs.join(roots.withColumnRenamed("member", "u"), "u", "left").withColumn("root", F.coalesce("root", "u"))
+    parts = F.coalesce("parts", F.lit(1))
+    salts = (F.pmod(F.xxhash64(c, F.lit(5)), parts) for c in ("u", "v"))
+    return saved(at.join(many, "root", "left").select("u", "v", "hits", F.xxhash64("root", *salts).alias("block")))
+
+
 def set_links(docs: DataFrame, text: str, described: DataFrame) -> DataFrame:
     """``u, v``: links between different sets that join the same sets as all links do."""
     rows = described.filter("node <> 0")
@@ -519,11 +531,11 @@ def set_links(docs: DataFrame, text: str, described: DataFrame) -> DataFrame:
     discard(members)
     # pairs that meet in fewer groups than linked sets do are left out
     met = _walked(_blocks(open_)).unionByName(_apart(spokes, roots, "u", "v").select("u", "v", "hits", "need", "block"))
-    pairs = saved(met.groupBy("u", "v").agg(F.sum("hits").alias("hits"), F.min("need").alias("need"), F.min("block").alias("block"))
-                  .filter("hits >= need").select("u", "v", "hits", "block"))
+    pairs = saved(met.groupBy("u", "v").agg(F.sum("hits").alias("hits"), F.min("need").alias("need"))
+                  .filter("hits >= need").select("u", "v", "hits"))
     discard(open_)
     discard(spokes)
-    return links.unionByName(_linked(pairs, docs, text, first))
+    return links.unionByName(_linked(_placed(pairs), docs, text, first))
 
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
