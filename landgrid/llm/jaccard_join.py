@@ -7,14 +7,20 @@ more parts than that by their hash, a part is the same in both. Sets with an equ
 parts follows the size, by classes, and a set near the upper end of its class takes part in the next one, too. Unlike
 texts hardly ever have a part in common, whatever passages they share.
 
-A group is searched with a signature tree. A leaf is a set's token bitmap of ``BITS`` bits, an inner node the OR of its
+Before the search every set is compared with the hub (smallest) of one of its groups, which joins large groups of near
+copies by a star. Groups of one class of linked sets need no search. Linked sets have many parts in common, so a set in too
+few other groups has no further links, and the rest falls into components that are small, or as large as a crowd of near
+copies. Any two parts of a component make a block, to which its sets are sent whole: pairs are made and tested there,
+and only links leave it.
+
+A block is searched with a signature tree. A leaf is a set's token bitmap of ``BITS`` bits, an inner node the OR of its
 children's with the range of their sizes; two nodes are walked together, from the roots down, as long as the sizes fit
-and the largest overlap that their bitmaps allow reaches the least one that a link needs. Groups of over ``CHUNK`` sets
-are divided, and the nodes on top of the parts are held against each other by a join, so a task never has more than two
-parts. Node pairs of one class of already linked sets are passed over: before the walk every set is compared with the
-hub (smallest) of one of its groups, which joins large groups of near copies by a star. Linked sets have many parts in
-common, so pairs that meet in too few groups are no links. The others are tested exactly, in blocks of sets that share a
-group: a set is sent once to each block, not once for each pair.
+and the largest overlap that their bitmaps allow reaches the least one that a link needs. At the leaves a second bitmap, of
+bits that an odd number of shingles falls on, bounds the differences. What is left is tested exactly.
+
+A component of over ``SHARES`` parts is searched group by group instead: groups of over ``CHUNK`` sets are divided, the nodes on
+top of the parts are held against each other by a join, so a task never has more than two parts, pairs that meet in too few
+groups are left out, and the others are tested in blocks of sets that share a group.
 
 Equal sets are one node throughout, so copies are never paired. Sets are told apart by 64-bit hashes.
 """
@@ -26,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landgrid.llm import common, shingles
@@ -42,6 +48,11 @@ FANOUT = 8
 PAIRS = 1 << 15          # node pairs looked at in one step
 GROWTH = 1.41            # of the size classes; above 100 / SIMILARITY
 ROUNDS = 2               # of stars before the walk
+THICKNESS = np.uint64(63)   # bits of a part's key for its number of shingles
+SHARES = 32              # parts of a component that is tested without its groups
+LOAD = 1 << 21           # shingles of such a part
+THINNED = 2              # times that sets in too few open groups are left out
+HELD = 1 << 25           # bytes of whole blocks that a task gathers
 FILTER = 1 << 23         # bits of the filters sent to all tasks
 ROWS = ["block", "side", "node", "size", "spare", "label", "bitmap"]     # of the walk
 
@@ -57,6 +68,12 @@ def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 LOW, PARTS, MOST = _classes()
+MOST_SQL = f"{100 - SIMILARITY} * (size + 100 * size div {SIMILARITY}) div {100 + SIMILARITY}"     # see _most_differences
+
+
+def _most_differences(size):
+    """The largest number of shingles in which a linked set can differ from one of this size."""
+    return (100 - SIMILARITY) * (size + 100 * size // SIMILARITY) // (100 + SIMILARITY)
 
 
 def _digest(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -75,6 +92,19 @@ def _bitmaps(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.packbits(out, axis=1, bitorder="little").view(np.uint64)
 
 
+def _odd(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Bitmaps of the bits that an odd number of shingles falls on: two sets' differ in no more bits than the sets do in
+    shingles."""
+    bit = (shingles.mixed(hashes) >> np.uint64(64 - int(math.log2(BITS)))).astype(np.int64)
+    out = np.zeros((len(offsets) - 1, WORDS), np.uint64)
+    for k in range(0, len(out), 1 << 10):                  # some sets at a time, as their bits are counted
+        ends = offsets[k:k + (1 << 10) + 1]
+        n = len(ends) - 1
+        counts = np.bincount(np.repeat(np.arange(n), np.diff(ends)) * BITS + bit[ends[0]:ends[-1]], minlength=n * BITS)
+        out[k:k + n] = np.packbits((counts & 1).astype(bool).reshape(n, BITS), axis=1, bitorder="little").view(np.uint64)
+    return out
+
+
 def _binary(rows: np.ndarray) -> pa.Array:
     """Rows of numbers as a binary column."""
     return pa.array([r.tobytes() for r in rows], pa.binary())
@@ -114,12 +144,15 @@ class _Filter:
 def _part_keys(hashes: np.ndarray, offsets: np.ndarray, rows: np.ndarray,
                classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys of the parts of the sets ``rows``, dealt as in the given classes, the place in ``rows`` of each, and how many
-    parts each set has that count. Two sets
-    whose only equal parts are thin, of one shingle or none, have as many thin ones as a class has parts beyond the
-    differences: other sets need no key for their thin parts, which unlike texts may well have in common.
+    parts each set has that count. The last bits of a key are the part's number of shingles.
 
-    Sets with d differences have all but d parts in common, and at least as many keys as the larger of their counts less
-    d; a set that keeps its thin parts counts for nothing (0), as the other one may have no keys for them."""
+    Thin parts, of one shingle or none, get no key, as unlike texts may well have them in common. Two linked sets whose only
+    equal parts are thin have as many of them as there are parts beyond the most differences of a set of that size. So a set
+    with that many thin parts has keys for them, but for the last ones in one order for all sets (empty parts at its end),
+    one fewer than such sets have in common: the first one in common stays.
+
+    Sets with d differences have all but d parts in common, and at least as many keys as the larger of their counts of
+    thick parts less d."""
     n = np.diff(offsets)[rows]
     parts = PARTS[classes]
     base = np.concatenate([[0], np.cumsum(parts)])
@@ -129,14 +162,20 @@ def _part_keys(hashes: np.ndarray, offsets: np.ndarray, rows: np.ndarray,
     place = base[owner] + ((spread >> np.uint64(20)) % parts[owner].astype(np.uint64)).astype(np.int64)
     sums = np.zeros(base[-1], np.uint64)
     np.add.at(sums, place, spread)
-    thick = np.bincount(place, minlength=base[-1]) > 1
+    held = np.bincount(place, minlength=base[-1])
+    thick = held > 1
     owner = np.repeat(np.arange(len(rows)), parts)
     thin = parts - np.bincount(owner[thick], minlength=len(rows))
-    thin_too = thin >= parts - MOST[classes]
-    kept = thick | thin_too[owner]
+    common = parts - np.minimum(MOST[classes], _most_differences(n))
     number = np.arange(base[-1]) - base[owner]
+    kept = thick.copy()
+    thins = np.flatnonzero(~thick & (thin >= common)[owner])
+    thins = thins[np.lexsort((number[thins], -held[thins], owner[thins]))]
+    rank = np.arange(len(thins)) - np.searchsorted(owner[thins], owner[thins])
+    kept[thins[rank <= (thin - common)[owner[thins]]]] = True
     keys = shingles.mixed(shingles.mixed(sums + number.astype(np.uint64)) ^ (classes[owner].astype(np.uint64) << np.uint64(48)))
-    return keys[kept].view(np.int64), owner[kept], np.where(thin_too, 0, parts - thin)
+    keys = (keys & ~THICKNESS) | np.minimum(held, int(THICKNESS)).astype(np.uint64)
+    return keys[kept].view(np.int64), owner[kept], parts - thin
 
 
 def _parts(docs: DataFrame, text: str, chosen: _Filter) -> DataFrame:
@@ -257,6 +296,30 @@ class Forest:
                 stack.append((level - 1, x[once], y[once]))
 
 
+def _by_block(solve):
+    """``solve`` over batches in the order of their first column, ``block``: it gets whole blocks, many small ones at once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows_held, bytes_held = [], 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows_held, bytes_held = rows_held + batch.num_rows, bytes_held + batch.get_total_buffer_size()
+            if rows_held >= 8 * CHUNK or bytes_held >= HELD:       # whole blocks only: the last one may go on
+                block = batch.column(0).to_numpy()
+                last = np.searchsorted(block, block[-1])
+                if last or any(b.column(0)[0].as_py() != block[-1] for b in held):
+                    whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                    cut = int(np.searchsorted(whole.column(0).to_numpy(), block[-1]))
+                    yield solve([whole.slice(0, cut)])
+                    rest = pa.Table.from_batches([whole.slice(cut)])
+                    held, rows_held, bytes_held = rest.to_batches(), rest.num_rows, rest.nbytes
+        if held:
+            yield solve(held)
+
+    return run
+
+
 def _walked(rows: DataFrame) -> DataFrame:
     """``u, v, hits, need, block`` of the pairs that the walk leaves: in how many groups they meet here, in how many linked
     sets meet, and one of the blocks. ``rows``: ``block, side, node, size, spare, label, bitmap``; a block is one
@@ -289,26 +352,8 @@ def _walked(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (u[starts], v[starts], hits, least, block[starts])],
                                           names=["u", "v", "hits", "need", "block"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows_held = [], 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            rows_held += batch.num_rows
-            if rows_held >= 8 * CHUNK:                     # whole blocks only: the last one may go on
-                block = batch.column(0).to_numpy()
-                last = np.searchsorted(block, block[-1])
-                if last or any(b.column(0)[0].as_py() != block[-1] for b in held):
-                    whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                    cut = int(np.searchsorted(whole.column(0).to_numpy(), block[-1]))
-                    yield solve([whole.slice(0, cut)])
-                    held, rows_held = [whole.slice(cut)], whole.num_rows - cut
-        if held:
-            yield solve(held)
-
     return (rows.select(ROWS).repartition("block").sortWithinPartitions("block")
-            .mapInArrow(run, "u long, v long, hits long, need long, block long"))
+            .mapInArrow(_by_block(solve), "u long, v long, hits long, need long, block long"))
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
@@ -469,6 +514,112 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str, first: DataFrame) -> D
     return out
 
 
+# -- components ------------------------------------------------------------------------------------
+
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``key, node, size, spare, label``: the groups with sets of several classes, without sets that are in fewer of them
+    than linked sets of different classes have in common."""
+    hubs = members.select("key", F.col("hub").alias("node"), F.col("hub_size").alias("size"), F.col("hub_spare").alias("spare"))
+    rows = (members.select("key", "node", "size", "spare").unionByName(hubs.distinct())
+            .join(roots, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    for _ in range(THINNED):
+        rows = saved(_mixed(rows))
+        enough = (rows.groupBy("node").agg(F.count("*").alias("hits"), F.min(F.col("spare") - F.expr(MOST_SQL)).alias("need"))
+                  .filter("hits >= need").select("node"))
+        rows = rows.join(enough, "node", "left_semi")
+    return saved(rows)
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows ``key, label, ..`` of groups with sets of several classes."""
+    keys = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return rows.join(keys.select("key"), "key", "left_semi")
+
+
+def _components(rows: DataFrame) -> DataFrame:
+    """``node, label, root, parts`` of the sets of open groups: the component that shared groups and classes make, and into
+    how many parts it is divided.
+
+    Of the groups of a set, in one order for all sets, the last ones are left out, one fewer than a linked set has in
+    common with it: the first one in common stays. Parts of few shingles, which unlike sets may have in common, come last."""
+    order = Window.partitionBy("node").orderBy(F.desc(F.col("key").bitwiseAND(F.lit(int(THICKNESS)))), "key")
+    whole = Window.partitionBy("node")
+    first = (rows.withColumns({"place": F.row_number().over(order), "held": F.count("*").over(whole),
+                               "least": F.greatest(F.min(F.col("spare") - F.expr(MOST_SQL)).over(whole), F.lit(1))})
+             .filter("place <= held - least + 1"))
+    rows = saved(_mixed(first.select("key", "node", "size", "label")))
+    low = rows.groupBy("key").agg(F.min("label").alias("u"))
+    edges = rows.select("key", F.col("label").alias("v")).distinct().join(low, "key").select("u", "v")
+    roots = component_roots(edges).select(F.col("member").alias("label"), "root")
+    sets = saved(rows.groupBy("node").agg(F.min("label").alias("label"), F.min("size").alias("size"))
+                 .join(roots, "label", "left").withColumn("root", F.coalesce("root", "label")))
+    parts = F.ceil(F.greatest(F.count("*") / F.lit(CHUNK), F.sum("size") / F.lit(LOAD)))
+    return saved(sets.join(sets.groupBy("root").agg(parts.alias("parts")), "root").select("node", "label", "root", "parts"))
+
+
+def _links_inside(sets: DataFrame, docs: DataFrame, text: str, first: DataFrame) -> DataFrame:
+    """Links ``u, v`` that join the same sets as all links between sets (``node, label, root, parts``) of a component do,
+    if those of one label are joined.
+
+    Any two parts of a component make a block, which has its sets whole: pairs are walked and tested there, and none
+    but links leaves it, fewer than the block has sets."""
+    bodies = _sets(docs, text, first, sets.select("node"))
+    part = F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts"))
+    placed = (sets.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+              .select(F.xxhash64("root", F.least("part", "other"), F.greatest("part", "other")).alias("block"),
+                      (F.col("part") > F.col("other")).cast("int").alias("side"), "node", "label"))
+
+    def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        block, side, node, label = (table.column(c).to_numpy() for c in ("block", "side", "node", "label"))
+        body = table.column("body").to_pylist()
+        size = np.array([len(b) // 8 for b in body], np.int64)
+        hashes, offsets = np.frombuffer(b"".join(body), np.uint64), np.concatenate([[0], np.cumsum(size)])
+        maps, odd = _bitmaps(hashes, offsets), _odd(hashes, offsets)
+        number = np.cumsum(np.concatenate([[0], block[1:] != block[:-1]]))
+        tree = number * 2 + side
+        order = np.lexsort((maps[:, 1], maps[:, 0], np.log2(size.astype(float)).astype(int), tree))
+        tree, node, size, label, maps, odd = (c[order] for c in (tree, node, size, label, maps, odd))
+        forest = Forest(tree, size, label, maps)
+        roots = forest.roots
+        second = np.flatnonzero(roots % 2 == 1)
+        paired = second[np.isin(roots[second] - 1, roots)]          # a part may be empty
+        alone = np.setdiff1d(np.arange(len(roots)), np.concatenate([second, paired - 1]))
+        above = {x: x for x in label.tolist()}                      # classes; links of other blocks do no harm
+        wide: dict[int, bytes] = {}
+
+        def root(x: int) -> int:
+            while above[x] != x:
+                above[x] = x = above[above[x]]
+            return x
+
+        def held_at(k: int) -> tuple[bytes, int]:
+            if k not in wide:
+                wide[k] = _wide(np.frombuffer(body[order[k]], np.uint64))
+            return wide[k], int(size[k])
+
+        u, v = [], []
+        for a, b in forest.pairs(np.concatenate([paired - 1, alone]), np.concatenate([paired, alone])):
+            differ = _popcount(odd[a] ^ odd[b])
+            near = np.flatnonzero((100 + SIMILARITY) * differ <= (100 - SIMILARITY) * (size[a] + size[b]))
+            near = near[np.argsort(differ[near], kind="stable")]
+            for x, y in zip(a[near].tolist(), b[near].tolist()):
+                one, two = root(int(label[x])), root(int(label[y]))
+                if one == two:
+                    continue
+                (wide_x, n), (wide_y, m) = held_at(x), held_at(y)
+                if _possible(wide_x, wide_y, n, m) and _similar(body[order[x]], body[order[y]], n, m):
+                    above[one] = two
+                    u.append(int(node[x]))
+                    v.append(int(node[y]))
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    out = saved(placed.join(bodies, "node").select("block", "side", "node", "label", "body")
+                .repartition("block").sortWithinPartitions("block").mapInArrow(_by_block(solve), "u long, v long"))
+    discard(bodies)
+    return out
+
+
 # -- the join --------------------------------------------------------------------------------------
 
 def _apart(pairs: DataFrame, roots: DataFrame, u: str, v: str) -> DataFrame:
@@ -521,20 +672,21 @@ def set_links(docs: DataFrame, text: str, described: DataFrame) -> DataFrame:
         if found.isEmpty():
             break
 
-    # every hub is held against all of its group (sets that links have joined already need no test): the walk goes on without it
-    hubs = roots.withColumnsRenamed({"node": "hub", "label": "hub_label"})
-    rest = (members.join(roots, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            .join(hubs, "hub", "left").withColumn("hub_label", F.coalesce("hub_label", "hub")))
-    mixed = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    rest = rest.join(mixed.filter("low <> high").select("key"), "key", "left_semi")
-    open_ = saved(rest.select("key", "node", "size", "spare", "label").join(bitmaps.select("node", "bitmap"), "node"))
+    discard(spokes)
+    open_ = _open(members, roots)
     discard(members)
-    # pairs that meet in fewer groups than linked sets do are left out
-    met = _walked(_blocks(open_)).unionByName(_apart(spokes, roots, "u", "v").select("u", "v", "hits", "need", "block"))
+    sets = _components(open_)
+    links = links.unionByName(_links_inside(sets.filter(F.col("parts") <= SHARES), docs, text, first))
+    # larger components are walked group by group; pairs that meet in fewer groups than linked sets do are left out
+    large = sets.filter(F.col("parts") > SHARES).select("node")
+    if large.isEmpty():
+        return links
+    rows = saved(open_.join(large, "node", "left_semi").join(bitmaps.select("node", "bitmap"), "node"))
+    discard(open_)
+    met = _walked(_blocks(rows))
     pairs = saved(met.groupBy("u", "v").agg(F.sum("hits").alias("hits"), F.min("need").alias("need"))
                   .filter("hits >= need").select("u", "v", "hits"))
-    discard(open_)
-    discard(spokes)
+    discard(rows)
     return links.unionByName(_linked(_placed(pairs), docs, text, first))
 
 

@@ -182,3 +182,55 @@ def test_a_set_is_sent_to_a_block_and_not_to_each_pair(spark, monkeypatch):
         return {frozenset(x for x in of if of[x] == c) for c in of.values()}
 
     assert classes(found) == classes(links)
+
+
+def test_odd_bitmaps_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = random.Random(11)
+    for n in (1, 20, 300, 3000):
+        a = rng.sample(range(1 << 62), n)
+        b = a[rng.randrange(n):] + rng.sample(range(1 << 62), rng.randrange(1, 30))
+        hashes, offsets = np.array(a + b, np.uint64), np.array([0, n, n + len(b)])
+        x, y = jaccard_join._odd(hashes, offsets)
+        differ = int(np.bitwise_count(x ^ y).sum())
+        assert differ <= len(set(a) ^ set(b)) and differ % 2 == len(set(a) ^ set(b)) % 2
+
+
+def test_unlike_sets_of_usual_sizes_have_no_part_in_common():
+    rng = np.random.default_rng(12)
+    grade = int(np.searchsorted(jaccard_join.LOW, 300, side="right")) - 1
+    n = int(jaccard_join.LOW[grade])
+    offsets = np.arange(401) * n
+    hashes = np.sort(rng.integers(0, 1 << 62, (400, n)).astype(np.uint64), axis=1).ravel()
+    keys, _, spare = jaccard_join._part_keys(hashes, offsets, np.arange(400), np.full(400, grade))
+    assert len(set(keys.tolist())) == len(keys) and spare.min() > 0
+
+
+def crowd(rng, n):
+    """Copies of a text with one to seven words changed: few are linked with most others, many with none."""
+    base = [rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(900)) for _ in range(150)]
+    return [edited(rng, base, 1 + k % 7) for k in range(n)]
+
+
+def test_pairs_of_a_crowd_are_not_listed(spark, monkeypatch):
+    rows = list(enumerate(crowd(random.Random(13), 150)))
+
+    def never(*_):
+        raise AssertionError("pairs are listed")
+
+    for name in ("_walked", "_placed"):
+        monkeypatch.setattr(jaccard_join, name, never)
+    found, inside = [], jaccard_join._links_inside
+    monkeypatch.setattr(jaccard_join, "_links_inside", lambda *a: found.append(inside(*a)) or found[-1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collected(jaccard_join.joined(docs)) == brute(rows)
+    assert len(found) == 1 and found[0].count() < len(rows)
+
+
+@pytest.mark.parametrize(("chunk", "shares"), [(8, 1), (40, 2), (16, 32)])
+def test_components_of_any_size_against_all_pairs(spark, monkeypatch, chunk, shares):
+    monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
+    monkeypatch.setattr(jaccard_join, "SHARES", shares)
+    rng = random.Random(14)
+    rows = [(5000 + k, t) for k, t in enumerate(crowd(rng, 120) + crowd(rng, 20))] + near_copies(21)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collected(jaccard_join.joined(docs)) == brute(rows)
