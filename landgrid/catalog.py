@@ -465,7 +465,7 @@ def region_polygons_small_blocks(t):
 @query
 def chain_components(t):
     """Buildings in chains by key, as long as the keys go on, dealt out so that no task sees a stretch of a chain."""
-    keys = t.table("f_footprint").select("bid").distinct()
+    keys = saved(t.table("f_footprint").select("bid").distinct())
     links = keys.select(F.col("bid").alias("u"), (F.col("bid") + 1).alias("v"))
     links = links.join(keys.select(F.col("bid").alias("v")), "v", "left_semi").repartition(64, F.xxhash64("u"))
     return graph.component_labels(keys, links, "bid")

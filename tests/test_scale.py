@@ -97,3 +97,15 @@ def test_no_task_gets_all_edges_of_a_hub(spark, monkeypatch):
     assert sum(r["count"] for r in held) == 300 and max(r["count"] for r in held) <= 100
     roots = {r.member: r.root for r in graph.component_roots(edges).collect()}
     assert roots == {n: 3 for e in star if e[0] != 500 for n in e if n != 3} | {501: 500}
+
+
+def test_a_chain_shrinks_with_each_round(spark, monkeypatch):
+    """Rows written for a chain dealt at random number a small multiple of its nodes, not of its nodes times the rounds."""
+    monkeypatch.setattr(graph, "contracted", lambda edges: edges.select("u", "v").filter("u <> v"))    # as where tasks are many
+    rows, write = [], graph.saved
+    monkeypatch.setattr(graph, "saved", lambda df: rows.append(write(df)) or rows[-1])
+    edges = spark.range(0, 1000).selectExpr("id * 5 as u", "id * 5 + 5 as v").repartition(8, F.xxhash64("u"))
+    edges = edges.unionByName(spark.createDataFrame([(-9, 0), (0, -9), (70_000, 70_001), (70_001, 70_001)], "u long, v long"))
+    found = {r.member: r.root for r in graph.component_roots(edges).collect()}
+    assert found == {5 * k: -9 for k in range(1001)} | {70_001: 70_000}
+    assert sum(df.count() for df in rows) <= 16 * 1000
