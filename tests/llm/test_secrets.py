@@ -115,3 +115,76 @@ def test_counts_and_threshold_come_from_all_values(spark, monkeypatch):
         assert np.allclose(share[:, :-1], automaton.cost) and np.allclose(share[:, -1], automaton.end)
     scores = grammar.scores(sorted(words))
     assert abs(grammar.threshold - secrets.MARGIN - max(0.0, np.quantile(scores, secrets.USUAL))) < 2e-3
+
+
+def hex_documents(spark, rng):
+    """Documents of a value each: hex of two lengths, some of them long, some of a rare format; and ordinary words."""
+    values = {some(rng, HEX, rng.choice([20, 40])) for _ in range(1100)} | {some(rng, HEX, 300) for _ in range(40)}
+    values |= {"beef" * 4 + some(rng, "01", 12) for _ in range(2)}
+    words = {"".join(rng.choice(cases.SYLLABLES["en"]) for _ in range(10)) for _ in range(600)}
+    words = {w for w in words if len(w) >= 16 and w.isascii() and w.isalpha()} | {"-" * 200, "=" * 150, "q" * 400}
+    return values, words, spark.createDataFrame(list(enumerate([*values, *words])), "doc_id long, text string")
+
+
+def test_every_prefix_of_values_of_any_length_counts(spark, monkeypatch):
+    """The automata are those of the whole prefix trees, also of values over 128 characters and of prefixes of few values."""
+    import numpy as np
+
+    values, words, docs = hex_documents(spark, random.Random(12))
+    monkeypatch.setattr(secrets, "NODES", 1 << 20, raising=False)
+    grammar = secrets.learned(secrets.matched(docs, "doc_id"))
+    for want, got in [(secrets.infer(sorted(values)), grammar.formats["hex"]), (secrets.infer(sorted(words)), grammar.ordinary)]:
+        assert got.step.shape == want.step.shape and (got.step == want.step).all()
+        assert np.allclose(got.cost, want.cost) and np.allclose(got.end, want.end)
+
+
+def test_prefixes_are_opened_in_rounds(spark, monkeypatch):
+    """Few prefixes at a time on the driver, and still every value ends in its automaton, along steps that values have taken."""
+    import numpy as np
+
+    values, words, docs = hex_documents(spark, random.Random(13))
+    monkeypatch.setattr(secrets, "NODES", 4000)
+    opened, grown = [], secrets._grown
+    monkeypatch.setattr(secrets, "_grown", lambda step, counts, nodes, below: opened.append(len(nodes["node"])) or grown(step, counts, nodes, below))
+    grammar = secrets.learned(secrets.matched(docs, "doc_id"))
+    assert len(opened) > 2 and max(opened) <= 4000
+    for strings, automaton in [(values, grammar.formats["hex"]), (words, grammar.ordinary)]:
+        counts = np.zeros((len(automaton.end), secrets.SYMBOLS + 1))
+        for value in strings:
+            state = 0
+            for byte in value.encode():
+                counts[state, secrets._SYMBOL[byte]] += 1
+                state = automaton.step[state, secrets._SYMBOL[byte]]
+            counts[state, -1] += 1
+        share = np.log2((counts + 1 / (secrets.SYMBOLS + 1)) / (counts.sum(axis=1) + 1)[:, None])
+        assert np.allclose(share[:, :-1], automaton.cost) and np.allclose(share[:, -1], automaton.end)
+
+
+def test_walk_counts_in_parts(monkeypatch):
+    """Prefixes that leave a task in small parts are the same; a string that leaves at its last character has one."""
+    import numpy as np
+
+    step = np.full((2, secrets.SYMBOLS), -1)
+    step[0, 0], step[1, 1] = 1, 0
+    texts = [[0], [0, 1, 0], [0, 0, 3, 3], [2], [], [0, 1, 2, 5, 0]]
+    edges = np.cumsum([0, *map(len, texts)])
+    runs = []
+    for rows in (1, 1 << 18):
+        monkeypatch.setattr(secrets, "ROWS", rows)
+        counts = np.zeros((2, secrets.SYMBOLS + 1), np.int64)
+        parts = list(secrets.walk(step, np.concatenate(texts).astype(int), edges, 3, counts))
+        runs.append((sorted(zip(*(np.concatenate(c).tolist() for c in zip(*parts)))), counts.tolist()))
+    assert runs[0] == runs[1]
+    assert sorted(r[2:] for r in runs[0][0]) == sorted([(0, 2, 0, 0), (0, 2, 0, 1), (0, 5, 1, 0), (0, 0, 2, 1), (1, 0, 0, 0), (1, 3, 1, 0),
+                                                        (1, 3, 2, 1)])
+    assert counts[0, -1] == 1 and counts[1, -1] == 2 and counts[0, 0] == 5
+
+
+def test_credentials_that_reach_beyond_a_base_match_are_found_whole(spark):
+    rng = random.Random(4)
+    texts = secret_texts(rng)
+    inside = f"{some(rng, MIXED, 14)}Z{some(rng, HEX, 18)}Q{some(rng, MIXED, 14)}"
+    docs = spark.createDataFrame([*enumerate(texts), (900, f"ä {inside} end"), (901, f"token={some(rng, MIXED, 30)}")], "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in secrets.digested(docs).collect()}
+    assert f"format:2:{2 + len(inside)}" in spans[900] and "hex:" in spans[900]
+    assert "format" not in spans[901]
