@@ -52,12 +52,34 @@ def _reduce(ufunc, values, offsets, empty):
 
 
 def point_distances(geom: Flat, px: np.ndarray, py: np.ndarray) -> np.ndarray:
+    return np.maximum(signed_distances(geom, px, py), 0.0)
+
+
+def signed_distances(geom: Flat, px: np.ndarray, py: np.ndarray) -> np.ndarray:
+    """Distances to the borders of polygons, below 0 inside."""
     seg, row, offsets = geom.segments()
     ax, ay, bx, by = geom.x[seg], geom.y[seg], geom.x[seg + 1], geom.y[seg + 1]
     qx, qy = px[row], py[row]
     nearest = _reduce(np.minimum, point_segment_sq(qx, qy, ax, ay, bx, by), offsets, np.inf)
     hits = _reduce(np.add, crosses_ray(qx, qy, ax, ay, bx, by).astype(np.int64), offsets, 0)
-    return np.where(hits % 2 == 1, 0.0, np.sqrt(nearest))
+    return np.where(hits % 2 == 1, -1.0, 1.0) * np.sqrt(nearest)
+
+
+def convex(geom: Flat) -> np.ndarray:
+    """Rows of one ring that turns one way only, once around."""
+    seg, row, _ = geom.segments()
+    dx, dy = geom.x[seg + 1] - geom.x[seg], geom.y[seg + 1] - geom.y[seg]
+    real = (dx != 0) | (dy != 0)
+    row, angle = row[real], np.arctan2(dy[real], dx[real])
+    if not len(row):
+        return np.zeros(geom.rows, dtype=bool)
+    begin = np.flatnonzero(np.diff(row, prepend=-1))
+    following = np.arange(len(row)) + 1
+    following[np.append(begin[1:], len(row)) - 1] = begin
+    turn = (angle[following] - angle + np.pi) % (2 * np.pi) - np.pi
+    once = np.abs(np.abs(np.bincount(row, turn, geom.rows)) - 2 * np.pi) < 1e-6
+    one_way = (np.bincount(row, turn < -1e-9, geom.rows) == 0) | (np.bincount(row, turn > 1e-9, geom.rows) == 0)
+    return once & one_way & (np.diff(geom.row_ring) == 1)
 
 
 def _pair_blocks(na: np.ndarray, nb: np.ndarray):

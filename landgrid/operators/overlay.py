@@ -13,8 +13,8 @@ from pyspark.sql.types import DataType
 
 from landgrid.functions import geom as G
 from landgrid.functions import slabs
-from landgrid.functions.arrow_geom import Flat, flat, ragged
-from landgrid.functions.predicates import is_valid, simplify
+from landgrid.functions.arrow_geom import Flat, counts_to_offsets, flat, ragged
+from landgrid.functions.predicates import convex, is_valid, signed_distances, simplify
 from landgrid.operators import grid
 from landgrid.schemas import GEOM, GEOM_DDL, require_same_srid, tagged_like
 from landgrid.shared import saved, shuffled
@@ -23,6 +23,7 @@ CUTS_AT_ONCE = 64               # cuts taken from one polygon in one step
 VERTICES_AT_ONCE = 50_000       # vertices one sweep holds
 GROWN = 16                      # vertices that growing makes of one
 FINER = 4                       # small squares in a side of a square where cuts crowd
+CELLS = 8                       # cells in a side of a small square; the bits of a long tell which of them are covered
 
 
 def _lists(column: pa.Array) -> tuple[Flat, np.ndarray, np.ndarray]:
@@ -77,21 +78,23 @@ def _by_runs(weight: np.ndarray, overlay: Callable[[int, int], slabs.Trapezoids]
 
 
 def _listed_edges(members: Flat, row: np.ndarray, place: np.ndarray, lo: int, hi: int, grow: np.ndarray | None = None) -> slabs.Edges:
-    """Edges of the list members of rows ``[lo, hi)``, grown; their shapes count from 1."""
+    """Edges of the list members of rows ``[lo, hi)``, each grown; their shapes count from 1."""
     mine = np.arange(*np.searchsorted(row, [lo, hi]))
     some = members.take(mine)
-    if grow is not None and (grow > 0).any():
-        some = slabs.buffered(some, grow[row[mine]])
+    if grow is not None and (grow[mine] > 0).any():
+        some = slabs.buffered(some, grow[mine])
     return slabs.Edges.of(some, row[mine] - lo, place[mine] + 1)
 
 
 def _united_in(size: float) -> Callable:
-    """Lists of polygons, grown by ``reach``, as their union inside a square: ``full`` if that is all of it, else ``geom``."""
+    """Lists of ``geom, reach``, polygons to be grown, as their union inside a square: ``full`` if that is all of it, else ``geom``."""
     @arrow_udf(DataType.fromDDL(f"struct<full:boolean,geom:{GEOM_DDL}>"))
-    def united(cuts: pa.Array, reach: pa.Array, cx: pa.Array, cy: pa.Array) -> pa.Array:
-        members, row, place = _lists(cuts)
-        grow, rows = reach.to_numpy(), len(cx)
-        corners = np.diff(members.row_vertex) * np.where(grow[row] > 0, GROWN, 1)
+    def united(cuts: pa.Array, cx: pa.Array, cy: pa.Array) -> pa.Array:
+        lists, rows = cuts.offsets.to_numpy().astype(np.int64), len(cx)
+        geom, reach = cuts.values.slice(lists[0], lists[-1] - lists[0]).flatten()
+        members, grow = flat(geom), reach.to_numpy()
+        row, place = ragged(np.diff(lists))
+        corners = np.diff(members.row_vertex) * np.where(grow > 0, GROWN, 1)
 
         def inside(_, shape, step, __, running):
             return (running(step * (shape == 0)) == 1) & (running(step * (shape > 0)) > 0)
@@ -105,6 +108,71 @@ def _united_in(size: float) -> Callable:
     return united
 
 
+def _covers(size: float) -> Callable:
+    """The cells of a square that a polygon grown by ``reach`` covers whole, and those that it may touch, as bits."""
+    cell = size / CELLS
+
+    def whole(g: Flat, reach: np.ndarray, row: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether cells with the lower left corners ``x, y`` lie in polygons. A convex one covers a cell if it has all of its
+        corners; in others a cell's centre must be far enough from the border."""
+        out = np.zeros(len(row), dtype=bool)
+        round_ = convex(g)
+        mine = np.flatnonzero(round_[row])
+        # a grown corner has 16 steps a quarter turn, rounded: it reaches this far at least
+        far = reach[row] * np.cos(np.pi / 32)
+        for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1)):
+            mine = mine[signed_distances(g.take(row[mine]), x[mine] + dx * cell, y[mine] + dy * cell) <= far[mine]]
+        out[mine] = True
+        other = np.flatnonzero(~round_)
+        if len(other):
+            grown = g.take(other)
+            grown = slabs.buffered(grown, reach[other]) if (reach[other] > 0).any() else grown
+            place = np.cumsum(~round_) - 1
+            mine = np.flatnonzero(~round_[row])
+            gap = signed_distances(grown.take(place[row[mine]]), x[mine] + cell / 2, y[mine] + cell / 2)
+            out[mine] = gap <= -cell / np.sqrt(2)
+        return out
+
+    @arrow_udf(DataType.fromDDL("struct<covered:bigint,touched:bigint>"))
+    def covers(geom: pa.Array, reach: pa.Array, cx: pa.Array, cy: pa.Array) -> pa.Array:
+        g = flat(geom)
+        covered, touched = np.zeros(g.rows, np.uint64), np.zeros(g.rows, np.uint64)
+        some = np.flatnonzero(np.diff(g.row_vertex) > 0)
+        g, grow = g.take(some), reach.to_numpy()[some]
+        low = [c.to_numpy()[some] * size for c in (cx, cy)]
+        box, wide = g.bounds(), grow + grid.MARGIN
+        first = [np.clip(np.floor((box[k] - wide - low[k]) / cell), 0, CELLS - 1).astype(np.int64) for k in (0, 1)]
+        last = [np.clip(np.floor((box[k + 2] + wide - low[k]) / cell), 0, CELLS - 1).astype(np.int64) for k in (0, 1)]
+        across = last[0] - first[0] + 1
+        count = across * (last[1] - first[1] + 1)
+        for lo, hi in _runs(count * np.diff(g.row_vertex)):
+            row, k = ragged(count[lo:hi])
+            i, j = first[0][lo:hi][row] + k % across[lo:hi][row], first[1][lo:hi][row] + k // across[lo:hi][row]
+            bit = np.uint64(1) << (j * CELLS + i).astype(np.uint64)
+            inside = whole(g.take(np.arange(lo, hi)), grow[lo:hi], row, low[0][lo:hi][row] + i * cell, low[1][lo:hi][row] + j * cell)
+            np.bitwise_or.at(touched, some[lo + row], bit)
+            np.bitwise_or.at(covered, some[lo + row[inside]], bit[inside])
+        return pa.StructArray.from_arrays([pa.array(c.astype(np.int64)) for c in (covered, touched)], names=["covered", "touched"])
+
+    return covers
+
+
+def _cells(size: float) -> Callable:
+    """The cells of a square that ``bits`` tell, as one polygon."""
+    @arrow_udf(GEOM)
+    def drawn(bits: pa.Array, cx: pa.Array, cy: pa.Array) -> pa.Array:
+        places = np.arange(CELLS * CELLS, dtype=np.uint64)
+        set_ = (bits.to_numpy().astype(np.uint64)[:, None] >> places & np.uint64(1)).astype(np.int8).reshape(-1, CELLS, CELLS)
+        change = np.diff(set_, axis=2, prepend=np.int8(0), append=np.int8(0))        # runs of cells beside each other
+        row, j, i0 = np.nonzero(change == 1)
+        i1 = np.nonzero(change == -1)[2]
+        x, y = cx.to_numpy()[row] * CELLS, cy.to_numpy()[row] * CELLS
+        boxes = Flat.boxes(np.column_stack([x + i0, y + j, x + i1, y + j + 1]) * (size / CELLS))
+        return Flat(boxes.x, boxes.y, boxes.ring, boxes.part, counts_to_offsets(np.bincount(row, minlength=len(bits)))).array()
+
+    return drawn
+
+
 def _left_in(size: float) -> Callable:
     """What a polygon has inside a square and outside ``hole``, a polygon or null."""
     @arrow_udf(GEOM)
@@ -200,11 +268,13 @@ def difference(left: DataFrame, right: DataFrame, key: str, size: float, reach:
     """
     require_same_srid(left, right)
     a = grid.with_box(left.select(F.col(key).alias("key"), "geom")).drop("geom")
-    b = grid.with_box(right.select("geom").distinct())      # copies cut the same hole once
+    places = saved(grid.cover(a.filter("key is not null"), size).select("key", "cx", "cy"))
+    # cuts in the squares of polygons, written once; copies cut the same hole once
+    b = saved(grid.cover(grid.with_box(right.select("geom")), size, reach)
+              .join(shuffled(places.select("cx", "cy").distinct()), ["cx", "cy"], "left_semi").select("geom", "box").distinct())
     crowded = saved(grid.cover(b.select("box"), size, reach).groupBy("cx", "cy").count()
                     .filter(F.col("count") > cuts_at_once).select("cx", "cy"))
-    hot = saved(grid.cover(a.filter("key is not null"), size)
-                .join(shuffled(crowded), ["cx", "cy"], "left_semi").select("key").distinct())
+    hot = saved(places.join(shuffled(crowded), ["cx", "cy"], "left_semi").select("key").distinct())
     pairs = saved(grid.near_polygons(a.join(shuffled(hot), "key", "left_anti"), b, reach, size)
                   .select(F.col("a_key").alias("key"), F.col("b_geom").alias("cut")))
     many = pairs.groupBy("key").count().filter(F.col("count") > cuts_at_once).select("key")
@@ -252,7 +322,9 @@ def _by_squares(left: DataFrame, right: DataFrame, side: float, reach: float, at
 
 
 def _cuts_by_square(right: DataFrame, asked: DataFrame, side: float, reach: float, at_once: int) -> DataFrame:
-    """``cx, cy, full, geom``: the union of all cuts, grown by ``reach``, inside each of the squares ``asked``."""
+    """``cx, cy, full, geom``: the union of all cuts, grown by ``reach``, inside each of the squares ``asked``.
+
+    Where cuts crowd, a square is found full from the cells that single cuts cover, without a sweep."""
     square, united = ["cx", "cy"], _united_in(side)
     simple = grid.is_simple(side)
     small = grid.cover(right.filter(simple), side, reach).select(
@@ -260,20 +332,30 @@ def _cuts_by_square(right: DataFrame, asked: DataFrame, side: float, reach: floa
     large = right.filter(~simple).select("geom")
     large = grid.chips(buffered(large, reach) if reach else large, side).select(
         *square, F.lit(0.0).alias("reach"), "full", F.col("chip").alias("geom"))
-    parts = saved(small.unionByName(large).join(shuffled(asked), square, "left_semi"))
-    done, raw = [], True
+    parts = small.unionByName(large).join(shuffled(asked), square, "left_semi").withColumn("cells", _covers(side)("geom", "reach", *square))
+    parts = saved(parts.select(*square, "reach", "geom", "cells.touched", F.when(F.col("full"), F.lit(-1).cast("long"))
+                               .otherwise(F.col("cells.covered")).alias("covered")))
+    # many cuts cover a square cell by cell; those that touch covered cells only add nothing to it
+    bits = saved(parts.groupBy(square).agg(F.bit_or("covered").alias("bits")))
+    done = [bits.filter("bits = -1").select(square)]
+    some = bits.filter("bits <> -1")
+    held = parts.join(shuffled(some), square).filter("touched & ~bits <> 0").select(*square, "reach", "geom")
+    cells = some.filter("bits <> 0").select(*square, F.lit(0.0).alias("reach"), _cells(side)("bits", *square).alias("geom"))
+    held, raw = saved(held.unionByName(cells)), True
     while True:
-        full = saved(parts.filter("full").select(square).distinct())
-        done.append(full)
-        held = parts.filter("not full").join(shuffled(full), square, "left_anti")
         counts = saved(held.groupBy(square).agg(F.count("*").alias("n")))
         if not raw and counts.filter("n > 1").isEmpty():
             break
         lists = F.ceil(F.col("n") / at_once).cast("int")
+        # few bytes may be much work, so small partitions are not put together here
         grouped = (held.join(shuffled(counts), square).withColumn("part", F.pmod(F.xxhash64("geom"), lists))
-                   .groupBy(*square, "part", "reach").agg(F.collect_list("geom").alias("cuts")))
-        parts = saved(grouped.withColumn("u", united("cuts", "reach", *square))
+                   .repartition(int(held.sparkSession.conf.get("spark.sql.shuffle.partitions")), *square, "part")
+                   .groupBy(*square, "part").agg(F.collect_list(F.struct("geom", "reach")).alias("cuts")))
+        parts = saved(grouped.withColumn("u", united("cuts", *square))
                       .select(*square, F.lit(0.0).alias("reach"), "u.full", "u.geom").filter(F.col("full") | (F.size("geom") > 0)))
+        full = saved(parts.filter("full").select(square).distinct())
+        done.append(full)
+        held = parts.filter("not full").join(shuffled(full), square, "left_anti").select(*square, "reach", "geom")
         raw = False
     none = F.lit(None).cast(held.schema["geom"].dataType)
     out = held.select(*square, F.lit(False).alias("full"), "geom")

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from landgrid.functions import geom as G
+from landgrid.functions import slabs
+from landgrid.functions.arrow_geom import GEOM_TYPE, flat
 from landgrid.functions.predicates import is_valid
 from landgrid.operators import graph, grid, overlay, squares
 from landgrid.schemas import GEOM
@@ -109,3 +111,41 @@ def test_a_chain_shrinks_with_each_round(spark, monkeypatch):
     found = {r.member: r.root for r in graph.component_roots(edges).collect()}
     assert found == {5 * k: -9 for k in range(1001)} | {70_001: 70_000}
     assert sum(df.count() for df in rows) <= 16 * 1000
+
+
+@pytest.mark.parametrize("reach", [0.0, 5.0])
+def test_cells_that_cuts_cover(spark, reach):
+    """A covered cell lies in the grown cut, and a cell with a part of it is touched; convex and other shapes."""
+    rng = np.random.default_rng(11)
+    rings = [rect(x, y, x + w, y + h) for x, y, w, h in rng.uniform([-20, -20, 5, 5], [60, 60, 70, 70], (30, 4)).tolist()]
+    rings += [star(rng, *rng.uniform(0, 64, 2), 8, 60) for _ in range(10)] + [rect(-50, -50, 200, 200)]
+    rings += [[rect(-40, -40, 150, 150)[0] + [r[::-1] for r in rect(20, 20, 44, 40)[0]]]]
+    frame = layer(spark, rings).withColumns({"reach": F.lit(reach), "cx": F.lit(0).cast("long"), "cy": F.lit(0).cast("long")})
+    rows = frame.select("geom", overlay._covers(64.0)("geom", "reach", "cx", "cy").alias("c")).select("geom", "c.*").toArrow().to_pydict()
+    grown = slabs.buffered(flat(pa.array(rows["geom"], GEOM_TYPE)), np.full(len(rings), reach)) if reach else flat(pa.array(rows["geom"], GEOM_TYPE))
+    corner = np.stack(np.meshgrid(np.arange(8), np.arange(8)), axis=-1).reshape(-1, 2) * 8.0
+    cells = np.hstack([corner, corner + 8])
+    for k, (covered, touched) in enumerate(zip(rows["covered"], rows["touched"])):
+        one = slabs.Edges.of(grown.take(np.full(64, k)), None, 1)
+        common = slabs.intersection(slabs.Edges.boxes(cells, np.arange(64), 0) + one, np.full(64, 2)).areas(64)
+        bits = lambda value: (np.array(value).astype(np.int64).astype(np.uint64) >> np.arange(64, dtype=np.uint64)) & np.uint64(1) == 1
+        assert (common[bits(covered)] >= 64 - 1e-6).all() and (common[~bits(touched)] < 1e-9).all()
+    assert sum(bin(c & (2 ** 64 - 1)).count("1") for c in rows["covered"]) > 300
+    assert rows["covered"][-2] == -1
+
+
+def test_crowded_cuts_need_no_sweep(spark, monkeypatch):
+    """Squares that single cuts cover cell by cell are full, and cuts in covered cells only are not united."""
+    rng = np.random.default_rng(12)
+    cuts = [rect(x, y, x + 25, y + 22) for x, y in rng.uniform(-30, 90, (500, 2)).tolist()] + [star(rng, 160, 160, 5, 60)]
+    a = layer(spark, [rect(-60, -60, 250, 230), rect(80, 10, 130, 200)], "gid")
+    b = layer(spark, cuts).drop("fid")
+    whole = overlay.difference(a, b, "gid", 256.0, 5.0, 10_000).select("gid", G.area("geom").alias("area"), *bounds()).collect()
+    united, write = [], overlay.saved
+    monkeypatch.setattr(overlay, "saved", lambda df: united.append(write(df)) or united[-1])
+    parts = {r.gid: r for r in overlay.difference(a, b, "gid", 256.0, 5.0).select("gid", G.area("geom").alias("area"), *bounds()).collect()}
+    assert set(parts) == {r.gid for r in whole}
+    for r in whole:
+        assert list(parts[r.gid]) == pytest.approx(list(r), abs=1e-4)
+    listed = [df.count() for df in united if df.columns == ["cx", "cy", "reach", "geom"]]
+    assert listed and sum(listed) < 500
