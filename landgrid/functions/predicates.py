@@ -82,6 +82,17 @@ def convex(geom: Flat) -> np.ndarray:
     return once & one_way & (np.diff(geom.row_ring) == 1)
 
 
+def are_boxes(geom: Flat) -> np.ndarray:
+    """Rows of one closed ring of four corners, with sides that run up and across by turns."""
+    out = (np.diff(geom.row_ring) == 1) & (np.diff(geom.row_vertex) == 5)
+    at = geom.row_vertex[:-1][out]
+    x, y = (np.stack([c[at + k] for k in range(5)]) for c in (geom.x, geom.y))
+    level, upright = y[1:] == y[:-1], x[1:] == x[:-1]
+    turns = (level[0] & upright[1] & level[2] & upright[3]) | (upright[0] & level[1] & upright[2] & level[3])
+    out[out] = turns & (x[0] == x[4]) & (y[0] == y[4])
+    return out
+
+
 def _pair_blocks(na: np.ndarray, nb: np.ndarray):
     """(row, i, j) over the product of two segment lists per row, in blocks of bounded size."""
     cuts = np.concatenate([[0], np.cumsum(na)])       # one entry per (row, i)

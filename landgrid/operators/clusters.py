@@ -20,10 +20,7 @@ def proximity_pairs(polygons: DataFrame, key: str, gap: float, size: float) -> D
 
     Clustering does not use it; see :func:`proximity_links`.
     """
-    shapes = grid.with_box(polygons.select(F.col(key).alias("key"), "geom"))
-    pairs = grid.near_polygons(shapes, shapes, gap, size).filter("a_key < b_key")
-    return (pairs.filter(polygon_distance("a_geom", "b_geom") <= gap)
-            .select(F.col("a_key").alias("u"), F.col("b_key").alias("v")))
+    return grid.close_pairs(polygons, key, gap, size)
 
 
 def _touching(polygons: DataFrame, key: str, gap: float) -> tuple[DataFrame, DataFrame, DataFrame]:

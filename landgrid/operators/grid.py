@@ -8,6 +8,9 @@ squares they cover in full marked so that most rows need no exact test.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +18,8 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import DataType
 
 from landgrid.functions import geom as G
-from landgrid.functions.predicates import point_distance, polygon_distance
+from landgrid.functions.arrow_geom import flat
+from landgrid.functions.predicates import are_boxes, meeting_boxes, point_distance, polygon_distance, polygon_distances
 from landgrid.functions.tiles import TILE_DDL, tile_batch
 from landgrid.schemas import require_same_srid
 from landgrid.shared import saved, shuffled
@@ -25,6 +29,9 @@ FEW = 8                 # points that share a square on average, up to which the
 NEARER = 3              # searches within a quarter of the reach, a quarter of that, ..., that may come before
 WORTH_DIVIDING = 3.0    # parts of a divided square that a box may meet on average
 FINEST = 1e-3           # side in metres below which a square is not divided any more
+PAIRED = 4096           # polygons of a square that a task compares with as many others at a time
+ROWS = 1 << 15          # polygons a task holds before it compares them
+TESTED = 1 << 15        # pairs whose borders are compared at once
 SIMPLE_VERTICES = 64    # polygons up to this size are joined whole, if they span few squares
 SIMPLE_SQUARES = 16
 MARGIN = 1e-6           # widens the choice of squares only; the exact test decides
@@ -162,7 +169,7 @@ def near_polygons(left: DataFrame, right: DataFrame, reach: float, size: float)
     two boxes, the left one grown.
     """
     wide = reach + MARGIN
-    grown = left.withColumn("box", G.grow(F.col("box"), wide))
+    grown = left.withColumn("_own", F.col("box")).withColumn("box", G.grow(F.col("box"), wide))
     crowded, side = [], float(size)
     boxes = right.select("box")
     listed = _listed(boxes, size, crowded)
@@ -185,9 +192,87 @@ def near_polygons(left: DataFrame, right: DataFrame, reach: float, size: float)
     ab, bb = F.col("a_box"), F.col("b_box")
     home = ((F.floor(F.greatest(ab.xmin, bb.xmin) / F.col("side")) == F.col("cx"))
             & (F.floor(F.greatest(ab.ymin, bb.ymin) / F.col("side")) == F.col("cy")))
-    close = G.boxes_meet(ab, bb) & (G.box_gap(G.grow(ab, -wide), bb) <= reach)
-    return (a.join(shuffled(b), ["side", "cx", "cy"]).filter(home & close).drop("side", "cx", "cy")
-            .withColumn("a_box", G.grow(F.col("a_box"), -wide)))
+    close = G.boxes_meet(ab, bb) & (G.box_gap(F.col("_own"), bb) <= reach)
+    return (a.join(shuffled(b), ["side", "cx", "cy"]).filter(home & close).withColumn("a_box", F.col("_own"))
+            .drop("side", "cx", "cy", "_own"))
+
+
+def close_pairs(polygons: DataFrame, key: str, reach: float, size: float) -> DataFrame:
+    """``u < v``: keys of all pairs of polygons at most ``reach`` apart.
+
+    A polygon goes to the squares that its box, grown by half of ``reach``, lies in, and is compared there with the
+    others of the square in one task, so only keys leave it. A pair counts in the square with the lower left corner of the overlap
+    of both boxes. Squares with more than ``PAIRED`` polygons are dealt to parts, any two of which are a task's.
+    """
+    wide = reach / 2 + MARGIN
+    shapes = with_box(polygons.select(F.col(key).alias("key"), "geom"))
+    shapes = shapes.withColumn("box", G.grow(F.col("box"), wide))
+    at, b = ["cx", "cy"], F.col("box")
+
+    def listed(df):
+        return (df.withColumn("cx", F.explode(F.sequence(square_of(b.xmin, size), square_of(b.xmax, size))))
+                .withColumn("cy", F.explode(F.sequence(square_of(b.ymin, size), square_of(b.ymax, size)))).drop("box"))
+
+    # of such squares there is one per PAIRED rows at most
+    crowded = saved(listed(shapes.select("box")).groupBy(at).agg(F.count("*").alias("n")).filter(F.col("n") > PAIRED)
+                    .select(*at, F.ceil(F.col("n") / PAIRED).cast("int").alias("parts")))
+    rows = listed(shapes).join(F.broadcast(crowded), at, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    rows = (rows.withColumn("mine", F.pmod(F.xxhash64("key", "geom"), F.col("parts")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+    group = [*at, "low", "high"]
+    rows = rows.select(*at, F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "key", "geom")
+    dealt = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *group).sortWithinPartitions(*group)
+
+    def close(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        g = flat(table.column("geom"))
+        box = g.bounds()
+        grown = box[0] - wide, box[1] - wide, box[2] + wide, box[3] + wide
+        cx, cy, low, high, mine = (table.column(c).to_numpy() for c in (*group, "mine"))
+        square, keys = are_boxes(g), table.column("key").combine_chunks()
+        for i, j in meeting_boxes(grown, np.cumsum(starts)):
+            good = (low[i] == high[i]) | (mine[i] != mine[j])
+            good &= np.floor(np.maximum(grown[0][i], grown[0][j]) / size) == cx[i]
+            good &= np.floor(np.maximum(grown[1][i], grown[1][j]) / size) == cy[i]
+            i, j = i[good], j[good]
+            dx = np.maximum(np.maximum(box[0][i] - box[2][j], box[0][j] - box[2][i]), 0.0)
+            dy = np.maximum(np.maximum(box[1][i] - box[3][j], box[1][j] - box[3][i]), 0.0)
+            near = np.sqrt(dx * dx + dy * dy) <= reach
+            i, j = i[near], j[near]
+            open_ = np.flatnonzero(~(square[i] & square[j]))         # of boxes the distance is known
+            apart = [open_[k:k + TESTED][polygon_distances(g.take(i[open_[k:k + TESTED]]), g.take(j[open_[k:k + TESTED]])) > reach]
+                     for k in range(0, len(open_), TESTED)]
+            if apart:
+                i, j = (np.delete(c, np.concatenate(apart)) for c in (i, j))
+            for k in range(0, len(i), TESTED):
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(c[k:k + TESTED])) for c in (i, j)], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            held.append(batch)
+            if sum(h.num_rows for h in held) >= ROWS:
+                table = pa.Table.from_batches(held).combine_chunks()
+                starts = begun(table)
+                last = int(np.flatnonzero(starts)[-1])              # the last group may go on
+                if last:
+                    yield from close(table.slice(0, last), starts[:last])
+                held = table.slice(last).to_batches()
+        if held:
+            table = pa.Table.from_batches(held).combine_chunks()
+            if table.num_rows:
+                yield from close(table, begun(table))
+
+    def begun(table: pa.Table) -> np.ndarray:
+        """Rows that begin a group."""
+        out = np.zeros(table.num_rows, dtype=bool)
+        out[:1] = True
+        for c in group:
+            out[1:] |= np.diff(table.column(c).to_numpy()) != 0
+        return out
+
+    kind = polygons.schema[key].dataType.simpleString()
+    found = dealt.mapInArrow(run, f"u {kind}, v {kind}").filter("u <> v")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
 
 def _listed(df: DataFrame, size: float, crowded: list[DataFrame]) -> DataFrame:

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from landgrid.functions import geom as G
 from landgrid.functions import slabs
 from landgrid.functions.arrow_geom import GEOM_TYPE, flat
-from landgrid.functions.predicates import is_valid
-from landgrid.operators import graph, grid, overlay, squares
+from landgrid.functions.predicates import is_valid, polygon_distances
+from landgrid.operators import clusters, graph, grid, overlay, squares
 from landgrid.schemas import GEOM
 from tests.plans import plan_of, plans_written
-from tests.shapes import crowd, layer, points, rect, star
+from tests.shapes import crowd, flat_of, layer, points, rect, star
 
 
 def test_batches_for_python_are_bounded_in_bytes(spark):
@@ -149,3 +149,27 @@ def test_crowded_cuts_need_no_sweep(spark, monkeypatch):
         assert list(parts[r.gid]) == pytest.approx(list(r), abs=1e-4)
     listed = [df.count() for df in united if df.columns == ["cx", "cy", "reach", "geom"]]
     assert listed and sum(listed) < 500
+
+
+@pytest.mark.parametrize("paired, rows", [(4096, 1 << 15), (7, 20)])
+def test_close_pairs_are_all_pairs(spark, monkeypatch, paired, rows):
+    """Pairs at the very limit count, whatever rounding does to grown boxes, in whole squares and in parts of crowded ones;
+    keys that are missing or come twice are those of pairs of rows."""
+    monkeypatch.setattr(grid, "PAIRED", paired)
+    monkeypatch.setattr(grid, "ROWS", rows)
+    monkeypatch.setattr(grid, "TESTED", rows)
+    rng = np.random.default_rng(21)
+    rings = [rect(x, y, x + 8, y + 6) for x, y in rng.integers(0, 150, (120, 2)).tolist()]
+    rings += [star(rng, *rng.uniform(0, 150, 2), 7, 12) for _ in range(40)]
+    a = flat_of(rings)
+    i, j = np.triu_indices(len(rings), 1)
+    near = polygon_distances(a.take(i), a.take(j)) <= 24.0
+    want = list(zip(i[near].tolist(), j[near].tolist()))
+    edge = [rect(x, 40 * k, x + w, 40 * k + 9) for k, (x, w) in enumerate(zip(rng.integers(-20_000, 20_000, 400).tolist(), rng.integers(5, 25, 400).tolist()), 10)]
+    edge += [rect(r[0][0][1][0] + 24, r[0][0][0][1] + 2, r[0][0][1][0] + 30, r[0][0][0][1] + 5) for r in edge]
+    want += [(k, 400 + k) for k in range(160, 560)]
+    frame = layer(spark, rings + edge)
+    found = clusters.proximity_pairs(frame, "fid", 24.0, 128.0).collect()
+    assert sorted((r.u, r.v) for r in found) == sorted(want)
+    again = frame.filter("fid in (160, 560)").unionByName(frame.filter("fid = 160")).unionByName(frame.filter("fid = 560").withColumn("fid", F.lit(None).cast("long")))
+    assert [(r.u, r.v) for r in clusters.proximity_pairs(again, "fid", 24.0, 128.0).collect()] == [(160, 560)] * 2
